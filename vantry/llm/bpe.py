@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import CutCoder, gathered, id_lists, slices
+from vantry.llm.chunks import CutCoder, IdTable, Numbers, gathered, id_lists, slices
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,108 +37,131 @@ class MergeReplay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.width = max(ranks.values()) + 1
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.single = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def rank(self, left: int, right: int) -> int:
-        """Rank of the merge of two tokens, -1 without one."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) > 1_000_000:
-                self.pairs.clear()
-            found = self.pairs[left, right] = self.ranks.get(self.tokens[left] + self.tokens[right], -1)
-        return found
-
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        open_words = [k for k, word in enumerate(words) if word not in self.ranks]
-        out = [[self.ranks[word]] if word in self.ranks else [] for word in words]
-        symbol: list[int] = []
-        follow: list[int] = []
-        before: list[int] = []
-        first: list[int] = []
-        index: dict[int, list[int]] = {}
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.pairs: dict[int, int] = {}
+        # tokens that join a neighbour to a token of lower rank: their places in a word must be merged one by one
+        self.careful = {
+            part
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            for part in (ranks.get(token[:cut], -1), ranks.get(token[cut:], -1))
+            if part >= rank
+        }
+
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair of tokens, -1 without one."""
+        codes, back = np.unique(left * self.width + right, return_inverse=True)
+        if len(self.pairs) > 500_000:
+            self.pairs.clear()
+        found, known = [], self.pairs
+        for code in codes.tolist():
+            rank = known.get(code)
+            if rank is None:
+                a, b = divmod(code, self.width)
+                rank = known[code] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
+            found.append(rank)
+        return np.array(found, np.int64)[back]
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all words one after the other, and how many each has."""
+        whole = np.fromiter((self.ranks.get(word, -1) for word in words), np.int64, len(words))
+        sizes = np.where(whole < 0, np.fromiter(map(len, words), np.int64, len(words)), 1)
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(words) else 0
+        data = np.frombuffer(b"".join(b"\0" if at >= 0 else word for word, at in zip(words, whole.tolist(), strict=True)), np.uint8)
+        symbol = self.single[data]  # token at each position; -1 once it is merged into the one before
+        symbol[(ends - sizes)[whole >= 0]] = whole[whole >= 0]
+        word = np.repeat(np.arange(len(words)), sizes)
+        place = np.arange(n)
+        last = np.zeros(n + 1, bool)
+        last[ends - 1] = True
+        follow = np.where(last[:n], -1, place + 1)
+        before = np.where(np.concatenate([[True], last[: n - 1]])[:n], -1, place - 1)
+        merges = np.full(n, -1, np.int64)  # rank of the merge of a position and the next
+        inner = np.flatnonzero(follow >= 0)
+        merges[inner] = self.merged(symbol[inner], symbol[inner + 1])
+
+        index: dict[int, list[np.ndarray]] = {}  # rank of a pair's merge -> places where the pair stands
         due: list[int] = []
-        pairs, rank = self.pairs, self.rank
-
-        def listed(merge: int, place: int) -> None:
-            if merge in index:
-                index[merge].append(place)
-            else:
-                index[merge] = [place]
-                heappush(due, merge)
-
-        for k in open_words:
-            at = len(symbol)
-            first.append(at)
-            ids = [self.single[b] for b in words[k]]
-            symbol += ids
-            n = len(ids)
-            follow.extend(range(at + 1, at + n + 1))
-            before.extend(range(at - 1, at + n - 1))
-            if n:
-                follow[-1] = before[at] = -1
-            for place in range(n - 1):
-                pair = (ids[place], ids[place + 1])
-                merge = pairs.get(pair)
-                if merge is None:
-                    merge = rank(*pair)
-                if merge >= 0:
-                    listed(merge, at + place)
 
+        def listed(places: np.ndarray) -> None:
+            ranks = merges[places]
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cuts = np.flatnonzero(np.diff(ranks)) + 1
+            for rank, part in zip(ranks[np.concatenate([[0], cuts])].tolist(), np.split(places, cuts), strict=True):
+                if rank in index:
+                    index[rank].append(part)
+                else:
+                    index[rank] = [part]
+                    heappush(due, rank)
+
+        if len(open_places := np.flatnonzero(merges >= 0)):
+            listed(open_places)
         while due:
-            merge = heappop(due)
-            places = index.pop(merge, None)
-            if places is None:
+            rank = heappop(due)
+            places = index.pop(rank)
+            places = np.unique(np.concatenate(places)) if len(places) > 1 else places[0]
+            places = places[merges[places] == rank]
+            if not len(places):
                 continue
-            places.sort()
-            for done, place in enumerate(places):
-                left, after = symbol[place], follow[place]
-                if left < 0 or after < 0 or rank(left, symbol[after]) != merge:
-                    continue
-                symbol[place], symbol[after] = merge, -1
-                behind = follow[place] = follow[after]
-                lower = False
-                if behind >= 0:
-                    before[behind] = place
-                    new = rank(merge, symbol[behind])
-                    if new >= 0:
-                        listed(new, place)
-                        lower = new <= merge
-                ahead = before[place]
-                if ahead >= 0:
-                    new = rank(symbol[ahead], merge)
-                    if new >= 0:
-                        listed(new, ahead)
-                        lower = lower or new <= merge
-                if lower:  # a merge that comes first has opened up; the rest of this one waits
-                    for rest in places[done + 1 :]:
-                        listed(merge, rest)
-                    break
-
-        for k, place in zip(open_words, first, strict=True):
-            ids = out[k]
-            while place >= 0 and words[k]:
-                ids.append(symbol[place])
-                place = follow[place]
-        return out
-
-
-class _WordCache:
-    """ids of cuts: split by the pattern, each distinct word replayed once."""
-
-    def __init__(self, replay: MergeReplay, pattern: str, most: int = 800_000):
-        self.replay, self.split, self.most = replay, regex.compile(pattern).findall, most
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, cuts: list[str]) -> list[list[int]]:
-        if len(self.known) > self.most:
-            self.known.clear()
-        split = list(map(self.split, cuts))
-        known = self.known
-        new = list({word for words in split for word in words if word not in known})
-        known.update(zip(new, self.replay.encode([word.encode() for word in new]), strict=True))
-        return [known[words[0]] if len(words) == 1 else [i for word in words for i in known[word]] for words in split]
+            # of places that overlap in a row, every second one
+            alone = np.ones(len(places), bool)
+            alone[1:] = follow[places[:-1]] != places[1:]
+            if not alone.all():
+                row = np.maximum.accumulate(np.where(alone, np.arange(len(places)), 0))
+                places = places[(np.arange(len(places)) - row) % 2 == 0]
+            if rank in self.careful:
+                owner = word[places]
+                lead = np.ones(len(places), bool)
+                lead[1:] = owner[1:] != owner[:-1]
+                if not lead.all():
+                    index[rank] = [places[~lead]]
+                    heappush(due, rank)
+                    places = places[lead]
+            after = follow[places]
+            behind = follow[after]
+            symbol[places] = rank
+            symbol[after] = merges[after] = merges[places] = -1
+            symbol[places] = rank
+            follow[places] = behind
+            more = behind >= 0
+            before[behind[more]] = places[more]
+            ahead = before[places]
+            ahead = ahead[ahead >= 0]
+            touched = np.concatenate([places[more], ahead])
+            if len(touched):
+                merges[touched] = self.merged(symbol[touched], symbol[follow[touched]])
+                touched = touched[merges[touched] >= 0]
+                if len(touched):
+                    listed(np.unique(touched))
+        alive = symbol >= 0
+        return symbol[alive].astype(np.uint32), np.bincount(word[alive], minlength=len(words))
+
+
+class _Words:
+    """ids of cuts: split by the pattern, each distinct word replayed once while it stays in the table."""
+
+    def __init__(self, replay: MergeReplay, pattern: str, most: int = 400_000):
+        self.split = regex.compile(pattern).findall
+        self.table = IdTable(lambda words: replay.encode([word.encode() for word in words]), most)
+        self.numbers = Numbers(self.table)
+
+    def __call__(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.table.full():
+            self.table.clear()
+            self.numbers.clear()
+        codes: list[int] = []
+        ends = np.zeros(len(cuts) + 1, np.int64)
+        number, split = self.numbers.__getitem__, self.split
+        for k, cut in enumerate(cuts):
+            codes.extend(map(number, split(cut)))
+            ends[k + 1] = len(codes)
+        self.table.settle()
+        ids, at = self.table.ids(np.array(codes, np.int64), ends)
+        return ids, np.diff(at)
 
 
 _coders: dict[str, CutCoder] = {}
@@ -147,7 +170,7 @@ _coders: dict[str, CutCoder] = {}
 def _coder(ranks: dict[bytes, int], mark: str, pattern: str) -> CutCoder:
     """One coder for each worker process, so that its cache serves all tasks there."""
     if mark not in _coders:
-        _coders[mark] = CutCoder(_WordCache(MergeReplay(ranks), pattern))
+        _coders[mark] = CutCoder(_Words(MergeReplay(ranks), pattern))
     return _coders[mark]
 
 

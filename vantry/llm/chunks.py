@@ -16,55 +16,75 @@ import pyarrow.compute as pc
 
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" (?:\s|\Z)")
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 16 << 20
 
 
-class _Codes(dict):
-    """Gives each unseen cut the next free number and queues it."""
+Ids = tuple[np.ndarray, np.ndarray]  # ids of all entries one after the other; number of ids of each
 
-    def __init__(self, queue: list[str], lead: str):
-        super().__init__()
-        self.queue, self.lead, self.base = queue, lead, 0
-
-    def __missing__(self, cut: str) -> int:
-        code = self[cut] = self.base + len(self.queue)
-        self.queue.append(self.lead + cut)
-        return code
 
+class IdTable:
+    """ids of entries, numbered as they are first asked for; `encode` makes the ids of queued entries."""
 
-class CutCoder:
-    """ids of texts; `encode` turns a list of cuts into a list of id lists."""
-
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 800_000):
+    def __init__(self, encode: Callable[[list], Ids], most: int):
         self.encode, self.most = encode, most
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
-        self.queue: list[str] = []
-        self.inner, self.first = _Codes(self.queue, " "), _Codes(self.queue, "")
+    def clear(self) -> None:
+        self.queue: list = []
         self.lens, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.flat, self.used, self.settled = np.zeros(1 << 16, np.uint32), 0, 0
+
+    def full(self) -> bool:
+        return self.settled > self.most
 
-    def _settle(self) -> None:
-        """Tokenizes the queued cuts and appends their ids to the table."""
+    def number(self, entry) -> int:
+        self.queue.append(entry)
+        return self.settled + len(self.queue) - 1
+
+    def settle(self) -> None:
         if not self.queue:
             return
-        found = self.encode(self.queue)
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        new = np.fromiter((i for ids in found for i in ids), np.uint32, int(lens.sum()))
+        new, lens = self.encode(self.queue)
         while self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used : self.used + len(new)] = new
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
         self.used += len(new)
-        self.queue.clear()
-        self.inner.base = self.first.base = len(self.lens)
+        self.settled += len(lens)
+        self.queue = []
+
+    def ids(self, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """ids of the entries, and where each group of entries begins among them (ends: among the entries)."""
+        lens = self.lens[numbers]
+        total = np.concatenate([[0], np.cumsum(lens)])
+        return gathered(self.flat, self.starts[numbers], lens), total[ends]
+
+
+class Numbers(dict):
+    """Numbers of keys in a table; an unseen key is queued there with `lead` before it."""
+
+    def __init__(self, table: IdTable, lead: str = ""):
+        super().__init__()
+        self.table, self.lead = table, lead
+
+    def __missing__(self, key: str) -> int:
+        found = self[key] = self.table.number(self.lead + key)
+        return found
+
+
+class CutCoder:
+    """ids of texts; `encode` makes the ids of a list of cuts."""
+
+    def __init__(self, encode: Callable[[list[str]], Ids], most: int = 400_000):
+        self.table = IdTable(encode, most)
+        self.inner, self.first = Numbers(self.table, " "), Numbers(self.table)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text begins (one entry more than texts)."""
-        if len(self.lens) > self.most:
-            self._clear()
+        if self.table.full():
+            for x in (self.table, self.inner, self.first):
+                x.clear()
         codes: list[int] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         inner = self.inner.__getitem__
@@ -74,11 +94,8 @@ class CutCoder:
                 codes.append(self.first[cuts[0]])
             codes.extend(map(inner, cuts[1:]))
             ends[k + 1] = len(codes)
-        self._settle()
-        code = np.array(codes, np.int64)
-        lens = self.lens[code]
-        total = np.concatenate([[0], np.cumsum(lens)])
-        return gathered(self.flat, self.starts[code], lens), total[ends]
+        self.table.settle()
+        return self.table.ids(np.array(codes, np.int64), ends)
 
 
 def gathered(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ class MergeReplay:
         self.ranks = ranks
         self.width = max(ranks.values()) + 1
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs: dict[int, int] = {}
         # tokens that join a neighbour to a token of lower rank: their places in a word must be merged one by one
         self.careful = {
@@ -52,7 +52,7 @@ class MergeReplay:
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair of tokens, -1 without one."""
-        codes, back = np.unique(left * self.width + right, return_inverse=True)
+        codes, back = np.unique(left.astype(np.int64) * self.width + right, return_inverse=True)
         if len(self.pairs) > 500_000:
             self.pairs.clear()
         found, known = [], self.pairs
@@ -62,7 +62,7 @@ class MergeReplay:
                 a, b = divmod(code, self.width)
                 rank = known[code] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
             found.append(rank)
-        return np.array(found, np.int64)[back]
+        return np.array(found, np.int32)[back]
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all words one after the other, and how many each has."""
@@ -73,13 +73,13 @@ class MergeReplay:
         data = np.frombuffer(b"".join(b"\0" if at >= 0 else word for word, at in zip(words, whole.tolist(), strict=True)), np.uint8)
         symbol = self.single[data]  # token at each position; -1 once it is merged into the one before
         symbol[(ends - sizes)[whole >= 0]] = whole[whole >= 0]
-        word = np.repeat(np.arange(len(words)), sizes)
-        place = np.arange(n)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+        place = np.arange(n, dtype=np.int32)
         last = np.zeros(n + 1, bool)
         last[ends - 1] = True
-        follow = np.where(last[:n], -1, place + 1)
-        before = np.where(np.concatenate([[True], last[: n - 1]])[:n], -1, place - 1)
-        merges = np.full(n, -1, np.int64)  # rank of the merge of a position and the next
+        follow = np.where(last[:n], np.int32(-1), place + np.int32(1))
+        before = np.where(np.concatenate([[True], last[: n - 1]])[:n], np.int32(-1), place - np.int32(1))
+        merges = np.full(n, -1, np.int32)  # rank of the merge of a position and the next
         inner = np.flatnonzero(follow >= 0)
         merges[inner] = self.merged(symbol[inner], symbol[inner + 1])
 
@@ -144,7 +144,7 @@ class MergeReplay:
 class _Words:
     """ids of cuts: split by the pattern, each distinct word replayed once while it stays in the table."""
 
-    def __init__(self, replay: MergeReplay, pattern: str, most: int = 400_000):
+    def __init__(self, replay: MergeReplay, pattern: str, most: int = 300_000):
         self.split = regex.compile(pattern).findall
         self.table = IdTable(lambda words: replay.encode([word.encode() for word in words]), most)
         self.numbers = Numbers(self.table)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" (?:\s|\Z)")
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 6 << 20
 
 
 Ids = tuple[np.ndarray, np.ndarray]  # ids of all entries one after the other; number of ids of each
@@ -76,7 +76,7 @@ class Numbers(dict):
 class CutCoder:
     """ids of texts; `encode` makes the ids of a list of cuts."""
 
-    def __init__(self, encode: Callable[[list[str]], Ids], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], Ids], most: int = 300_000):
         self.table = IdTable(encode, most)
         self.inner, self.first = Numbers(self.table, " "), Numbers(self.table)
 
@@ -103,7 +103,9 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarr
     ends = np.cumsum(lens)
     if not len(ends):
         return flat[:0]
-    return flat[np.repeat(starts - (ends - lens), lens) + np.arange(ends[-1])]
+    at = np.repeat(starts - (ends - lens), lens)
+    at += np.arange(ends[-1])
+    return flat[at]
 
 
 def slices(batch: pa.RecordBatch, column: int, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

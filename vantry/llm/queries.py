@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, line_dedup, sharding
+from vantry.llm import bpe, decontam, langid, line_dedup, secrets, sharding, token_files
+from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +29,30 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id", F.col("item_id").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "share"
+    )
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.where(~held_out()))
+    return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op4_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "tokens")
+    token_files.write(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents(spark, sf_dir).select(
@@ -40,6 +65,12 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_guess", "bits"
+    )
+
+
 def op9_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean(documents(spark, sf_dir), counts=True).select("doc_id", "text", "n_lines", "n_dropped")
 
@@ -57,7 +88,7 @@ select doc_id, array_to_string(ks, chr(10)) as text, coalesce(len(ls), 0) as n_l
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op7_hypergeometric_shards, op9_site_line_dedup)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, decontam, langid, line_dedup, secrets, sharding, token_files
+from vantry.llm import bpe, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, token_files
 from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,27 @@ def op4_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_classes(documents(spark, sf_dir)).withColumnRenamed("component", "component_id")
+
+
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = order_minhash.edited_pairs(documents(spark, sf_dir))
+    n = F.char_length("text")
+    edited = F.concat(F.expr("substring(text, 1, char_length(text) - cast(floor(char_length(text) / 2) as int))"), "tail")
+    whole = pairs.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "signature", "next_signature")
+    signed = whole.withColumn("edited_signature", order_minhash.signature(F.col("edited")))
+    return signed.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        order_minhash.fingerprint(F.col("signature")).alias("fingerprint"),
+        order_minhash.fingerprint(F.col("edited_signature")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("signature"), F.col("edited_signature")).alias("near_edited"),
+        order_minhash.likeness(F.col("signature"), F.col("next_signature")).alias("near_next"),
+    )
+
+
 def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents(spark, sf_dir).select(
@@ -88,7 +109,7 @@ select doc_id, array_to_string(ks, chr(10)) as text, coalesce(len(ls), 0) as n_l
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -21,6 +21,7 @@ rows, in the order of their text. Other columns are not carried. An empty table
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import CutCoder, id_lists, slices
+from vantry.llm.chunks import CutCoder, gathered, id_lists, slices
 
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = 60 // COUNTS
@@ -114,7 +115,39 @@ def block_parts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, lens.astype(np.int64), found
 
 
-_coders: dict[str, CutCoder] = {}
+PLAIN = re.compile(r" ?\S+\Z")
+JOINED = 400
+
+
+def library_ids(library, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """ids of the cuts. Those without inner white space go to the library in long lines, a line break between two of them:
+    the break is a piece of its own there, with an id that no such cut contains, and marks where each ends."""
+    if not cuts:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    mark = library.encode("\n", add_special_tokens=False).ids
+    plain = np.array([len(mark) == 1 and PLAIN.match(cut) is not None for cut in cuts])
+    lens = np.zeros(len(cuts), np.int64)
+    apart = np.flatnonzero(~plain)
+    whole: list[np.ndarray] = []
+    together = [cuts[k] for k in np.flatnonzero(plain).tolist()]
+    lines = ["\n".join(together[at : at + JOINED]) + "\n" for at in range(0, len(together), JOINED)]
+    for at in range(0, len(lines), 20):
+        whole += [np.array(x.ids, np.uint32) for x in library.encode_batch_fast(lines[at : at + 20], add_special_tokens=False)]
+    ids = np.concatenate([*whole, np.zeros(0, np.uint32)])
+    stops = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else np.zeros(0, np.int64)
+    if len(stops) != len(together):
+        raise ValueError("a line break is not a piece of its own for this tokenizer")
+    lens[plain] = np.diff(stops, prepend=-1) - 1
+    ids = np.delete(ids, stops)
+    single = [np.array(x.ids, np.uint32) for at in range(0, len(apart), 5000) for x in library.encode_batch_fast([cuts[k] for k in apart[at : at + 5000]], add_special_tokens=False)]
+    lens[apart] = [len(x) for x in single]
+    starts = np.zeros(len(cuts), np.int64)
+    starts[plain] = np.cumsum(lens[plain]) - lens[plain]
+    starts[apart] = len(ids) + np.cumsum(lens[apart]) - lens[apart]
+    return gathered(np.concatenate([ids, *single]), starts, lens), lens
+
+
+_coders: dict[int, CutCoder] = {}
 
 
 def _coder(definition: str, mark: int) -> CutCoder:
@@ -125,11 +158,7 @@ def _coder(definition: str, mark: int) -> CutCoder:
         library = Tokenizer.from_str(definition)
         library.encode_special_tokens = True
 
-        def encode(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            found = [np.array(x.ids, np.uint32) for at in range(0, len(cuts), 5000) for x in library.encode_batch_fast(cuts[at : at + 5000], add_special_tokens=False)]
-            return np.concatenate([*found, np.zeros(0, np.uint32)]), np.fromiter(map(len, found), np.int64, len(found))
-
-        _coders[mark] = CutCoder(encode)
+        _coders[mark] = CutCoder(lambda cuts: library_ids(library, cuts), 700_000)
     return _coders[mark]
 
 

@@ -213,7 +213,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
     blocks.write.option("compression", "zstd").parquet(path)
 
 
-def read(spark, path: str) -> DataFrame:
+def read(spark, path: str, broadcast_blocks: int = 1_000_000) -> DataFrame:
     """key, start (ids of all documents before it), n_tokens, ids (unsigned 32-bit little-endian), in any order.
 
     Block totals (one small row each) are summed in two steps, within each shard and over the
@@ -225,6 +225,8 @@ def read(spark, path: str) -> DataFrame:
     over = Window.orderBy("shard")  # one row for each shard
     shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("total")).select("shard", (F.sum("total").over(over) - F.col("total")).alias("base"))
     bases = sizes.withColumn("_in", F.sum("n_ids").over(within) - F.col("n_ids")).join(shards, "shard").select("shard", "block", (F.col("base") + F.col("_in")).alias("start"))
+    if sizes.count() <= broadcast_blocks:  # 16 bytes each
+        bases = F.broadcast(bases)
     placed = blocks.select("shard", "block", "payload").join(bases, ["shard", "block"]).select("start", "payload")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

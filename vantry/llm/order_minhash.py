@@ -124,16 +124,19 @@ def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """key, text, signature, tail, next_signature: tail holds the first floor(n/2) characters of the next document.
 
     The next document is the one with the next higher key; after the last comes the first. Where rows share a key,
-    each has the same next document: of the rows with the next key, the one with the least text.
+    each has the same next document: of the rows with the next key, the one with the least text. Rows without a key have none.
     Texts are exchanged once by key, and the tails that are needed once more.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    every = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = every.where("key is not null")  # the same on both sides of the last join, so that they share one exchange
     before = neighbours(rows.groupBy("key").agg(F.max(F.char_length("text")).alias("n")))
     signed = rows.withColumn("signature", signature(F.col("text")))
     sent = signed.join(before, "key").select(
         F.col("before").alias("key"), F.expr("substring(text, 1, cast(floor(before_n / 2) as int))").alias("tail"), F.col("signature").alias("next_signature")
     )
     tails = sent.groupBy("key").agg(F.min(F.struct("tail", "next_signature")).alias("t")).select("key", "t.tail", "t.next_signature")
-    return signed.join(tails, "key", "left").select(
+    kind = tails.schema
+    keyless = every.where("key is null").select("key", "text", signature(F.col("text")).alias("signature"), *(F.lit(None).cast(kind[c].dataType).alias(c) for c in ("tail", "next_signature")))
+    return signed.join(tails, "key", "left").unionByName(keyless).select(
         F.col("key").alias(key), "text", "signature", F.expr("substring(coalesce(tail, ''), 1, cast(floor(char_length(text) / 2) as int))").alias("tail"), "next_signature"
     )

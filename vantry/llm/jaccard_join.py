@@ -21,7 +21,8 @@ Only what connects matters for components. Each list first proposes its members
 leader; verified pairs are merged into components; then, in lists that still hold several
 components, members outside the largest one are paired with all members of other components.
 So groups of near copies cost a pair or two a member, while no link between components is lost:
-every pair that could link and is not yet connected is verified on the full sets.
+every pair that could link and is not yet connected is verified on the full sets. The number of
+lists that propose a pair bounds what it can share, which leaves few pairs to verify.
 
 Null texts and texts without words have empty sets and link with nothing. Repeated rows link by
 equality. Keys must be integers; rows that share a key are one document with several sets.
@@ -49,14 +50,11 @@ WORDS = 5
 PERCENT = 80
 CELLS = 1 << 18
 LIGHT_MOST = 12
-LOWER = {ord(c): c.lower() for c in map(chr, range(65, 91))}
-BLANKS = dict.fromkeys([9, 10, 11, 12, 13], " ")
-PLAIN = LOWER | BLANKS
 
 
 class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
 
 
@@ -68,7 +66,8 @@ def shingle_sets(texts: list[str], known: _WordHashes, words: int = WORDS) -> li
     hashes: list[int] = []
     ends = [0]
     for text in texts:
-        hashes.extend(map(get, filter(None, text.translate(PLAIN).split(" "))))
+        # of bytes, lower() changes A-Z alone, and split() cuts at the blanks 09-0D and 20
+        hashes.extend(map(get, text.encode("utf-8", "surrogatepass").lower().split()))
         ends.append(len(hashes))
     flat = np.array(hashes, np.uint64)
     out = []
@@ -94,6 +93,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+#: prefix_length in SQL.
+PREFIX = "({n} + 1 - ceil({p} * {n} / 100))"
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-percent * n) // 100 + 1 if n else 0
 
@@ -196,10 +199,11 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     counts = sketch(docs, text, words)
     sets = written(prefixes(docs, counts, key, text, words, percent), "sets")
     classes = sets.where("n > 0").groupBy("digest", "n").agg(F.min("key").alias("rep"))
-    reps = written(sets.where("n > 0").join(classes.select("digest", "n", F.col("rep").alias("key")), ["digest", "n", "key"]).dropDuplicates(["digest", "n"]).select("key", "n", "first"), "reps")
+    chosen = written(classes.select(F.col("rep").alias("key")), "reps")
+    reps = sets.where("n > 0").join(hinted(chosen, broadcast_keys), "key", "left_semi").select("key", F.col("n").cast("int").alias("n"), "first")
 
     # inverted lists of two sets or more; light sets list their prefix too
-    listed = reps.select("key", "n", F.posexplode(F.expr(f"slice(first, 1, cast(n + 1 - ceil({percent} * n / 100) as int))")).alias("place", "shingle"))
+    listed = reps.select("key", "n", F.explode(F.expr(f"slice(first, 1, cast({PREFIX.format(p=percent, n='n')} as int))")).alias("shingle"))
     common = listed.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1").select("shingle")
     lists = written(listed.join(common, "shingle", "left_semi"), "lists")
 
@@ -208,16 +212,12 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     bound = light_boundary(small, shape["rows"] / max(1, shape["lists"]), percent)
     edges = written(light_links(reps.where(F.col("n") <= bound).select("key", "first"), bound, percent), "light")
 
-    active = written(lists.select("key").distinct(), "active")
-    wanted = F.broadcast(active) if active.count() <= broadcast_keys else active
-    full = written(full_sets(docs.where(F.col(text).isNotNull()).join(wanted.withColumnRenamed("key", key), key, "left_semi"), key, text, words).dropDuplicates(["key"]), "full")
-
     labels = components(edges)
     for turn in range(2):
         named = named_lists(lists, labels)
-        lead = named.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), F.col("key").alias("y"), F.col("n").alias("yn"), F.col("place").alias("yplace"), F.col("comp").alias("ycomp"))).alias("l"))
-        pairs = named.join(lead, "shingle").select("key", "n", "place", "comp", "l.y", "l.yn", "l.yplace", "l.ycomp")
-        edges = written(edges.unionByName(verified(pairs, full, bound, percent)), "links")
+        lead = named.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), F.col("key").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("ycomp"))).alias("l"))
+        pairs = named.join(lead, "shingle").select("key", "n", "comp", "l.y", "l.yn", "l.ycomp")
+        edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
         labels = components(edges)
 
     # lists that still hold several components: all pairs with a member outside the largest
@@ -226,10 +226,10 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     main = parts.groupBy("shingle").agg(F.max(F.struct("m", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("main.comp").alias("main"))
     mixed = named.join(main, "shingle")
     outside = mixed.where("comp <> main")
-    other = mixed.select("shingle", F.col("key").alias("y"), F.col("n").alias("yn"), F.col("place").alias("yplace"), F.col("comp").alias("ycomp"), F.col("main").alias("ymain"))
+    other = mixed.select("shingle", F.col("key").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("ycomp"), F.col("main").alias("ymain"))
     low, high = F.col("n") * percent / 100, F.col("n") * 100 / percent
     pairs = outside.join(other, "shingle").where((F.col("comp") != F.col("ycomp")) & F.col("yn").between(low, high) & ((F.col("ycomp") == F.col("ymain")) | (F.col("key") < F.col("y"))))
-    edges = written(edges.unionByName(verified(pairs, full, bound, percent)), "links")
+    edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
     labels = components(edges)
 
     named = reps_to_rows(sets, classes, labels)
@@ -259,23 +259,34 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def named_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return lists.join(labels.withColumnRenamed("node", "key"), "key", "left").select("shingle", "key", "n", "place", F.coalesce("component", "key").alias("comp"))
+    return lists.join(labels.withColumnRenamed("node", "key"), "key", "left").select("shingle", "key", "n", F.coalesce("component", "key").alias("comp"))
+
+
+def hinted(keys: DataFrame, most: int) -> DataFrame:
+    """A written table of keys, to be broadcast while it has at most `most` rows of 8 bytes."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
 
+def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, broadcast_keys: int) -> DataFrame:
+    """a, b of the pairs (key, n, comp, y, yn, ycomp; one row for each list that proposes them) that link.
 
-def verified(pairs: DataFrame, full: DataFrame, bound: int, percent: int) -> DataFrame:
-    """a, b of the pairs (key, n, place, comp, y, yn, yplace, ycomp) that link; pairs of one component or of two light sets are left out."""
+    Pairs of one component or of two light sets are left out. Of two sets, whichever prefix ends first in the
+    global order, what they share up to there is listed for both; so they share at most the number of lists that
+    propose them and the longer rest behind a prefix. Sets are made again from the texts of the pairs that remain.
+    """
     low, high = F.col("n") * percent / 100, F.col("n") * 100 / percent
     open_pairs = pairs.where((F.col("comp") != F.col("ycomp")) & F.col("yn").between(low, high) & (F.greatest("n", "yn") > bound))
     a_first = F.col("key") < F.col("y")
     one = open_pairs.select(
         F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"),
         F.when(a_first, F.col("n")).otherwise(F.col("yn")).alias("an"), F.when(a_first, F.col("yn")).otherwise(F.col("n")).alias("bn"),
-        F.when(a_first, F.col("place")).otherwise(F.col("yplace")).alias("ap"), F.when(a_first, F.col("yplace")).otherwise(F.col("place")).alias("bp"),
     )
-    # from their first common shingle on, two sets share at most what the shorter rest holds
     need = overlap_needed(F.col("an") + F.col("bn"), percent)
-    each = one.groupBy("a", "b", "an", "bn").agg(F.min("ap").alias("ap"), F.min("bp").alias("bp")).where(F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp")) >= need)
+    rest = F.expr(f"greatest(an - {PREFIX.format(p=percent, n='an')}, bn - {PREFIX.format(p=percent, n='bn')})")
+    each = written(one.groupBy("a", "b", "an", "bn").agg(F.count("*").alias("lists")).where(F.col("lists") + rest >= need).drop("lists"), "pairs")
+    active = written(each.select(F.explode(F.array("a", "b")).alias(key)).distinct(), "active")
+    full = full_sets(docs.where(F.col(text).isNotNull()).join(hinted(active, broadcast_keys), key, "left_semi"), key, text, words)
     left = full.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     right = full.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    both = each.select("a", "b", "an", "bn").join(left, "a").join(right, "b")
-    return both.where(F.size(F.array_intersect("sa", "sb")) >= need).select("a", "b")
+    both = each.join(left, "a").join(right, "b")
+    return both.where(F.size(F.array_intersect("sa", "sb")) >= need).select("a", "b").distinct()

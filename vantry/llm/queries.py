@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, token_files
+from vantry.llm import bpe, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, suffix_dedup, token_files
 from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +96,10 @@ def op9_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.clean(documents(spark, sf_dir), counts=True).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.keep_unrepeated(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP9_SQL = """
 with host as (select source, count(*) n from documents group by source),
 page_line as (select distinct doc_id, source, unnest(string_split(text, chr(10))) line from documents),
@@ -109,7 +113,7 @@ select doc_id, array_to_string(ks, chr(10)) as text, coalesce(len(ls), 0) as n_l
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,8 +10,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def names(events: DataFrame) -> DataFrame:
+    """File names of recordings; events may be a stream."""
+    return events.select(F.concat(F.date_format("ts", "yyyyMMdd-HHmmss"), F.lit("-v"), "event_id", F.lit("-"), "user_id", F.lit(".mp4")).alias("filename"))
+
+
 def recordings(spark, d):
-    return table(spark, d, "events").select(F.concat(F.date_format("ts", "yyyyMMdd-HHmmss"), F.lit("-v"), "event_id", F.lit("-"), "user_id", F.lit(".mp4")).alias("filename"))
+    return names(table(spark, d, "events"))
 
 
 def camera_rooms(spark, d):

@@ -17,12 +17,17 @@ heavy-light join:
 The order comes from a count sketch of all shingles of fixed size (CELLS counters): it decides
 how much work there is, never the result.
 
+A list entry knows its place in its set: what two sets share from there on is no more than what
+either has left, which bounds the size of a partner (`most`). The first shingle that two linked
+sets share holds them within both bounds, so pairs outside them are never made.
+
 Only what connects matters for components. Each list first proposes its members paired with one
-leader; verified pairs are merged into components; then, in lists that still hold several
-components, members outside the largest one are paired with all members of other components.
-So groups of near copies cost a pair or two a member, while no link between components is lost:
-every pair that could link and is not yet connected is verified on the full sets. The number of
-lists that propose a pair bounds what it can share, which leaves few pairs to verify.
+leader, its smallest set and then one drawn for each list; verified pairs are merged into components; then,
+in lists that still hold several components, members with a possible partner in another component
+are paired with those. So groups of near copies cost a pair or two a member, while no link between
+components is lost: every pair that could link and is not yet connected is verified on the full
+sets. The lists that propose a pair, and what is left behind the last of them, bound what it can
+share, which leaves few pairs to verify.
 
 Null texts and texts without words have empty sets and link with nothing. Repeated rows link by
 equality. Keys must be integers; rows that share a key are one document with several sets.
@@ -203,7 +208,7 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     reps = sets.where("n > 0").join(hinted(chosen, broadcast_keys), "key", "left_semi").select("key", F.col("n").cast("int").alias("n"), "first")
 
     # inverted lists of two sets or more; light sets list their prefix too
-    listed = reps.select("key", "n", F.explode(F.expr(f"slice(first, 1, cast({PREFIX.format(p=percent, n='n')} as int))")).alias("shingle"))
+    listed = reps.select("key", "n", F.posexplode(F.expr(f"slice(first, 1, cast({PREFIX.format(p=percent, n='n')} as int))")).alias("pos", "shingle"))
     common = listed.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1").select("shingle")
     lists = written(listed.join(common, "shingle", "left_semi"), "lists")
 
@@ -214,21 +219,16 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
     labels = components(edges)
     for turn in range(2):
-        named = named_lists(lists, labels)
-        lead = named.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), F.col("key").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("ycomp"))).alias("l"))
-        pairs = named.join(lead, "shingle").select("key", "n", "comp", "l.y", "l.yn", "l.ycomp")
-        edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
+        named = named_lists(lists, labels, percent)
+        first = F.struct("n", F.xxhash64("key").alias("h")) if turn == 0 else F.xxhash64("key", "shingle", F.lit(turn))
+        lead = named.groupBy("shingle").agg(F.min(F.struct(first.alias("first"), *partner())).alias("l"))
+        pairs = named.join(lead, "shingle").where(f"n <= l.ymost and l.yn <= most and comp <> l.ycomp").select("key", "n", "pos", "l.y", "l.yn", "l.ypos")
+        edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys, whole=False)), "links")
         labels = components(edges)
 
-    # lists that still hold several components: all pairs with a member outside the largest
-    named = written(named_lists(lists, labels), "named")
-    parts = named.groupBy("shingle", "comp").agg(F.count("*").alias("m"))
-    main = parts.groupBy("shingle").agg(F.max(F.struct("m", "comp")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("shingle", F.col("main.comp").alias("main"))
-    mixed = named.join(main, "shingle")
-    outside = mixed.where("comp <> main")
-    other = mixed.select("shingle", F.col("key").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("ycomp"), F.col("main").alias("ymain"))
-    low, high = F.col("n") * percent / 100, F.col("n") * 100 / percent
-    pairs = outside.join(other, "shingle").where((F.col("comp") != F.col("ycomp")) & F.col("yn").between(low, high) & ((F.col("ycomp") == F.col("ymain")) | (F.col("key") < F.col("y"))))
+    # lists that still hold several components: all pairs within both bounds of members that have any
+    named = written(named_lists(lists, labels, percent), "named")
+    pairs = open_pairs(named)
     edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
     labels = components(edges)
 
@@ -258,8 +258,39 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(run, "key long, shingles array<bigint>")
 
 
-def named_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return lists.join(labels.withColumnRenamed("node", "key"), "key", "left").select("shingle", "key", "n", F.coalesce("component", "key").alias("comp"))
+#: A member of a list as another one's partner.
+PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most"}
+
+
+def partner() -> list[Column]:
+    return [F.col(old).alias(new) for new, old in PARTNER.items()]
+
+
+def named_lists(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """shingle, key, n, pos, comp, most (size of the largest set that can link with this one if this is the first shingle they share)."""
+    named = lists.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    most = F.expr(f"cast({100 + percent} * (n - pos) div {percent} - n as int)")
+    return named.select("shingle", "key", "n", "pos", F.coalesce("component", "key").alias("comp"), most.alias("most"))
+
+
+def open_pairs(named: DataFrame) -> DataFrame:
+    """key, n, pos, y, yn, ypos: pairs of a list that are in different components and within both bounds.
+
+    A member joins only if the smallest member of the other components is within its bound; for that the smallest of
+    each component, and the two smallest of these, are enough. Members of a list's most frequent component
+    are not paired with each other.
+    """
+    parts = named.groupBy("shingle", "comp").agg(F.min("n").alias("n"), F.count("*").alias("m"))
+    least = parts.groupBy("shingle").agg(
+        F.min(F.struct("n", "comp")).alias("least"), F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    second = parts.join(least, "shingle").where(F.col("comp") != F.col("least.comp")).groupBy("shingle").agg(F.min("n").alias("second"), F.first("least").alias("least"), F.first("main").alias("main"))
+    able = named.join(second, "shingle").where(F.when(F.col("comp") == F.col("least.comp"), F.col("second")).otherwise(F.col("least.n")) <= F.col("most"))
+    able = able.select("shingle", "key", "n", "pos", "comp", "most", "main")
+    other = able.select("shingle", *partner())
+    within = (F.col("comp") != F.col("ycomp")) & (F.col("n") <= F.col("ymost")) & (F.col("yn") <= F.col("most"))
+    once = (F.col("ycomp") == F.col("main")) | (F.col("key") < F.col("y"))
+    return able.where("comp <> main").join(other, "shingle").where(within & once).select("key", "n", "pos", "y", "yn", "ypos")
 
 
 def hinted(keys: DataFrame, most: int) -> DataFrame:
@@ -267,23 +298,22 @@ def hinted(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
-def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, broadcast_keys: int) -> DataFrame:
-    """a, b of the pairs (key, n, comp, y, yn, ycomp; one row for each list that proposes them) that link.
+def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, broadcast_keys: int, whole: bool = True) -> DataFrame:
+    """a, b of the pairs (key, n, pos, y, yn, ypos; one row for each list that proposes them) that link.
 
-    Pairs of one component or of two light sets are left out. Of two sets, whichever prefix ends first in the
-    global order, what they share up to there is listed for both; so they share at most the number of lists that
-    propose them and the longer rest behind a prefix. Sets are made again from the texts of the pairs that remain.
+    Pairs of two light sets are left out. The lists that propose a pair are the first shingles it shares, as both bounds
+    shrink along a set; so it shares at most as many, and what either set has behind the last of them. That
+    holds where all such lists propose it (`whole`); leaders lead some of them only.
+    Sets are made again from the texts of the pairs that remain.
     """
-    low, high = F.col("n") * percent / 100, F.col("n") * 100 / percent
-    open_pairs = pairs.where((F.col("comp") != F.col("ycomp")) & F.col("yn").between(low, high) & (F.greatest("n", "yn") > bound))
-    a_first = F.col("key") < F.col("y")
-    one = open_pairs.select(
-        F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"),
-        F.when(a_first, F.col("n")).otherwise(F.col("yn")).alias("an"), F.when(a_first, F.col("yn")).otherwise(F.col("n")).alias("bn"),
+    one = pairs.where(F.greatest("n", "yn") > bound).select(
+        F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"), F.expr("n + yn").alias("total"), F.least(F.expr("n - pos"), F.expr("yn - ypos")).alias("left")
     )
-    need = overlap_needed(F.col("an") + F.col("bn"), percent)
-    rest = F.expr(f"greatest(an - {PREFIX.format(p=percent, n='an')}, bn - {PREFIX.format(p=percent, n='bn')})")
-    each = written(one.groupBy("a", "b", "an", "bn").agg(F.count("*").alias("lists")).where(F.col("lists") + rest >= need).drop("lists"), "pairs")
+    need = overlap_needed(F.col("total"), percent)
+    each = one.groupBy("a", "b", "total").agg(F.count("*").alias("lists"), F.min("left").alias("left"))
+    if whole:
+        each = each.where(F.col("lists") + F.col("left") - 1 >= need)
+    each = written(each.select("a", "b", "total"), "pairs")
     active = written(each.select(F.explode(F.array("a", "b")).alias(key)).distinct(), "active")
     full = full_sets(docs.where(F.col(text).isNotNull()).join(hinted(active, broadcast_keys), key, "left_semi"), key, text, words)
     left = full.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))

@@ -2,6 +2,8 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
+
 from vantry.llm import jaccard_join as jj
 
 
@@ -72,3 +74,11 @@ def test_test_tables_against_all_pairs(spark):
 
 def test_boundary_grows_with_the_lists():
     assert jj.light_boundary({9: 10}, 1.0) < jj.light_boundary({9: 10, 10: 5}, 10_000.0)
+
+
+def test_parities_never_differ_in_more_places_than_the_sets():
+    rng = np.random.default_rng(13)
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 400, rng.integers(0, 200)).astype(np.uint64)) for _ in range(2))
+        x, y = jj.parities(a), jj.parities(b)
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))

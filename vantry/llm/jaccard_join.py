@@ -26,7 +26,8 @@ leader, its smallest set and then one drawn for each list; verified pairs are me
 in lists that still hold several components, members with a possible partner in another component
 are paired with those. So groups of near copies cost a pair or two a member, while no link between
 components is lost: every pair that could link and is not yet connected is verified on the full
-sets. The lists that propose a pair, and what is left behind the last of them, bound what it can
+sets. Parities of 128 hash buckets of a set differ in no more places than the sets do, which rules
+out most pairs that do not link as they are made. The lists that propose a pair, and what is left behind the last of them, bound what it can
 share, which leaves few pairs to verify.
 
 Null texts and texts without words have empty sets and link with nothing. Repeated rows link by
@@ -55,6 +56,7 @@ WORDS = 5
 PERCENT = 80
 CELLS = 1 << 18
 LIGHT_MOST = 12
+LEADERS = 2
 
 
 class _WordHashes(dict):
@@ -142,8 +144,14 @@ def sketch(docs: DataFrame, text: str = "text", words: int = WORDS) -> np.ndarra
     return out.ravel()
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether each of 128 hash buckets holds an odd number of the set's shingles, as two 64-bit integers."""
+    odd = np.bincount((mix(s) >> np.uint64(57)).astype(np.int64), minlength=128) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """key, n (set size), digest, first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
+    """key, n (set size), digest, odd0 and odd1 (parities), first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,10 +167,12 @@ def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: in
                 ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.zeros(0, np.int64)])))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests), lists], ["key", "n", "digest", "first"])
+                odd = np.array([parities(s) for s in sets], np.int64).reshape(-1, 2)
+                columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(odd[:, 0]), pa.array(odd[:, 1]), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "digest", "odd0", "odd1", "first"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "key long, n long, digest binary, first array<bigint>")
+    return rows.mapInArrow(run, "key long, n long, digest binary, odd0 long, odd1 long, first array<bigint>")
 
 
 def light_boundary(sizes: dict[int, int], mean_list: float, percent: int = PERCENT) -> int:
@@ -205,7 +215,7 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     sets = written(prefixes(docs, counts, key, text, words, percent), "sets")
     classes = sets.where("n > 0").groupBy("digest", "n").agg(F.min("key").alias("rep"))
     chosen = written(classes.select(F.col("rep").alias("key")), "reps")
-    reps = sets.where("n > 0").join(hinted(chosen, broadcast_keys), "key", "left_semi").select("key", F.col("n").cast("int").alias("n"), "first")
+    reps = sets.where("n > 0").join(hinted(chosen, broadcast_keys), "key", "left_semi").select("key", F.col("n").cast("int").alias("n"), "odd0", "odd1", "first")
 
     # inverted lists of two sets or more; light sets list their prefix too
     listed = reps.select("key", "n", F.posexplode(F.expr(f"slice(first, 1, cast({PREFIX.format(p=percent, n='n')} as int))")).alias("pos", "shingle"))
@@ -218,17 +228,18 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     edges = written(light_links(reps.where(F.col("n") <= bound).select("key", "first"), bound, percent), "light")
 
     labels = components(edges)
-    for turn in range(2):
-        named = named_lists(lists, labels, percent)
+    odd = reps.select("key", "odd0", "odd1")
+    for turn in range(LEADERS):
+        named = named_lists(lists, labels, odd, percent)
         first = F.struct("n", F.xxhash64("key").alias("h")) if turn == 0 else F.xxhash64("key", "shingle", F.lit(turn))
         lead = named.groupBy("shingle").agg(F.min(F.struct(first.alias("first"), *partner())).alias("l"))
-        pairs = named.join(lead, "shingle").where(f"n <= l.ymost and l.yn <= most and comp <> l.ycomp").select("key", "n", "pos", "l.y", "l.yn", "l.ypos")
+        pairs = named.join(lead, "shingle").select("*", "l.*").where(possible(percent)).select("key", "n", "pos", "y", "yn", "ypos")
         edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys, whole=False)), "links")
         labels = components(edges)
 
     # lists that still hold several components: all pairs within both bounds of members that have any
-    named = written(named_lists(lists, labels, percent), "named")
-    pairs = open_pairs(named)
+    named = written(named_lists(lists, labels, odd, percent), "named")
+    pairs = open_pairs(named, percent)
     edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
     labels = components(edges)
 
@@ -259,22 +270,29 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 #: A member of a list as another one's partner.
-PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most"}
+PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most", "yodd0": "odd0", "yodd1": "odd1"}
 
 
 def partner() -> list[Column]:
     return [F.col(old).alias(new) for new, old in PARTNER.items()]
 
 
-def named_lists(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """shingle, key, n, pos, comp, most (size of the largest set that can link with this one if this is the first shingle they share)."""
-    named = lists.join(labels.withColumnRenamed("node", "key"), "key", "left")
+def possible(percent: int) -> Column:
+    """Whether a member and its partner are in different components, within both bounds, and differ in few enough parities."""
+    apart = F.expr("bit_count(odd0 ^ yodd0) + bit_count(odd1 ^ yodd1)")
+    few = apart <= F.expr("n + yn") - 2 * overlap_needed(F.expr("n + yn"), percent)
+    return (F.col("comp") != F.col("ycomp")) & (F.col("n") <= F.col("ymost")) & (F.col("yn") <= F.col("most")) & few
+
+
+def named_lists(lists: DataFrame, labels: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
+    """shingle, key, n, pos, comp, odd0, odd1, most (size of the largest set that can link with this one if this is the first shingle they share)."""
+    named = lists.join(odd.join(labels.withColumnRenamed("node", "key"), "key", "left"), "key")
     most = F.expr(f"cast({100 + percent} * (n - pos) div {percent} - n as int)")
-    return named.select("shingle", "key", "n", "pos", F.coalesce("component", "key").alias("comp"), most.alias("most"))
+    return named.select("shingle", "key", "n", "pos", F.coalesce("component", "key").alias("comp"), "odd0", "odd1", most.alias("most"))
 
 
-def open_pairs(named: DataFrame) -> DataFrame:
-    """key, n, pos, y, yn, ypos: pairs of a list that are in different components and within both bounds.
+def open_pairs(named: DataFrame, percent: int) -> DataFrame:
+    """key, n, pos, y, yn, ypos: pairs of a list that are possible links.
 
     A member joins only if the smallest member of the other components is within its bound; for that the smallest of
     each component, and the two smallest of these, are enough. Members of a list's most frequent component
@@ -286,11 +304,10 @@ def open_pairs(named: DataFrame) -> DataFrame:
     ).where("parts > 1")
     second = parts.join(least, "shingle").where(F.col("comp") != F.col("least.comp")).groupBy("shingle").agg(F.min("n").alias("second"), F.first("least").alias("least"), F.first("main").alias("main"))
     able = named.join(second, "shingle").where(F.when(F.col("comp") == F.col("least.comp"), F.col("second")).otherwise(F.col("least.n")) <= F.col("most"))
-    able = able.select("shingle", "key", "n", "pos", "comp", "most", "main")
+    able = able.select("shingle", "key", "n", "pos", "comp", "most", "odd0", "odd1", "main")
     other = able.select("shingle", *partner())
-    within = (F.col("comp") != F.col("ycomp")) & (F.col("n") <= F.col("ymost")) & (F.col("yn") <= F.col("most"))
     once = (F.col("ycomp") == F.col("main")) | (F.col("key") < F.col("y"))
-    return able.where("comp <> main").join(other, "shingle").where(within & once).select("key", "n", "pos", "y", "yn", "ypos")
+    return able.where("comp <> main").join(other, "shingle").where(possible(percent) & once).select("key", "n", "pos", "y", "yn", "ypos")
 
 
 def hinted(keys: DataFrame, most: int) -> DataFrame:

@@ -82,3 +82,41 @@ def test_parities_never_differ_in_more_places_than_the_sets():
         a, b = (np.unique(rng.integers(0, 400, rng.integers(0, 200)).astype(np.uint64)) for _ in range(2))
         x, y = jj.parities(a), jj.parities(b)
         assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+
+
+def test_any_boundary_of_light_sets(spark, monkeypatch):
+    rng = random.Random(14)
+    pair = ["a b c d e f g h i", "a b c d e f g h x"]  # 5 shingles each, 4 shared: no link
+    docs = list(enumerate(pair))
+    for size in range(1, 17):
+        base = [f"v{size}_{j}" for j in range(size)]
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randrange(3)):  # longer, shorter or other words at either end
+                at = rng.choice([0, len(copy)])
+                copy[at:at] = [f"x{rng.randrange(3)}"]
+                if rng.random() < 0.6:
+                    del copy[rng.choice([0, -1])]
+            docs.append((len(docs), " ".join(copy)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).cache()
+    want = brute(docs)
+    assert want[0] == (5, 0) and want[1] == (5, 1)
+    words = {k: t.split() for k, t in docs}
+    sets = {k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} for k, w in words.items() if w}
+    number = {x: k for k, x in enumerate(sorted(set().union(*sets.values())))}
+    light = spark.createDataFrame([(k, [number[x] for x in s]) for k, s in sets.items()], "key long, first array<bigint>").repartition(3).cache()
+    for bound in range(jj.LIGHT_MOST + 1):
+        got = {(r.a, r.b) for r in jj.light_links(light.where(f"size(first) <= {bound}"), bound, 80).collect()}
+        links = [(a, b) for a, b in combinations(sorted(sets), 2) if max(len(sets[a]), len(sets[b])) <= bound and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+        assert {(min(x), max(x)) for x in got} <= set(links), bound
+        assert parts(got) == parts(links), bound
+    monkeypatch.setattr(jj, "light_boundary", lambda *_: 5)
+    assert {r.doc_id: (r.n_shingles, r.component) for r in jj.linked_classes(frame).collect()} == want
+
+
+def parts(links):
+    group = {}
+    for a, b in links:
+        both = group.get(a, {a}) | group.get(b, {b})
+        group.update(dict.fromkeys(both, both))
+    return {frozenset(g) for g in group.values()}

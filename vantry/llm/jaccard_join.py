@@ -7,7 +7,8 @@ heavy-light join:
 * Equal sets form a class; only its representative goes on.
 * Light sets (few shingles) enumerate fixed-size subsets: sets of sizes a and b link if and only
   if they share a subset of ceil(p (a + b) / (100 + p)) shingles, so for each partner size a set
-  emits all its subsets of that fixed size, and equal subsets are links without any check.
+  emits all its subsets of that fixed size, and equal subsets of one set of either size are links without
+  any check. Two sets of the same size that meet in a subset made for a smaller partner are no link.
 * Heavy sets scan inverted lists: shingles are put into one global order, rare ones first, and
   linked sets must share a shingle among the first n - ceil(p n / 100) + 1 of each. Only those
   are listed, and lists of one set are dropped. Lists also serve pairs of a light and a heavy set.
@@ -187,11 +188,15 @@ def light_boundary(sizes: dict[int, int], mean_list: float, percent: int = PERCE
 
 
 def light_links(light: DataFrame, bound: int, percent: int) -> DataFrame:
-    """a, b: links among sets of up to `bound` shingles, as stars around the least key of equal subsets."""
+    """a, b: links among sets of up to `bound` shingles.
+
+    A subset is made for a smaller and a larger size. Sets of one size are linked as a star only where both sizes are equal;
+    otherwise each smaller set is linked with the larger one of least key and the other way round.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, subsets = [], []
+            keys, sides, subsets = [], [], []
             for key, shingles in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 n, ordered = len(shingles), sorted(shingles)
                 for t in range(1, bound + 1):
@@ -201,12 +206,16 @@ def light_links(light: DataFrame, bound: int, percent: int) -> DataFrame:
                     low, high = min(n, t), max(n, t)
                     for subset in combinations(ordered, need):
                         keys.append(key)
+                        sides.append((n > t) - (n < t))
                         subsets.append(hashlib.blake2b(np.array([low, high, *subset], np.int64).tobytes(), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(subsets, pa.binary())], ["key", "subset"])
-
-    found = light.mapInArrow(run, "key long, subset binary")
-    least = found.groupBy("subset").agg(F.min("key").alias("b"), F.max("key").alias("top")).where("b < top").select("subset", "b")
-    return found.join(least, "subset").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sides, pa.int8()), pa.array(subsets, pa.binary())], ["key", "side", "subset"])
+
+    found = light.mapInArrow(run, "key long, side byte, subset binary")
+    of = lambda side: F.when(F.col("side") == side, F.col("key"))
+    least = found.groupBy("subset").agg(F.min(of(-1)).alias("low"), F.min(of(1)).alias("high"), F.min(of(0)).alias("same"), F.max(of(0)).alias("top"))
+    least = least.where("same < top or (low is not null and high is not null)").drop("top")
+    other = F.when(F.col("side") == 0, F.col("same")).when(F.col("side") < 0, F.col("high")).otherwise(F.col("low"))
+    return found.join(least, "subset").select(F.col("key").alias("a"), other.alias("b")).where("a <> b").distinct()
 
 
 def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, broadcast_keys: int = 500_000) -> DataFrame:

@@ -98,6 +98,19 @@ def test_secret_spans_and_costs(spark):
     assert row.spans == "guess:8:22"
 
 
+def test_guess_spans_are_whole_and_need_no_digit(spark):
+    rng = random.Random(15)
+    token = "".join(rng.choice("abcdefghijkmnopqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789-_") for _ in range(603))
+    odd = "xKqZvWjTgRbYpLmD"
+    holder = "Zk!" + "0123456789abcdef01234567" + "!qWv#Tz"
+    texts = [f"Bearer {token} end", f"passphrase: {odd} end", f"credential: {holder} end", "bearer 0123456789abcdef0123456789 end", "passphrase: password end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in secrets.scan(docs, RANKS).collect()}
+    assert got[0].spans == "guess:7:610" and got[1].spans == f"guess:12:{12 + len(odd)}"
+    assert got[2].spans == f"guess:12:{12 + len(holder)},hex:15:39"
+    assert (got[3].spans, got[3].n_guess) == (got[3].base, 0) and got[4].spans == ""
+
+
 def test_decontamination_catches_new_parameters(spark):
     item = "A train leaves Boston at 40 km per hour and meets another train from Denver after 3 hours of travel on one track"
     clash = item.replace("40", "3").replace(" 3 hours", " 5 hours").replace("after", "x after")

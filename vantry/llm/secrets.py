@@ -5,7 +5,9 @@ Base spans are those of three patterns (assign, access, hex). The method adds sp
 `:`, `=` or `is`) that no cheap guess covers. The guess cost of a value is the least sum, over
 all ways to cut it up, of the log2 cost of its parts: words by their rank in a dictionary,
 dates, repeats, keyboard walks, and brute-force spans by the kinds of their characters. It is
-found by dynamic programming over the ends of the parts. Assign values get the same cost, as a
+found by dynamic programming over the ends of the parts, and it alone decides: values have any length
+and any characters. A guess span inside a base span is left out; one that only meets or holds a base span
+stays, whole. Assign values get the same cost, as a
 figure beside the span.
 
 Positions are code points, end exclusive. Null texts count as empty and have no spans. Whole
@@ -32,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 KINDS = ("assign", "access", "hex", "guess")
 # Further words that announce a credential.
-CONTEXT = re.compile(r"""(?:pwd|pass-?phrase|pass-?code|pin[ _-]?code|credentials?|private[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?id|bearer)["']?\s{0,3}(?::|=|\bis\b)?\s{0,3}["']?([!-~]{6,256})""", re.IGNORECASE)
+CONTEXT = re.compile(r"""(?:pwd|pass-?phrase|pass-?code|pin[ _-]?code|credentials?|private[_-]?key|access[_-]?key|auth[_-]?key|client[_-]?id|bearer)["']?\s{0,3}(?::|=|\bis\b)?\s{0,3}["']?([!-~]{6,})""", re.IGNORECASE)
 CONTEXT_HINTS = ("pwd", "pass", "pin", "credential", "key", "client", "bearer")
 # Rows of a keyboard.
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qwertzuiop", "azertyuiop")
@@ -105,7 +107,7 @@ def guess_spans(text: str, words: dict[str, int], least: float = GUESS_BITS) ->
     out = []
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip("\"').,;")
-        if len(value) >= 8 and any(c.isdigit() for c in value) and guess_bits(value, words) >= least:
+        if guess_bits(value, words) >= least:
             out.append((m.start(1), 3, m.start(1) + len(value)))
     return out
 
@@ -143,7 +145,7 @@ def scan(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text
                 base, spans, counts, bits = [], [], [[], [], [], []], []
                 for value in part.column(1).to_pylist():
                     found = base_spans(value)
-                    more = sorted(found + [g for g in guess_spans(value, words) if not any(s < g[2] and g[0] < e for s, _, e in found)])
+                    more = sorted(found + [g for g in guess_spans(value, words) if not any(s <= g[0] and g[2] <= e for s, _, e in found)])
                     base.append(joined(found))
                     spans.append(joined(more))
                     for kind in range(4):

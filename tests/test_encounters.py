@@ -97,6 +97,38 @@ def test_word_error_rate_against_dynamic_programming(spark):
         assert abs(r.w - edits(r.r.split(), r.h.split()) / len(r.r.split())) < 1e-4
 
 
+def plain_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_error_rates_are_those_of_whole_texts(spark, tmp_path):
+    rng = random.Random(3)
+    words = ["ab", "Öl,", "漢字", "c.d", "E", "ß"]
+    docs = [(k, " ".join(rng.choice(words) for _ in range(rng.choice([3, 150, 400]))), rng.choice(["en", "fr"])) for k in range(12)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.choice([5, 150])))) for k in range(50)]
+    docs.append((49, items[49][1] + " ab", "de"))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = lambda t: t.lower().replace(",", "").replace(".", "")
+    pairs = {k: (plain(items[k][1]), plain(t)) for k, t, _ in docs}
+    d = str(tmp_path)
+    assert {r.doc_id: (r.ref, r.hyp) for r in encounters.QUERIES["text_normalize_whole"](spark, d).collect()} == pairs
+    for name, split in (("wer", str.split), ("cer_whole", list)):
+        got = {r.doc_id: r[1] for r in encounters.QUERIES[name](spark, d).collect()}
+        want = {k: plain_edits(split(a), split(b)) / len(split(a)) for k, (a, b) in pairs.items()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+
+
+def test_word_edits_of_many_distinct_words():
+    assert S.word_edits("a b", " ".join(f"w{k}" for k in range(70_000)) + " a b") == 70_000
+    assert S.word_edits("", "x y") == 2 and S.word_edits(None, "x") is None
+
+
 def test_bucketed_join_equals_nested_loop(spark):
     rng = random.Random(2)
     a = [(rng.randrange(3), k, s := rng.random() * 100, s + rng.random() * rng.choice([0, 1, 40])) for k in range(150)]

@@ -321,10 +321,22 @@ def cer(spark, d):
     return text_normalize(spark, d).select("doc_id", S.char_error_rate(F.col("ref"), F.col("hyp")).alias("cer"))
 
 
+@query()
+def text_normalize_whole(spark, d):
+    """Normalised whole texts of all languages. Its SQL twin text_normalize holds English prefixes only."""
+    return T.whole_text_pairs(spark, d).select("doc_id", S.normalized_text(F.col("ref")).alias("ref"), S.normalized_text(F.col("hyp")).alias("hyp"))
+
+
+@query()
+def cer_whole(spark, d):
+    """Character error rates of whole texts, in code points; held against a plain edit distance in the tests."""
+    return text_normalize_whole(spark, d).select("doc_id", S.char_error_rate(F.col("ref"), F.col("hyp")).alias("cer"))
+
+
 @query()
 def wer(spark, d):
-    """Word error rates; held against a plain edit distance in the tests."""
-    return text_normalize(spark, d).select("doc_id", S.word_error_rate(F.col("ref"), F.col("hyp")).alias("wer"))
+    """Word error rates of whole texts; held against a plain edit distance in the tests."""
+    return text_normalize_whole(spark, d).select("doc_id", S.word_error_rate(F.col("ref"), F.col("hyp")).alias("wer"))
 
 
 @query()

@@ -99,6 +99,14 @@ def text_pairs(spark, d):
     return docs.join(b, F.col("item_id") == F.col("doc_id") % 40).select("doc_id", F.substring("text", 1, 300).alias("hyp"), "ref").where("hyp rlike '^[\\\\x00-\\\\x7f]*$' and ref rlike '^[\\\\x00-\\\\x7f]*$'")
 
 
+def whole_text_pairs(spark, d):
+    """Whole texts of all languages, each with one of all benchmark items."""
+    docs = table(spark, d, "documents")
+    b = table(spark, d, "benchmark").select("item_id", F.col("text").alias("ref"))
+    n = b.agg((F.max("item_id") + 1).alias("n"))  # one row
+    return docs.join(F.broadcast(n)).join(b, F.col("item_id") == F.pmod("doc_id", "n")).select("doc_id", F.col("text").alias("hyp"), "ref")
+
+
 def sheet_cells(spark, d):
     c = table(spark, d, "customer")
     rows = F.array(*(F.struct(F.lit(n).alias("row_no"), F.lit(label).alias("label"), v.cast("string").alias("value")) for n, label, v in ((2, "Event", F.col("c_mktsegment")), (5, "Room", F.col("c_nationkey")), (6, "Learners", F.col("c_name")), (10, "SPs", F.lit("ignored")))))

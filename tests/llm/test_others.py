@@ -132,6 +132,18 @@ def test_decontamination_catches_new_parameters(spark):
     assert clash != item
 
 
+def test_decontamination_catches_copies_in_any_letter_case(spark):
+    item = "On Monday Anna Keller from Boston met Peter Novak of Denver near the Große Straße in Vienna and gave Maria Lopez the 1st of 40 letters for Tom Baker in Lima"
+    twist = item.replace("Anna Keller", "Rosa Mann").replace("Vienna", "Oslo").replace("40", "75")
+    wrong = " ".join(reversed(item.lower().split()))
+    texts = [item, item.lower(), item.upper(), item.title(), "Some words. " + item.title().swapcase() + " more", twist, wrong]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for limit in (0, 1000):
+        got = {r.doc_id: r.share for r in decontam.contaminated(docs, items, broadcast_windows=limit).collect()}
+        assert set(got) == {0, 1, 2, 3, 4, 5} and all(got[k] == 1.0 for k in range(5))
+
+
 def test_language_on_held_out_rows(spark):
     from vantry.llm.queries import op3_language_id
 

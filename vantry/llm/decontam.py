@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Texts become templates: numbers, units and names are replaced by typed placeholders, other words
-are lower-cased and stripped of punctuation at their ends. Windows of WINDOW template words (a
+are case-folded and stripped of punctuation at their ends. A second, case-free view types numbers and
+units only, so that a copy in other letter case meets its item even if capitals make or hide names. Windows of WINDOW template words (a
 whole item where it is shorter, but for items under SHORTEST words) of all benchmark items are
 joined by hash with the windows of all documents. A hit counts only if its slots are consistent:
 within the window each benchmark value stands for one document value of the same type and each
@@ -9,7 +10,7 @@ document value for one benchmark value. So a question with other numbers or name
 while a window whose slots contradict each other is not.
 
 A document is contaminated with an item if consistent windows cover at least COVER of the
-item's windows. Windows made of placeholders and fewer than PLAIN plain words are not used.
+item's windows: those of the first view, or those of either view (a window counts once). Windows made of placeholders and fewer than PLAIN plain words are not used.
 
 The benchmark's windows are broadcast while there are at most `broadcast_windows` of them;
 beyond that, the windows of documents and benchmark meet in a shuffled join.
@@ -47,12 +48,12 @@ KINDS = ("word", "number", "unit", "name")
 
 
 class Words(dict):
-    """(hash of the template word, kind, hash of the value, ends a sentence) of words as they stand in a text; bounded."""
+    """(hash of the template word, kind, hash of the value, ends a sentence, case-free hash and kind) of words as they stand in a text; bounded."""
 
     def __missing__(self, word: str) -> int:
         found = self[word] = len(self.rows)
         bare = word.strip(STRIP)
-        low = bare.lower()
+        low = bare.casefold()
         if not bare:
             kind, template = 0, ""
         elif NUMBER.match(bare):
@@ -63,12 +64,13 @@ class Words(dict):
             kind, template = 3, "<name>"  # a name unless it opens a sentence
         else:
             kind, template = 0, low
-        self.rows.append((_hash(template), kind, _hash(low), int(word[-1:] in ".!?:|" or "\n" in word)))
+        free, free_kind = ("<number>", 1) if NUMBER.match(low) else (template, kind) if kind == 2 else (low, 0)
+        self.rows.append((_hash(template), kind, _hash(low), int(word[-1:] in ".!?:|" or "\n" in word), _hash(free), free_kind))
         return found
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[int, int, int, int]] = []
+        self.rows: list[tuple[int, int, int, int, int, int]] = []
 
 
 def _hash(word: str) -> int:
@@ -77,8 +79,8 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def templates(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template hash, kind and value hash of each word, and where each text begins among them."""
+def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Template hash and kind of each word in either view, its value hash, and where each text begins among the words."""
     if len(words) > 400_000:
         words.clear()
         words.rows.clear()
@@ -89,7 +91,7 @@ def templates(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, n
         codes.extend(map(get, text.split()))
         ends.append(len(codes))
     at = np.array(codes, np.int64)
-    table = np.array(words.rows, np.uint64).reshape(-1, 4)
+    table = np.array(words.rows, np.uint64).reshape(-1, 6)
     rows = table[at]
     template, kind, value, stop = rows[:, 0], rows[:, 1].astype(np.uint8), rows[:, 2], rows[:, 3].astype(bool)
     starts = np.array(ends, np.int64)
@@ -98,7 +100,7 @@ def templates(texts: list[str], words: Words) -> tuple[np.ndarray, np.ndarray, n
     common = (kind == 3) & opens  # a capital at the start of a sentence says nothing
     template = np.where(common, value, template)
     kind = np.where(common, np.uint8(0), kind)
-    return template, kind, value, starts
+    return [(template, kind), (rows[:, 4], rows[:, 5].astype(np.uint8))], value, starts
 
 
 def window_hashes(template: np.ndarray, size: int) -> np.ndarray:
@@ -123,33 +125,37 @@ def consistent(kinds: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
-    """item, at, size, of (windows of the item), hash, kinds and values of every usable window."""
+    """item, at, size, view, of and any_of (usable windows of the item in the first view and in either), hash, kinds and values of every
+    usable window; those that both views see alike are listed with the first."""
     rows = items.select(F.col(key).cast("long").alias("item"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             out: list[tuple] = []
-            template, kind, value, starts = templates(batch.column(1).to_pylist(), words)
+            views, value, starts = templates(batch.column(1).to_pylist(), words)
             for k, item in enumerate(batch.column(0).to_pylist()):
                 a, b = int(starts[k]), int(starts[k + 1])
                 if b - a < SHORTEST:
                     continue
                 size = min(WINDOW, b - a)
-                found = [
-                    (item, at, size, b - a - size + 1, hashed, kind[a + at : a + at + size].tobytes(), value[a + at : a + at + size].tobytes())
-                    for at, hashed in enumerate(window_hashes(template[a:b], size).astype(np.int64).tolist())
-                    if int((kind[a + at : a + at + size] == 0).sum()) >= min(PLAIN, size)
-                ]
-                out += [(i, at, n, len(found), *rest) for i, at, n, _, *rest in found]
-            columns = list(zip(*out, strict=True)) if out else [[]] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["item", "at", "size", "of", "hash", "kinds", "values"])
+                found: list[dict[int, tuple]] = []
+                for template, kind in views:
+                    found.append({
+                        at: (hashed, kind[a + at : a + at + size].tobytes(), value[a + at : a + at + size].tobytes())
+                        for at, hashed in enumerate(window_hashes(template[a:b], size).astype(np.int64).tolist())
+                        if int((kind[a + at : a + at + size] == 0).sum()) >= min(PLAIN, size)
+                    })
+                of, any_of = len(found[0]), len(found[0].keys() | found[1].keys())
+                out += [(item, at, size, view, of, any_of, *rest) for view in (0, 1) for at, rest in found[view].items() if not view or found[0].get(at) != rest]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 9
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.int32()] * 5, pa.int64(), pa.binary(), pa.binary()), strict=True)], ["item", "at", "size", "view", "of", "any_of", "hash", "kinds", "values"])
 
-    return rows.mapInArrow(run, "item long, at int, size int, of int, hash long, kinds binary, values binary")
+    return rows.mapInArrow(run, "item long, at int, size int, view int, of int, any_of int, hash long, kinds binary, values binary")
 
 
 def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text", broadcast_windows: int = 500_000) -> DataFrame:
-    """key, item, at (of the item's window), of, doc_at (word of the document): the consistent windows."""
+    """key, item, at and view (of the item's window), of, any_of, doc_at (word of the document): the consistent windows."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
@@ -166,42 +172,47 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
             filled[known & 0xFFFFF] = True
         for batch in batches:
             for part in slices(batch, 1):
-                template, kinds, value, starts = templates(part.column(1).to_pylist(), words)
+                views, value, starts = templates(part.column(1).to_pylist(), words)
                 owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
                 for size in shapes:
-                    hashed = window_hashes(template, size).astype(np.int64)
-                    inside = owner[: len(hashed)] == owner[size - 1 :][: len(hashed)]
-                    if known is not None:
-                        inside &= filled[hashed & 0xFFFFF]
-                    at = np.flatnonzero(inside)
-                    if known is not None and len(known):
-                        spot = np.minimum(np.searchsorted(known, hashed[at]), len(known) - 1)
-                        at = at[known[spot] == hashed[at]]
-                    if not len(at):
-                        continue
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column(0).take(pa.array(owner[at])),
-                            pa.array((at - starts[owner[at]]).astype(np.int32)),
-                            pa.array(np.full(len(at), size, np.int32)),
-                            pa.array(hashed[at]),
-                            pa.array([kinds[a : a + size].tobytes() for a in at], pa.binary()),
-                            pa.array([value[a : a + size].tobytes() for a in at], pa.binary()),
-                        ],
-                        ["key", "doc_at", "size", "hash", "kinds", "doc_values"],
-                    )
+                    first = None
+                    for template, kinds in views:
+                        hashed = window_hashes(template, size).astype(np.int64)
+                        inside = owner[: len(hashed)] == owner[size - 1 :][: len(hashed)]
+                        if first is not None:
+                            inside &= hashed != first  # the other windows are the same in both views
+                        first = hashed
+                        if known is not None:
+                            inside &= filled[hashed & 0xFFFFF]
+                        at = np.flatnonzero(inside)
+                        if known is not None and len(known):
+                            spot = np.minimum(np.searchsorted(known, hashed[at]), len(known) - 1)
+                            at = at[known[spot] == hashed[at]]
+                        if not len(at):
+                            continue
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                part.column(0).take(pa.array(owner[at])),
+                                pa.array((at - starts[owner[at]]).astype(np.int32)),
+                                pa.array(np.full(len(at), size, np.int32)),
+                                pa.array(hashed[at]),
+                                pa.array([kinds[a : a + size].tobytes() for a in at], pa.binary()),
+                                pa.array([value[a : a + size].tobytes() for a in at], pa.binary()),
+                            ],
+                            ["key", "doc_at", "size", "hash", "kinds", "doc_values"],
+                        )
 
     found = rows.mapInArrow(run, f"key {kind}, doc_at int, size int, hash long, kinds binary, doc_values binary")
-    side = windows.select("item", "at", "of", "size", "hash", "kinds", "values")
+    side = windows.select("item", "at", "view", "of", "any_of", "size", "hash", "kinds", "values")
     both = found.join(F.broadcast(side) if known is not None else side, ["hash", "size", "kinds"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, ours, theirs = (batch.column(k).to_pylist() for k in (5, 6, 7))
+            kinds, ours, theirs = (batch.column(k).to_pylist() for k in (7, 8, 9))
             good = [a == b or consistent(np.frombuffer(k, np.uint8), np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for k, a, b in zip(kinds, ours, theirs, strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:5]], ["key", "item", "at", "of", "doc_at"])
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:7]], ["key", "item", "at", "view", "of", "any_of", "doc_at"])
 
-    return both.select("key", "item", "at", "of", "doc_at", "kinds", "values", "doc_values").mapInArrow(check, f"key {kind}, item long, at int, of int, doc_at int")
+    return both.select("key", "item", "at", "view", "of", "any_of", "doc_at", "kinds", "values", "doc_values").mapInArrow(check, f"key {kind}, item long, at int, view int, of int, any_of int, doc_at int")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_windows: int = 500_000) -> DataFrame:
@@ -209,7 +220,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     windows = item_windows(items, item_key, item_text)
     found = hits(docs, windows, key, text, broadcast_windows)
     shares = (
-        found.select("key", "item", "of", "at").distinct().groupBy("key", "item").agg((F.count("*") / F.first("of")).alias("share")).where(F.col("share") >= cover)
+        found.groupBy("key", "item", "of", "any_of", "at").agg(F.min("view").alias("view")).groupBy("key", "item")
+        .agg(F.greatest(F.try_divide(F.count_if(F.col("view") == 0), F.first("of")), F.count("*") / F.first("any_of")).alias("share")).where(F.col("share") >= cover)
     )
     best = F.max(F.struct("share", (-F.col("item")).alias("low")))
     return shares.groupBy("key").agg(F.count("*").alias("n_items"), best.alias("best")).select(F.col("key").alias(key), "n_items", (-F.col("best.low")).alias("item_id"), F.col("best.share").alias("share"))

@@ -1,29 +1,29 @@
-"""Byte-level BPE encoding and decoding by corpus-level merge replay.
+"""Byte-level BPE encoding and decoding by merge replay.
 
 The distinct words of a block of texts form one corpus. An inverted index leads from each
 pair of neighbouring tokens, by the rank of its merge, to the word positions where it stands.
 Merges are applied in rank order; each touches the listed positions and re-indexes only the
-two neighbours. Blocks are independent, so encoding is a narrow map without any shuffle.
+two neighbours. Blocks are independent, so encoding is a narrow map without any shuffle; words
+of earlier blocks of a task are not replayed while they stay in its cache, which is bounded in
+bytes and dropped when the task ends.
 
-Null texts count as empty. An empty text has no ids. Repeated rows and equal texts are
-encoded alike; columns other than the key and the text are not carried, so their names
-cannot clash.
+Null texts count as empty. An empty text has no ids. Repeated rows, null keys and equal texts are
+encoded like others; columns other than the key and the text are not carried, so their names
+cannot clash. A word may have any length.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import CutCoder, IdTable, Numbers, gathered, id_lists, slices
+from vantry.llm.chunks import CutCoder, WordCoder, gathered, id_lists, slices
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,37 +32,56 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class MergeReplay:
-    """Token ids of words, as the merges of a rank table make them."""
+class Merges:
+    """A rank table as arrays: all pairs of tokens that merge, and the bytes of each token. Made once, by the driver."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.width = max(ranks.values()) + 1
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        found: dict[int, int] = {}
+        careful = set()
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut], -1), ranks.get(token[cut:], -1)
+                if left >= 0 and right >= 0:
+                    found[left * self.width + right] = rank
+                careful.update(part for part in (left, right) if part >= rank)
+        #: tokens that join a neighbour to a token of lower rank: their places in a word must be merged one by one
+        self.careful = careful
+        self.codes = np.array(sorted(found), np.int64)
+        self.made = np.array([found[code] for code in self.codes.tolist()], np.int32)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.pairs: dict[int, int] = {}
-        # tokens that join a neighbour to a token of lower rank: their places in a word must be merged one by one
-        self.careful = {
-            part
-            for token, rank in ranks.items()
-            for cut in range(1, len(token))
-            for part in (ranks.get(token[:cut], -1), ranks.get(token[cut:], -1))
-            if part >= rank
-        }
-
-    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        names = [b""] * self.width
+        for token, rank in ranks.items():
+            names[rank] = token
+        self.lens = np.fromiter(map(len, names), np.int64, self.width)
+        self.flat = np.frombuffer(b"".join(names), np.uint8)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the merge of each pair of tokens, -1 without one."""
-        codes, back = np.unique(left.astype(np.int64) * self.width + right, return_inverse=True)
-        if len(self.pairs) > 500_000:
-            self.pairs.clear()
-        found, known = [], self.pairs
-        for code in codes.tolist():
-            rank = known.get(code)
-            if rank is None:
-                a, b = divmod(code, self.width)
-                rank = known[code] = self.ranks.get(self.tokens[a] + self.tokens[b], -1)
-            found.append(rank)
-        return np.array(found, np.int32)[back]
+        codes = left.astype(np.int64) * self.width + right
+        if not len(self.codes):
+            return np.full(len(codes), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.made[at], np.int32(-1))
+
+    def bytes_of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the tokens one after the other, and where each begins (one entry more than ids)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= self.width or not self.lens[ids].all()):
+            raise ValueError("an id that the vocabulary does not have")
+        lens = self.lens[ids]
+        starts = np.cumsum(self.lens) - self.lens
+        return gathered(self.flat, starts[ids], lens), np.concatenate([[0], np.cumsum(lens)])
+
+
+class MergeReplay:
+    """Token ids of words, as the merges of a rank table make them."""
+
+    def __init__(self, ranks: dict[bytes, int] | Merges):
+        merges = ranks if isinstance(ranks, Merges) else Merges(ranks)
+        self.ranks, self.single, self.careful, self.merged = merges.ranks, merges.single, merges.careful, merges.rank
+        low = merges.single
+        self.byte_pairs = merges.rank(np.repeat(low, 256), np.tile(low, 256)).reshape(256, 256)
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all words one after the other, and how many each has."""
@@ -81,7 +100,7 @@ class MergeReplay:
         before = np.where(np.concatenate([[True], last[: n - 1]])[:n], np.int32(-1), place - np.int32(1))
         merges = np.full(n, -1, np.int32)  # rank of the merge of a position and the next
         inner = np.flatnonzero(follow >= 0)
-        merges[inner] = self.merged(symbol[inner], symbol[inner + 1])
+        merges[inner] = self.byte_pairs[data[inner], data[inner + 1]]  # what is no whole token is single bytes
 
         index: dict[int, list[np.ndarray]] = {}  # rank of a pair's merge -> places where the pair stands
         due: list[int] = []
@@ -141,85 +160,58 @@ class MergeReplay:
         return symbol[alive].astype(np.uint32), np.bincount(word[alive], minlength=len(words))
 
 
-class _Words:
-    """ids of cuts: split by the pattern, each distinct word replayed once while it stays in the table."""
+def _coder(merges: Merges, pattern: str) -> CutCoder:
+    replay = MergeReplay(merges)
+    return CutCoder(WordCoder(lambda words: replay.encode([word.encode("utf-8", "surrogatepass") for word in words]), pattern))
 
-    def __init__(self, replay: MergeReplay, pattern: str, most: int = 300_000):
-        self.split = regex.compile(pattern).findall
-        self.table = IdTable(lambda words: replay.encode([word.encode() for word in words]), most)
-        self.numbers = Numbers(self.table)
 
-    def __call__(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.table.full():
-            self.table.clear()
-            self.numbers.clear()
-        codes: list[int] = []
-        ends = np.zeros(len(cuts) + 1, np.int64)
-        number, split = self.numbers.__getitem__, self.split
-        for k, cut in enumerate(cuts):
-            codes.extend(map(number, split(cut)))
-            ends[k + 1] = len(codes)
-        self.table.settle()
-        ids, at = self.table.ids(np.array(codes, np.int64), ends)
-        return ids, np.diff(at)
-
-
-_coders: dict[str, CutCoder] = {}
-
-
-def _coder(ranks: dict[bytes, int], mark: str, pattern: str) -> CutCoder:
-    """One coder for each worker process, so that its cache serves all tasks there."""
-    if mark not in _coders:
-        _coders[mark] = CutCoder(_Words(MergeReplay(ranks), pattern))
-    return _coders[mark]
-
-
-def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", packed: bool = False) -> DataFrame:
-    """key, ids (array of int; with packed: bytes of unsigned 32-bit little-endian integers).
+def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", packed: bool = False, decoded: bool = False) -> DataFrame:
+    """key, ids (array of int; with packed: bytes of unsigned 32-bit little-endian integers), with decoded also the binary
+    that the ids decode to, in the same pass.
 
     `vocabulary` is a rank file that the driver reads; its content (a few MB) goes to the executors.
     """
-    ranks = read_ranks(vocabulary)
-    mark = hashlib.sha256(repr(sorted(ranks.items())).encode() + pattern.encode()).hexdigest()
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(Merges(read_ranks(vocabulary)))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _coder(shared.value, mark, pattern)
+        merges = shared.value
+        code = _coder(merges, pattern)
         for batch in batches:
             for part in slices(batch, 1):
                 ids, ends = code(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), id_lists(ids, ends, packed)], [key, "ids"])
+                columns = [part.column(0), id_lists(ids, ends, packed)]
+                if decoded:
+                    columns.append(_decoded(merges, ids.astype(np.int64), ends))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "ids", "decoded"][: len(columns)])
+        code.clear()
+
+    kinds = f"key {docs.schema[key].dataType.simpleString()}, ids {'binary' if packed else 'array<int>'}" + ", decoded binary" * decoded
+    return rows.mapInArrow(run, kinds).withColumnRenamed("key", key)
 
-    return rows.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids {'binary' if packed else 'array<int>'}")
+
+def _decoded(merges: Merges, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    out, total = merges.bytes_of(ids)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(total[ends].astype(np.int32)), pa.py_buffer(out)])
 
 
 def decode(tokens: DataFrame, vocabulary: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """key, ids, decoded (binary: the bytes of the tokens). Null ids decode to no bytes; an unknown id is an error."""
-    ranks = read_ranks(vocabulary)
-    shared = tokens.sparkSession.sparkContext.broadcast(ranks)
+    """key, ids, decoded (binary: the bytes of the tokens). Null ids decode to no bytes; an unknown or null id is an error."""
+    shared = tokens.sparkSession.sparkContext.broadcast(Merges(read_ranks(vocabulary)))
     kind = tokens.schema[ids].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [b""] * (max(shared.value.values()) + 1)
-        for token, rank in shared.value.items():
-            names[rank] = token
-        lens = np.fromiter(map(len, names), np.int64, len(names))
-        flat, starts = np.frombuffer(b"".join(names), np.uint8), np.cumsum(lens) - lens
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                rows = part.column(1)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 if kind == "binary":
-                    rows = [np.frombuffer(x or b"", "<u4") for x in rows.to_pylist()]
+                    rows = [np.frombuffer(x or b"", "<u4") for x in part.column(1).to_pylist()]
                 else:
-                    rows = [np.asarray(x.values, np.int64) if x.is_valid else np.zeros(0, np.int64) for x in rows]
-                code = np.concatenate([*rows, np.zeros(0, np.uint32)]).astype(np.int64)
-                counts = np.fromiter(map(len, rows), np.int64, len(rows))
-                total = np.concatenate([[0], np.cumsum(lens[code])])
-                ends = total[np.concatenate([[0], np.cumsum(counts)])]
-                out = gathered(flat, starts[code], lens[code])
-                decoded = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(out)])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded], [key, ids, "decoded"])
-
-    return tokens.select(key, ids).mapInArrow(run, f"`{key}` {tokens.schema[key].dataType.simpleString()}, `{ids}` {kind}, decoded binary")
+                    rows = [np.array([-1 if y is None else y for y in x or ()], np.int64) for x in part.column(1).to_pylist()]
+                ends = np.cumsum([0, *map(len, rows)])
+                decoded = _decoded(shared.value, np.concatenate([*rows, np.zeros(0, np.uint32)]).astype(np.int64), ends)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded], ["key", "ids", "decoded"])
+
+    out = tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+    kinds = f"key {tokens.schema[key].dataType.simpleString()}, ids {kind}, decoded binary"
+    return out.mapInArrow(run, kinds).withColumnRenamed("key", key).withColumnRenamed("ids", ids)

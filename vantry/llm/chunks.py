@@ -3,6 +3,7 @@
 The pre-tokenizer pattern never lets a piece continue over a blank that is followed by a
 non-blank: such a blank always opens the next piece. So a text may be cut before each of
 these blanks, and each cut is tokenized alone, once for as long as it stays in the cache.
+Caches are bounded in bytes; a full one keeps what was asked for more than once.
 """
 
 from __future__ import annotations
@@ -13,10 +14,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" (?:\s|\Z)")
-BATCH_BYTES = 6 << 20
+PLAIN = re.compile(r" ?\S+\Z")
+BATCH_BYTES = 4 << 20
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 200  # of a cache entry, besides its text and its ids
 
 
 Ids = tuple[np.ndarray, np.ndarray]  # ids of all entries one after the other; number of ids of each
@@ -25,41 +30,51 @@ Ids = tuple[np.ndarray, np.ndarray]  # ids of all entries one after the other; n
 class IdTable:
     """ids of entries, numbered as they are first asked for; `encode` makes the ids of queued entries."""
 
-    def __init__(self, encode: Callable[[list], Ids], most: int):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[list[str]], Ids]):
+        self.encode = encode
         self.clear()
 
     def clear(self) -> None:
-        self.queue: list = []
-        self.lens, self.starts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat, self.used, self.settled = np.zeros(1 << 16, np.uint32), 0, 0
+        self.queue: list[str] = []
+        self.lens, self.starts, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.flat, self.used, self.weight = np.zeros(1 << 16, np.uint32), 0, 0
 
-    def full(self) -> bool:
-        return self.settled > self.most
-
-    def number(self, entry) -> int:
+    def number(self, entry: str) -> int:
         self.queue.append(entry)
-        return self.settled + len(self.queue) - 1
+        return len(self.lens) + len(self.queue) - 1
 
     def settle(self) -> None:
         if not self.queue:
             return
         new, lens = self.encode(self.queue)
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        size = len(self.flat)
+        while self.used + len(new) > size:
+            size *= 2
+        if size > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(size - len(self.flat), np.uint32)])
         self.flat[self.used : self.used + len(new)] = new
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
+        self.uses = np.concatenate([self.uses, np.zeros(len(lens), np.int64)])
         self.used += len(new)
-        self.settled += len(lens)
+        self.weight += sum(map(len, self.queue)) + ENTRY_BYTES * len(lens) + 4 * len(new)
         self.queue = []
 
     def ids(self, numbers: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of the entries, and where each group of entries begins among them (ends: among the entries)."""
+        self.uses += np.bincount(numbers, minlength=len(self.uses))
         lens = self.lens[numbers]
         total = np.concatenate([[0], np.cumsum(lens)])
         return gathered(self.flat, self.starts[numbers], lens), total[ends]
 
+    def keep(self, numbers: np.ndarray) -> None:
+        """Only these entries, numbered anew in this order."""
+        lens, flat, weight = self.lens[numbers], gathered(self.flat, self.starts[numbers], self.lens[numbers]), self.weight
+        share = len(numbers) / max(1, len(self.lens))
+        self.clear()
+        self.flat, self.used, self.weight = np.concatenate([flat, np.zeros(1 << 16, np.uint32)]), len(flat), int(weight * share)
+        self.lens, self.starts, self.uses = lens, np.cumsum(lens) - lens, np.zeros(len(lens), np.int64)
+
 
 class Numbers(dict):
     """Numbers of keys in a table; an unseen key is queued there with `lead` before it."""
@@ -73,18 +88,72 @@ class Numbers(dict):
         return found
 
 
+class WordCoder:
+    """ids of cuts: split by the pattern, and each distinct word encoded once."""
+
+    def __init__(self, encode: Callable[[list[str]], Ids], pattern: str):
+        self.split, self.encode = regex.compile(pattern).findall, encode
+
+    def __call__(self, cuts: list[str]) -> Ids:
+        plain = np.fromiter((PLAIN.match(cut) is not None for cut in cuts), bool, len(cuts))
+        # cuts without inner white space are split together: a line break between two of them is a word of its own
+        words = self.split("\n".join([cut for cut, one in zip(cuts, plain.tolist(), strict=True) if one]))
+        seen = pa.array(words, pa.string()).dictionary_encode()
+        codes, names = seen.indices.to_numpy(), seen.dictionary.to_pylist()
+        stop = names.index("\n") if "\n" in names else -1
+        counts = np.zeros(len(cuts), np.int64)
+        inner = np.flatnonzero(codes != stop)
+        if plain.any():
+            stops = np.flatnonzero(codes == stop)
+            counts[plain] = np.diff(np.concatenate([[-1], stops, [len(codes)]])) - 1
+        codes = codes[inner]
+        # the others one by one
+        number = {name: k for k, name in enumerate(names)}
+        more: list[int] = []
+        for k in np.flatnonzero(~plain).tolist():
+            for word in self.split(cuts[k]):
+                more.append(number.setdefault(word, len(number)))
+                counts[k] += 1
+        names = list(number)
+        new, lens = self.encode(names)
+        starts = np.cumsum(lens) - lens
+        place = np.zeros(len(cuts), np.int64)  # of the first word of a cut among all
+        place[plain] = np.cumsum(counts[plain]) - counts[plain]
+        place[~plain] = len(codes) + np.cumsum(counts[~plain]) - counts[~plain]
+        order = gathered(np.concatenate([codes, np.array(more, np.int64)]), place, counts)
+        total = np.concatenate([[0], np.cumsum(lens[order])])
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        return gathered(new, starts[order], lens[order]), np.diff(total[ends])
+
+
 class CutCoder:
     """ids of texts; `encode` makes the ids of a list of cuts."""
 
-    def __init__(self, encode: Callable[[list[str]], Ids], most: int = 300_000):
-        self.table = IdTable(encode, most)
+    def __init__(self, encode: Callable[[list[str]], Ids], most_bytes: int = CACHE_BYTES):
+        self.table, self.most_bytes = IdTable(encode), most_bytes
         self.inner, self.first = Numbers(self.table, " "), Numbers(self.table)
 
+    def clear(self) -> None:
+        for x in (self.table, self.inner, self.first):
+            x.clear()
+
+    def prune(self) -> None:
+        """A full cache keeps what was used more than once; where that fills over half of it, nothing."""
+        keep = [[(key, number) for key, number in numbers.items() if self.table.uses[number] > 1] for numbers in (self.inner, self.first)]
+        if 2 * sum(map(len, keep)) > len(self.table.lens):
+            self.clear()
+            return
+        self.table.keep(np.array([number for part in keep for _, number in part], np.int64))
+        begin = 0
+        for numbers, part in zip((self.inner, self.first), keep, strict=True):
+            numbers.clear()
+            numbers.update((key, begin + k) for k, (key, _) in enumerate(part))
+            begin += len(part)
+
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text begins (one entry more than texts)."""
-        if self.table.full():
-            for x in (self.table, self.inner, self.first):
-                x.clear()
+        if self.table.weight > self.most_bytes:
+            self.prune()
         codes: list[int] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         inner = self.inner.__getitem__

@@ -20,8 +20,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN, packed=True)
-    return bpe.decode(ids, vocabulary).select(
+    return bpe.encode(documents(spark, sf_dir), vocabulary, public_tokenizers.PATTERN, packed=True, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

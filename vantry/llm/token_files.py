@@ -15,13 +15,13 @@ Selector k below 14 holds COUNTS[k] ids of 60 // COUNTS[k] bits each, the first
 bits. Selector 15 stands for one id from the escapes.
 
 Null texts count as empty: they have the end id alone. Documents with equal keys keep all their
-rows, in the order of their text. Other columns are not carried. An empty table has no blocks.
+rows, in the order of their text. Null keys come first and read back as null (the least long key is
+read back as null, too). Other columns are not carried. An empty table has no blocks.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import CutCoder, gathered, id_lists, slices
+from vantry.llm.chunks import PLAIN, CutCoder, gathered, id_lists, slices
 
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = 60 // COUNTS
@@ -37,16 +37,28 @@ ESCAPE = 15
 BLOCK_IDS = 32_768
 
 
+WIDTHS = sorted({*BITS.tolist()})
+
+
+def width_classes(ids: np.ndarray) -> np.ndarray:
+    """How many of the widths are too small for each id."""
+    wide = np.zeros(len(ids), np.uint8)
+    for bits in WIDTHS:
+        wide += ids >= np.uint64(1 << bits)
+    return wide
+
+
+SMALL = width_classes(np.arange(1 << 16, dtype=np.uint64))
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and escapes of a run of unsigned 64-bit ids; each word takes as many ids as fit."""
     ids = np.ascontiguousarray(ids, np.uint64)
     n = len(ids)
     if not n:
         return ids, ids
-    wide = np.zeros(n, np.uint8)
-    for bits in sorted({*BITS.tolist()}):
-        wide += ids >= np.uint64(1 << bits)  # classes: how many of the widths are too small
-    classes = {bits: k for k, bits in enumerate(sorted({*BITS.tolist()}))}
+    classes = {bits: k for k, bits in enumerate(WIDTHS)}
+    wide = width_classes(ids) if int(ids.max()) >= len(SMALL) else SMALL[ids.astype(np.int64)]
     choice = np.full(n, ESCAPE, np.uint8)
     choice[wide <= classes[60]] = 13
     spans = {1: wide}
@@ -64,8 +76,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         choice[:last][fits] = k
     step = np.append(COUNTS, [0, 1])[choice].tolist()
     at, starts = 0, []
+    add = starts.append
     while at < n:
-        starts.append(at)
+        add(at)
         at += step[at]
     starts = np.array(starts)
     chosen = choice[starts]
@@ -115,12 +128,13 @@ def block_parts(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, lens.astype(np.int64), found
 
 
-PLAIN = re.compile(r" ?\S+\Z")
-JOINED = 400
+JOINED = 50
+CACHE_BYTES = 100 << 20
+NO_KEY = -(2**63)  # stands for a null key in a block
 
 
 def library_ids(library, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """ids of the cuts. Those without inner white space go to the library in long lines, a line break between two of them:
+    """ids of the cuts. Those without inner white space go to the library in lines, a line break between two of them:
     the break is a piece of its own there, with an id that no such cut contains, and marks where each ends."""
     if not cuts:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -128,38 +142,33 @@ def library_ids(library, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     plain = np.array([len(mark) == 1 and PLAIN.match(cut) is not None for cut in cuts])
     lens = np.zeros(len(cuts), np.int64)
     apart = np.flatnonzero(~plain)
-    whole: list[np.ndarray] = []
     together = [cuts[k] for k in np.flatnonzero(plain).tolist()]
     lines = ["\n".join(together[at : at + JOINED]) + "\n" for at in range(0, len(together), JOINED)]
-    for at in range(0, len(lines), 20):
-        whole += [np.array(x.ids, np.uint32) for x in library.encode_batch_fast(lines[at : at + 20], add_special_tokens=False)]
-    ids = np.concatenate([*whole, np.zeros(0, np.uint32)])
+    ids = _flat(library, lines)[0]
     stops = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else np.zeros(0, np.int64)
     if len(stops) != len(together):
         raise ValueError("a line break is not a piece of its own for this tokenizer")
     lens[plain] = np.diff(stops, prepend=-1) - 1
     ids = np.delete(ids, stops)
-    single = [np.array(x.ids, np.uint32) for at in range(0, len(apart), 5000) for x in library.encode_batch_fast([cuts[k] for k in apart[at : at + 5000]], add_special_tokens=False)]
-    lens[apart] = [len(x) for x in single]
+    single, lens[apart] = _flat(library, [cuts[k] for k in apart])
     starts = np.zeros(len(cuts), np.int64)
     starts[plain] = np.cumsum(lens[plain]) - lens[plain]
     starts[apart] = len(ids) + np.cumsum(lens[apart]) - lens[apart]
-    return gathered(np.concatenate([ids, *single]), starts, lens), lens
-
+    return gathered(np.concatenate([ids, single]), starts, lens), lens
 
-_coders: dict[int, CutCoder] = {}
 
+def _flat(library, texts: list[str], at_once: int = 500) -> tuple[np.ndarray, np.ndarray]:
+    found = [np.array(x.ids, np.uint32) for at in range(0, len(texts), at_once) for x in library.encode_batch_fast(texts[at : at + at_once], add_special_tokens=False)]
+    return np.concatenate([*found, np.zeros(0, np.uint32)]), np.array([len(x) for x in found], np.int64)
 
-def _coder(definition: str, mark: int) -> CutCoder:
-    if mark not in _coders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        library = Tokenizer.from_str(definition)
-        library.encode_special_tokens = True
+def _coder(definition: str) -> CutCoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
+    from tokenizers import Tokenizer
 
-        _coders[mark] = CutCoder(lambda cuts: library_ids(library, cuts), 700_000)
-    return _coders[mark]
+    library = Tokenizer.from_str(definition)
+    library.encode_special_tokens = True
+    return CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> None:
@@ -169,13 +178,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
     """
     with open(tokenizer) as lines:
         definition = lines.read()
-    shared, mark = docs.sparkSession.sparkContext.broadcast(definition), hash(definition)
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key", "text")
     ordered = ordered.withColumn("shard", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _coder(shared.value, mark)
+        code = _coder(shared.value)
         block, shard = 0, 0
         keys: list[np.ndarray] = []
         lens: list[np.ndarray] = []
@@ -208,6 +217,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
                 ids.append(found)
                 yield from full(BLOCK_IDS)
         yield from full(0)
+        code.clear()
 
     blocks = ordered.mapInArrow(run, "shard int, block int, n_ids long, payload binary")
     blocks.write.option("compression", "zstd").parquet(path)
@@ -239,4 +249,5 @@ def read(spark, path: str, broadcast_blocks: int = 1_000_000) -> DataFrame:
                     ["key", "start", "n_tokens", "ids"],
                 )
 
-    return placed.mapInArrow(run, "key long, start long, n_tokens long, ids binary")
+    found = placed.mapInArrow(run, "key long, start long, n_tokens long, ids binary")
+    return found.withColumn("key", F.nullif("key", F.lit(NO_KEY)))

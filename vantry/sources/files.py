@@ -14,13 +14,21 @@ WORD = "word string, start double, `end` double, speaker string"
 TRANSCRIPT = f"case_id string, words array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>, segments array<struct<words:array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>>>"
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A new folder in `spark.checkpoint.dir`; in a temporary one only where that is unset."""
+def folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`, which the driver and all executors share. Only where it is unset and the session is local, a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="vantry-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return f"{found.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return found.rstrip("/")
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A new name in the shared folder."""
+    return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def write_camera_rooms(rooms: DataFrame, path: str) -> None:

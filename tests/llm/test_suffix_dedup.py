@@ -19,8 +19,8 @@ def brute(docs, length):
 
 def check(spark, docs, length, gram):
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    for limit in (0, 1000):
-        got = sd.keep_unrepeated(frame, length=length, gram=gram, broadcast_rows=limit).collect()
+    for limit in (0, 1 << 20):
+        got = sd.keep_unrepeated(frame, length=length, gram=gram, broadcast_bytes=limit).collect()
         assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute([(k, (t or "").encode()) for k, t in docs], length)
 
 
@@ -37,6 +37,41 @@ def test_random_texts_against_all_windows(spark):
     check(spark, rows, 64, 12)
 
 
+def test_hot_grams_and_rows_without_key(spark, monkeypatch):
+    rng = random.Random(9)
+    text = lambda n: " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(1, 7))) for _ in range(n))
+    short, near, long = text(6), text(9), text(40)
+    docs = [(k, " ".join((text(8), rng.choice((short, near, long)), text(rng.randrange(9)), rng.choice((short, near, long)), text(8)))) for k in range(60)]
+    docs += [(3, docs[3][1]), (4, docs[9][1]), (0, "again " * 30), (1, "again " * 31)]
+    for hot in (1, 5, 10**9):
+        monkeypatch.setattr(sd, "HOT", hot)
+        check(spark, docs, 40, 12)
+    frame = spark.createDataFrame([(None, docs[0][1]), (0, docs[0][1]), (None, None)], "doc_id long, text string")
+    got = sorted(((r.doc_id is None, r.n_bytes, r.n_removed) for r in sd.keep_unrepeated(frame).collect()))
+    size = len(docs[0][1])
+    assert got == [(False, size, size if size >= 200 else 0), (True, 0, 0), (True, size, size if size >= 200 else 0)]
+
+
+def test_windows_decided_by_common_prefixes_alone():
+    rng = random.Random(10)
+    for _ in range(60):
+        texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(20, 60))) for _ in range(rng.randrange(1, 6))]
+        found = sd.anchors(texts, 20, 6)
+        runs, entries = [], {}
+        for who, _, place, first, last in zip(*map(list, found), strict=True):
+            entries.setdefault((texts[who][place : last + 20], texts[who][first:place]), []).append((who, first))
+        rows = sorted(((right + left, len(right), who) for (right, left), who in entries.items()), key=lambda x: x[:2])
+        for k in range(3):
+            mine = rows[k::3]
+            runs.append({"payload": b"".join(sd.front_coded([x for x, _, _ in mine])), "rights": [r for _, r, _ in mine], "counts": [len(w) for _, _, w in mine], "who": [w for _, _, w in mine]})
+        got = set()
+        for run, entry, edges in sd.merged_intervals(runs, 20, 6):
+            for who, first in runs[run]["who"][entry]:
+                got |= {(who, first + x) for a, b in zip(edges[::2], edges[1::2], strict=True) for x in range(a, b)}
+        seen = Counter(t[i : i + 20] for t in texts for i in range(len(t) - 19))
+        assert got == {(k, i) for k, t in enumerate(texts) for i in range(len(t) - 19) if seen[t[i : i + 20]] > 1}
+
+
 def test_test_tables(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     check(spark, docs, sd.LENGTH, sd.GRAM)

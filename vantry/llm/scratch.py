@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, SparkSession
+from vantry.sources.files import new_path
 
-
-def folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session; a temporary folder only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="vantry-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, label: str) -> str:
-    return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
+BROADCAST_BYTES = 32 << 20  # what is larger is not broadcast
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -26,4 +15,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame | None) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for table in tables:
+        if path := getattr(table, "scratch_path", None):
+            spark = table.sparkSession
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def size_bytes(table: DataFrame, widths: int = 0, *columns: str) -> int:
+    """Bytes of a written table's rows: `widths` for each row and what the named string, binary or array columns hold (8 bytes an element)."""
+    held = [F.coalesce(F.octet_length(c) if table.schema[c].dataType.typeName() in ("string", "binary") else 8 * F.size(c), F.lit(0)) for c in columns]
+    total = F.lit(widths)
+    for x in held:
+        total = total + x
+    return table.agg(F.sum(total.cast("long"))).first()[0] or 0
+
+
+def hinted(table: DataFrame, widths: int, *columns: str, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, to be broadcast while its rows have at most `most` bytes (see size_bytes)."""
+    return F.broadcast(table) if size_bytes(table, widths, *columns) <= most else table

@@ -6,21 +6,29 @@ Strings never cross texts, and are judged on the input.
 1. Anchors. Of the GRAM-byte substrings in each `length`-byte window, the one with the least
    hash (the leftmost of equals) is the window's anchor, so equal windows have anchors at equal
    places. A task lists its anchors with the windows that they own.
-2. Anchor hashes are counted (summed before the shuffle). Only anchors whose gram occurs again
-   stay, with their owner's text; texts and anchors meet by a join on the key.
+2. Anchor hashes are counted, each once from each batch unless it repeats there. Only anchors
+   whose gram occurs again stay; texts and anchors meet by a join on the key.
 3. Sorted runs. A task takes the suffixes that start at its anchors (the bytes of the windows
    before the anchor follow as the last part of the order), keeps one of equal ones with its
-   count, deals them into ranges by the gram hash, sorts each, and sends front-coded runs: for each suffix
-   the length of the prefix it shares with the one before, and the rest.
+   owners, deals them into ranges by the gram hash, sorts each, and sends front-coded runs: for
+   each suffix the length of the prefix it shares with the one before, and the rest.
 4. Merge. Each range is merged by a loser tree over the runs. Entries carry the length of the
    prefix that they share with the last output, so comparisons start after it and known prefixes
    are never compared again. Suffixes that share GRAM bytes come out together.
-5. In each such group, windows of `length` bytes are compared as a whole: those that occur
-   again give intervals, which go back to the run's entries, and from there to the texts.
-
-Equal suffixes collapse in their task before they travel, so a range gets at most one copy of a
-passage from each task however often it repeats. Null texts count as empty. Equal rows repeat
-each other's bytes and lose them. Other columns are not carried. An empty table gives no rows.
+5. The common prefixes decide. A window that begins k bytes before its anchor is its entry's
+   first length - k bytes and the k bytes before; two are equal if the common prefix of their
+   entries in merged order reaches length - k and, in the order of what stands before the anchor,
+   their common end reaches k. No window is compared as a whole, and none by a hash.
+
+Equal suffixes collapse in their task before they travel. A gram of more than HOT occurrences is
+split: each piece of its windows (PIECES of them, by k) is sent by the hash of the bytes that all
+windows of the piece hold, at least `length` less (length - gram) / PIECES of them. So a passage in a
+third of all texts meets in one range only where nearly whole windows are equal, and those
+collapse.
+
+Null texts count as empty. Equal rows repeat each other's bytes and lose them. Rows without a key
+are treated like others. Other columns, whatever their names, are not carried. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -30,14 +38,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
-from vantry.llm.scratch import written
+from vantry.llm.scratch import dropped, hinted, written
 
 LENGTH = 200
 GRAM = 64
+HOT = 20_000
+PIECES = 8
+GROUP = 20_000  # entries compared at once
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SEGMENT = 1 << 20
 
@@ -126,7 +138,7 @@ def front_coded(strings: list[bytes]) -> Iterator[bytes]:
     before = b""
     for string in strings:
         same = shared_prefix(before, string, 0)
-        yield struct.pack("<HH", same, len(string) - same)
+        yield struct.pack("<II", same, len(string) - same)
         yield string[same:]
         before = string
 
@@ -141,8 +153,8 @@ class Run:
     def advance(self) -> bool:
         if self.at >= len(self.coded):
             return False
-        same, more = struct.unpack_from("<HH", self.coded, self.at)
-        self.at += 4
+        same, more = struct.unpack_from("<II", self.coded, self.at)
+        self.at += 8
         self.string = self.string[:same] + self.coded[self.at : self.at + more]
         self.at += more
         self.same = same
@@ -199,103 +211,144 @@ class LoserTree:
             self.winner = current
 
 
-RUNS = "kind int, task string, part int, key long, mark long, entries array<int>, firsts array<int>, counts array<int>, rights array<int>, payload binary"
+RUNS = "part int, rights array<int>, counts array<int>, keys array<bigint>, marks array<bigint>, firsts array<int>, payload binary"
 RUNS_ARROW = pa.schema(
-    [("kind", pa.int32()), ("task", pa.string()), ("part", pa.int32()), ("key", pa.int64()), ("mark", pa.int64())]
-    + [(c, pa.list_(pa.int32())) for c in ("entries", "firsts", "counts", "rights")]
-    + [("payload", pa.binary())]
+    [("part", pa.int32()), ("rights", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64()))]
+    + [("marks", pa.list_(pa.int64())), ("firsts", pa.list_(pa.int32())), ("payload", pa.binary())]
 )
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Kind 1: for a text, the entry and first window of each of its anchors. Kind 0: the front-coded run of a range."""
-    from pyspark import TaskContext
+def pieces(right: bytes, left: bytes, length: int, gram: int, hot: bool) -> Iterator[tuple[bytes, bytes, int]]:
+    """(right, left, bytes skipped of the left, if hot with the context's hash in the last place) of the parts that an anchor's windows are sent in."""
+    if not hot:
+        yield right, left, 0
+        return
+    low, high, step = length - len(right), len(left), -(-(length - gram + 1) // PIECES)
+    for begin in range(low - low % step, high + 1, step):
+        a, b = max(low, begin), min(high, begin + step - 1)
+        yield right[: length - a], left[len(left) - b :], high - b
+
+
+def context(right: bytes, left: bytes, length: int, gram: int) -> int:
+    """Hash of the bytes around a hot anchor that all windows of its piece hold, by the piece's place."""
+    step = -(-(length - gram + 1) // PIECES)
+    begin = len(left) // step * step
+    end = min(begin + step - 1, length - gram)
+    return xxhash.xxh3_64_intdigest(left[len(left) - begin :] + right[: length - end], begin)
 
-    task = str(TaskContext.get().partitionId())
-    number: dict[tuple[bytes, bytes], int] = {}
-    counts: list[int] = []
-    hashes: list[int] = []
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The front-coded run of each range that the task's anchors reach, and the owners of each entry (text and first window)."""
+    owners: dict[tuple[bytes, bytes, int], list[tuple[int, int, int]]] = {}
     for batch in batches:
-        out = []
         for row in batch.to_pylist():
             data = row["text"].encode()
-            entries, firsts = [], []
             for anchor in row["anchors"]:
                 place, first = anchor["place"], anchor["first"]
-                string = data[place : anchor["last"] + length], data[first:place]
-                entry = number.get(string)
-                if entry is None:
-                    entry = number[string] = len(counts)
-                    counts.append(0)
-                    hashes.append(anchor["hash"])
-                counts[entry] += 1
-                entries.append(entry)
-                firsts.append(first)
-            out.append({"kind": 1, "task": task, "key": row["key"], "mark": row["mark"], "entries": entries, "firsts": firsts})
-        yield pa.RecordBatch.from_pylist(out, RUNS_ARROW)
-    ranges: dict[int, list[tuple[bytes, int, int]]] = {}
-    for (right, left), entry in number.items():
-        ranges.setdefault((hashes[entry] >> 24) % parts, []).append((right + left, entry, len(right)))
-    number.clear()
-    for part, mine in ranges.items():
-        mine.sort()
-        row = {"kind": 0, "task": task, "part": part, "entries": [e for _, e, _ in mine], "counts": [counts[e] for _, e, _ in mine], "rights": [r for _, _, r in mine]}
+                hot = anchor["hot"]
+                for right, left, skipped in pieces(data[place : anchor["last"] + length], data[first:place], length, gram, hot):
+                    where = context(right, left, length, gram) if hot else anchor["hash"] >> 20
+                    owners.setdefault((right, left, where % parts), []).append((row["key"], row["mark"], first + skipped))
+    ranges: dict[int, list[tuple[bytes, int, list]]] = {}
+    for (right, left, part), who in owners.items():
+        ranges.setdefault(part, []).append((right + left, len(right), who))
+    owners.clear()
+    for part in list(ranges):
+        mine = ranges.pop(part)
+        mine.sort(key=lambda x: x[:2])
+        keys, marks, firsts = zip(*(w for _, _, who in mine for w in who), strict=True)
+        row = {"part": part, "rights": [r for _, r, _ in mine], "counts": [len(who) for _, _, who in mine], "keys": keys, "marks": marks, "firsts": firsts}
         yield pa.RecordBatch.from_pylist([row | {"payload": b"".join(front_coded([x for x, _, _ in mine]))}], RUNS_ARROW)
-        mine.clear()
 
 
-def merged_intervals(runs: list[dict], length: int, gram: int) -> Iterator[tuple[str, int, list[int]]]:
-    """(task, entry, edges): the windows of an entry that occur again, as begins and ends counted from its first window."""
-    group: list[tuple[int, int, bytes]] = []
-    ready: list[tuple[int, int, bytes]] = []
+def repeated_windows(strings: list[bytes], rights: np.ndarray, counts: np.ndarray, same: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, list[int]]]:
+    """(entry, edges): windows of an entry that occur again, as begins and ends counted from its first window.
+
+    Entries stand in merged order; same: the prefix that each shares with the one before.
+    """
+    n = len(strings)
+    group = np.cumsum(same < gram)
+    lefts = [string[right:][::-1] for string, right in zip(strings, rights.tolist(), strict=True)]
+    numbers = group.tolist()
+    order = sorted(range(n), key=lambda k: (numbers[k], lefts[k]))
+    ends = np.array([-1] + [shared_prefix(lefts[a], lefts[b], 0) if numbers[a] == numbers[b] else -1 for a, b in zip(order, order[1:], strict=False)])
+    order = np.array(order)
+    low, high = length - rights, np.fromiter(map(len, lefts), np.int64, n)
+    places = np.arange(n)
+    again = np.zeros((n, length - gram + 3), np.int8)  # a gap on either side
+    for k in range(length - gram + 1):
+        own = np.flatnonzero((low <= k) & (k <= high))
+        if not len(own):
+            continue
+        head = np.maximum.accumulate(np.where(same < length - k, places, 0))
+        tail = np.zeros(n, np.int64)
+        tail[order] = np.maximum.accumulate(np.where(ends < k, places, 0))
+        _, back = np.unique(head[own] * n + tail[own], return_inverse=True)
+        again[own, high[own] - k + 1] = np.bincount(back, weights=counts[own])[back] >= 2
+    change = np.diff(again, axis=1)
+    rows, begins = np.nonzero(change > 0)
+    _, stops = np.nonzero(change < 0)
+    found: dict[int, list[int]] = {}
+    for k, begin, stop in zip(rows.tolist(), begins.tolist(), stops.tolist(), strict=True):
+        found.setdefault(k, []).extend((begin, stop))
+    yield from found.items()
+
+
+def merged_intervals(runs: list[dict], length: int, gram: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(run, entry, edges) of the entries with windows that occur again."""
+    ready: list[tuple[int, int, bytes, int]] = []
+    group: list[tuple[int, int, bytes, int]] = []
+
+    def compared() -> Iterator[tuple[int, int, list[int]]]:
+        if ready:
+            rights = np.array([runs[run]["rights"][entry] for run, entry, _, _ in ready])
+            counts = np.array([runs[run]["counts"][entry] for run, entry, _, _ in ready])
+            same = np.array([x for _, _, _, x in ready])
+            for k, edges in repeated_windows([x for _, _, x, _ in ready], rights, counts, same, length, gram):
+                yield ready[k][0], ready[k][1], edges
+            ready.clear()
 
     def close() -> None:
         if len(group) > 1 or (group and runs[group[0][0]]["counts"][group[0][1]] > 1):
-            ready.extend(group)
+            ready.extend([(*group[0][:3], 0), *group[1:]])
         group.clear()
 
-    def compared() -> Iterator[tuple[str, int, list[int]]]:
-        if not ready:
-            return
-        texts, counts = [], []
-        for run, entry, string in ready:
-            right = runs[run]["rights"][entry]
-            texts.append(string[right:] + string[:right])
-            counts.append(runs[run]["counts"][entry])
-        lens = np.array([len(t) for t in texts])
-        starts = np.cumsum(lens) - lens
-        hashes = rolling(np.frombuffer(b"".join(texts), np.uint8), length)
-        windows = lens - length + 1
-        owner = np.repeat(np.arange(len(texts)), windows)
-        edge = np.cumsum(windows) - windows
-        at = np.repeat(starts - edge, windows) + np.arange(int(windows.sum()))
-        _, back = np.unique(hashes[at], return_inverse=True)
-        again = np.bincount(back, weights=np.array(counts)[owner])[back] >= 2
-        flags = np.zeros(len(again) + len(texts) + 1, np.int8)  # a gap behind each entry
-        flags[np.arange(len(again)) + owner] = again
-        change = np.flatnonzero(np.diff(np.concatenate([[0], flags])))
-        spot = edge + np.arange(len(texts))
-        whose = np.searchsorted(spot, change[::2], side="right") - 1
-        edges: dict[int, list[int]] = {}
-        for k, begin, end in zip(whose.tolist(), change[::2].tolist(), change[1::2].tolist(), strict=True):
-            edges.setdefault(k, []).extend((begin - int(spot[k]), end - int(spot[k])))
-        for k, found in edges.items():
-            run, entry, _ = ready[k]
-            yield runs[run]["task"], runs[run]["entries"][entry], found
-
     for run, entry, string, same in LoserTree([Run(r["payload"]) for r in runs]):
         if same < gram:
             close()
-            if len(ready) > 20_000:
+            if len(ready) > GROUP:
                 yield from compared()
-                ready.clear()
-        group.append((run, entry, string))
+        group.append((run, entry, string, same))
     close()
     yield from compared()
 
 
+def repeated_grams(docs: DataFrame, length: int, gram: int, parts: int) -> DataFrame:
+    """hash, hot of the anchor grams that occur more than once."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                _, found, *_ = anchors([t.encode() for t in part.column(0).to_pylist()], length, gram)
+                one, counts = np.unique(found, return_counts=True)
+                for few in (True, False):  # the count travels only with those that repeat here
+                    mine = (counts == 1) == few
+                    yield pa.RecordBatch.from_arrays([pa.array(one[mine]), pa.nulls(int(mine.sum()), pa.int64()) if few else pa.array(counts[mine])], ["hash", "n"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            hashes.append(batch.column(0).to_numpy())
+            counts.append(batch.column(1).fill_null(1).to_numpy())
+        one, back = np.unique(np.concatenate(hashes), return_inverse=True)
+        total = np.bincount(back, weights=np.concatenate(counts), minlength=len(one))
+        yield pa.RecordBatch.from_arrays([pa.array(one[total > 1]), pa.array(total[total > 1] > HOT)], ["hash", "hot"])
+
+    return docs.select("text").mapInArrow(hashed, "hash long, n long").repartition(parts, "hash").mapInArrow(counted, "hash long, hot boolean")
+
+
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """key, mark, begins, ends: windows [begin, end) of each text (key, mark, text) that occur again."""
+    """key, mark, edges: begins and ends of the runs of bytes that go, for each text (key, mark, text) that loses any."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,56 +357,69 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 rows = part.select([0, 1]).take(pa.array(who))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(hashed), *(pa.array(x.astype(np.int32)) for x in (place, first, last))], ["key", "mark", "hash", "place", "first", "last"])
 
-    found = docs.select("key", "mark", "text").mapInArrow(listed, "key long, mark long, hash long, place int, first int, last int")
-    common = found.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    kept = found.join(common, "hash", "left_semi").groupBy("key", "mark").agg(F.collect_list(F.struct("hash", "place", "first", "last")).alias("anchors"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(12, size >> 24))  # a range for each 16 MB of text
-    runs = written(docs.select("key", "mark", "text").join(kept, ["key", "mark"]).mapInArrow(lambda batches: sorted_runs(batches, length, parts), RUNS), "runs")
+    common = written(repeated_grams(docs, length, gram, parts), "grams")
+    found = docs.select("key", "mark", "text").mapInArrow(listed, "key long, mark long, hash long, place int, first int, last int")
+    kept = found.join(hinted(common, 9), "hash").groupBy("key", "mark").agg(F.collect_list(F.struct("hash", "hot", "place", "first", "last")).alias("anchors"))
+    runs = docs.select("key", "mark", "text").join(kept, ["key", "mark"]).mapInArrow(lambda batches: sorted_runs(batches, length, gram, parts), RUNS)
 
     def merge(table: pa.Table) -> pa.Table:
-        rows = list(merged_intervals(table.to_pylist(), length, gram))
-        tasks, entries, edges = zip(*rows, strict=True) if rows else ((), (), ())
-        return pa.table({"task": pa.array(tasks, pa.string()), "entry": pa.array(entries, pa.int32()), "edges": pa.array(edges, pa.list_(pa.int32()))})
+        rows = table.drop_columns(["keys", "marks", "firsts"]).to_pylist()
+        owners = [table.column(c) for c in ("keys", "marks", "firsts")]
+        begins = [np.concatenate([[0], np.cumsum(r["counts"], dtype=np.int64)]) for r in rows]
+        out: list[list] = [[], [], []]
+        for run, entry, edges in merged_intervals(rows, length, gram):
+            a, b = int(begins[run][entry]), int(begins[run][entry + 1])
+            keys, marks, firsts = (x[run].values.slice(a, b - a).to_numpy() for x in owners)
+            out[0].append(keys)
+            out[1].append(marks)
+            out[2] += list(np.array(edges, np.int32)[None] + firsts[:, None])
+        lists = pa.array(out[2], pa.list_(pa.int32()))
+        return pa.table({"key": np.concatenate([*out[0], np.zeros(0, np.int64)]), "mark": np.concatenate([*out[1], np.zeros(0, np.int64)]), "edges": lists})
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [_united(np.array(x).reshape(-1, 2), length) for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.list_(pa.int32()))], ["key", "mark", "edges"])
+
+    merged = runs.groupBy("part").applyInArrow(merge, "key long, mark long, edges array<int>")
+    each = merged.groupBy("key", "mark").agg(F.flatten(F.collect_list("edges")).alias("edges"))
+    out = written(each.mapInArrow(joined, "key long, mark long, edges array<int>"), "spans")
+    dropped(common)
+    return out
+
 
-    merged = runs.where("kind = 0").select("part", "task", "entries", "counts", "rights", "payload").groupBy("part").applyInArrow(merge, "task string, entry int, edges array<int>")
-    places = runs.where("kind = 1").select("key", "mark", "task", F.explode(F.arrays_zip(F.col("entries").alias("entry"), F.col("firsts").alias("first"))).alias("a")).select("key", "mark", "task", "a.entry", "a.first")
-    back = places.join(merged, ["task", "entry"]).select("key", "mark", F.transform("edges", lambda e: e + F.col("first")).alias("edges"))
-    return back.groupBy("key", "mark").agg(F.flatten(F.collect_list("edges")).alias("edges"))
+def _united(windows: np.ndarray, length: int) -> np.ndarray:
+    """Begins and ends of the bytes that windows starting in [begin, end) cover, without overlaps."""
+    windows = windows[np.argsort(windows[:, 0], kind="stable")]
+    begins, ends = windows[:, 0], np.maximum.accumulate(windows[:, 1] - 1 + length)
+    fresh = np.concatenate([[True], begins[1:] > ends[:-1]])
+    return np.stack([begins[fresh], ends[np.append(np.flatnonzero(fresh)[1:] - 1, len(ends) - 1)]], axis=1).ravel()
 
 
-def keep_unrepeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, broadcast_rows: int = 500_000) -> DataFrame:
+def keep_unrepeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """key, n_bytes, n_removed, n_spans (long; maximal removed runs), kept (binary: the remaining bytes) of every row.
 
-    Rows are told apart by key and a hash of their text. Removed spans return to the texts by a broadcast while at most
-    `broadcast_rows` texts have any, else by a shuffled join.
+    Rows are told apart by key and a hash of key and text. Removed runs return to the texts by a broadcast while they have at
+    most `broadcast_bytes`, else by a shuffled join.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.xxhash64(body).alias("mark"), body.alias("text"))
-    found = written(spans(rows, length, gram), "spans")
-    side = F.broadcast(found) if found.count() <= broadcast_rows else found
+    number = F.col(key).cast("long")
+    rows = docs.select(number.alias("own"), F.coalesce(number, F.lit(0)).alias("key"), F.xxhash64(body, number).alias("mark"), body.alias("text"))
+    side = hinted(spans(rows, length, gram), 40, "edges", most=broadcast_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
                 total, gone, runs, kept = [], [], [], []
                 for value, edges in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
-                    data = value.encode()
+                    data, edges = value.encode(), edges or []
                     total.append(len(data))
-                    if not edges:
-                        gone.append(0)
-                        runs.append(0)
-                        kept.append(data)
-                        continue
-                    pairs = np.array(edges).reshape(-1, 2)
-                    depth = np.zeros(len(data) + 1, np.int64)
-                    np.add.at(depth, pairs[:, 0], 1)
-                    np.add.at(depth, pairs[:, 1] - 1 + length, -1)
-                    out = np.cumsum(depth[:-1]) > 0
-                    gone.append(int(out.sum()))
-                    runs.append(int(out[0]) + int((out[1:] & ~out[:-1]).sum()))
-                    kept.append(np.frombuffer(data, np.uint8)[~out].tobytes())
+                    gone.append(sum(edges[1::2]) - sum(edges[::2]))
+                    runs.append(len(edges) // 2)
+                    kept.append(b"".join(data[a:b] for a, b in zip([0, *edges[1::2]], [*edges[::2], len(data)], strict=True)))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.int64()) for x in (total, gone, runs)), pa.array(kept, pa.binary())], ["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = rows.join(side, ["key", "mark"], "left").select("key", "text", "edges")
+    joined = rows.join(side, ["key", "mark"], "left").select("own", "text", "edges")
     return joined.mapInArrow(cut, "key long, n_bytes long, n_removed long, n_spans long, kept binary").withColumnRenamed("key", key)

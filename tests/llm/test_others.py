@@ -63,8 +63,8 @@ def test_shards_are_exact_gapless_and_uniform(spark):
 def test_line_dedup_by_hand(spark):
     pages = [(i, "a", f"own {i}\nmenu\n\nmenu") for i in range(10)] + [(100 + i, None, "menu\nfoot") for i in range(6)] + [(200, "b", "menu"), (201, "b", None), (202, "b", "")]
     docs = spark.createDataFrame([(*p, "clash") for p in pages], "doc_id long, source string, text string, n_pages string")
-    for limit in (0, 100):
-        got = {r.doc_id: r for r in line_dedup.clean(docs, counts=True, broadcast_rows=limit).collect()}
+    for limit in (0, 10_000):
+        got = {r.doc_id: r for r in line_dedup.clean(docs, counts=True, broadcast_bytes=limit).collect()}
         assert got[3].text == "own 3\n" and (got[3].n_lines, got[3].n_dropped) == (4, 2)
         assert got[101].text == "" and got[200].text == "menu" and got[201].text is None and got[202].text == ""
         assert got[201].n_lines == 0 and got[3].n_pages == "clash"
@@ -113,23 +113,88 @@ def test_guess_spans_are_whole_and_need_no_digit(spark):
 
 def test_decontamination_catches_new_parameters(spark):
     item = "A train leaves Boston at 40 km per hour and meets another train from Denver after 3 hours of travel on one track"
-    clash = item.replace("40", "3").replace(" 3 hours", " 5 hours").replace("after", "x after")
     texts = [
         item, "Noise before. " + item.lower() + " and noise", item.replace("40", "75").replace("Boston", "Lima").replace(" 3 ", " 9 "),
         "Clean text about nothing in particular that goes on for some words more than ten", None, "", item[:60], item, "word " * 5000,
     ]
     docs = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "doc_id long, text string, item string")
     items = spark.createDataFrame([(7, item), (8, "too short"), (9, None), (10, item)], "item_id long, text string")
-    for limit in (0, 1000):
-        got = {r.doc_id: r for r in decontam.contaminated(docs, items, broadcast_windows=limit).collect()}
-        assert set(got) == {0, 2, 7} | ({1} if 1 in got else set())
+    for limit in (0, 1 << 20):
+        got = {r.doc_id: r for r in decontam.contaminated(docs, items, broadcast_bytes=limit).collect()}
+        assert set(got) == {0, 1, 2, 7}
         assert got[0].item_id == 7 and got[0].n_items == 2 and got[0].share == 1.0
     assert decontam.contaminated(docs.limit(0), items).count() == 0
     kinds = np.array([1, 0, 1], np.uint8)
     assert decontam.consistent(kinds, np.array([5, 1, 5]), np.array([6, 1, 6]))
     assert not decontam.consistent(kinds, np.array([5, 1, 5]), np.array([6, 1, 7]))
     assert not decontam.consistent(kinds, np.array([5, 1, 4]), np.array([6, 1, 6]))
-    assert clash != item
+
+
+def plain_share(doc, item):
+    """The rule of decontamination word by word: largest share of an item's windows in a document."""
+
+    def seen(text, view):
+        out, opens = [], True
+        for word in text.split():
+            bare = word.strip(decontam.STRIP)
+            low = bare.casefold()
+            number, name = decontam.NUMBER.match(bare if view == 0 else low), bare[:1].isupper() and (len(bare) == 1 or not bare.isupper())
+            kind = 1 if bare and number else 2 if low in decontam.UNITS else 3 if view == 0 and name and not opens else 0
+            out.append((kind if view < 2 else 0, low if view == 2 or not kind else "", low))
+            opens = word[-1:] in ".!?:|"
+        return out
+
+    def maps(a, b):
+        pairs = [((x[0], x[2]), (y[0], y[2])) for x, y in zip(a, b, strict=True) if x[0]]
+        return len({x for x, _ in pairs}) == len(set(pairs)) == len({y for _, y in pairs})
+
+    words = item.split()
+    size = min(10, len(words))
+    usable, hit = [set(), set(), set()], [set(), set(), set()]
+    for view in range(3):
+        ours, theirs = seen(item, view), seen(doc, view)
+        for at in range(len(ours) - size + 1):
+            a = ours[at : at + size]
+            if view < 2 and (len(words) < 4 or sum(x[0] == 0 for x in a) < min(3, size)):
+                continue
+            usable[view].add(at)
+            for k in range(len(theirs) - size + 1):
+                b = theirs[k : k + size]
+                ends = doc.split()[k + size - 1][-1] in ".!?:|" or k + size == len(theirs)
+                begins = k == 0 or doc.split()[k - 1][-1] in ".!?:|"
+                if [x[:2] for x in a] == [x[:2] for x in b] and maps(a, b) and (size >= 4 or (begins and ends)):
+                    hit[view].add(at)
+    if usable[0] or usable[1]:
+        return max(len(hit[0]) / len(usable[0]) if usable[0] else 0, len(hit[0] | hit[1]) / len(usable[0] | usable[1]))
+    return len(hit[2]) / len(usable[2])
+
+
+def test_decontamination_against_the_plain_rule(spark):
+    rng = random.Random(16)
+    items = [
+        "Take 7 apples and 7 pears to Anna before noon", "Which river runs by Paris?", "Forty-two.", "3 km 5 km 7 km",
+        "The answer is 12 kg for Rosa Mann and 15 kg for Rosa Mann but 12 kg for nobody else in town", "12 13 14 15 16 17 18 19 20 21 22 23",
+    ]
+    texts = [
+        "Take 5 apples and 6 pears to Anna before noon",  # slots contradict each other
+        "Take 5 apples and 5 pears to Rosa before noon", "so: Which river runs by Rome? None.", "Yes. Forty-two. No.", "The forty-two. of",
+        "it is 3 km 5 km 7 km long", "it is 4 km 5 km 7 km long", "12 13 14 15 16 17 18 19 20 21 22 23", "12 13 14 15 16 17 18 19 20 21 22 24", "12 13 14 15 16 99 18 19 20 21 22 24",
+    ]
+    for _ in range(120):
+        words = rng.choice(items).split()
+        for _ in range(rng.randrange(5)):
+            k = rng.randrange(len(words))
+            words[k] = rng.choice([words[k].upper(), words[k].lower(), words[k].title(), str(rng.randrange(20)), "Rosa", "word", words[k] + "."])
+        texts.append(" ".join(["Before", "that.", *words, "and", "after"][rng.randrange(3) : 20]))
+    docs = spark.createDataFrame([*enumerate(texts), (-1, None)], "doc_id long, text string").repartition(3)
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {}
+    for k, text in enumerate(texts):
+        shares = {i: plain_share(text, item) for i, item in enumerate(items)}
+        if over := {i: x for i, x in shares.items() if x >= decontam.COVER}:
+            want[k] = (len(over), min(i for i in over if over[i] == max(over.values())), round(max(over.values()), 9))
+    got = {r.doc_id: (r.n_items, r.item_id, round(r.share, 9)) for r in decontam.contaminated(docs, frame).collect()}
+    assert got == want and 0 not in got and {1, 2, 3, 5, 7} <= set(got) and not {4, 6, 9} & set(got)
 
 
 def test_decontamination_catches_copies_in_any_letter_case(spark):
@@ -139,11 +204,66 @@ def test_decontamination_catches_copies_in_any_letter_case(spark):
     texts = [item, item.lower(), item.upper(), item.title(), "Some words. " + item.title().swapcase() + " more", twist, wrong]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     items = spark.createDataFrame([(7, item)], "item_id long, text string")
-    for limit in (0, 1000):
-        got = {r.doc_id: r.share for r in decontam.contaminated(docs, items, broadcast_windows=limit).collect()}
+    for limit in (0, 1 << 20):
+        got = {r.doc_id: r.share for r in decontam.contaminated(docs, items, broadcast_bytes=limit).collect()}
         assert set(got) == {0, 1, 2, 3, 4, 5} and all(got[k] == 1.0 for k in range(5))
 
 
+def cheapest(value, words):
+    """guess_bits by trying every segmentation."""
+    from functools import cache
+    from math import log2
+
+    low = value.lower()
+
+    def part(a, b):
+        piece, n = low[a:b], b - a
+        brute = secrets._brute_bits(value[b - 1])
+        yield brute if n == 1 else float("inf")
+        if piece in words and n >= 3:
+            upper = sum(c.isupper() for c in value[a:b])
+            yield log2(words[piece] + 2) + (0 if not upper else 1 if upper == n or (upper == 1 and value[a].isupper()) else 1 + upper)
+        if (m := secrets.DATE.match(value, a)) and m.end() == b:
+            yield log2(365 * 120 if n > 4 else 120)
+        if n >= 3 and len(set(piece)) == 1:
+            yield brute + log2(n)
+        if n >= 3 and all(y in secrets._NEXT.get(x, ()) for x, y in zip(piece, piece[1:], strict=False)):
+            yield log2(94) + n - 1
+        if n in (2, 3, 4) and a >= n and low[a - n : a] == piece:
+            yield 2.0
+
+    @cache
+    def best(b):
+        return min((best(a) + cost for a in range(b) for cost in part(a, b)), default=float("inf")) if b else 0.0
+
+    return best(len(value))
+
+
+def test_guess_cost_equals_exhaustive_segmentation():
+    rng = random.Random(17)
+    words = {"pass": 3, "word": 9, "password": 1, "dragon": 40, "abc": 2}
+    parts = ["pass", "Word", "DRAGON", "aaa", "qwe", "2021", "2021-03-04", "x", "Q", "!", "7", "abab", "é", "zzzz", "123"]
+    for _ in range(300):
+        value = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+        assert abs(secrets.guess_bits(value, words) - cheapest(value, words)) < 1e-9, value
+    assert secrets.guess_bits("a" * 5000, words) < 900 and secrets.guess_bits("", words) == 0
+
+
+def test_assign_values_get_a_guess_span_by_their_cost(spark):
+    docs = spark.createDataFrame([(1, "password=changeme"), (2, "x token: k8QzErT2kpLw9xVb"), (None, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.spans, r.n_guess) for r in secrets.scan(docs, RANKS).collect()}
+    assert got == {1: ("assign:0:17", 0), 2: ("assign:2:25,guess:9:25", 1), None: ("", 0)}
+
+
+def test_names_of_input_columns_never_clash(spark):
+    docs = spark.createDataFrame([(1, "a", "x y", 5, 6, 7, 8)], "doc_id long, source string, text string, _bad int, _site int, score int, lang_pred int")
+    assert line_dedup.clean(docs).columns == docs.columns and line_dedup.clean(docs).first() == docs.first()
+    model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert langid.predict(docs, model, keep=True).select("row.*").first() == docs.first()
+    named = docs.selectExpr("doc_id", "1 as _bin", "2 as _place", "3 as _start", "4 as _cuts", "5 as _row", "6 as _group")
+    assert sharding.assign(named, 2).drop("shard", "slot").first() == named.first()
+
+
 def test_language_on_held_out_rows(spark):
     from vantry.llm.queries import op3_language_id
 

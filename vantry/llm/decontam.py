@@ -3,20 +3,23 @@
 Texts become templates: numbers, units and names are replaced by typed placeholders, other words
 are case-folded and stripped of punctuation at their ends. A second, case-free view types numbers and
 units only, so that a copy in other letter case meets its item even if capitals make or hide names. Windows of WINDOW template words (a
-whole item where it is shorter, but for items under SHORTEST words) of all benchmark items are
-joined by hash with the windows of all documents. A hit counts only if its slots are consistent:
+whole item where it is shorter) of all benchmark items are joined by hash with the windows of all documents. A hit counts only if its slots are consistent:
 within the window each benchmark value stands for one document value of the same type and each
 document value for one benchmark value. So a question with other numbers or names is caught,
 while a window whose slots contradict each other is not.
 
 A document is contaminated with an item if consistent windows cover at least COVER of the
-item's windows: those of the first view, or those of either view (a window counts once). Windows made of placeholders and fewer than PLAIN plain words are not used.
+item's windows: those of the first view, or those of either view (a window counts once). Windows made of placeholders and fewer than PLAIN plain words are not used. An item that has no
+other, and one of fewer than SHORTEST words, is looked for word by word instead, values and all, in any
+letter case (a third view); one of fewer than SHORTEST words must also stand as a sentence of its own.
 
-The benchmark's windows are broadcast while there are at most `broadcast_windows` of them;
-beyond that, the windows of documents and benchmark meet in a shuffled join.
+The benchmark's windows are written once. A bitmap of their hashes, of 16 MB at most, goes to all tasks,
+and only document windows that it lets pass are sent on. They meet the benchmark's by a broadcast while
+those have at most `broadcast_bytes`, else in a shuffled join.
 
 Null and empty texts have no windows and are clean. Repeated rows get repeated results; equal
-items are told apart by their ids. Other columns are not used, so their names cannot clash.
+items are told apart by their ids. Rows without a key count as one document; so do rows that share one.
+Other columns are not used, so their names cannot clash. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
+from vantry.llm.scratch import BROADCAST_BYTES, hinted, written
 
 WINDOW = 10
 SHORTEST = 4
@@ -45,6 +49,9 @@ UNITS = frozenset(
 NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?\Z")
 STRIP = "\"'`.,;:!?()[]{}<>|*_~“”‘’«»…-–—"
 KINDS = ("word", "number", "unit", "name")
+EXACT = np.uint64(0x5851F42D4C957F2D)  # sets the hashes of the third view apart
+MOST_BITS = 27  # of places in the bitmap of hashes
+WORD_BYTES = 12 << 20  # words that a task keeps
 
 
 class Words(dict):
@@ -52,6 +59,7 @@ class Words(dict):
 
     def __missing__(self, word: str) -> int:
         found = self[word] = len(self.rows)
+        self.weight += len(word) + 400
         bare = word.strip(STRIP)
         low = bare.casefold()
         if not bare:
@@ -71,6 +79,7 @@ class Words(dict):
     def __init__(self):
         super().__init__()
         self.rows: list[tuple[int, int, int, int, int, int]] = []
+        self.weight = 0
 
 
 def _hash(word: str) -> int:
@@ -79,11 +88,13 @@ def _hash(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
-def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """Template hash and kind of each word in either view, its value hash, and where each text begins among the words."""
-    if len(words) > 400_000:
+def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template hash and kind of each word in either view, its value hash, where each text begins among the words,
+    and whether a word opens or ends a sentence."""
+    if words.weight > WORD_BYTES:
         words.clear()
         words.rows.clear()
+        words.weight = 0
     codes: list[int] = []
     ends = [0]
     get = words.__getitem__
@@ -100,7 +111,8 @@ def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np
     common = (kind == 3) & opens  # a capital at the start of a sentence says nothing
     template = np.where(common, value, template)
     kind = np.where(common, np.uint8(0), kind)
-    return [(template, kind), (rows[:, 4], rows[:, 5].astype(np.uint8))], value, starts
+    stop[starts[1:][starts[1:] > 0] - 1] = True
+    return [(template, kind), (rows[:, 4], rows[:, 5].astype(np.uint8))], value, starts, opens, stop
 
 
 def window_hashes(template: np.ndarray, size: int) -> np.ndarray:
@@ -133,10 +145,10 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
         words = Words()
         for batch in batches:
             out: list[tuple] = []
-            views, value, starts = templates(batch.column(1).to_pylist(), words)
+            views, value, starts, *_ = templates(batch.column(1).to_pylist(), words)
             for k, item in enumerate(batch.column(0).to_pylist()):
                 a, b = int(starts[k]), int(starts[k + 1])
-                if b - a < SHORTEST:
+                if a == b:
                     continue
                 size = min(WINDOW, b - a)
                 found: list[dict[int, tuple]] = []
@@ -144,8 +156,12 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
                     found.append({
                         at: (hashed, kind[a + at : a + at + size].tobytes(), value[a + at : a + at + size].tobytes())
                         for at, hashed in enumerate(window_hashes(template[a:b], size).astype(np.int64).tolist())
-                        if int((kind[a + at : a + at + size] == 0).sum()) >= min(PLAIN, size)
+                        if b - a >= SHORTEST and int((kind[a + at : a + at + size] == 0).sum()) >= min(PLAIN, size)
                     })
+                if not found[0] and not found[1]:
+                    hashed = (window_hashes(value[a:b], size) ^ EXACT).astype(np.int64).tolist()
+                    out += [(item, at, size, 2, 0, len(hashed), h, bytes(size), value[a + at : a + at + size].tobytes()) for at, h in enumerate(hashed)]
+                    continue
                 of, any_of = len(found[0]), len(found[0].keys() | found[1].keys())
                 out += [(item, at, size, view, of, any_of, *rest) for view in (0, 1) for at, rest in found[view].items() if not view or found[0].get(at) != rest]
             columns = list(zip(*out, strict=True)) if out else [[]] * 9
@@ -154,40 +170,51 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") ->
     return rows.mapInArrow(run, "item long, at int, size int, view int, of int, any_of int, hash long, kinds binary, values binary")
 
 
-def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text", broadcast_windows: int = 500_000) -> DataFrame:
-    """key, item, at and view (of the item's window), of, any_of, doc_at (word of the document): the consistent windows."""
+def bitmap(windows: DataFrame) -> np.ndarray:
+    """Bits at the low ends of the windows' hashes; 256 places a window, 2 ** MOST_BITS at most."""
+    bits = min(MOST_BITS, max(18, windows.count().bit_length() + 8))
+    place = F.col("hash").bitwiseAND((1 << bits) - 1)
+    parts = windows.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")).collect()  # 4,096 of 4 KB at most
+    out = np.zeros((1 << bits - 15, 4096), np.uint8)
+    for r in parts:
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
+def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """key, item, at and view (of the item's window), of, any_of, doc_at (word of the document): the consistent windows.
+
+    windows: a written table of item_windows."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    shapes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # SHORTEST to WINDOW
-    known = None
-    if windows.count() <= broadcast_windows:
-        known = np.array(sorted({r["hash"] for r in windows.select("hash").distinct().collect()}), np.int64)
-    shared = spark.sparkContext.broadcast(known)
+    shapes = sorted((r["size"], r["exact"]) for r in windows.groupBy("size").agg(F.bool_or(F.col("view") == 2).alias("exact")).collect())  # 1 to WINDOW
+    shared = spark.sparkContext.broadcast(bitmap(windows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, known = Words(), shared.value
-        if known is not None:
-            filled = np.zeros(1 << 20, bool)  # a first look before the search
-            filled[known & 0xFFFFF] = True
+        words, filled = Words(), shared.value
+        low = np.uint64(8 * len(filled) - 1)
         for batch in batches:
             for part in slices(batch, 1):
-                views, value, starts = templates(part.column(1).to_pylist(), words)
+                views, value, starts, opens, stop = templates(part.column(1).to_pylist(), words)
+                plain = np.zeros(len(value), np.uint8)
                 owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                for size in shapes:
+                for size, exact in shapes:
                     first = None
-                    for template, kinds in views:
-                        hashed = window_hashes(template, size).astype(np.int64)
+                    for view, (template, kinds) in enumerate([*views, (value, plain)][: 3 if exact else 2]):
+                        hashed = window_hashes(template, size)
                         inside = owner[: len(hashed)] == owner[size - 1 :][: len(hashed)]
-                        if first is not None:
+                        if view == 2:
+                            hashed = hashed ^ EXACT
+                            if size < SHORTEST:
+                                inside = inside & opens[: len(hashed)] & stop[size - 1 :][: len(hashed)]
+                        elif view == 1:
                             inside &= hashed != first  # the other windows are the same in both views
                         first = hashed
-                        if known is not None:
-                            inside &= filled[hashed & 0xFFFFF]
+                        place = hashed & low
+                        inside &= (filled[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
                         at = np.flatnonzero(inside)
-                        if known is not None and len(known):
-                            spot = np.minimum(np.searchsorted(known, hashed[at]), len(known) - 1)
-                            at = at[known[spot] == hashed[at]]
+                        hashed = hashed.astype(np.int64)
                         if not len(at):
                             continue
                         yield pa.RecordBatch.from_arrays(
@@ -204,7 +231,7 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
 
     found = rows.mapInArrow(run, f"key {kind}, doc_at int, size int, hash long, kinds binary, doc_values binary")
     side = windows.select("item", "at", "view", "of", "any_of", "size", "hash", "kinds", "values")
-    both = found.join(F.broadcast(side) if known is not None else side, ["hash", "size", "kinds"])
+    both = found.join(hinted(side, 48, "kinds", "values", most=broadcast_bytes), ["hash", "size", "kinds"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,10 +242,10 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
     return both.select("key", "item", "at", "view", "of", "any_of", "doc_at", "kinds", "values", "doc_values").mapInArrow(check, f"key {kind}, item long, at int, view int, of int, any_of int, doc_at int")
 
 
-def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_windows: int = 500_000) -> DataFrame:
+def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """key, n_items, item_id (lowest of those with the largest share), share: documents that hold benchmark items; one row for each key."""
-    windows = item_windows(items, item_key, item_text)
-    found = hits(docs, windows, key, text, broadcast_windows)
+    windows = written(item_windows(items, item_key, item_text), "windows")
+    found = hits(docs, windows, key, text, broadcast_bytes)
     shares = (
         found.groupBy("key", "item", "of", "any_of", "at").agg(F.min("view").alias("view")).groupBy("key", "item")
         .agg(F.greatest(F.try_divide(F.count_if(F.col("view") == 0), F.first("of")), F.count("*") / F.first("any_of")).alias("share")).where(F.col("share") >= cover)

@@ -14,8 +14,13 @@ LANDMARKS and TRAINING bound the sample in rows; the rows are those with the low
 their key, an equal share for each language, so that they do not depend on the layout of the
 table. Everything else covers whole texts of all rows.
 
+The score is the best language's value between what a text without evidence gets (0; with K languages
+the K values add up to 2 - K, so that is 1 / K of the way) and certainty (1). `least` of a model is a bound
+that the labelled rows of the sample hold with a wide margin; texts in no learned language mostly do not.
+
 A text that is null, empty or without any letter gets `und` with score 0. Without labelled rows
-every text does. Repeated rows are scored alike. Other columns are not carried.
+every text does. Repeated rows are scored alike; null keys are kept. Other columns are carried as asked
+for, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ LANDMARKS = 192
 TRAINING = 2400
 RIDGE = 1e-2
 UNKNOWN = "und"
+LEAST_QUANTILE = 0.01  # of the scores of labelled rows
+LEAST_SHARE = 0.35  # of that quantile is the least score of a learned language
 
 
 def _places(points: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -107,8 +114,12 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Landmark vectors, weights, constants and the names of the languages."""
 
-    def __init__(self, landmarks: np.ndarray, weights: np.ndarray, constants: np.ndarray, names: list[str]):
-        self.landmarks, self.weights, self.constants, self.names = landmarks, weights, constants, names
+    def __init__(self, landmarks: np.ndarray, weights: np.ndarray, constants: np.ndarray, names: list[str], least: float = 0.0):
+        self.landmarks, self.weights, self.constants, self.names, self.least = landmarks, weights, constants, names, least
+
+    def score(self, best: np.ndarray) -> np.ndarray:
+        floor = 1 / len(self.names) if len(self.names) > 1 else 0.0
+        return np.clip(((best + 1) / 2 - floor) / (1 - floor), 0, 1)
 
     def predict(self, texts: list[str], rows: int = 512) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
@@ -117,7 +128,7 @@ class Model:
             if self.names:
                 values = (vectors @ self.landmarks.T) @ self.weights + self.constants
                 best = values.argmax(axis=1)
-                scores[at : at + rows] = np.where(spelled, np.clip((values[np.arange(len(best)), best] + 1) / 2, 0, 1), 0)
+                scores[at : at + rows] = np.where(spelled, self.score(values[np.arange(len(best)), best]), 0)
                 names += [self.names[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), spelled.tolist(), strict=True)]
             else:
                 names += [UNKNOWN] * len(spelled)
@@ -148,22 +159,28 @@ def fit(vectors: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridg
     bias = np.hstack([features, np.ones((len(labels), 1))])
     gram = bias.T @ (bias * weight[:, None]) + ridge * np.diag([1.0] * features.shape[1] + [1e-6])
     solved = np.linalg.solve(gram, bias.T @ (targets * weight[:, None]))
-    return Model(marks.astype(np.float32), (root @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32), names)
+    model = Model(marks.astype(np.float32), (root @ solved[:-1]).astype(np.float32), solved[-1].astype(np.float32), names)
+    own = (bias @ solved)[np.arange(len(labels)), [names.index(x) for x in labels]]
+    model.least = float(LEAST_SHARE * np.quantile(model.score(own), LEAST_QUANTILE))
+    return model
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", landmarks: int = LANDMARKS, training: int = TRAINING) -> Model:
     """Model of the labelled rows of docs; reads the texts of at most `training` of them. Rows without text are left out."""
     spark = docs.sparkSession
-    known = docs.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("string").alias("label"))
-    kinds = [r["label"] for r in known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(training).collect()]
-    if not kinds:
+    known = docs.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("string").alias("label"))
+    counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(training).collect()  # labels beyond the sample's size cannot be learned
+    if not counts:
         return fit(np.zeros((0, ORDERS * WIDTH), np.float32), [])
-    share = max(1, training // len(kinds))
-    picked = None
-    for kind in kinds:
-        part = known.where(F.col("label") == kind).orderBy(F.xxhash64("key"), "key").limit(share)
-        picked = part if picked is None else picked.unionByName(part)
-    keys = [r["key"] for r in picked.collect()]  # at most `training` keys
+    share = max(1, training // len(counts))
+    # one pass for all labels: rows with hashes under a bound that leaves somewhat more than the share
+    bounds = spark.createDataFrame([(r["label"], min(1.0, (1.2 * share + 30) / r["count"])) for r in counts], "label string, part double")
+    order = F.xxhash64("key")
+    low = known.join(F.broadcast(bounds), "label").where(order / 2.0**64 + 0.5 < F.col("part")).select("label", "key", order.alias("h")).distinct()
+    found: dict[str, list] = {}
+    for r in low.collect():  # a little over `training` keys
+        found.setdefault(r["label"], []).append((r["h"], r["key"]))
+    keys = [k for rows in found.values() for _, k in sorted(rows)[:share]]
     wanted = F.broadcast(spark.createDataFrame([(k,) for k in sorted(set(keys))], docs.select(F.col(key).alias("key")).schema))
     rows = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("string").alias("label"), F.col(text).alias("text")).join(wanted, "key", "left_semi")
 
@@ -192,18 +209,17 @@ def hash_order(key) -> int:
     return zlib.crc32(repr(key).encode())
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """key, lang_pred, score, and further columns of docs as listed in `keep`."""
+def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
+    """key, lang_pred, score; with keep instead row (a struct of all columns of docs), lang_pred, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks x 16,384 numbers
-    keep = keep or []
-    rows = docs.select(F.col(text).alias("_text"), F.col(key), *(F.col(c) for c in keep))
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in [key, *keep])
+    rows = docs.select(F.col(text).alias("text"), (F.struct("*") if keep else F.col(key)).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             for part in slices(batch, 0, 4 << 20):
                 names, scores = model.predict([x or "" for x in part.column(0).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(names, pa.string()), pa.array(scores)], [key, *keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    return out if keep else out.withColumnRenamed("row", key)

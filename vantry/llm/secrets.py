@@ -1,18 +1,17 @@
 """Secrets in texts: fixed patterns, and values whose guess cost is high.
 
 Base spans are those of three patterns (assign, access, hex). The method adds spans of kind
-`guess`: values in other credential contexts (a word such as passphrase or credential before
-`:`, `=` or `is`) that no cheap guess covers. The guess cost of a value is the least sum, over
-all ways to cut it up, of the log2 cost of its parts: words by their rank in a dictionary,
-dates, repeats, keyboard walks, and brute-force spans by the kinds of their characters. It is
-found by dynamic programming over the ends of the parts, and it alone decides: values have any length
-and any characters. A guess span inside a base span is left out; one that only meets or holds a base span
-stays, whole. Assign values get the same cost, as a
-figure beside the span.
+`guess`: values in credential contexts that no cheap guess covers. Contexts are the assign pattern, whose
+value is group 2, and further words (such as passphrase or credential) before `:`, `=` or `is`. The guess
+cost of a value is the least sum, over all ways to cut it up, of the log2 cost of its parts: words by their
+rank in a dictionary, dates, repeats, keyboard walks, and brute-force spans by the kinds of their
+characters. It is found by dynamic programming over the ends of the parts, and it alone decides: values
+have any length and any characters. So `password=changeme` has an assign span alone, and a random
+password a guess span beside it. A guess span of a further context that lies inside a base span is left out.
 
 Positions are code points, end exclusive. Null texts count as empty and have no spans. Whole
 texts are searched; the work is a narrow map without any shuffle. Repeated rows give repeated
-rows; other columns are not carried.
+rows; null keys are kept; other columns, whatever their names, are not carried. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +40,7 @@ ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrs
 DATE = re.compile(r"(?:19|20)\d\d[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)?\d\d|(?:19|20)\d\d")
 
 GUESS_BITS = 45.0  # values that cost at least so many bits are reported
-LONGEST = 256  # the cost of a longer value is that of its parts of this length, added up
+PART_MOST = 64  # characters of a repeat or walk; a longer one is several parts
 
 _NEXT: dict[str, set[str]] = {}
 for _row in ROWS:
@@ -50,16 +49,20 @@ for _row in ROWS:
         _NEXT.setdefault(_b, set()).add(_a)
 
 
+class Dictionary(dict):
+    """Lower-case words by rank, and the length of the longest."""
+
+    longest = 0
+
+
 def _brute_bits(char: str) -> float:
     return math.log2(10 if char.isdigit() else 26 if char.isascii() and char.isalpha() else 33 if char.isascii() else 1000)
 
 
 def guess_bits(value: str, words: dict[str, int]) -> float:
     """log2 of the guesses for the cheapest segmentation of value; words: lower-case words by rank."""
-    if len(value) > LONGEST:
-        return sum(guess_bits(value[at : at + LONGEST], words) for at in range(0, len(value), LONGEST))
-    low, n = value.lower(), len(value)
-    longest = min(n, 24)
+    low, n = "".join(c.lower() if len(c.lower()) == 1 else c for c in value), len(value)
+    longest = min(n, words.longest if isinstance(words, Dictionary) else max(map(len, words), default=0))
     best = [0.0] + [math.inf] * n
     dates: dict[int, list[int]] = {}
     for at in range(n):
@@ -80,9 +83,9 @@ def guess_bits(value: str, words: dict[str, int]) -> float:
             run = run + 1 if low[end - 1] == low[end - 2] else 1
             walk = walk + 1 if low[end - 1] in _NEXT.get(low[end - 2], ()) else 1
         if run >= 3:
-            cost = min(cost, *(best[end - k] + _brute_bits(value[end - 1]) + math.log2(k) for k in range(3, run + 1)))
+            cost = min(cost, *(best[end - k] + _brute_bits(value[end - 1]) + math.log2(k) for k in range(3, min(run, PART_MOST) + 1)))
         if walk >= 3:
-            cost = min(cost, *(best[end - k] + math.log2(94) + (k - 1) * 1.0 for k in range(3, walk + 1)))
+            cost = min(cost, *(best[end - k] + math.log2(94) + (k - 1) * 1.0 for k in range(3, min(walk, PART_MOST) + 1)))
         for unit in (2, 3, 4):  # a repeat of a longer unit
             if end >= 2 * unit and low[end - unit : end] == low[end - 2 * unit : end - unit]:
                 cost = min(cost, best[end - unit] + 2.0)
@@ -126,9 +129,10 @@ def dictionary(rank_file: str, least: int = 3) -> dict[str, int]:
             word = base64.b64decode(token).decode("utf-8", "replace").strip().lower()
             if len(word) >= least and word.isalpha():
                 tokens.append((int(rank), word))
-    out: dict[str, int] = {}
+    out = Dictionary()
     for _, word in sorted(tokens):
         out.setdefault(word, len(out))
+    out.longest = max(map(len, out), default=0)
     return out
 
 
@@ -136,7 +140,7 @@ def scan(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text
     """key, n_assign, n_access, n_hex, n_guess (long), base, spans (strings kind:start:end, comma-joined), bits
     (the guess cost of each assign value, in order). `rank_file` gives the dictionary; the driver reads it."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionary(rank_file))
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
@@ -145,16 +149,24 @@ def scan(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text
                 base, spans, counts, bits = [], [], [[], [], [], []], []
                 for value in part.column(1).to_pylist():
                     found = base_spans(value)
-                    more = sorted(found + [g for g in guess_spans(value, words) if not any(s <= g[0] and g[2] <= e for s, _, e in found)])
+                    costs, guessed = [], set()
+                    for start, kind, _ in found:
+                        if kind == 0:
+                            m = ASSIGN.match(value, start)
+                            costs.append(round(guess_bits(m[2], words), 3))
+                            if costs[-1] >= GUESS_BITS:
+                                guessed.add((m.start(2), 3, m.end(2)))
+                    guessed |= {g for g in guess_spans(value, words) if not any(s <= g[0] and g[2] <= e for s, _, e in found)}
+                    more = sorted([*found, *guessed])
                     base.append(joined(found))
                     spans.append(joined(more))
                     for kind in range(4):
                         counts[kind].append(sum(1 for x in more if x[1] == kind))
-                    bits.append([round(guess_bits(ASSIGN.match(value, s)[2], words), 3) for s, kind, _ in found if kind == 0])
+                    bits.append(costs)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(base, pa.string()), pa.array(spans, pa.string()), pa.array(bits, pa.list_(pa.float64()))],
-                    [key, "n_assign", "n_access", "n_hex", "n_guess", "base", "spans", "bits"],
+                    ["key", "n_assign", "n_access", "n_hex", "n_guess", "base", "spans", "bits"],
                 )
 
-    return rows.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_assign long, n_access long, n_hex long, n_guess long, base string, spans string, bits array<double>")
-
+    out = rows.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, n_assign long, n_access long, n_hex long, n_guess long, base string, spans string, bits array<double>")
+    return out.withColumnRenamed("key", key)

@@ -7,7 +7,7 @@ all divisions of the rows are equally likely and every shard is filled exactly.
 permuted within their group, cut by the matrix, exchanged, and permuted again within the shard.
 
 Nulls, repeated rows and ties need no care: row numbers are unique. An empty table gives no
-rows. Output columns replace input columns of the same names.
+rows. Input columns of any name are kept, but for shard and slot, which the output replaces.
 """
 
 from __future__ import annotations
@@ -62,8 +62,8 @@ def assign(rows: DataFrame, shards: int, seed: int = 20240229, groups: int = GRO
     that row numbers stay the same if an executor is lost.
     """
     spark = rows.sparkSession
-    rows = rows.drop("shard", "slot", "_row", "_group")
-    named = written(rows.withColumn("_row", F.monotonically_increasing_id()), "shards")
+    rows = rows.drop("shard", "slot")
+    named = written(rows.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("_row")), "shards")
     dealt = named.withColumn("_group", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(groups)).cast("int"))
 
     counts = {r["_group"]: r["count"] for r in dealt.groupBy("_group").count().collect()}  # `groups` rows at most
@@ -89,6 +89,5 @@ def assign(rows: DataFrame, shards: int, seed: int = 20240229, groups: int = GRO
     return (
         sent.withColumn("_place", F.row_number().over(again))
         .join(F.broadcast(starts), ["shard", "_bin"])
-        .withColumn("slot", F.col("_start") + F.col("_place") - 1)
-        .drop("_row", "_bin", "_place", "_start")
+        .select(*(F.col("row").getField(c).alias(c) for c in rows.columns), "shard", (F.col("_start") + F.col("_place") - 1).alias("slot"))
     )

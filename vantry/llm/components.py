@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantry.llm.scratch import written
+from vantry.llm.scratch import dropped, written
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        stars = written(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        old, stars = stars, written(small.unionByName(lower.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        dropped(old)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == mark:
             break
@@ -30,4 +31,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     found = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
+    out = written(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()), "components")
+    dropped(stars)
+    return out

@@ -23,17 +23,20 @@ either has left, which bounds the size of a partner (`most`). The first shingle
 sets share holds them within both bounds, so pairs outside them are never made.
 
 Only what connects matters for components. Each list first proposes its members paired with one
-leader, its smallest set and then one drawn for each list; verified pairs are merged into components; then,
+leader, its smallest set and then one drawn for each list, and each member is tried with the most alike of its leaders;
+verified pairs are merged into components; then,
 in lists that still hold several components, members with a possible partner in another component
 are paired with those. So groups of near copies cost a pair or two a member, while no link between
 components is lost: every pair that could link and is not yet connected is verified on the full
-sets. Parities of 128 hash buckets of a set differ in no more places than the sets do, which rules
-out most pairs that do not link as they are made. The lists that propose a pair, and what is left behind the last of them, bound what it can
-share, which leaves few pairs to verify.
+sets. Parities of hash buckets of a set differ in no more places than the sets do, which rules out
+nearly all pairs that do not link: those of a few buckets as the pairs are made, those of about
+twice as many buckets as the set has shingles before any set is sent. The lists that propose a pair, and what is left behind the last of
+them, bound what it can share.
 
 Null texts and texts without words have empty sets and link with nothing. Repeated rows link by
-equality. Keys must be integers; rows that share a key are one document with several sets.
-Other columns are not used.
+equality. Keys must be integers; rows that share a key are one document with several sets. A row
+without a key cannot be named: it links with nothing and has no component. Other columns, whatever
+their names, are not used. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -51,25 +54,40 @@ from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
 from vantry.llm.components import components
-from vantry.llm.scratch import written
+from vantry.llm.scratch import dropped, hinted, written
 
 WORDS = 5
 PERCENT = 80
 CELLS = 1 << 18
 LIGHT_MOST = 12
 LEADERS = 2
+LONGEST_SIGN = 1 << 16  # parities of a set at most
+COARSE = 128  # parities that list entries carry while leaders are tried
+FINE = 256  # and when all open pairs are made
+WORD_BYTES = 8 << 20  # words whose hashes a task keeps
 
 
 class _WordHashes(dict):
+    """Hashes of words; bounded in bytes."""
+
+    weight = 0
+
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(word) < 64:
+            self.weight += len(word) + 150
+            self[word] = found
         return found
 
+    def bound(self) -> None:
+        if self.weight > WORD_BYTES:
+            self.clear()
+            self.weight = 0
+
 
 def shingle_sets(texts: list[str], known: _WordHashes, words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    if len(known) > 400_000:
-        known.clear()
+    known.bound()
     get = known.__getitem__
     hashes: list[int] = []
     ends = [0]
@@ -145,14 +163,55 @@ def sketch(docs: DataFrame, text: str = "text", words: int = WORDS) -> np.ndarra
     return out.ravel()
 
 
+ODD = [f"odd{k}" for k in range(FINE // 64)]
+
+
+def sign(s: np.ndarray) -> np.ndarray:
+    """Whether each hash bucket holds an odd number of the set's shingles, as bits; twice as many buckets as shingles or more, up to LONGEST_SIGN."""
+    buckets = min(LONGEST_SIGN, max(FINE, 1 << (2 * len(s)).bit_length()))
+    return np.packbits((np.bincount((mix(s) & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets) & 1).astype(np.uint8))
+
+
+def fold(signs: np.ndarray, size: int) -> np.ndarray:
+    """Parities of fewer buckets (size bytes of them), each the sum of several."""
+    return np.bitwise_xor.reduce(signs.reshape(-1, size), axis=0)
+
+
 def parities(s: np.ndarray) -> np.ndarray:
-    """Whether each of 128 hash buckets holds an odd number of the set's shingles, as two 64-bit integers."""
-    odd = np.bincount((mix(s) >> np.uint64(57)).astype(np.int64), minlength=128) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    """Those of FINE buckets, as 64-bit integers."""
+    return fold(sign(s), FINE // 8).view(np.int64)
+
+
+def folded(buckets: int) -> list[Column]:
+    n = buckets // 64
+    return [F.expr(" ^ ".join(ODD[k::n])).alias(f"odd{k}") for k in range(n)]
+
+
+def apart(buckets: int) -> Column:
+    """In how many parities two sets differ: no more than the shingles that only one of them has."""
+    return F.expr(" + ".join(f"bit_count(odd{k} ^ yodd{k})" for k in range(buckets // 64)))
+
+
+def near_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, total) that differ in few enough parities of all buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for total, x, y in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                size = min(len(x), len(y))
+                differ = int.from_bytes((fold(x, size) ^ fold(y, size)).tobytes(), "little").bit_count()
+                good.append(differ <= total - 2 * overlap_needed(total, percent))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:3]], ["a", "b", "total"])
+
+    signs = reps.select("key", "sign")
+    both = pairs.join(signs.select(F.col("key").alias("a"), F.col("sign").alias("x")), "a").join(signs.select(F.col("key").alias("b"), F.col("sign").alias("y")), "b")
+    return both.select("a", "b", "total", "x", "y").mapInArrow(run, "a long, b long, total int")
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """key, n (set size), digest, odd0 and odd1 (parities), first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
+    """key, n (set size), digest, sign and odd0 to odd3 (parities), first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,17 +222,18 @@ def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: in
                 first = []
                 for s in sets:
                     cell = counts[(s >> np.uint64(46)).astype(np.int64)]
-                    order = np.lexsort((s, cell))
+                    order = np.argsort(cell, kind="stable")
                     first.append(s[order[: prefix_length(len(s), percent) if len(s) > LIGHT_MOST else len(s)]].astype(np.int64))
                 ends = np.cumsum([0, *map(len, first)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*first, np.zeros(0, np.int64)])))
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                odd = np.array([parities(s) for s in sets], np.int64).reshape(-1, 2)
-                columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(odd[:, 0]), pa.array(odd[:, 1]), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "digest", "odd0", "odd1", "first"])
+                signs = [sign(s) for s in sets]
+                odd = np.array([fold(x, FINE // 8).view(np.int64) for x in signs], np.int64).reshape(-1, len(ODD))
+                columns = [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array([x.tobytes() for x in signs], pa.binary()), *map(pa.array, np.ascontiguousarray(odd.T)), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "digest", "sign", *ODD, "first"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "key long, n long, digest binary, odd0 long, odd1 long, first array<bigint>")
+    return rows.mapInArrow(run, f"key long, n long, digest binary, sign binary, {' long, '.join(ODD)} long, first array<bigint>")
 
 
 def light_boundary(sizes: dict[int, int], mean_list: float, percent: int = PERCENT) -> int:
@@ -218,13 +278,14 @@ def light_links(light: DataFrame, bound: int, percent: int) -> DataFrame:
     return found.join(least, "subset").select(F.col("key").alias("a"), other.alias("b")).where("a <> b").distinct()
 
 
-def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT, broadcast_keys: int = 500_000) -> DataFrame:
+def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component (least key reachable by links) of every row."""
     counts = sketch(docs, text, words)
     sets = written(prefixes(docs, counts, key, text, words, percent), "sets")
-    classes = sets.where("n > 0").groupBy("digest", "n").agg(F.min("key").alias("rep"))
+    named = sets.where("n > 0 and key is not null")
+    classes = named.groupBy("digest", "n").agg(F.min("key").alias("rep"))
     chosen = written(classes.select(F.col("rep").alias("key")), "reps")
-    reps = sets.where("n > 0").join(hinted(chosen, broadcast_keys), "key", "left_semi").select("key", F.col("n").cast("int").alias("n"), "odd0", "odd1", "first")
+    reps = named.join(hinted(chosen, 8), "key", "left_semi").withColumn("n", F.col("n").cast("int"))
 
     # inverted lists of two sets or more; light sets list their prefix too
     listed = reps.select("key", "n", F.posexplode(F.expr(f"slice(first, 1, cast({PREFIX.format(p=percent, n='n')} as int))")).alias("pos", "shingle"))
@@ -236,25 +297,31 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     bound = light_boundary(small, shape["rows"] / max(1, shape["lists"]), percent)
     edges = written(light_links(reps.where(F.col("n") <= bound).select("key", "first"), bound, percent), "light")
 
+    def linked(pairs: DataFrame, whole: bool) -> None:
+        nonlocal edges, labels
+        old = edges, labels
+        edges = written(edges.unionByName(verified(pairs, reps, docs, key, text, words, bound, percent, whole)), "links")
+        labels = components(edges)
+        dropped(*old)
+
     labels = components(edges)
-    odd = reps.select("key", "odd0", "odd1")
     for turn in range(LEADERS):
-        named = named_lists(lists, labels, odd, percent)
+        entries = named_lists(lists, labels, reps.select("key", *folded(COARSE)), COARSE, percent)
         first = F.struct("n", F.xxhash64("key").alias("h")) if turn == 0 else F.xxhash64("key", "shingle", F.lit(turn))
-        lead = named.groupBy("shingle").agg(F.min(F.struct(first.alias("first"), *partner())).alias("l"))
-        pairs = named.join(lead, "shingle").select("*", "l.*").where(possible(percent)).select("key", "n", "pos", "y", "yn", "ypos")
-        edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys, whole=False)), "links")
-        labels = components(edges)
+        lead = entries.groupBy("shingle").agg(F.min(F.struct(first.alias("first"), *partner(COARSE))).alias("l"))
+        pairs = entries.join(lead, "shingle").select("*", "l.*").where(possible(COARSE, percent))
+        # of a member's leaders the one it differs least from
+        best = F.min(F.struct(apart(COARSE).alias("d"), "y", "n", "pos", "yn", "ypos")).alias("b")
+        linked(pairs.groupBy("key").agg(best).select("key", "b.n", "b.pos", "b.y", "b.yn", "b.ypos"), whole=False)
 
     # lists that still hold several components: all pairs within both bounds of members that have any
-    named = written(named_lists(lists, labels, odd, percent), "named")
-    pairs = open_pairs(named, percent)
-    edges = written(edges.unionByName(verified(pairs, docs, key, text, words, bound, percent, broadcast_keys)), "links")
-    labels = components(edges)
+    entries = written(named_lists(lists, labels, reps.select("key", *folded(FINE)), FINE, percent), "named")
+    linked(open_pairs(entries, percent), whole=True)
+    dropped(lists, entries, edges, chosen)
 
-    named = reps_to_rows(sets, classes, labels)
     # copies with a lower key than their representative cannot exist; the component is named by its least key
-    return named.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "key").alias("component"))
+    found = F.when(F.col("key").isNotNull(), F.coalesce("component", "rep", "key"))
+    return reps_to_rows(sets, classes, labels).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), found.alias("component"))
 
 
 def reps_to_rows(sets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
@@ -279,25 +346,24 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 #: A member of a list as another one's partner.
-PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most", "yodd0": "odd0", "yodd1": "odd1"}
+PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most"}
 
 
-def partner() -> list[Column]:
-    return [F.col(old).alias(new) for new, old in PARTNER.items()]
+def partner(buckets: int) -> list[Column]:
+    return [F.col(old).alias(new) for new, old in PARTNER.items()] + [F.col(x).alias(f"y{x}") for x in ODD[: buckets // 64]]
 
 
-def possible(percent: int) -> Column:
+def possible(buckets: int, percent: int) -> Column:
     """Whether a member and its partner are in different components, within both bounds, and differ in few enough parities."""
-    apart = F.expr("bit_count(odd0 ^ yodd0) + bit_count(odd1 ^ yodd1)")
-    few = apart <= F.expr("n + yn") - 2 * overlap_needed(F.expr("n + yn"), percent)
+    few = apart(buckets) <= F.expr("n + yn") - 2 * overlap_needed(F.expr("n + yn"), percent)
     return (F.col("comp") != F.col("ycomp")) & (F.col("n") <= F.col("ymost")) & (F.col("yn") <= F.col("most")) & few
 
 
-def named_lists(lists: DataFrame, labels: DataFrame, odd: DataFrame, percent: int) -> DataFrame:
-    """shingle, key, n, pos, comp, odd0, odd1, most (size of the largest set that can link with this one if this is the first shingle they share)."""
+def named_lists(lists: DataFrame, labels: DataFrame, odd: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """shingle, key, n, pos, comp, parities, most (size of the largest set that can link with this one if this is the first shingle they share)."""
     named = lists.join(odd.join(labels.withColumnRenamed("node", "key"), "key", "left"), "key")
     most = F.expr(f"cast({100 + percent} * (n - pos) div {percent} - n as int)")
-    return named.select("shingle", "key", "n", "pos", F.coalesce("component", "key").alias("comp"), "odd0", "odd1", most.alias("most"))
+    return named.select("shingle", "key", "n", "pos", F.coalesce("component", "key").alias("comp"), *ODD[: buckets // 64], most.alias("most"))
 
 
 def open_pairs(named: DataFrame, percent: int) -> DataFrame:
@@ -313,24 +379,19 @@ def open_pairs(named: DataFrame, percent: int) -> DataFrame:
     ).where("parts > 1")
     second = parts.join(least, "shingle").where(F.col("comp") != F.col("least.comp")).groupBy("shingle").agg(F.min("n").alias("second"), F.first("least").alias("least"), F.first("main").alias("main"))
     able = named.join(second, "shingle").where(F.when(F.col("comp") == F.col("least.comp"), F.col("second")).otherwise(F.col("least.n")) <= F.col("most"))
-    able = able.select("shingle", "key", "n", "pos", "comp", "most", "odd0", "odd1", "main")
-    other = able.select("shingle", *partner())
+    able = able.select("shingle", "key", "n", "pos", "comp", "most", *ODD[: FINE // 64], "main")
+    other = able.select("shingle", *partner(FINE))
     once = (F.col("ycomp") == F.col("main")) | (F.col("key") < F.col("y"))
-    return able.where("comp <> main").join(other, "shingle").where(possible(percent) & once).select("key", "n", "pos", "y", "yn", "ypos")
-
-
-def hinted(keys: DataFrame, most: int) -> DataFrame:
-    """A written table of keys, to be broadcast while it has at most `most` rows of 8 bytes."""
-    return F.broadcast(keys) if keys.count() <= most else keys
+    return able.where("comp <> main").join(other, "shingle").where(possible(FINE, percent) & once).select("key", "n", "pos", "y", "yn", "ypos")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, broadcast_keys: int, whole: bool = True) -> DataFrame:
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, whole: bool = True) -> DataFrame:
     """a, b of the pairs (key, n, pos, y, yn, ypos; one row for each list that proposes them) that link.
 
     Pairs of two light sets are left out. The lists that propose a pair are the first shingles it shares, as both bounds
     shrink along a set; so it shares at most as many, and what either set has behind the last of them. That
-    holds where all such lists propose it (`whole`); leaders lead some of them only.
-    Sets are made again from the texts of the pairs that remain.
+    holds where all such lists propose it (`whole`); leaders lead some of them only. Then the parities of all
+    buckets are compared, and sets are made again from the texts of the pairs that remain.
     """
     one = pairs.where(F.greatest("n", "yn") > bound).select(
         F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"), F.expr("n + yn").alias("total"), F.least(F.expr("n - pos"), F.expr("yn - ypos")).alias("left")
@@ -340,9 +401,11 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int,
     if whole:
         each = each.where(F.col("lists") + F.col("left") - 1 >= need)
     each = written(each.select("a", "b", "total"), "pairs")
-    active = written(each.select(F.explode(F.array("a", "b")).alias(key)).distinct(), "active")
-    full = full_sets(docs.where(F.col(text).isNotNull()).join(hinted(active, broadcast_keys), key, "left_semi"), key, text, words)
+    near = written(near_pairs(each, reps, percent), "near")
+    dropped(each)
+    active = written(near.select(F.explode(F.array("a", "b")).alias(key)).distinct(), "active")
+    full = full_sets(docs.where(F.col(text).isNotNull()).join(hinted(active, 8), key, "left_semi"), key, text, words)
     left = full.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     right = full.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    both = each.join(left, "a").join(right, "b")
+    both = near.join(left, "a").join(right, "b")
     return both.where(F.size(F.array_intersect("sa", "sb")) >= need).select("a", "b").distinct()

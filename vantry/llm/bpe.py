@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from vantry.llm.chunks import CutCoder, WordCoder, gathered, id_lists, slices
 
 
+SLICE_BYTES = 1 << 20  # of texts encoded at once
+CACHE_BYTES = 32 << 20
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: a base64 token and its rank on each line."""
     with open(path, "rb") as lines:
@@ -162,7 +166,7 @@ class MergeReplay:
 
 def _coder(merges: Merges, pattern: str) -> CutCoder:
     replay = MergeReplay(merges)
-    return CutCoder(WordCoder(lambda words: replay.encode([word.encode("utf-8", "surrogatepass") for word in words]), pattern))
+    return CutCoder(WordCoder(lambda words: replay.encode([word.encode("utf-8", "surrogatepass") for word in words]), pattern), CACHE_BYTES)
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", packed: bool = False, decoded: bool = False) -> DataFrame:
@@ -178,7 +182,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         merges = shared.value
         code = _coder(merges, pattern)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 ids, ends = code(part.column(1).to_pylist())
                 columns = [part.column(0), id_lists(ids, ends, packed)]
                 if decoded:

@@ -51,7 +51,8 @@ STRIP = "\"'`.,;:!?()[]{}<>|*_~“”‘’«»…-–—"
 KINDS = ("word", "number", "unit", "name")
 EXACT = np.uint64(0x5851F42D4C957F2D)  # sets the hashes of the third view apart
 MOST_BITS = 27  # of places in the bitmap of hashes
-WORD_BYTES = 12 << 20  # words that a task keeps
+WORD_BYTES = 24 << 20  # words that a task keeps
+SLICE_BYTES = 1 << 20  # of texts looked at together
 
 
 class Words(dict):
@@ -195,7 +196,7 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
         words, filled = Words(), shared.value
         low = np.uint64(8 * len(filled) - 1)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, SLICE_BYTES):
                 views, value, starts, opens, stop = templates(part.column(1).to_pylist(), words)
                 plain = np.zeros(len(value), np.uint8)
                 owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
@@ -239,7 +240,9 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
             good = [a == b or consistent(np.frombuffer(k, np.uint8), np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for k, a, b in zip(kinds, ours, theirs, strict=True)]
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:7]], ["key", "item", "at", "view", "of", "any_of", "doc_at"])
 
-    return both.select("key", "item", "at", "view", "of", "any_of", "doc_at", "kinds", "values", "doc_values").mapInArrow(check, f"key {kind}, item long, at int, view int, of int, any_of int, doc_at int")
+    # few rows; checked behind an exchange, so that the workers that read the texts are done by then
+    few = both.select("key", "item", "at", "view", "of", "any_of", "doc_at", "kinds", "values", "doc_values").repartition("key", "doc_at")
+    return few.mapInArrow(check, f"key {kind}, item long, at int, view int, of int, any_of int, doc_at int")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

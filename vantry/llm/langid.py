@@ -121,7 +121,7 @@ class Model:
         floor = 1 / len(self.names) if len(self.names) > 1 else 0.0
         return np.clip(((best + 1) / 2 - floor) / (1 - floor), 0, 1)
 
-    def predict(self, texts: list[str], rows: int = 512) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str], rows: int = 128) -> tuple[list[str], np.ndarray]:
         names, scores = [], np.zeros(len(texts))
         for at in range(0, len(texts), rows):
             vectors, spelled = presence(texts[at : at + rows])
@@ -186,7 +186,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 2, 4 << 20):
+            for part in slices(batch, 2, 256 << 10):
                 vectors, _ = presence(part.column(2).to_pylist())
                 bits = [np.packbits(v > 0).tobytes() for v in vectors]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits, pa.binary())], ["key", "label", "bits"])
@@ -217,7 +217,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, 0, 4 << 20):
+            for part in slices(batch, 0, 1 << 20):
                 names, scores = model.predict([x or "" for x in part.column(0).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vantry.functions import scalars as S
 from vantry.operators import catalog, manifest
 from vantry.operators.ranges import overlap_join
-from vantry.plans import encounters, files  # noqa: F401  files registers its queries with the others
+from vantry.plans import encounters, files, work  # noqa: F401  files and work register their queries with the others
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -47,7 +47,7 @@ def test_recording_start(spark, value, want):
 
 def test_formats(spark):
     assert [one(spark, v, S.clock, "double") for v in (0.0, 3661.9, 86_400.0 + 5, None)] == ["00:00:00", "01:01:01", "00:00:05", "--:--:--"]
-    assert [one(spark, v, S.speaker_label) for v in ("0", "12", "Unknown_Speaker")] == ["SPEAKER_00", "SPEAKER_12", "Unknown_Speaker"]
+    assert [one(spark, v, S.speaker_label) for v in ("0", "12", "007", "0123", "Unknown_Speaker")] == ["SPEAKER_00", "SPEAKER_12", "SPEAKER_07", "SPEAKER_123", "Unknown_Speaker"]
     assert [one(spark, v, S.annotation_ms, "double") for v in (0.0005, 0.0015, 0.0025)] == [0, 2, 2]
     assert [one(spark, v, S.pitch_bucket, "double") for v in (144.9, 145.0, 185.0, 185.1)] == ["lower", "ambiguous", "ambiguous", "higher"]
 

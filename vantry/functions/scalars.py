@@ -31,8 +31,9 @@ def clock(seconds: Column) -> Column:
 
 
 def speaker_label(speaker: Column) -> Column:
-    """Bare integers as SPEAKER_nn."""
-    return F.when(speaker.rlike(r"^\d+$"), F.concat(F.lit("SPEAKER_"), F.when(F.length(speaker) < 2, F.lpad(speaker, 2, "0")).otherwise(speaker))).otherwise(speaker)
+    """Bare integers as SPEAKER_nn, by their value; anything else as it stands."""
+    number = F.regexp_extract(speaker, r"^0*(\d+)$", 1)
+    return F.when(number != "", F.concat(F.lit("SPEAKER_"), F.lpad(number, F.greatest(F.length(number), F.lit(2)), F.lit("0")))).otherwise(speaker)
 
 
 def annotation_ms(seconds: Column) -> Column:

@@ -76,3 +76,27 @@ def absent(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
 
 def repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def insert_if_absent(known: DataFrame, rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows to add and the rows refused: their key is known, or stands more than once among them."""
+    twice = repeated(rows, keys).select(*keys)
+    fresh = absent(absent(rows, known, keys), twice, keys)
+    return fresh, absent(rows, fresh, keys)
+
+
+def lookup(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Each wanted key with its row; nulls where there is none."""
+    return wanted.select(*keys).distinct().join(rows, keys, "left")
+
+
+def listing(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in the string order of their keys."""
+    return rows.orderBy(*(F.col(k).cast("string") for k in keys))
+
+
+def rematch(cached: DataFrame, recordings: DataFrame, rooms: DataFrame, cases: DataFrame) -> DataFrame:
+    """Matches of all recordings: cached `matched` rows stay, every other file is matched again."""
+    kept = cached.where("status = 'matched'").join(recordings.select("filename"), "filename", "left_semi")
+    fresh = match(parse_names(absent(recordings.select("filename"), kept, ["filename"])), rooms, cases)
+    return kept.unionByName(fresh)

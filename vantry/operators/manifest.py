@@ -62,12 +62,27 @@ def current_state(log: DataFrame) -> DataFrame:
 
 
 def bad_updates(updates: DataFrame, videos: DataFrame) -> DataFrame:
-    """Rows with an illegal status or without a video, with the reason."""
-    illegal = updates.where(~F.col("status").isin(*STATUSES)).withColumn("reason", F.lit("status"))
-    missing = updates.where(F.col("status").isin(*STATUSES)).join(videos.select("case_id", "camera"), ["case_id", "camera"], "left_anti").withColumn("reason", F.lit("key"))
+    """case_id, camera, status, reason of rows with an illegal status (null is none) or without a video. Columns that are no state are refused."""
+    if unknown := set(updates.columns) - {"case_id", "camera", "status"}:
+        raise ValueError(f"unknown columns: {sorted(unknown)}")
+    legal = F.coalesce(F.col("status").isin(*STATUSES), F.lit(False))
+    illegal = updates.where(~legal).withColumn("reason", F.lit("status"))
+    missing = updates.where(legal).join(videos.select("case_id", "camera"), ["case_id", "camera"], "left_anti").withColumn("reason", F.lit("key"))
     return illegal.unionByName(missing)
 
 
+def only_case(rows: DataFrame, case_id: str | None) -> DataFrame:
+    """The work list of one case; all of it for None."""
+    return rows if case_id is None else rows.where(F.col("case_id") == case_id)
+
+
+def reuse(todo: DataFrame, cache: DataFrame, keys: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of the cache for the keys to do, and those that `work` makes of the keys it lacks; `cached` tells them apart."""
+    known = cache.join(todo.select(*keys).distinct(), keys, "left_semi").withColumn("cached", F.lit(True))
+    fresh = work(todo.join(cache.select(*keys).distinct(), keys, "left_anti"))
+    return known.unionByName(fresh.withColumn("cached", F.lit(False)))
+
+
 def run_stage(rows: DataFrame, work: Callable[[dict], dict | None]) -> DataFrame:
     """case_id, camera, status, error_type, error_msg, extra: work(row) is called for each row in executor tasks;
     it may return column updates and its own status, and an exception fails its row alone."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vantry.functions import scalars as S
+
 
 def registered_inventory(cases: DataFrame, matches: DataFrame, videos: DataFrame) -> DataFrame:
     """Matched cases with their videos and minutes."""
@@ -31,3 +33,21 @@ def one_axis_sweep(runs: DataFrame, fields: list[str], measure: str) -> DataFram
     fixed = [F.when(F.col("axis") != f, F.col(f)).alias(f) for f in fields]
     groups = spread.select("axis", *fixed, value, "n", "lo", "hi").groupBy("axis", *fields)
     return groups.agg(F.countDistinct("value").alias("n_values"), F.sum("n").alias("n_runs"), F.min("lo").alias("least"), F.max("hi").alias("most")).where("n_values > 1")
+
+
+def by_duration(inventory: DataFrame) -> DataFrame:
+    """An inventory from the shortest to the longest; those without a length first."""
+    return inventory.orderBy("duration_min", "case_id", "camera")
+
+
+#: Columns of a benchmark's log, in their order.
+RUN_COLUMNS = ("timestamp", "case_id", "engine", "model", "audio_sha256", "wer", "cer", "wall_s", "git_commit", "machine", "notes")
+
+
+def benchmark_runs(refs: DataFrame, hyps: DataFrame, runs: DataFrame) -> DataFrame:
+    """RUN_COLUMNS of each run: refs (case_id, text), hyps (case_id, engine, model, text), runs with what else they know of
+    themselves (case_id, engine, model, timestamp, audio_sha256, wall_s, git_commit, machine, notes). Error rates are of normalised texts."""
+    both = hyps.withColumnRenamed("text", "hyp").join(refs.withColumnRenamed("text", "ref"), "case_id").join(runs, ["case_id", "engine", "model"])
+    ref, hyp = S.normalized_text(F.col("ref")), S.normalized_text(F.col("hyp"))
+    scored = both.withColumn("wer", S.word_error_rate(ref, hyp)).withColumn("cer", S.char_error_rate(ref, hyp)).withColumn("wall_s", F.round("wall_s", 1))
+    return scored.select(*RUN_COLUMNS)

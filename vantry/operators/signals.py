@@ -10,13 +10,14 @@ from vantry.operators.ranges import overlap_join, point_join
 
 
 def assign_speakers(words: DataFrame, turns: DataFrame, width: float = 60.0) -> DataFrame:
-    """case_id, turn, pos, speaker: the speaker that overlaps a word the longest (ties: the first by name); none without overlap."""
+    """case_id, turn, pos, speaker of every word: the speaker that overlaps it the longest (ties: the first by name); null without overlap."""
     spans = turns.select("case_id", F.col("start_s").alias("r_start"), F.col("end_s").alias("r_end"), F.col("speaker").alias("who"))
     rows = overlap_join(words.select("case_id", "turn", "pos", "start_s", "end_s"), spans, ["case_id"], width)
     overlap = F.least("end_s", "r_end") - F.greatest("start_s", "r_start")
     total = rows.groupBy("case_id", "turn", "pos", "who").agg(F.round(F.sum(overlap), 6).alias("s"))
     best = total.groupBy("case_id", "turn", "pos").agg(F.min(F.struct((-F.col("s")).alias("s"), "who")).alias("b"))
-    return best.select("case_id", "turn", "pos", F.col("b.who").alias("speaker"))
+    named = best.select("case_id", "turn", "pos", F.col("b.who").alias("speaker"))
+    return words.select("case_id", "turn", "pos").join(named, ["case_id", "turn", "pos"], "left")
 
 
 def speaker_turns(words: DataFrame) -> DataFrame:
@@ -30,11 +31,57 @@ def speaker_turns(words: DataFrame) -> DataFrame:
     return grouped.select("case_id", "island", F.col("who").alias("speaker"), "start_s", F.concat(F.lit("["), S.clock(F.col("start_s")), F.lit("] "), "who", F.lit(": "), text).alias("line"))
 
 
+# Tiers that every annotation file starts with.
+DEFAULT_TIERS = ("LEARNER", "PATIENT", "PRECEPTOR", "ANNOUNCEMENT", "OUTSIDE_ROOM")
+
+
+def _spoken(words: DataFrame) -> DataFrame:
+    """Words on speaker tiers, trimmed, without lone punctuation."""
+    value = F.regexp_replace("word", r"^\s+|\s+$", "")
+    tier = S.speaker_label(F.coalesce("speaker", F.lit("Unknown_Speaker"))).alias("tier")
+    rows = words.select("case_id", tier, S.annotation_ms(F.col("start_s")).alias("start_ms"), S.annotation_ms(F.col("end_s")).alias("end_ms"), value.alias("value"))
+    return rows.where(~F.col("value").isin("", ".", ",", "?", "!"))
+
+
 def annotations(words: DataFrame) -> DataFrame:
-    """case_id, tier, start_ms, end_ms, value: words on speaker tiers, without lone punctuation and empty spans."""
-    rows = words.where(~F.trim("word").isin("", ".", ",", "?", "!"))
-    out = rows.select("case_id", S.speaker_label(F.coalesce("speaker", F.lit("Unknown_Speaker"))).alias("tier"), S.annotation_ms(F.col("start_s")).alias("start_ms"), S.annotation_ms(F.col("end_s")).alias("end_ms"), F.col("word").alias("value"))
-    return out.where("end_ms > start_ms")
+    """case_id, tier, start_ms, end_ms, value: trimmed words on speaker tiers, without lone punctuation and empty spans."""
+    return _spoken(words).where("end_ms > start_ms")
+
+
+def tiers(words: DataFrame, default: tuple[str, ...] = DEFAULT_TIERS) -> DataFrame:
+    """case_id, tier: the default tiers, and those of all spoken words, also of words whose span is empty."""
+    given = words.select("case_id").distinct().withColumn("tier", F.explode(F.array(*map(F.lit, default))))
+    return given.union(_spoken(words).select("case_id", "tier")).distinct()
+
+
+def tier_counts(words: DataFrame, default: tuple[str, ...] = DEFAULT_TIERS) -> DataFrame:
+    """case_id, tier, n annotations of every tier, 0 for empty ones."""
+    found = annotations(words).groupBy("case_id", "tier").agg(F.count("*").alias("n"))
+    return tiers(words, default).join(found, ["case_id", "tier"], "left").select("case_id", "tier", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def visibility(pose: DataFrame, least: float = 0.3) -> DataFrame:
+    """video, frame, slot, visible, label, x, y: a slot is visible if a point scores over `least`; its label stands at the least
+    coordinates of such points, cut to integers, y less 8. Points: arrays of x and y; scores beside them."""
+    seen = pose.withColumn("seen", F.filter(F.arrays_zip("points", "scores"), lambda p: p["scores"] > least))
+    low = lambda k: F.array_min(F.transform("seen", lambda p: F.get(p["points"], F.lit(k)))).cast("bigint")
+    return seen.select("video", "frame", "slot", (F.size("seen") > 0).alias("visible"), F.concat(F.lit("P"), F.col("slot")).alias("label"), low(0).alias("x"), (low(1) - 8).alias("y"))
+
+
+def boundary_error(words: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
+    """case_id, n, mean_s, median_s: distances of word starts and ends from those of the same word in the gold standard."""
+    both = words.join(gold.select(*keys, F.col("start_s").alias("gs"), F.col("end_s").alias("ge")), keys)
+    each = both.select("case_id", F.explode(F.array(F.abs(F.col("start_s") - F.col("gs")), F.abs(F.col("end_s") - F.col("ge")))).alias("d"))
+    return each.groupBy("case_id").agg(F.count("*").alias("n"), F.avg("d").alias("mean_s"), F.median("d").alias("median_s"))
+
+
+def feed_lag(left: DataFrame, right: DataFrame, lags: int) -> DataFrame:
+    """pair, lag, r: the shift (of -lags to lags steps) at which two envelopes (pair, i, x) correlate best; ties: the least shift."""
+    shifted = right.select("pair", F.col("x").alias("y"), (F.col("i")).alias("j")).withColumn("lag", F.explode(F.sequence(F.lit(-lags), F.lit(lags))))
+    both = left.join(shifted.withColumn("i", F.col("j") + F.col("lag")), ["pair", "i"])
+    fit = both.groupBy("pair", "lag").agg(F.round(F.corr("x", "y"), 6).alias("r"))
+    best = fit.groupBy("pair").agg(F.max(F.struct("r", (-F.col("lag")).alias("back"))).alias("b"))
+    return best.select("pair", (-F.col("b.back")).alias("lag"), "b.r")
 
 
 def torso(points: Column) -> tuple[Column, Column]:

@@ -80,3 +80,12 @@ def read_rttm(spark: SparkSession, path: str, first_only: bool = False) -> DataF
 def append_run_log(runs: DataFrame, path: str) -> None:
     """Rows with a run_date join the log, a CSV table in folders of run_date."""
     runs.write.mode("append").partitionBy("run_date").option("header", True).csv(path)
+
+
+def write_speaker_stats(stats: DataFrame, path: str) -> None:
+    """case_id, speaker, median_hz, n_frames, bucket as CSV with a header."""
+    stats.select("case_id", "speaker", "median_hz", "n_frames", "bucket").write.option("header", True).csv(path)
+
+
+def read_speaker_stats(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).schema("case_id long, speaker string, median_hz double, n_frames long, bucket string").csv(path)

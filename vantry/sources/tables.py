@@ -70,14 +70,15 @@ def pitch_turns(spark, d):
 
 
 def pose(spark, d):
-    """video, frame, points: 32 points of two coordinates."""
+    """video, frame, slot, points (32 of two coordinates), scores (one for each point)."""
     from pyspark.sql import Window
 
     e = table(spark, d, "embeddings")
     name = next(f.name for f in e.schema.fields if f.dataType.typeName() == "array")
     frame = (F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1).cast("bigint")
     points = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda j: F.array(12 * F.get(F.col(name), 2 * j).cast("double"), 12 * F.get(F.col(name), 2 * j + 1).cast("double")))
-    return e.select(F.col("label").alias("video"), frame.alias("frame"), points.alias("points"))
+    scores = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda j: F.get(F.col(name), 2 * j).cast("double"))
+    return e.select(F.col("label").alias("video"), frame.alias("frame"), F.lit(0).alias("slot"), points.alias("points"), scores.alias("scores"))
 
 
 def detections(spark, d):
@@ -93,12 +94,6 @@ def timing(spark, d):
     )
 
 
-def text_pairs(spark, d):
-    docs = table(spark, d, "documents").where("lang = 'en'")
-    b = table(spark, d, "benchmark").select(F.col("item_id"), F.substring("text", 1, 300).alias("ref"))
-    return docs.join(b, F.col("item_id") == F.col("doc_id") % 40).select("doc_id", F.substring("text", 1, 300).alias("hyp"), "ref").where("hyp rlike '^[\\\\x00-\\\\x7f]*$' and ref rlike '^[\\\\x00-\\\\x7f]*$'")
-
-
 def whole_text_pairs(spark, d):
     """Whole texts of all languages, each with one of all benchmark items."""
     docs = table(spark, d, "documents")

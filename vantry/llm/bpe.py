@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import CutCoder, WordCoder, gathered, id_lists, slices
+from vantry.llm.scratch import small_batches
 
 
 SLICE_BYTES = 1 << 20  # of texts encoded at once
@@ -175,6 +176,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
     `vocabulary` is a rank file that the driver reads; its content (a few MB) goes to the executors.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Merges(read_ranks(vocabulary)))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 

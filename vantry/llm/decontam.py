@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
-from vantry.llm.scratch import BROADCAST_BYTES, hinted, written
+from vantry.llm.scratch import BROADCAST_BYTES, hinted, small_batches, written
 
 WINDOW = 10
 SHORTEST = 4
@@ -247,6 +247,7 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """key, n_items, item_id (lowest of those with the largest share), share: documents that hold benchmark items; one row for each key."""
+    small_batches(docs.sparkSession)
     windows = written(item_windows(items, item_key, item_text), "windows")
     found = hits(docs, windows, key, text, broadcast_bytes)
     shares = (

@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
 from vantry.llm.components import components
-from vantry.llm.scratch import dropped, hinted, written
+from vantry.llm.scratch import dropped, hinted, small_batches, written
 
 WORDS = 5
 PERCENT = 80
@@ -280,6 +280,7 @@ def light_links(light: DataFrame, bound: int, percent: int) -> DataFrame:
 
 def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """key, n_shingles, component (least key reachable by links) of every row."""
+    small_batches(docs.sparkSession)
     counts = sketch(docs, text, words)
     sets = written(prefixes(docs, counts, key, text, words, percent), "sets")
     named = sets.where("n > 0 and key is not null")

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
+from vantry.llm.scratch import small_batches
 
 ORDERS = 4
 WIDTH = 4096
@@ -168,6 +169,7 @@ def fit(vectors: np.ndarray, labels: list[str], landmarks: int = LANDMARKS, ridg
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", landmarks: int = LANDMARKS, training: int = TRAINING) -> Model:
     """Model of the labelled rows of docs; reads the texts of at most `training` of them. Rows without text are left out."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = docs.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(label).cast("string").alias("label"))
     counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(training).collect()  # labels beyond the sample's size cannot be learned
     if not counts:
@@ -211,15 +213,22 @@ def hash_order(key) -> int:
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """key, lang_pred, score; with keep instead row (a struct of all columns of docs), lang_pred, score."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks x 16,384 numbers
-    rows = docs.select(F.col(text).alias("text"), (F.struct("*") if keep else F.col(key)).alias("row"))
+    rows = docs.select(F.struct("*").alias("row")) if keep else docs.select(F.struct(F.col(key).alias("key"), F.col(text).alias("text")).alias("row"))
+    place = docs.columns.index(text) if keep else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, 0, 1 << 20):
+            texts = batch.column(0).field(place)
+            at = 0
+            for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), 0, 1 << 20):
                 names, scores = model.predict([x or "" for x in part.column(0).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
+                row = batch.column(0).slice(at, len(part))
+                at += len(part)
+                yield pa.RecordBatch.from_arrays([row if keep else row.field(0).slice(0, len(part)), pa.array(names, pa.string()), pa.array(scores)], ["row", "lang_pred", "score"])
 
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double")
+    kind = rows.schema["row"].dataType.simpleString() if keep else docs.schema[key].dataType.simpleString()
+    out = rows.mapInArrow(run, f"row {kind}, lang_pred string, score double")
     return out if keep else out.withColumnRenamed("row", key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantry.sources.files import new_path
@@ -10,6 +10,13 @@ from vantry.sources.files import new_path
 BROADCAST_BYTES = 32 << 20  # what is larger is not broadcast
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Lowers the session's rows an Arrow batch: whole texts are long, and each task holds several batches in the executor and in its worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df, read back from a Parquet table in the shared folder."""
     spark = df.sparkSession

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
+from vantry.llm.scratch import small_batches
 
 # The base patterns by kind, and the least lengths of a value and of an access key.
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -139,6 +140,7 @@ def dictionary(rank_file: str, least: int = 3) -> dict[str, int]:
 def scan(docs: DataFrame, rank_file: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_assign, n_access, n_hex, n_guess (long), base, spans (strings kind:start:end, comma-joined), bits
     (the guess cost of each assign value, in order). `rank_file` gives the dictionary; the driver reads it."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(dictionary(rank_file))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
-from vantry.llm.scratch import dropped, hinted, written
+from vantry.llm.scratch import dropped, hinted, small_batches, written
 
 LENGTH = 200
 GRAM = 64
@@ -404,6 +404,7 @@ def keep_unrepeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     Rows are told apart by key and a hash of key and text. Removed runs return to the texts by a broadcast while they have at
     most `broadcast_bytes`, else by a shuffled join.
     """
+    small_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     number = F.col(key).cast("long")
     rows = docs.select(number.alias("own"), F.coalesce(number, F.lit(0)).alias("key"), F.xxhash64(body, number).alias("mark"), body.alias("text"))

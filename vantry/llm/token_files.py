@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import PLAIN, CutCoder, gathered, id_lists, slices
+from vantry.llm.scratch import small_batches
 
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = 60 // COUNTS
@@ -176,6 +177,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
 
     `tokenizer` is the library's JSON file, read by the driver. Texts are exchanged once, by ranges of the key.
     """
+    small_batches(docs.sparkSession)
     with open(tokenizer) as lines:
         definition = lines.read()
     shared = docs.sparkSession.sparkContext.broadcast(definition)

@@ -63,7 +63,7 @@ LIGHT_MOST = 12
 LEADERS = 2
 LONGEST_SIGN = 1 << 16  # parities of a set at most
 COARSE = 128  # parities that list entries carry while leaders are tried
-FINE = 256  # and when all open pairs are made
+FINE = 512  # and when all open pairs are made
 WORD_BYTES = 8 << 20  # words whose hashes a task keeps
 
 
@@ -211,7 +211,7 @@ def near_pairs(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """key, n (set size), digest, sign and odd0 to odd3 (parities), first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
+    """key, n (set size), digest, sign and odd0 and on (parities), first (the listed shingles in the global order; all of them in sets of LIGHT_MOST or fewer)."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -163,21 +163,13 @@ def _flat(library, texts: list[str], at_once: int = 500) -> tuple[np.ndarray, np
     return np.concatenate([*found, np.zeros(0, np.uint32)]), np.array([len(x) for x in found], np.int64)
 
 
-_kept: dict[str, CutCoder] = {}
-
-
 def _coder(definition: str) -> CutCoder:
-    """The coder of a tokenizer. A Python worker keeps one from task to task, with its cache of up to CACHE_BYTES, as the same words come again."""
-    if definition in _kept:
-        return _kept[definition]
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(definition)
     library.encode_special_tokens = True
-    _kept.clear()
-    coder = _kept[definition] = CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
-    return coder
+    return CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> None:
@@ -227,6 +219,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
                 ids.append(found)
                 yield from full(BLOCK_IDS)
         yield from full(0)
+        code.clear()
 
     blocks = ordered.mapInArrow(run, "shard int, block int, n_ids long, payload binary")
     blocks.write.option("compression", "zstd").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vantry.functions import scalars as S
 from vantry.operators import catalog, manifest
 from vantry.operators.ranges import overlap_join
-from vantry.plans import encounters, files, work  # noqa: F401  files and work register their queries with the others
+from vantry.plans import encounters, files, scores, work  # noqa: F401  the others register their queries with the others
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vantry.functions import scalars as S
-from vantry.operators import catalog, manifest, signals
+from vantry.operators import catalog, manifest, reports, signals
 from vantry.sources import tables as T
 
 QUERIES: dict = {}
@@ -117,13 +117,12 @@ def shard_assign(spark, d):
 
 @query(f"with {VIDEOS} select 'pose' stage, pose_status status, count(*) n from v group by 2 union all select 'asr', asr_status, count(*) from v group by 2")
 def status_tally(spark, d):
-    return T.videos(spark, d).selectExpr("stack(2, 'pose', pose_status, 'asr', asr_status) as (stage, status)").groupBy("stage", "status").agg(F.count("*").alias("n"))
+    return reports.status_tally(T.videos(spark, d), {"pose": "pose_status", "asr": "asr_status"})
 
 
 @query(f"with {VIDEOS} select pose_status in ('done','skipped') ok, count(*) n from v where pose_status<>'pending' group by 1")
 def outcome_tally(spark, d):
-    rows = T.videos(spark, d).where("pose_status <> 'pending'")
-    return rows.groupBy(F.col("pose_status").isin("done", "skipped").alias("ok")).agg(F.count("*").alias("n"))
+    return reports.outcome_tally(T.videos(spark, d), "pose_status")
 
 
 @query("select cast(user_id as varchar) case_id, max_by(event_type, struct_pack(a:=ts,b:=event_id)) status from events group by 1")
@@ -170,15 +169,12 @@ def ready_cases(spark, d):
 @query(f"with {VIDEOS} select a.case_id, a.camera, exists(select 1 from v b where b.case_id=a.case_id and b.asr_status='done') ready from v a where a.asr_status='pending'")
 def stage_prerequisite(spark, d):
     v = T.videos(spark, d)
-    done = v.where("asr_status = 'done'").select("case_id").distinct()
-    todo = v.where("asr_status = 'pending'").select("case_id", "camera")
-    return todo.join(done, "case_id", "left_semi").withColumn("ready", F.lit(True)).unionByName(todo.join(done, "case_id", "left_anti").withColumn("ready", F.lit(False)))
+    return reports.prerequisite(v.where("asr_status = 'pending'").select("case_id", "camera"), v.where("asr_status = 'done'"), ["case_id"])
 
 
 @query(f"with {VIDEOS} select case_id, round(max(duration_s)-min(duration_s),4) spread from v group by 1 having max(duration_s)-min(duration_s)>100")
 def camera_sync_check(spark, d):
-    spread = F.max("duration_s") - F.min("duration_s")
-    return T.videos(spark, d).groupBy("case_id").agg(F.round(spread, 4).alias("spread"), (spread > 100).alias("off")).where("off").drop("off")
+    return reports.camera_spread(T.videos(spark, d), 100).withColumn("spread", F.round("spread", 4))
 
 
 @query(f"""with {VIDEOS} select case_id, camera, case when asr_status='done' or pose_status='done' then 'done' when asr_status='failed' or pose_status='failed' then 'failed' else 'pending' end status, asr_status<>pose_status conflict from v""")
@@ -222,8 +218,7 @@ def tier_union(spark, d):
 
 @query(f"with {WORDS} select case_id, string_agg(trim(word),' ' order by turn,pos) filter (trim(word)<>'') hypothesis from w group by 1")
 def hypothesis_text(spark, d):
-    rows = T.words(spark, d).where(F.trim("word") != "").groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("turn", "pos", F.trim("word").alias("w")))).alias("ws"))
-    return rows.select("case_id", F.array_join(F.transform("ws", lambda x: x.w), " ").alias("hypothesis"))
+    return reports.hypothesis_text(T.words(spark, d))
 
 
 @query(f"with {PITCH} select p.case_id, speaker, round(median(hz),6) median_hz, count(*) n_frames, case when median(hz)<145 then 'lower' when median(hz)>185 then 'higher' else 'ambiguous' end bucket from p join pt on p.case_id=pt.case_id and t>=s and t<e where hz>0 group by 1,2 having count(*)>=10")
@@ -233,7 +228,7 @@ def speaker_register_summary(spark, d):
 
 @query(f"with {PITCH}, r as (select p.case_id, speaker, median(hz) m from p join pt on p.case_id=pt.case_id and t>=s and t<e where hz>0 group by 1,2 having count(*)>=10) select case_id, case when m<145 then 'lower' when m>185 then 'higher' else 'ambiguous' end bucket, count(*) n from r group by 1,2")
 def register_counts(spark, d):
-    return signals.speaker_pitch(T.pitch(spark, d), T.pitch_turns(spark, d)).groupBy("case_id", "bucket").agg(F.count("*").alias("n"))
+    return reports.register_counts(signals.speaker_pitch(T.pitch(spark, d), T.pitch_turns(spark, d)))
 
 
 @query(f"with {PITCH} select p.case_id, event_id, speaker, hz from p join pt on p.case_id=pt.case_id and t>=s and t<e where hz>0")
@@ -255,17 +250,17 @@ def torso_angle(spark, d):
 
 @query(f"with {POSE}, a as (select video, frame, degrees(atan2(pts[7][2]-pts[6][2],pts[7][1]-pts[6][1])) a from pose), b as (select video, frame, avg(a) over w m, count(*) over w n from a window w as (partition by video order by frame rows between current row and 4 following)) select video, frame, round(m,5) angle, abs(m)>20 away from b where n=5")
 def facing_angle_series(spark, d):
-    return signals.facing_series(T.pose(spark, d)).select("video", "frame", F.round("angle", 5).alias("angle"), (F.abs("angle") > 20).alias("away"))
+    return signals.facing_series(T.pose(spark, d)).select("video", "frame", F.round("angle", 5).alias("angle"), reports.looking_away(F.col("angle")).alias("away"))
 
 
 @query(f"with {POSE}, a as (select video, frame, pts, lead(pts) over (partition by video order by frame) q from pose), b as (select video, frame, 30*greatest(sqrt((q[10][1]-pts[10][1])**2+(q[10][2]-pts[10][2])**2),sqrt((q[11][1]-pts[11][1])**2+(q[11][2]-pts[11][2])**2)) v from a where q is not null) select video, frame, round(v,5) velocity, v>150 gesturing from b")
 def wrist_velocity(spark, d):
-    return signals.wrist_velocity(T.pose(spark, d)).select("video", "frame", F.round("velocity", 5).alias("velocity"), (F.col("velocity") > 150).alias("gesturing"))
+    return signals.wrist_velocity(T.pose(spark, d)).select("video", "frame", F.round("velocity", 5).alias("velocity"), reports.gesturing(F.col("velocity")).alias("gesturing"))
 
 
 @query(f"with {POSE} select video, avg(case when len(list_filter(flatten(pts), lambda x: x<>0))>0 then 1.0 else 0.0 end) presence from pose group by 1")
 def slot_presence(spark, d):
-    return T.pose(spark, d).groupBy("video").agg(F.avg(F.exists(F.flatten("points"), lambda x: x != 0).cast("double")).alias("presence"))
+    return reports.slot_presence(T.pose(spark, d), "video")
 
 
 @query(f"with {POSE}, a as (select video, frame, [p for p in pts if p[1]/12>0.3] g from pose) select video, frame, 0 slot, len(g)>0 visible, 'P0' label, trunc(list_min([x[1] for x in g])) x, trunc(list_min([x[2] for x in g]))-8 y from a")
@@ -292,22 +287,17 @@ def held_detections(spark, d):
 
 @query("select l_returnflag engine, l_linestatus phase, round(sum(l_quantity),2) as seconds, round(100*sum(l_quantity)/sum(sum(l_quantity)) over (partition by l_returnflag),4) share from lineitem group by 1,2")
 def stage_profile(spark, d):
-    from pyspark.sql import Window
-
-    rows = T.timing(spark, d).groupBy("engine", "phase").agg(F.sum("seconds").alias("s"))
-    return rows.select("engine", "phase", F.round("s", 2).alias("seconds"), F.round(100 * F.col("s") / F.greatest(F.sum("s").over(Window.partitionBy("engine")), F.lit(1e-9)), 4).alias("share"))
+    return reports.stage_profile(T.timing(spark, d)).withColumns({"seconds": F.round("seconds", 2), "share": F.round("share", 4)})
 
 
 @query("select l_returnflag engine, l_linestatus phase, round(sum(l_quantity)/sum(l_extendedprice),6) factor from lineitem group by 1,2")
 def realtime_factor(spark, d):
-    return T.timing(spark, d).groupBy("engine", "phase").agg(F.round(F.sum("seconds") / F.sum("audio_s"), 6).alias("factor"))
+    return reports.realtime_factor(T.timing(spark, d), "engine", "phase").withColumn("factor", F.round("factor", 6))
 
 
 @query("with e as (select l_returnflag engine, sum(l_quantity) s from lineitem group by 1) select a.engine, b.engine other, round(1-a.s/b.s,6) saved from e a join e b on a.engine<b.engine")
 def engine_total_cost(spark, d):
-    e = T.timing(spark, d).groupBy("engine").agg(F.sum("seconds").alias("s"))
-    o = e.select(F.col("engine").alias("other"), F.col("s").alias("os"))
-    return e.join(o, e.engine < o.other).select("engine", "other", F.round(1 - F.col("s") / F.col("os"), 6).alias("saved"))
+    return reports.engine_savings(T.timing(spark, d)).withColumn("saved", F.round("saved", 6))
 
 
 @query(r"select doc_id, trim(regexp_replace(regexp_replace(lower(b.text),'\p{P}','','g'),'\s+',' ','g')) ref, trim(regexp_replace(regexp_replace(lower(d.text),'\p{P}','','g'),'\s+',' ','g')) hyp from documents d join benchmark b on b.item_id=d.doc_id%(select max(item_id)+1 from benchmark)")

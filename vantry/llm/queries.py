@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, suffix_dedup, token_files
+from vantry.llm import bpe, collocations, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, suffix_dedup, token_files
 from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.keep_unrepeated(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 OP9_SQL = """
 with host as (select source, count(*) n from documents group by source),
 page_line as (select distinct doc_id, source, unnest(string_split(text, chr(10))) line from documents),
@@ -111,9 +115,29 @@ select doc_id, array_to_string(ks, chr(10)) as text, coalesce(len(ls), 0) as n_l
 """
 
 
+OP11_SQL = r"""
+with pieces as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
+lists as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') ws from pieces),
+spots as (select lang, unnest(ws) w1, unnest(ws[2:]) w2, unnest(ws[3:]) w3 from lists),
+f1 as (select lang, w1, count(*) n from spots group by all),
+f2 as (select lang, w1, w2, count(*) n from spots where w2 is not null group by all),
+f3 as (select lang, w1, w2, w3, count(*) n from spots where w3 is not null group by all having count(*) >= 10),
+total as (select lang, sum(n) n from f1 group by lang),
+longer as (select lang, w1, w2, max(n) m from (select lang, w1, w2, n from f3 union all select lang, w2, w3, n from f3) group by all),
+cuts as (select f2.lang, f2.w1 || ' ' || f2.w2 phrase, f2.n a, 1 k, x.n l, y.n r from f2 join f1 x on x.lang = f2.lang and x.w1 = f2.w1 join f1 y on y.lang = f2.lang and y.w1 = f2.w2
+  left join longer g on g.lang = f2.lang and g.w1 = f2.w1 and g.w2 = f2.w2 where f2.n >= 10 and 100 * coalesce(g.m, 0) < 50 * f2.n
+  union all select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 1, x.n, y.n from f3 join f1 x on x.lang = f3.lang and x.w1 = f3.w1 join f2 y on y.lang = f3.lang and y.w1 = f3.w2 and y.w2 = f3.w3
+  union all select f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3, f3.n, 2, x.n, y.n from f3 join f2 x on x.lang = f3.lang and x.w1 = f3.w1 and x.w2 = f3.w2 join f1 y on y.lang = f3.lang and y.w1 = f3.w3),
+scored as (select *, cast(cast(a as hugeint) * a * 1000000 // (cast(l as hugeint) * r) as bigint) score from cuts),
+lowest as (select * from (select *, row_number() over (partition by lang, phrase order by score, k) c from scored) where c = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from lowest)
+select lang, rank, phrase, a, l, r, cast(total.n as bigint) n, score from ranked join total using (lang) where rank <= 2000
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup, op11_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_site_line_dedup": OP9_SQL}
+    return {"op9_site_line_dedup": OP9_SQL, "op11_phrase_collocations": OP11_SQL}

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +26,8 @@ LEAST = 10  # occurrences of a candidate
 COVER = 50  # percent of a phrase's occurrences that a longer candidate has to hold
 TOP = 2000
 BITS = 27  # of places in a bitmap: 16 MB
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+BATCH_ROWS = 50_000
 SALTS = 64
 
 BLANK, BREAK = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
@@ -49,11 +51,12 @@ def split(texts: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.n
     return found.indices.to_numpy().astype(np.int64), found.dictionary.to_pylist(), piece, np.searchsorted(begins, starts, "right") - 1
 
 
-def word_hash(lang: str, word: bytes) -> int:
+def word_hashes(lang: str, words: list[bytes]) -> list[int]:
     """What xxhash64(lang, word) is in Spark, unsigned."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang.encode(), 42))
+    seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+    return [xxhash.xxh64_intdigest(word, seed) for word in words]
 
 
 def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -84,35 +87,43 @@ def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def grams(langs: list[str], texts: list[bytes], order: int, bits: np.ndarray | None) -> pa.RecordBatch:
-    """lang, w1 .. w<order>, n: n-grams of the texts that the bitmap of the order below lets through."""
+def grams(langs: list[str], texts: list[bytes], order: int, bits: np.ndarray | None) -> pa.Table:
+    """gram, n: the n-grams of the texts that the bitmap of the order below lets through, as language, tab, words with blanks between."""
     code, names, piece, text = split(texts)
     known = sorted(set(langs))
-    lang = np.array([known.index(x) for x in langs], np.int64)[text]
-    width = max(1, len(names))
-    typed, word = np.unique(lang * width + code, return_inverse=True)  # words of one language each
-    go = np.arange(len(word) - order + 1) if len(word) >= order else np.zeros(0, np.int64)
+    number = {x: k for k, x in enumerate(known)}
+    word = np.array([number[x] for x in langs], np.int64)[text] * len(names) + code  # a word of one language
+    go = np.arange(max(0, len(word) - order + 1))
     go = go[piece[go] == piece[go + order - 1]]
     if bits is not None:
-        hashes = np.array([word_hash(known[k // width], names[k % width]) for k in typed.tolist()], np.uint64)
-        fine = marked(bits, hashes)[word] if order == 2 else marked(bits, pair_hash(hashes[word[:-1]], hashes[word[1:]])) if len(word) > 1 else np.zeros(0, bool)
+        hashes = np.zeros(len(known) * len(names), np.uint64)
+        used = np.flatnonzero(np.bincount(word, minlength=len(hashes)))
+        for k, lang in enumerate(known):
+            own = used[used // max(1, len(names)) == k]
+            hashes[own] = word_hashes(lang, [names[x] for x in (own % len(names)).tolist()])
+        fine = marked(bits, hashes)[word] if order == 2 else marked(bits, pair_hash(hashes[word[:-1]], hashes[word[1:]]))
         go = go[fine[go] & fine[go + 1]]
-    key = word[go]
+    keys, prefixes = pa.array(word[go]), []
     for k in range(1, order):  # dense numbers of prefixes, so keys never outgrow 64 bits
-        if k > 1:
-            prefixes, key = np.unique(key, return_inverse=True)
-        key = key * len(typed) + word[go + k]
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    at = go[first]
+        dense = keys.dictionary_encode()
+        prefixes.append(dense.dictionary.to_numpy())
+        keys = pa.array(dense.indices.to_numpy().astype(np.int64) * len(names) + code[go + k])
+    found = keys.value_counts()
+    last, n = found.field(0).to_numpy(), found.field(1)
+    ends = []
+    for prefix in reversed(prefixes):
+        ends.append(last % len(names))
+        last = prefix[last // len(names)]
     vocabulary = pa.array(names, pa.binary()).cast(pa.string())
-    columns = [pa.array(known, pa.string()).take(pa.array(lang[at]))] + [vocabulary.take(pa.array(code[at + k])) for k in range(order)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64())], names=["lang", *(f"w{k + 1}" for k in range(order)), "n"])
+    words = [vocabulary.take(pa.array(x)) for x in (last % max(1, len(names)), *reversed(ends))]
+    lang = pa.array(known, pa.string()).take(pa.array(last // max(1, len(names))))
+    phrase = pc.binary_join_element_wise(*words, " ") if order > 1 else words[0]
+    return pa.table([pc.binary_join_element_wise(lang, phrase, "\t"), n], names=["gram", "n"])
 
 
 def counted(docs: DataFrame, order: int, bits: np.ndarray | None, label: str) -> DataFrame:
-    """The counts of one order, as a written table."""
+    """The counts of one order, as a written table of lang, w1 .. w<order>, n."""
     shared = docs.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
-    words = [f"w{k + 1}" for k in range(order)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs: list[str] = []
@@ -124,14 +135,16 @@ def counted(docs: DataFrame, order: int, bits: np.ndarray | None, label: str) ->
                 texts.append(text)
                 held += len(text)
                 if held > SLICE_BYTES:
-                    yield grams(langs, texts, order, shared.value if shared else None)
+                    yield from grams(langs, texts, order, shared.value if shared else None).to_batches(BATCH_ROWS)
                     langs, texts, held = [], [], 0
         if texts:
-            yield grams(langs, texts, order, shared.value if shared else None)
+            yield from grams(langs, texts, order, shared.value if shared else None).to_batches(BATCH_ROWS)
 
-    rows = docs.mapInArrow(run, ", ".join(["lang string", *(f"{w} string" for w in words), "n long"]))
-    table = rows.groupBy("lang", *words).agg(F.sum("n").alias("n"))
-    out = written(table if order == 1 else table.where(F.col("n") >= LEAST), label)
+    table = docs.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("gram", "\t", -1)  # a language may hold tabs, words don't
+    words = F.split(phrase, " ")
+    split = [F.expr("substring(gram, 1, char_length(gram) - char_length(substring_index(gram, '\t', -1)) - 1)").alias("lang"), *(F.get(words, F.lit(k)).alias(f"w{k + 1}") for k in range(order))]
+    out = written((table if order == 1 else table.where(F.col("n") >= LEAST)).select(*split, "n"), label)
     if shared:
         shared.unpersist()
     return out

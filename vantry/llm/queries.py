@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, collocations, decontam, jaccard_join, langid, line_dedup, order_minhash, secrets, sharding, suffix_dedup, token_files
+from vantry.llm import bpe, collocations, decontam, jaccard_join, langid, line_dedup, order_minhash, prefix_trie, secrets, sharding, suffix_dedup, token_files
 from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,10 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 OP9_SQL = """
 with host as (select source, count(*) n from documents group by source),
 page_line as (select distinct doc_id, source, unnest(string_split(text, chr(10))) line from documents),
@@ -135,9 +139,25 @@ select lang, rank, phrase, a, l, r, cast(total.n as bigint) n, score from ranked
 """
 
 
+OP12_SQL = """
+with t as (select conv_id, coalesce(role, '') "role", coalesce(text, '') "text", row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) pos from conversations where conv_id is not null),
+whole as (select conv_id, list(struct_pack(r := "role", t := "text") order by pos) ts from t group by conv_id),
+crc as (select conv_id, ts, conv_id - conv_id % 100 base, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda a, b: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)), 4294967295) % 6 h from whole),
+made as (select c.conv_id, coalesce(b.ts[1:c.h], []) || c.ts[c.h + 1:] ts from crc c left join whole b on b.conv_id = c.base),
+steps as (select conv_id, ts, unnest(range(len(ts) + 1)) d from made),
+node as (select ts[1:d] p, d, min(conv_id) conv_id, count(*) n_convs, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(ts) = d), '')) ends from steps group by all),
+kids as (select p[1:d - 1] p, count(*) n from node where d > 0 group by 1),
+fact as (select node.*, coalesce(kids.n, 0) n_children, case when node.d > 0 then (n_convs - 1) * length(node.p[node.d].t) else 0 end saved from node left join kids on kids.p = node.p),
+roll as (select a.p, count(*) filter (b.n_children = 0) n_leaves, sum(b.saved) saved from fact a join fact b on b.d >= a.d and b.p[1:a.d] = a.p group by a.p)
+select fact.conv_id, fact.d depth, up.conv_id parent_conv_id, fact.n_convs, fact.n_children, roll.n_leaves, cast(roll.saved as bigint) saved_tokens, fact.ends ends_sha256
+from fact join roll on roll.p = fact.p left join fact up on fact.d > 0 and up.p = fact.p[1:fact.d - 1]
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup, op11_phrase_collocations)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup, op11_phrase_collocations, op12_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_site_line_dedup": OP9_SQL, "op11_phrase_collocations": OP11_SQL}
+    return {"op9_site_line_dedup": OP9_SQL, "op11_phrase_collocations": OP11_SQL, "op12_prefix_trie": OP12_SQL}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantry.llm import bpe, collocations, decontam, jaccard_join, langid, line_dedup, order_minhash, prefix_trie, secrets, sharding, suffix_dedup, token_files
+from vantry.llm import attention_lm, bpe, collocations, decontam, jaccard_join, langid, line_dedup, order_minhash, prefix_trie, secrets, sharding, suffix_dedup, token_files
 from vantry.llm.scratch import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op13_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scored(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 OP9_SQL = """
 with host as (select source, count(*) n from documents group by source),
 page_line as (select distinct doc_id, source, unnest(string_split(text, chr(10))) line from documents),
@@ -156,7 +160,7 @@ from fact join roll on roll.p = fact.p left join fact up on fact.d > 0 and up.p
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup, op11_phrase_collocations, op12_prefix_trie)}
+    return {q.__name__: q for q in (op1_byte_bpe, op2_template_decontamination, op3_language_id, op4_simple8b_files, op5_ngram_jaccard_join, op6_order_minhash, op7_hypergeometric_shards, op8_secret_scan, op9_site_line_dedup, op10_suffix_dedup, op11_phrase_collocations, op12_prefix_trie, op13_attention_lm)}
 
 
 def oracle_sql() -> dict[str, str]:

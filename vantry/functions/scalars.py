@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vantry.functions import edits
+
 
 def normalize_identifier(value: Column) -> Column:
     """Trimmed, single quotes stripped; digits as canonical integer text, else upper case; null for several signs."""
@@ -52,37 +54,10 @@ def normalized_text(text: Column) -> Column:
 
 def char_error_rate(ref: Column, hyp: Column) -> Column:
     """Edits over characters of the reference; null if it has none."""
-    return F.round(F.try_divide(F.levenshtein(ref, hyp), F.char_length(ref)), 4)
-
-
-def word_edits(ref: str | None, hyp: str | None) -> int | None:
-    """Least number of words to insert, delete or replace, by bit-parallel columns of the edit distance; words are parted by blanks."""
-    if ref is None or hyp is None:
-        return None
-    a, b = ([w for w in t.split(" ") if w] for t in (ref, hyp))
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return len(b)
-    places: dict[str, int] = {}
-    for k, word in enumerate(a):
-        places[word] = places.get(word, 0) | 1 << k
-    full, last, edits = (1 << len(a)) - 1, 1 << len(a) - 1, len(a)
-    up, down = full, 0  # where a column rises or falls by one
-    for word in b:
-        same = places.get(word, 0)
-        diagonal = (((same & up) + up) ^ up) | same | down
-        right_up = (down | ~(diagonal | up)) & full
-        right_down = up & diagonal
-        edits += bool(right_up & last) - bool(right_down & last)
-        right_up = (right_up << 1 | 1) & full
-        right_down = right_down << 1 & full
-        up = (right_down | ~(diagonal | right_up)) & full
-        down = right_up & diagonal
-    return edits
+    return F.round(F.try_divide(edits.char_edits(ref, hyp), F.char_length(ref)), 4)
 
 
 def word_error_rate(ref: Column, hyp: Column) -> Column:
     """Word edits over words of the reference, for any number of distinct words; null if the reference has none."""
     words = F.size(F.filter(F.split(ref, " "), lambda w: w != ""))
-    return F.round(F.try_divide(F.udf(word_edits, "long")(ref, hyp), words), 4)
+    return F.round(F.try_divide(edits.word_edits(ref, hyp), words), 4)

@@ -9,6 +9,7 @@ from vantry.plans.encounters import MATCH, TURNS, VIDEOS, WORDS, query
 from vantry.sources import files
 from vantry.sources import tables as T
 from vantry.streaming.incremental import incremental_catalog as follow
+from vantry.streaming.incremental import read_catalog
 
 
 @query("select distinct cast(user_id as varchar) camera_id, cast(user_id%30 as varchar) room from events where user_id%11<>0")
@@ -54,7 +55,7 @@ def incremental_catalog(spark, d):
     stream = spark.readStream.schema(T.table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
     path = files.new_path(spark, "catalog")
     follow(T.names(stream), T.camera_rooms(spark, d), T.cases(spark, d), path, files.new_path(spark, "offsets"))
-    return spark.read.parquet(path)
+    return read_catalog(spark, path)
 
 
 @query(f"with {VIDEOS} select case_id, camera, c_name case_name, duration_s/60 duration_min from v join customer on c_custkey=cast(case_id as bigint) where regexp_matches(camera,'[02468]$')")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vantry.functions import edits
 from vantry.operators import agreement
 from vantry.plans.encounters import WORDS, query
 from vantry.sources import tables as T
@@ -52,3 +53,13 @@ def error_confidence(spark, d):
     items = T.table(spark, d, "orders").select(F.col("o_orderstatus").alias("engine"), "o_orderkey", (F.col("o_orderkey") % 7).alias("errors"), (20 + F.col("o_orderkey") % 13).alias("words"))
     out = agreement.error_confidence(items, "engine", "o_orderkey", "errors", "words")
     return out.select("engine", *(F.round(c, 6).alias(c) for c in ("rate", "low", "high")))
+
+
+@query(f"""with {WORDS}, t as (select lower(word) ref_word, (pos+turn)%7=3 heard from w where word<>'') select ref_word, ref_word||'~' hyp_word, count(*) filter (heard) n, round(count(*) filter (heard)/count(*)::double,6) share from t group by 1 having count(*) filter (heard)>0""")
+def substitution_pairs(spark, d):
+    """Words that an engine mishears: every turn as reference, and again with some words replaced."""
+    w = T.words(spark, d).where("word <> ''").withColumn("word", F.lower("word"))
+    heard = F.when((F.col("pos") + F.col("turn")) % 7 == 3, F.concat("word", F.lit("~"))).otherwise(F.col("word")).alias("heard")
+    turns = w.groupBy(F.concat("case_id", F.lit("/"), "turn").alias("id")).agg(F.array_sort(F.collect_list(F.struct("pos", "word", heard))).alias("ws"))
+    text = lambda k: F.array_join(F.transform("ws", lambda x: x[k]), " ")
+    return edits.substitution_pairs(turns.select("id", text("word").alias("ref"), text("heard").alias("hyp"))).withColumn("share", F.round("share", 6))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vantry.functions import scalars as S
-from vantry.operators import catalog, manifest, quality, signals
+from vantry.operators import catalog, manifest, quality, signals, stages
 from vantry.plans.encounters import MATCH, PITCH, TURNS, VIDEOS, WORDS, case_match, query
 from vantry.sources import files
 from vantry.sources import tables as T
@@ -112,3 +112,30 @@ def feed_lag(spark, d):
     left = T.table(spark, d, "events").groupBy((F.col("user_id") % 10).alias("pair"), day).agg(F.sum(F.col("value").cast("double")).alias("x"))
     right = left.select("pair", (F.col("i") - 2).alias("i"), (F.col("x") + F.col("i") % 3).alias("x"))
     return signals.feed_lag(left, right, 4)
+
+
+@query(f"""with {VIDEOS}, e as (select case_id, camera c from (select *, row_number() over (partition by case_id order by case when regexp_full_match(camera,'-?[0-9]+') then 0 else 1 end, try_cast(camera as bigint), camera) n from v) where n=1),
+ s as (select v.case_id, camera, c=camera own, duration_s is not null heard, pose_status from v join e using (case_id))
+ select case_id, camera, case when not own then 'skipped' when heard then 'done' else 'failed' end audio_status, case when not own then 'skipped' when heard then 'done' else 'failed' end asr_status,
+ case when own and heard then 'done' else 'pending' end diarize_status, case when own and heard then 'engine/small' end asr_model, case when own and not heard then 2 else 1 end asr_attempts,
+ case when pose_status='pending' then 'done' else pose_status end pose_status, case when pose_status='pending' then 1 else 0 end pose_attempts from s""")
+def stage_registry(spark, d):
+    """State after audio, ASR with its side effects, a second try of what failed, and pose, folded from the log of all runs."""
+
+    def audio(row: dict) -> dict:
+        if row["duration_s"] is None or row["duration_s"] != row["duration_s"]:
+            raise ValueError("no duration")
+        return {"audio_path": row["camera"] + ".wav"}
+
+    registry = stages.Registry(
+        stages.Stage("audio", audio),
+        stages.Stage("asr", lambda row: {"asr_model": "engine/small"}, needs="audio", effects=(("diarize", "done"),)),
+        stages.Stage("pose", lambda row: None, per_camera=True),
+    )
+    videos, log = T.videos(spark, d).drop("asr_status"), files.new_path(spark, "status")
+    stages.run(registry, "audio", videos, log, 1, shares=2)
+    stages.run(registry, "asr", videos, log, 2)
+    stages.retry(videos, "asr", log, 3)
+    stages.run(registry, "asr", videos, log, 4)
+    now = stages.run(registry, "pose", videos, log, 5)
+    return now.select("case_id", "camera", "audio_status", "asr_status", "diarize_status", F.col("updates").getItem("asr_model").alias("asr_model"), "asr_attempts", "pose_status", "pose_attempts")

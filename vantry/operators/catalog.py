@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantry.functions import scalars as S
@@ -47,13 +47,13 @@ def match(parsed: DataFrame, rooms: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 def media_facts(probes: DataFrame) -> DataFrame:
-    """path, duration_s (0 where missing), fps (null without one), width, height, has_audio."""
+    """path, duration_s (0 where missing or no number), fps (null without one), width, height, has_audio (false without streams)."""
     kind = "struct<format:struct<duration:string>,streams:array<struct<codec_type:string,avg_frame_rate:string,width:int,height:int>>>"
     rows = probes.withColumn("j", F.from_json("json", kind))
     rows = rows.withColumn("v", F.get(F.filter("j.streams", lambda s: s.codec_type == "video"), F.lit(0)))
     rate = F.split("v.avg_frame_rate", "/")
-    fps = F.try_divide(F.get(rate, F.lit(0)).cast("double"), F.get(rate, F.lit(1)).cast("double"))
-    return rows.select("path", F.coalesce(F.col("j.format.duration").cast("double"), F.lit(0.0)).alias("duration_s"), fps.alias("fps"), F.col("v.width").alias("width"), F.col("v.height").alias("height"), F.exists("j.streams", lambda s: s.codec_type == "audio").alias("has_audio"))
+    fps = F.try_divide(F.get(rate, F.lit(0)).try_cast("double"), F.get(rate, F.lit(1)).try_cast("double"))
+    return rows.select("path", F.coalesce(F.col("j.format.duration").try_cast("double"), F.lit(0.0)).alias("duration_s"), fps.alias("fps"), F.col("v.width").alias("width"), F.col("v.height").alias("height"), F.coalesce(F.exists("j.streams", lambda s: s.codec_type == "audio"), F.lit(False)).alias("has_audio"))
 
 
 def sheets_to_cases(cells: DataFrame) -> DataFrame:
@@ -64,6 +64,22 @@ def sheets_to_cases(cells: DataFrame) -> DataFrame:
     return wide.select("case_id", *(F.coalesce(F.col(f"`{a}`"), F.lit("")).alias(b) for a, b in zip(labels, names, strict=True)))
 
 
+def relative_path(path: Column, root: str) -> Column:
+    """A path under root without it; any other path as it stands."""
+    base = root.rstrip("/") + "/"
+    return F.when(path.startswith(base), F.substr(path, F.lit(len(base) + 1))).otherwise(path)
+
+
+def import_sheets(cells: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cases to add, ids added, ids skipped as they are known already: known cases stay as they are."""
+    made = sheets_to_cases(cells)
+    sheets = cells.select(F.col("sheet").alias("case_id")).distinct()
+    blank = [f.name for f in made.schema.fields if f.name != "case_id"]
+    whole = sheets.join(made, "case_id", "left").fillna("", blank)  # a sheet without any known row is a case too
+    fresh = absent(whole, known, ["case_id"])
+    return fresh, fresh.select("case_id"), sheets.join(known.select("case_id"), "case_id", "left_semi")
+
+
 def latest(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The last row of each key: an upsert over an append-only table."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

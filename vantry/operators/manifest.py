@@ -17,15 +17,25 @@ def pending(videos: DataFrame, cases: DataFrame, stage: str) -> DataFrame:
 
 
 def elect_camera(videos: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """case_id, camera: a stored choice stays; else numeric ids by value, then others by string."""
+    """case_id, camera: a stored choice stays; else numeric ids by value, whatever their length, then others by string."""
     numeric = F.col("camera").rlike(r"^-?\d+$")
-    order = F.struct((~numeric).alias("a"), F.when(numeric, F.col("camera").cast("bigint")).alias("b"), F.col("camera").alias("c"))
+    digits = F.regexp_replace("camera", r"^-?0*", "")
+    below = numeric & F.col("camera").startswith("-") & (digits != "")
+    size = F.when(numeric, F.when(below, -F.length(digits)).otherwise(F.length(digits)))
+    # of two negative numbers of one length that with the greater digits is the lesser: nines' complement turns their order
+    value = F.when(below, F.translate(digits, "0123456789", "9876543210")).when(numeric, digits)
+    order = F.struct((~numeric).alias("a"), size.alias("n"), value.alias("v"), F.col("camera").alias("c"))
     chosen = videos.groupBy("case_id").agg(F.min(order).alias("o")).select("case_id", F.col("o.c").alias("camera"))
     if stored is None:
         return chosen
     return chosen.join(stored.select("case_id", F.col("camera").alias("_kept")), "case_id", "left").select("case_id", F.coalesce("_kept", "camera").alias("camera"))
 
 
+def without_camera(wanted: DataFrame, videos: DataFrame) -> DataFrame:
+    """case_id of wanted cases that have no video, known or not: no camera can be elected for them."""
+    return wanted.select("case_id").distinct().join(videos.select("case_id"), "case_id", "left_anti")
+
+
 def skip_others(videos: DataFrame, elected: DataFrame, stage: str) -> DataFrame:
     """Pending rows of cameras that are not elected become skipped; nothing else changes."""
     column = f"{stage}_status"
@@ -44,16 +54,26 @@ def shortest_first(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.coalesce("duration_s", F.lit(0.0)), "case_id", "camera")
 
 
-def interleaved_rank(rows: DataFrame, of: int, parts: int = 64) -> DataFrame:
-    """rank (0 is the shortest) and shard of each row: ranks within ranges of the duration, added up over the ranges."""
-    keyed = rows.withColumn("_d", F.coalesce("duration_s", F.lit(0.0)))
-    edges = keyed.agg(F.percentile_approx("_d", [k / parts for k in range(1, parts)], 10_000).alias("_e"))
-    binned = keyed.join(F.broadcast(edges)).withColumn("_bin", F.size(F.filter("_e", lambda e: e < F.col("_d")))).drop("_e")
-    counts = binned.groupBy("_bin").count()
-    starts = counts.select("_bin", (F.sum("count").over(Window.orderBy("_bin")) - F.col("count")).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_bin").orderBy("_d", "case_id", "camera"))
-    out = binned.withColumn("_place", place).join(F.broadcast(starts), "_bin").withColumn("rank", F.col("_start") + F.col("_place") - 1)
-    return out.withColumn("shard", F.col("rank") % of).drop("_d", "_bin", "_start", "_place")
+def interleaved_rank(rows: DataFrame, of: int, range_rows: int = 250_000) -> DataFrame:
+    """rank (0 is the shortest) and shard of each row, by duration (null is 0), case and camera.
+
+    The whole key is cut into ranges of about `range_rows` rows, so equal durations spread over ranges by case and camera. A rank is the
+    number of rows in the ranges before and the place in its own range; no task holds more than a range. Rows of one key share no order.
+    """
+    key = F.struct(F.coalesce("duration_s", F.lit(0.0)).cast("double").alias("d"), F.coalesce("case_id", F.lit("")).alias("c"), F.coalesce("camera", F.lit("")).alias("v"))
+    keyed = rows.withColumn("_key", key)
+    n = keyed.count()
+    parts = max(8, -(-n // range_rows))
+    # where ranges begin: any sample does, as rows are then counted against these keys
+    begins = keyed.select("_key").repartitionByRange(parts, "_key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("_key").alias("_begin")).select("_begin")
+    edges = begins.agg(F.array_sort(F.collect_set("_begin")).alias("_edges"))  # one row of `parts` keys
+    ranged = keyed.join(F.broadcast(edges)).withColumn("_range", F.size(F.filter("_edges", lambda e: e <= F.col("_key"))))
+    ranged = ranged.drop("_edges")
+    counts = ranged.groupBy("_range").count()
+    starts = counts.select("_range", (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_start"))  # one row a range
+    place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    out = ranged.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn("rank", F.col("_start") + F.col("_place") - 1)
+    return out.withColumn("shard", F.col("rank") % of).drop("_key", "_range", "_start", "_place")
 
 
 def current_state(log: DataFrame) -> DataFrame:

@@ -69,10 +69,15 @@ def visibility(pose: DataFrame, least: float = 0.3) -> DataFrame:
 
 
 def boundary_error(words: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
-    """case_id, n, mean_s, median_s: distances of word starts and ends from those of the same word in the gold standard."""
+    """case_id, n, mean_s, median_s: distances of word starts and ends from those of the same word in the gold standard.
+
+    Distances are whole microseconds, so their sums are exact; mean and median are rounded to microseconds, halves up."""
     both = words.join(gold.select(*keys, F.col("start_s").alias("gs"), F.col("end_s").alias("ge")), keys)
-    each = both.select("case_id", F.explode(F.array(F.abs(F.col("start_s") - F.col("gs")), F.abs(F.col("end_s") - F.col("ge")))).alias("d"))
-    return each.groupBy("case_id").agg(F.count("*").alias("n"), F.avg("d").alias("mean_s"), F.median("d").alias("median_s"))
+    micro = lambda a, b: F.rint(F.abs(F.col(a) - F.col(b)) * 1e6).cast("bigint")
+    each = both.select("case_id", F.explode(F.array(micro("start_s", "gs"), micro("end_s", "ge"))).alias("d")).where("d is not null")
+    halves = (2 * F.median("d")).cast("bigint")  # a median is a whole or a half
+    mean = F.expr("(2 * sum(d) + count(*)) div (2 * count(*))")
+    return each.groupBy("case_id").agg(F.count("*").alias("n"), (mean / 1e6).alias("mean_s"), (F.floor((halves + 1) / 2) / 1e6).alias("median_s"))
 
 
 def feed_lag(left: DataFrame, right: DataFrame, lags: int) -> DataFrame:
@@ -91,10 +96,14 @@ def torso(points: Column) -> tuple[Column, Column]:
 
 
 def facing_series(pose: DataFrame, k: int = 5) -> DataFrame:
-    """video, frame, angle: moving average over k frames from each frame on, full windows only."""
+    """video, frame, angle: moving average over k frames from each frame on, full windows only.
+
+    A video of fewer frames than k takes the window's part: its sum over k stands in k - frames + 1 rows, from frame 0."""
     ahead = Window.partitionBy("video").orderBy("frame").rowsBetween(0, k - 1)
     rows = pose.select("video", "frame", torso(F.col("points"))[0].alias("a"))
-    return rows.select("video", "frame", F.avg("a").over(ahead).alias("angle"), F.count("*").over(ahead).alias("n")).where(F.col("n") == k).drop("n")
+    full = rows.select("video", "frame", F.avg("a").over(ahead).alias("angle"), F.count("*").over(ahead).alias("n")).where(F.col("n") == k).drop("n")
+    short = rows.groupBy("video").agg(F.count("*").alias("n"), (F.sum("a") / k).alias("angle")).where(F.col("n") < k)
+    return full.unionByName(short.select("video", F.explode(F.sequence(F.lit(0).cast("bigint"), k - F.col("n"))).alias("frame"), "angle"))
 
 
 def wrist_velocity(pose: DataFrame, fps: float = 30.0) -> DataFrame:
@@ -113,6 +122,11 @@ def pack_slots(detections: DataFrame, frames: DataFrame, slots: int = 4) -> Data
     return spine.join(kept, ["video", "frame", "slot"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
 
 
+def undetected(frames: DataFrame, detections: DataFrame) -> DataFrame:
+    """video of videos that have frames, but no detection in any of them: nothing can be packed of them."""
+    return frames.select("video").distinct().join(detections.select("video"), "video", "left_anti")
+
+
 def held(frames: DataFrame, detections: DataFrame, every: int) -> DataFrame:
     """Detections of the last frame that was looked at, for every frame."""
     looked = detections.where(F.col("frame") % every == 0).withColumnRenamed("frame", "_looked")
@@ -129,7 +143,35 @@ def speaker_pitch(pitch: DataFrame, turns: DataFrame, least: int = 10) -> DataFr
     return rows.where(F.col("n_frames") >= least).withColumn("bucket", S.pitch_bucket(F.col("median_hz")))
 
 
-def acoustic_frames(tracks: DataFrame, duration: float) -> DataFrame:
-    """case_id, frame, start_s, end_s, pitch (null where not a number), intensity."""
-    n = F.row_number().over(Window.partitionBy("case_id").orderBy("t", "event_id")).cast("bigint")
-    return tracks.select("case_id", n.alias("frame"), F.greatest(F.lit(0.0), F.col("t") - duration / 2).alias("start_s"), (F.col("t") + duration / 2).alias("end_s"), F.nanvl("pitch", F.lit(None).cast("double")).alias("pitch"), "intensity")
+ACOUSTIC = ("pitch", "intensity", "harmonicity", "formant_1", "formant_2", "formant_3", "formant_4")
+
+
+def acoustic_frames(tracks: DataFrame, duration: float, order: str = "t") -> DataFrame:
+    """case_id, frame (from 1), start_s, end_s and ACOUSTIC, from tracks (case_id, t, ACOUSTIC): not-a-number becomes null in pitch and harmonicity
+    and stays in intensity and formants; nulls stay null. `order` parts frames of one time."""
+    n = F.row_number().over(Window.partitionBy("case_id").orderBy("t", order)).cast("bigint")
+    value = {c: F.when(~F.isnan(c), F.col(c)) if c in ("pitch", "harmonicity") else F.col(c) for c in ACOUSTIC}
+    return tracks.select("case_id", n.alias("frame"), F.greatest(F.lit(0.0), F.col("t") - duration / 2).alias("start_s"), (F.col("t") + duration / 2).alias("end_s"), *(v.cast("double").alias(c) for c, v in value.items()))
+
+
+def turn_segments(turns: DataFrame) -> DataFrame:
+    """case_id, idx, segment, label, speaker, start, end of turns by start, then end and speaker; labels A to Z, AA, AB and so on by place, segment as text of its bounds."""
+    order = Window.partitionBy("case_id").orderBy("start_s", "end_s", "speaker")
+    rows = turns.withColumn("idx", (F.row_number().over(order) - 1).cast("long"))
+    segment = F.format_string("%.3f-%.3f", "start_s", "end_s")
+    digits = [F.when(F.col("idx") >= low, F.chr(65 + F.pmod(F.floor((F.col("idx") - low) / 26**k), F.lit(26)))).otherwise("") for k, low in enumerate((0, 26, 26 + 26**2, 26 + 26**2 + 26**3))]
+    return rows.select("case_id", "idx", segment.alias("segment"), F.concat(*reversed(digits)).alias("label"), "speaker", F.col("start_s").alias("start"), F.col("end_s").alias("end"))
+
+
+def gold_turns(annotations: DataFrame, outside: str = "OUTSIDE_ROOM", label: str = "OTHER") -> DataFrame:
+    """case_id, start_s, end_s, speaker of annotations (case_id, tier, start_ms, end_ms, value): all turns, those from outside the room under a general label."""
+    who = F.when(F.col("tier") == outside, label).otherwise(F.col("tier"))
+    return annotations.select("case_id", (F.col("start_ms") / 1000).alias("start_s"), (F.col("end_ms") / 1000).alias("end_s"), who.alias("speaker"))
+
+
+def gold_lines(annotations: DataFrame, outside: str = "OUTSIDE_ROOM") -> DataFrame:
+    """case_id, idx, line: trimmed annotations by start, end, tier and text, without blank ones and what is said outside the room."""
+    value = F.trim("value")
+    rows = annotations.where((F.col("tier") != outside) & (value != "")).select("case_id", "start_ms", "end_ms", "tier", value.alias("line"))
+    order = Window.partitionBy("case_id").orderBy("start_ms", "end_ms", "tier", "line")
+    return rows.select("case_id", (F.row_number().over(order) - 1).cast("long").alias("idx"), "line")

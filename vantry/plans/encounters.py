@@ -27,7 +27,9 @@ ROOMS = "rooms as (select distinct cast(user_id as varchar) camera_id, lpad(cast
 CASES = "cs as (select p||event_id case_id, cast(user_id%30 as varchar) room_number, lower(strftime(ts,'%m/%d/%Y %I:%M %p')) recording_start, date_trunc('minute',ts) m from events, (values ('C'),('D')) v(p) where (p='C' and event_id%3<>0) or (p='D' and event_id%15=1))"
 VIDEOS = """v as (select cast(o_custkey as varchar) case_id, (case when o_orderkey%13=0 then 'x' else '' end)||o_orderkey camera,
  case when o_orderkey%17=0 then null else round(o_totalprice/100,4) end duration_s, case o_orderstatus when 'P' then 'pending' when 'F' then 'done' else 'failed' end pose_status,
- case o_orderkey%3 when 0 then 'pending' when 1 then 'done' else 'failed' end asr_status from orders)"""
+ case o_orderkey%3 when 0 then 'pending' when 1 then 'done' else 'failed' end asr_status,
+ ['pending','done','failed','skipped'][o_orderkey%5%4+1] audio_status, ['pending','done','failed','skipped'][o_orderkey%7%4+1] diarize_status, ['pending','done','failed','skipped'][o_orderkey%11%4+1] elan_status from orders)"""
+STAGES = ("audio", "asr", "diarize", "elan", "pose")
 WORDS = r"""w as (select case_id, turn, pos, ws[pos+1] word, cast(turn*100+pos*0.25 as double) start_s, cast(turn*100+pos*0.25+(pos%3)*0.1 as double) end_s, speaker from
  (select cast(conv_id as varchar) case_id, turn, role speaker, ws, unnest(range(len(ws))) pos from (select *, regexp_split_to_array(trim(text),'\s+') ws from conversations)))"""
 TURNS = """t as (select cast(conv_id as varchar) case_id, turn*100+0.1 s, turn*100+5+turn*3 e, role who from conversations union all
@@ -115,14 +117,14 @@ def shard_assign(spark, d):
     return manifest.interleaved_rank(T.videos(spark, d).where("pose_status = 'pending'"), 4).select("case_id", "camera", "rank", "shard")
 
 
-@query(f"with {VIDEOS} select 'pose' stage, pose_status status, count(*) n from v group by 2 union all select 'asr', asr_status, count(*) from v group by 2")
+@query(f"with {VIDEOS} " + " union all ".join(f"select '{x}' stage, {x}_status status, count(*) n from v group by 2" for x in STAGES))
 def status_tally(spark, d):
-    return reports.status_tally(T.videos(spark, d), {"pose": "pose_status", "asr": "asr_status"})
+    return reports.status_tally(T.videos(spark, d), {s: f"{s}_status" for s in STAGES})
 
 
-@query(f"with {VIDEOS} select pose_status in ('done','skipped') ok, count(*) n from v where pose_status<>'pending' group by 1")
+@query(f"with {VIDEOS} " + " union all ".join(f"select '{x}' stage, {x}_status in ('done','skipped') ok, count(*) n from v where {x}_status<>'pending' group by 2" for x in STAGES))
 def outcome_tally(spark, d):
-    return reports.outcome_tally(T.videos(spark, d), "pose_status")
+    return reports.outcome_tally(T.videos(spark, d), {s: f"{s}_status" for s in STAGES})
 
 
 @query("select cast(user_id as varchar) case_id, max_by(event_type, struct_pack(a:=ts,b:=event_id)) status from events group by 1")
@@ -136,9 +138,10 @@ def latest_per_key(spark, d):
     return catalog.latest(T.table(spark, d, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id", "event_type")
 
 
-@query("select cast(c_custkey as varchar) case_id from customer where c_custkey not in (select o_custkey from orders)")
+@query("select cast(c_custkey as varchar) case_id from customer where c_custkey not in (select o_custkey from orders where o_orderstatus='P')")
 def new_keys(spark, d):
-    known = T.videos(spark, d).select("case_id").distinct()
+    """Cases of the sheets that no video waits for."""
+    known = T.videos(spark, d).where("pose_status = 'pending'").select("case_id").distinct()
     return catalog.absent(T.sheet_cells(spark, d).select(F.col("sheet").alias("case_id")).distinct(), known, ["case_id"])
 
 
@@ -153,11 +156,11 @@ def duplicate_keys(spark, d):
     return catalog.repeated(T.videos(spark, d), ["case_id"])
 
 
-@query("select sha256(text) sha256, count(*) n, string_agg(cast(doc_id as varchar), ',' order by doc_id) keys from documents where text is not null group by 1 having count(*)>1")
+@query("select doc_id, s sha256, n from (select doc_id, sha256(text) s, count(*) over (partition by text) n from documents where text is not null) where n>1")
 def duplicate_content(spark, d):
+    """Every document whose text stands under several keys, with the number of them."""
     rows = T.table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
-    counted = catalog.repeated(rows, ["sha256"])
-    return rows.join(counted, "sha256").groupBy("sha256").agg(F.first("n").alias("n"), F.array_join(F.array_sort(F.collect_list("doc_id")).cast("array<string>"), ",").alias("keys"))
+    return rows.join(catalog.repeated(rows, ["sha256"]), "sha256").select("doc_id", "sha256", "n")
 
 
 @query(f"with {VIDEOS} select case_id from v where asr_status='done' intersect select case_id from v where pose_status='done'")
@@ -236,10 +239,14 @@ def pitch_in_turn(spark, d):
     return signals.pitch_in_turns(T.pitch(spark, d), T.pitch_turns(spark, d)).select("case_id", "event_id", "speaker", "hz")
 
 
-@query(f"with {PITCH} select case_id, row_number() over (partition by case_id order by t,event_id) frame, greatest(0,t-0.02) start_s, t+0.02 end_s, case when hz=0 then null else hz end pitch, value intensity from p")
+@query(f"""with {PITCH} select case_id, row_number() over (partition by case_id order by t,event_id) frame, greatest(0,t-0.02) start_s, t+0.02 end_s, case when hz=0 then null else hz end pitch,
+ case when event_id%6=0 then 'nan'::double else value::double end intensity, case when event_id%5=0 then null else value*2 end::double harmonicity,
+ """ + ", ".join(f"case when event_id%{n}=0 then 'nan'::double when event_id%{n}=1 then null else {k}*100+value end::double formant_{k}" for k, n in enumerate((7, 8, 9, 10), 1)) + " from p")
 def acoustic_frames(spark, d):
-    rows = T.pitch(spark, d).withColumn("pitch", F.when(F.col("hz") == 0, F.lit(float("nan"))).otherwise(F.col("hz")))
-    return signals.acoustic_frames(rows, 0.04)
+    nan, value, event = F.lit(float("nan")), F.col("intensity"), F.col("event_id")
+    formants = {f"formant_{k}": F.when(event % n == 0, nan).when(event % n == 1, None).otherwise(k * 100 + value) for k, n in enumerate((7, 8, 9, 10), 1)}
+    more = {"pitch": F.when(F.col("hz") == 0, nan).otherwise(F.col("hz")), "harmonicity": F.when(event % 5 == 0, nan).otherwise(value * 2), **formants, "intensity": F.when(event % 6 == 0, nan).otherwise(value)}
+    return signals.acoustic_frames(T.pitch(spark, d).withColumns(more), 0.04, "event_id")
 
 
 @query(f"with {POSE} select video, frame, round(degrees(atan2(pts[7][2]-pts[6][2],pts[7][1]-pts[6][1])),5) angle, round(pts[1][2]-(pts[6][2]+pts[7][2])/2,5) lean from pose")
@@ -312,18 +319,6 @@ def cer(spark, d):
     return text_normalize(spark, d).select("doc_id", S.char_error_rate(F.col("ref"), F.col("hyp")).alias("cer"))
 
 
-@query()
-def text_normalize_whole(spark, d):
-    """text_normalize under its earlier name."""
-    return text_normalize(spark, d)
-
-
-@query()
-def cer_whole(spark, d):
-    """cer under its earlier name."""
-    return cer(spark, d)
-
-
 @query()
 def wer(spark, d):
     """Word error rates of whole texts; held against a plain edit distance in the tests."""

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vantry.operators import quality
-from vantry.plans.encounters import MATCH, TURNS, VIDEOS, WORDS, query
-from vantry.sources import files
+from vantry.operators import quality, reports, signals
+from vantry.plans.encounters import MATCH, POSE, TURNS, VIDEOS, WORDS, query
+from vantry.sources import content, files, pose
 from vantry.sources import tables as T
 from vantry.streaming.incremental import incremental_catalog as follow
 from vantry.streaming.incremental import read_catalog
@@ -19,17 +19,139 @@ def camera_room_export(spark, d):
     return files.read_camera_rooms(spark, path)
 
 
-@query(f"with {WORDS} select case_id, 'e'||(length(case_id)%2) engine, row_number() over (partition by case_id order by turn, pos)-1 idx, word, start_s, end_s, speaker from w")
-def transcript_files(spark, d):
+def _transcripts(spark, d, *more):
+    """One transcript a conversation: a segment for each turn; cases whose name has an odd length have root words too."""
     w = F.struct("word", F.col("start_s").alias("start"), F.col("end_s").alias("end"), "speaker")
     segments = T.words(spark, d).groupBy("case_id", "turn").agg(F.array_sort(F.collect_list(F.struct("pos", w.alias("w")))).alias("s"))
     cases = segments.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.transform("s", lambda x: x["w"]).alias("words")))).alias("t"))
-    parts = F.transform("t", lambda x: F.struct(x["words"].alias("words")))
+    said = lambda x: F.when((F.length("case_id") % 3 != 0) | (x["turn"] != 1), F.concat(F.lit(" seg"), x["turn"], F.lit(" ")))
+    parts = F.transform("t", lambda x: F.struct(said(x).alias("text"), x["words"].alias("words")))
     odd = F.length("case_id") % 2
-    whole = cases.select("case_id", F.concat(F.lit("e"), odd).alias("engine"), F.lit("small").alias("model"), F.when(odd == 1, F.flatten(F.transform("t", lambda x: x["words"]))).alias("words"), parts.alias("segments"))
+    return cases.select("case_id", F.concat(F.lit("cam"), odd).alias("camera"), F.concat(F.lit("e"), odd).alias("engine"), F.lit("small").alias("model"), F.when(odd == 1, F.flatten(F.transform("t", lambda x: x["words"]))).alias("words"), parts.alias("segments"))
+
+
+@query(f"with {WORDS} select case_id, 'cam'||(length(case_id)%2) camera, 'e'||(length(case_id)%2) engine, row_number() over (partition by case_id order by turn, pos)-1 idx, word, start_s, end_s, speaker from w")
+def transcript_files(spark, d):
+    """Transcripts as files; some cases are written again by themselves, which leaves the others."""
+    whole = _transcripts(spark, d)
     path = files.new_path(spark, "transcripts")
-    files.write_transcripts(whole, path)
-    return files.read_transcript_words(spark, path).select("case_id", "engine", "idx", "word", F.col("start").alias("start_s"), F.col("end").alias("end_s"), "speaker")
+    files.write_transcripts(whole.withColumn("segments", F.when(F.length("case_id") != 1, F.col("segments"))), path)
+    files.write_transcripts(whole.where(F.length("case_id") == 1), path)
+    return files.read_transcript_words(spark, path).select("case_id", "camera", "engine", "idx", "word", F.col("start").alias("start_s"), F.col("end").alias("end_s"), "speaker")
+
+
+@query(f"""with {WORDS}, t as (select case_id, string_agg(trim(word),' ' order by turn,pos) said, count(distinct turn) filter (turn=1) silent from w group by 1),
+ s as (select case_id, string_agg('seg'||turn,' ' order by turn) segs from (select distinct case_id, turn from w) group by 1)
+ select case_id, case when length(case_id)%3<>0 or silent=0 then segs else said end hypothesis from t join s using (case_id)""")
+def transcript_text(spark, d):
+    """Texts of transcripts: of their segments where all have one, else of their words."""
+    return reports.transcript_text(_transcripts(spark, d)).select("case_id", "hypothesis")
+
+
+@query(f"""with {WORDS}, a as (select *, case when lag(speaker) over o is distinct from speaker then 1 else 0 end n from w window o as (partition by case_id order by turn,pos)),
+ b as (select *, cast(sum(n) over (partition by case_id order by turn,pos rows unbounded preceding) as bigint) island from a),
+ c as (select case_id, island, speaker, '['||strftime(make_timestamp(cast(floor(min_by(start_s,struct_pack(a:=turn,b:=pos)))*1000000 as bigint)),'%H:%M:%S')||'] '||speaker||': '||coalesce(string_agg(word,' ' order by turn,pos) filter (trim(word)<>''),'') line from b group by 1,2,3)
+ select case_id, island-1 idx, line from c""")
+def plain_transcript(spark, d):
+    """One text file a case, read back line by line."""
+    lines = signals.speaker_turns(T.words(spark, d)).select("case_id", (F.col("island") - 1).alias("idx"), "line")
+    path = files.new_path(spark, "plain")
+    files.write_lines(lines, path)
+    return files.read_lines(spark, path)
+
+
+@query(f"""with {TURNS}, n as (select case_id, cast(s as double) s, cast(e as double) e, who, row_number() over (partition by case_id order by s, e, who)-1 idx from t)
+ select case_id, idx, printf('%.3f-%.3f', s, e) segment, case when idx<26 then chr(65+cast(idx as int)) else chr(64+cast(idx//26 as int))||chr(65+cast(idx%26 as int)) end "label", who speaker, s start, e "end" from n""")
+def turn_segments(spark, d):
+    return signals.turn_segments(T.turns(spark, d))
+
+
+@query(f"with {TURNS} select case_id, cast(s as double) start_s, cast(e as double) end_s, who speaker from t")
+def rttm_first_recording(spark, d):
+    """Files of two recordings each, of which only the first is read."""
+    rows = signals.turn_segments(T.turns(spark, d))
+    line = lambda name: F.format_string("SPEAKER %s 1 %.3f %.3f <NA> <NA> %s <NA> <NA>", name, "start", F.col("end") - F.col("start"), "speaker").alias("line")
+    own = rows.select("case_id", "idx", line(F.col("case_id")))
+    other = rows.select("case_id", (F.col("idx") + 1_000_000).alias("idx"), line(F.concat("case_id", F.lit("-b"))))
+    path = files.new_path(spark, "rttm-two")
+    files.write_lines(own.unionByName(other), path)
+    found = files.read_rttm(spark, f"{path}/*", first_only=True, strict=True)
+    return found.select("case_id", *(F.round(c, 3).alias(c) for c in ("start_s", "end_s")), "speaker")
+
+
+GOLD = f"""{WORDS}, g as (select case_id, case speaker when 'system' then 'OUTSIDE_ROOM' when 'user' then 'PATIENT' else 'LEARNER' end tier, turn*100000 start_ms, turn*100000+count(*)*250 end_ms, string_agg(word,' ' order by pos) as value from w where word<>'' group by case_id, turn, speaker)"""
+
+
+def _gold(spark, d):
+    """An annotation for every turn; what the system says comes from outside the room."""
+    tier = F.when(F.col("speaker") == "system", "OUTSIDE_ROOM").when(F.col("speaker") == "user", "PATIENT").otherwise("LEARNER")
+    w = T.words(spark, d).where("word <> ''").groupBy("case_id", "turn", "speaker").agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("ws"))
+    start = F.col("turn") * 100_000
+    return w.select("case_id", tier.alias("tier"), start.alias("start_ms"), (start + F.size("ws") * 250).alias("end_ms"), F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("value"))
+
+
+@query(f"with {GOLD} select case_id, row_number() over (partition by case_id order by start_ms, end_ms, tier, value)-1 idx, value line from g where tier<>'OUTSIDE_ROOM'")
+def gold_text_export(spark, d):
+    """Reference texts for error rates, one file a case, read back."""
+    path = files.new_path(spark, "gold")
+    files.write_lines(signals.gold_lines(_gold(spark, d)), path)
+    return files.read_lines(spark, path)
+
+
+@query(f"with {GOLD} select case_id, start_ms/1000::double start_s, end_ms/1000::double end_s, case tier when 'OUTSIDE_ROOM' then 'OTHER' else tier end speaker from g")
+def gold_turn_export(spark, d):
+    """Reference turns for diarization, as RTTM, read back."""
+    path = files.new_path(spark, "gold-turns")
+    files.write_rttm(signals.gold_turns(_gold(spark, d)), path)
+    found = files.read_rttm(spark, path)
+    return found.select("case_id", *(F.round(c, 3).alias(c) for c in ("start_s", "end_s")), "speaker")
+
+
+@query("select distinct cast(user_id as varchar) camera_id, cast(user_id%30 as varchar) room from events where user_id%11<>0")
+def camera_room_seed(spark, d):
+    """An empty map is filled from the first file that exists; a map with rows stays."""
+    path = files.new_path(spark, "seed")
+    quoted = T.camera_rooms(spark, d).select(F.concat(F.lit(" '"), "room_number", F.lit("'")).alias("room"), F.concat(F.lit("'"), "camera_id", F.lit("' ")).alias("camera_id"))
+    files.write_camera_rooms(quoted, path)
+    empty = spark.createDataFrame([], "camera_id string, room string")
+    filled = files.seeded(empty, [files.new_path(spark, "no-such-file"), path])
+    return files.seeded(filled, [files.new_path(spark, "no-such-file")])
+
+
+@query("select page_id, octet_length(encode(html))+1 length, sha256(html||chr(10)) sha256 from pages where html is not null")
+def file_fingerprint(spark, d):
+    """Every page as a file, and the files' hashes; longer ones are hashed in chunks."""
+    path = files.new_path(spark, "pages")
+    pages = T.table(spark, d, "pages").where("html is not null")
+    files.write_lines(pages.select(F.col("page_id").cast("string").alias("case_id"), F.lit(0).alias("idx"), F.col("html").alias("line")), path)
+    found = content.fingerprints(spark, path, largest=4_000).where(F.col("path").endswith(".txt"))
+    return found.select(F.regexp_extract("path", "case_id=([0-9]+)/", 1).cast("long").alias("page_id"), "length", "sha256")
+
+
+@query(f"with {POSE}, r as (select video, max(frame) m from pose group by 1), s as (select video, unnest(range(m+1)) frame from r), k as (select unnest(range(4)) slot) select cast(s.video as varchar) video, slot, s.frame, 32 n_points, coalesce(cast(cast(pts[6][1] as float) as double),0) x5, coalesce(cast(cast(pts[6][2] as float) as double),0) y5, coalesce(cast(cast(pts[6][1]/12 as float) as double),0) score5 from s cross join k left join pose on pose.video=s.video and pose.frame=s.frame and slot=0")
+def pose_rows(spark, d):
+    """Rows with all four slots, as Parquet, as tensors in blocks of frames, and as rows again."""
+    path = files.new_path(spark, "pose")
+    pose.write_rows(pose.with_gaps_filled(_pose(spark, d), 4, 32, 2), path)
+    rows = pose.rows_of_blocks(pose.blocks_of(pose.read_rows(spark, path), 16), 16)
+    return _point(rows)
+
+
+def _pose(spark, d):
+    return T.pose(spark, d).select("video", "slot", "frame", F.col("points").cast(pose.POINTS).alias("keypoint"), F.col("scores").cast("array<float>").alias("score"))
+
+
+def _point(rows):
+    at = lambda k: F.get(F.get("keypoint", F.lit(5)), F.lit(k)).cast("double")
+    return rows.select("video", "slot", "frame", F.size("keypoint").alias("n_points"), at(0).alias("x5"), at(1).alias("y5"), F.get("score", F.lit(5)).cast("double").alias("score5"))
+
+
+@query(f"with {POSE} select cast(video as varchar) video, 0 slot, frame, 32 n_points, cast(cast(pts[6][1] as float) as double) x5, cast(cast(pts[6][2] as float) as double) y5, cast(cast(pts[6][1]/12 as float) as double) score5 from pose")
+def pose_json(spark, d):
+    """Whole entries as JSON, read back as rows."""
+    path = files.new_path(spark, "pose-json")
+    pose.write_json(pose.entries_of(_pose(spark, d)), path)
+    return _point(pose.rows_of(pose.read_json(spark, path)))
 
 
 @query(f"with {TURNS} select case_id, cast(s as double) start_s, cast(e as double) end_s, who speaker from t")

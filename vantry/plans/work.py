@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vantry.functions import scalars as S
-from vantry.operators import catalog, manifest, quality, signals, stages
-from vantry.plans.encounters import MATCH, PITCH, TURNS, VIDEOS, WORDS, case_match, query
+from vantry.operators import catalog, manifest, quality, reports, signals, stages
+from vantry.plans.encounters import DET, MATCH, PITCH, TURNS, VIDEOS, WORDS, case_match, query
 from vantry.sources import files
 from vantry.sources import tables as T
 
@@ -78,30 +78,47 @@ def insert_if_absent(spark, d):
     return added.withColumn("added", F.lit(True)).unionByName(refused.withColumn("added", F.lit(False)))
 
 
-@query(MATCH + " select * from m")
-def match_cache_merge(spark, d):
-    """All matches again, of which matched ones come from the cache."""
-    return catalog.rematch(case_match(spark, d), T.recordings(spark, d), T.camera_rooms(spark, d), T.cases(spark, d))
+STALE = "case when substr(filename,1,8)>='20240901' then 'matched' when substr(filename,1,8)>='20240401' then 'no_room' end"
 
 
-@query("""select '2026-01-01T00:00:00' as timestamp, cast(c_custkey as varchar) case_id, 'e'||(c_custkey%2) engine, 'small' model, sha256(c_name) audio_sha256,
- case when c_custkey%3=0 then 1.0 else 0.0 end wer, case when c_custkey%3=0 then round(levenshtein('x'||lower(c_mktsegment), lower(c_mktsegment))/length(c_mktsegment)::double,4) else 0.0 end cer,
- round(cast(c_acctbal as double),1) wall_s, 'abc' git_commit, 'm1' machine, '' notes from customer""")
+@query(MATCH + f""" select filename, case when {STALE}='matched' then 'matched' else status end status, case when {STALE}='matched' then 'OLD' else case_id end case_id,
+ case when {STALE}='matched' then '1' else room end room, case when {STALE}='matched' then '' else candidates end candidates from m""")
+def match_cache_merge(spark, d):
+    """All matches again, from a cache that is out of date: its matched rows stay, its others are matched anew."""
+    day = F.substring("filename", 1, 8)
+    old = T.recordings(spark, d).withColumn("status", F.when(day >= "20240901", "matched").when(day >= "20240401", "no_room")).where("status is not null")
+    hit = F.col("status") == "matched"
+    cached = old.select("filename", "status", F.when(hit, "OLD").alias("case_id"), F.when(hit, "1").otherwise("").alias("room"), F.lit("").alias("candidates"))
+    return catalog.rematch(cached, T.recordings(spark, d), T.camera_rooms(spark, d), T.cases(spark, d))
+
+
+@query(rf"""with {WORDS}, k as (select case_id, trim(regexp_replace(lower(word),'\p{{P}}','','g')) word, (pos+turn)%7=3 heard from w), s as (select * from k where word<>''),
+ r as (select case_id, count(*) n, count(*) filter (heard) gone, sum(length(word)+1)-1 chars from s group by 1), c as (select conv_id, count(*) turns from conversations group by 1)
+ select '2026-01-0'||(1+conv_id%3)||'T00:00:00' as timestamp, case_id, 'e'||(conv_id%2) engine, 'small' model, sha256(case_id) audio_sha256, round(gone/n::double,4) wer, round(gone/chars::double,4) cer,
+ round(turns*1.25,1) wall_s, sha1('run'||case_id) git_commit, 'host-'||(conv_id%4) machine, 'turns: '||turns notes from r join c on case_id=cast(conv_id as varchar)""")
 def benchmark_run_row(spark, d):
-    c = T.table(spark, d, "customer").withColumn("case_id", F.col("c_custkey").cast("string"))
-    name = [F.concat(F.lit("e"), F.col("c_custkey") % 2).alias("engine"), F.lit("small").alias("model")]
-    hyp = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("X"), "c_mktsegment")).otherwise(F.concat(F.lower("c_mktsegment"), F.lit(".")))
-    known = [F.lit("2026-01-01T00:00:00").alias("timestamp"), F.sha2(F.col("c_name").cast("binary"), 256).alias("audio_sha256"), F.col("c_acctbal").cast("double").alias("wall_s")]
-    known += [F.lit(v).alias(k) for k, v in (("git_commit", "abc"), ("machine", "m1"), ("notes", ""))]
-    return quality.benchmark_runs(c.select("case_id", F.col("c_mktsegment").alias("text")), c.select("case_id", *name, hyp.alias("text")), c.select("case_id", *name, *known))
-
-
-@query(f"""with {WORDS}, b as (select case_id, unnest([(pos%5)*0.01, (pos%3)*0.02]) x from w) select case_id, count(*) n, round(avg(x),6) mean_s, round(median(x),6) median_s from b group by 1""")
+    """A run for every conversation, whose words an engine hears with some replaced; appended to a log by day, and read back."""
+    c = T.table(spark, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("turns")).withColumn("case_id", F.col("conv_id").cast("string"))
+    name = [F.concat(F.lit("e"), F.col("conv_id") % 2).alias("engine"), F.lit("small").alias("model")]
+    w = T.words(spark, d).where(S.normalized_text(F.col("word")) != "")
+    heard = F.when((F.col("pos") + F.col("turn")) % 7 == 3, F.concat("word", F.lit("~!"))).otherwise(F.col("word")).alias("heard")
+    texts = w.groupBy("case_id").agg(F.array_sort(F.collect_list(F.struct("turn", "pos", "word", heard))).alias("ws"))
+    text = lambda k: F.array_join(F.transform("ws", lambda x: x[k]), " ").alias("text")
+    known = [F.concat(F.lit("2026-01-0"), 1 + F.col("conv_id") % 3, F.lit("T00:00:00")).alias("timestamp"), F.sha2(F.col("case_id").cast("binary"), 256).alias("audio_sha256"), (F.col("turns") * 1.25).cast("double").alias("wall_s")]
+    known += [F.sha1(F.concat(F.lit("run"), "case_id").cast("binary")).alias("git_commit"), F.concat(F.lit("host-"), F.col("conv_id") % 4).alias("machine"), F.concat(F.lit("turns: "), "turns").alias("notes")]
+    hyps = texts.join(c, "case_id").select("case_id", *name, text("heard"))
+    rows = quality.benchmark_runs(texts.select("case_id", text("word")), hyps, c.select("case_id", *name, *known))
+    path = files.new_path(spark, "bench")
+    for day in ("2026-01-01", "2026-01-02", "2026-01-03"):
+        files.append_run_log(rows.withColumn("run_date", F.substring("timestamp", 1, 10)).where(F.col("run_date") == day), path)
+    return files.read_run_log(spark, path)
+
+
+@query(f"""with {WORDS}, b as (select case_id, unnest([(pos%5)*10000, (pos%3)*20000]) x from w) select case_id, count(*) n, ((2*sum(x)+count(*))//(2*count(*)))/1e6 mean_s, floor((2*median(x)+1)/2)/1e6 median_s from b group by 1""")
 def boundary_error(spark, d):
     gold = T.words(spark, d)
     moved = gold.withColumn("start_s", F.col("start_s") + F.col("pos") % 5 * 0.01).withColumn("end_s", F.col("end_s") - F.col("pos") % 3 * 0.02)
-    found = signals.boundary_error(moved, gold, ["case_id", "turn", "pos"])
-    return found.select("case_id", "n", F.round("mean_s", 6).alias("mean_s"), F.round("median_s", 6).alias("median_s"))
+    return signals.boundary_error(moved, gold, ["case_id", "turn", "pos"])
 
 
 @query("""with e as (select user_id%10 as pair, cast(floor((epoch(ts)-epoch(timestamp '2024-01-01'))/86400) as bigint) i, cast(sum(cast(value as double)) as double) x from events group by 1,2),
@@ -132,10 +149,68 @@ def stage_registry(spark, d):
         stages.Stage("asr", lambda row: {"asr_model": "engine/small"}, needs="audio", effects=(("diarize", "done"),)),
         stages.Stage("pose", lambda row: None, per_camera=True),
     )
-    videos, log = T.videos(spark, d).drop("asr_status"), files.new_path(spark, "status")
+    videos, log = T.videos(spark, d).select("case_id", "camera", "duration_s", "pose_status"), files.new_path(spark, "status")
     stages.run(registry, "audio", videos, log, 1, shares=2)
     stages.run(registry, "asr", videos, log, 2)
     stages.retry(videos, "asr", log, 3)
     stages.run(registry, "asr", videos, log, 4)
     now = stages.run(registry, "pose", videos, log, 5)
     return now.select("case_id", "camera", "audio_status", "asr_status", "diarize_status", F.col("updates").getItem("asr_model").alias("asr_model"), "asr_attempts", "pose_status", "pose_attempts")
+
+
+@query(f"with {VIDEOS} select case_id, camera, 'e'||(length(camera)%2) engine, 'small' model, asr_status='done' and length(camera)%2=length(case_id)%2 ready from v where elan_status='pending'")
+def transcript_prerequisite(spark, d):
+    """Work of the ELAN stage, by case, camera, engine and model: ready where that very transcript was made."""
+    v = T.videos(spark, d)
+    keys = ["case_id", "camera", "engine", "model"]
+    engine = lambda c: F.concat(F.lit("e"), F.length(c) % 2).alias("engine")
+    done = v.where("asr_status = 'done'").select("case_id", "camera", engine("case_id"), F.lit("small").alias("model"))
+    return reports.prerequisite(v.where("elan_status = 'pending'").select("case_id", "camera", engine("camera"), F.lit("small").alias("model")), done, keys)
+
+
+@query(f"""with {VIDEOS}, e as (select case_id, camera from (select *, row_number() over (partition by case_id order by case when regexp_full_match(camera,'-?[0-9]+') then 0 else 1 end, try_cast(camera as bigint), camera) n from v) where n=1),
+ k as (select case_id, max(camera) kept from v where cast(case_id as bigint)%3=0 group by 1) select e.case_id, coalesce(kept, camera) camera from e left join k on k.case_id=e.case_id""")
+def camera_election_kept(spark, d):
+    """Cameras of all cases where some have a stored choice."""
+    v = T.videos(spark, d)
+    return manifest.elect_camera(v, v.where("cast(case_id as bigint) % 3 = 0").groupBy("case_id").agg(F.max("camera").alias("camera")))
+
+
+@query(f"with {VIDEOS} select cast(c_custkey as varchar) case_id from customer where c_custkey not in (select o_custkey from orders where o_orderstatus='F')")
+def cases_without_camera(spark, d):
+    wanted = T.table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("case_id"))
+    return manifest.without_camera(wanted, T.videos(spark, d).where("pose_status = 'done'"))
+
+
+@query("select cast(c_custkey as varchar) case_id, c_custkey%4<>0 added from customer")
+def case_sheet_lists(spark, d):
+    """Which cases a workbook adds, and which it skips as they are known."""
+    known = T.table(spark, d, "customer").where("c_custkey % 4 = 0").select(F.col("c_custkey").cast("string").alias("case_id"))
+    _, added, skipped = catalog.import_sheets(T.sheet_cells(spark, d), known)
+    return added.withColumn("added", F.lit(True)).unionByName(skipped.withColumn("added", F.lit(False)))
+
+
+@query("select p_partkey part, case when p_partkey%3=0 then '/mnt/' else 'raw/' end||p_name||'.mp4' path from part")
+def media_path(spark, d):
+    p = T.table(spark, d, "part")
+    base = F.when(F.col("p_partkey") % 3 == 0, "/mnt/").otherwise("/srv/data/raw/")
+    return p.select(F.col("p_partkey").alias("part"), catalog.relative_path(F.concat(base, "p_name", F.lit(".mp4")), "/srv/data").alias("path"))
+
+
+@query("select l_orderkey run, l_linenumber line, l_returnflag engine, round(l_quantity/l_extendedprice::double,3) realtime_factor, cast(round(cast(l_quantity as decimal(18,2)),2) as double) as seconds, cast(round(cast(l_extendedprice as decimal(18,2)),1) as double) audio_s from lineitem")
+def realtime_rows(spark, d):
+    rows = T.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("run"), F.col("l_linenumber").alias("line"), F.col("l_returnflag").alias("engine"), F.col("l_quantity").cast("double").alias("seconds"), F.col("l_extendedprice").cast("double").alias("audio_s"))
+    return reports.realtime_rows(rows)
+
+
+@query("with s as (select l_returnflag engine, l_linestatus model, cast(l_linenumber as varchar) accel, cast(sum(l_quantity) as double) s from lineitem group by 1,2,3) select engine, model, accel, s as seconds, round(s/max(s) over (partition by engine, model),6) ratio from s")
+def engine_cost_by_accel(spark, d):
+    t = T.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("engine"), F.col("l_linestatus").alias("model"), F.col("l_linenumber").cast("string").alias("accel"), F.col("l_quantity").cast("double").alias("seconds"))
+    return reports.total_cost(t, ["engine", "model", "accel"], ["engine", "model"]).withColumn("ratio", F.round("ratio", 6))
+
+
+@query(f"with {DET} select distinct video from det where video not in (select video from det where i>=3)")
+def videos_without_detections(spark, d):
+    """Videos that no frame shows four people in, as an example of a detector that finds nothing in some."""
+    det = T.detections(spark, d)
+    return signals.undetected(det, det.where("det_idx >= 3"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vantry.functions import scalars as S
 
 WORD = "word string, start double, `end` double, speaker string"
-TRANSCRIPT = f"case_id string, words array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>, segments array<struct<words:array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>>>"
+TRANSCRIPT = f"words array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>, segments array<struct<text:string,words:array<struct<{WORD.replace(' string', ':string').replace(' double', ':double')}>>>>"
 
 
 def folder(spark: SparkSession) -> str:
@@ -44,19 +44,52 @@ def read_camera_rooms(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy("camera_id").agg(F.max_by("room", "place").alias("room"))
 
 
+def seeded(rooms: DataFrame, paths: list[str]) -> DataFrame:
+    """camera_id, room: the table as it stands; an empty one is filled from the first of the CSV files that exists, if any."""
+    spark = rooms.sparkSession
+    if rooms.isEmpty():
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+                return read_camera_rooms(spark, path)
+    return rooms.select("camera_id", "room")
+
+
 def write_transcripts(transcripts: DataFrame, path: str) -> None:
-    """case_id, engine, model, words, segments: one JSON object a transcript, in folders of engine and model.
+    """case_id, camera, engine, model, words, segments: one JSON object a transcript, in folders of case, camera, engine and model.
 
-    A second write replaces only the folders that it has rows for.
+    A second write replaces only the folders that it has rows for, so a case written again leaves all others.
     """
-    transcripts.write.partitionBy("engine", "model").mode("overwrite").option("partitionOverwriteMode", "dynamic").json(path)
+    transcripts.write.partitionBy("case_id", "camera", "engine", "model").mode("overwrite").option("partitionOverwriteMode", "dynamic").json(path)
+
+
+def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
+    """case_id, camera, engine, model, words, segments."""
+    return spark.read.schema(f"{TRANSCRIPT}, case_id string, camera string, engine string, model string").json(path)
 
 
 def read_transcript_words(spark: SparkSession, path: str) -> DataFrame:
-    """case_id, engine, model, idx, word, start, end, speaker: the root's words, or those of its segments where it has none."""
-    found = spark.read.schema(f"{TRANSCRIPT}, engine string, model string").json(path)
+    """case_id, camera, engine, model, idx, word, start, end, speaker: the root's words, or those of its segments where it has none."""
+    found = read_transcripts(spark, path)
     words = F.when(F.size("words") > 0, F.col("words")).otherwise(F.flatten(F.transform("segments", lambda s: s["words"])))
-    return found.select("case_id", "engine", "model", F.posexplode(words).alias("idx", "w")).select("case_id", "engine", "model", F.col("idx").cast("long").alias("idx"), "w.*")
+    keys = ("case_id", "camera", "engine", "model")
+    return found.select(*keys, F.posexplode(words).alias("idx", "w")).select(*keys, F.col("idx").cast("long").alias("idx"), "w.*")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """case_id, idx, line as text files: all lines of a case stand in one file of its own folder, in the order of idx. Null and empty cases are left out.
+
+    Sorted by case, a task writes one file after the other, so it holds one open file and no case as a whole."""
+    # a column that can't be null, or the writer sorts anew by what it makes of nulls
+    rows = lines.where("case_id <> ''").withColumn("case_id", F.coalesce("case_id", F.lit(""))).repartition("case_id").sortWithinPartitions("case_id", "idx")
+    rows.select("case_id", F.col("line").alias("value")).write.partitionBy("case_id").mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """case_id, idx, line: the lines of each case's file, numbered as they stand."""
+    rows = spark.read.schema("value string, case_id string").text(path, wholetext=True)
+    lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
+    return rows.where("value <> ''").select("case_id", F.posexplode(lines).alias("idx", "line")).withColumn("idx", F.col("idx").cast("long"))
 
 
 def write_rttm(turns: DataFrame, path: str) -> None:
@@ -65,11 +98,16 @@ def write_rttm(turns: DataFrame, path: str) -> None:
     turns.repartition("case_id").sortWithinPartitions("case_id", "start_s", "end_s", "speaker").select(line).write.text(path)
 
 
-def read_rttm(spark: SparkSession, path: str, first_only: bool = False) -> DataFrame:
-    """case_id, start_s, end_s, speaker; with first_only, of each file only the recording that it names first."""
-    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
-    lines = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_path").alias("file"), place.alias("place"))
-    rows = lines.where((F.get("f", F.lit(0)) == "SPEAKER") & (F.size("f") >= 8))
+def read_rttm(spark: SparkSession, path: str, first_only: bool = False, strict: bool = False) -> DataFrame:
+    """case_id, start_s, end_s, speaker; with first_only, of each file only the recording that it names first.
+
+    With strict, a file without SPEAKER lines stops the job; `unread_rttm` lists such files."""
+    lines = _rttm_lines(spark, path)
+    if strict:
+        files = lines.groupBy("file").agg(F.max("speaks").alias("speaks"))
+        checked = files.withColumn("ok", F.when(F.col("speaks"), True).otherwise(F.raise_error(F.concat("file", F.lit(" has no turns")))))
+        lines = lines.join(checked.where("ok").select("file"), "file")
+    rows = lines.where("speaks")
     if first_only:
         first = rows.groupBy("file").agg(F.min_by(F.get("f", F.lit(1)), "place").alias("only"))
         rows = rows.join(first, "file").where(F.get("f", F.lit(1)) == F.col("only"))
@@ -77,11 +115,28 @@ def read_rttm(spark: SparkSession, path: str, first_only: bool = False) -> DataF
     return rows.select(F.get("f", F.lit(1)).alias("case_id"), start.alias("start_s"), (start + F.get("f", F.lit(4)).cast("double")).alias("end_s"), F.get("f", F.lit(7)).alias("speaker"))
 
 
+def _rttm_lines(spark: SparkSession, path: str) -> DataFrame:
+    place = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f"), F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    return lines.withColumn("speaks", (F.get("f", F.lit(0)) == "SPEAKER") & (F.size("f") >= 8))
+
+
+def unread_rttm(spark: SparkSession, path: str) -> DataFrame:
+    """file of RTTM files that have lines, but none of a speaker."""
+    return _rttm_lines(spark, path).groupBy("file").agg(F.max("speaks").alias("speaks")).where("not speaks").select("file")
+
+
 def append_run_log(runs: DataFrame, path: str) -> None:
     """Rows with a run_date join the log, a CSV table in folders of run_date."""
     runs.write.mode("append").partitionBy("run_date").option("header", True).csv(path)
 
 
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log of benchmark runs, in its columns' order (quality.RUN_COLUMNS), without the folders' run_date."""
+    kind = "timestamp string, case_id string, engine string, model string, audio_sha256 string, wer double, cer double, wall_s double, git_commit string, machine string, notes string"
+    return spark.read.option("header", True).schema(f"{kind}, run_date string").csv(path).drop("run_date")
+
+
 def write_speaker_stats(stats: DataFrame, path: str) -> None:
     """case_id, speaker, median_hz, n_frames, bucket as CSV with a header."""
     stats.select("case_id", "speaker", "median_hz", "n_frames", "bucket").write.option("header", True).csv(path)

@@ -39,6 +39,7 @@ def videos(spark, d):
         F.when(F.col("o_orderkey") % 17 == 0, None).otherwise(F.round(F.col("o_totalprice").cast("double") / 100, 4)).alias("duration_s"),
         F.when(F.col("o_orderstatus") == "P", "pending").when(F.col("o_orderstatus") == "F", "done").otherwise("failed").alias("pose_status"),
         F.when(F.col("o_orderkey") % 3 == 0, "pending").when(F.col("o_orderkey") % 3 == 1, "done").otherwise("failed").alias("asr_status"),
+        *(F.element_at(F.array(*map(F.lit, ("pending", "done", "failed", "skipped"))), (F.col("o_orderkey") % n % 4 + 1).cast("int")).alias(f"{stage}_status") for stage, n in (("audio", 5), ("diarize", 7), ("elan", 11))),
     )
 
 

@@ -19,14 +19,14 @@ def test_rttm_keeps_the_first_recording_of_a_file(spark, tmp_path):
 def test_transcripts_prefer_words_and_replace_their_folder_only(spark, tmp_path):
     def one(case, model, root, inner):
         words = lambda ws: [(w, 0.0, 1.0, None) for w in ws]
-        schema = f"{files.TRANSCRIPT}, engine string, model string"
-        return spark.createDataFrame([(case, words(root) if root is not None else None, [(words(inner),)], "e", model)], schema)
+        schema = f"case_id string, {files.TRANSCRIPT}, camera string, engine string, model string"
+        return spark.createDataFrame([(case, words(root) if root is not None else None, [(None, words(inner))], "1", "e", model)], schema)
 
     path = str(tmp_path / "t")
     for case, model, root, inner in (("c", "m1", [], ["x", "y"]), ("c", "m2", ["z"], ["x"]), ("d", "m1", None, ["v"])):
         files.write_transcripts(one(case, model, root, inner), path)
     got = sorted((r.case_id, r.model, r.idx, r.word) for r in files.read_transcript_words(spark, path).collect())
-    assert got == [("c", "m2", 0, "z"), ("d", "m1", 0, "v")]
+    assert got == [("c", "m1", 0, "x"), ("c", "m1", 1, "y"), ("c", "m2", 0, "z"), ("d", "m1", 0, "v")]
 
 
 def test_consent_and_sweep(spark):

@@ -26,7 +26,7 @@ def chunked_sha256(path: str, chunk: int = CHUNK) -> str:
 
 
 def fingerprints(spark: SparkSession, path: str, largest: int = LARGEST) -> DataFrame:
-    """path, length, sha256 of all files below a path.
+    """path, length, sha256 of all files below a path that hold anything: Spark's file sources don't list empty files.
 
     Files of at most `largest` bytes come with their content from the binaryFile source, where the hash is a column expression. That source can't
     hold a large file in a row; such files come without content, are dealt to tasks by path, and each is hashed chunk by chunk.

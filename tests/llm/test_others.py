@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 
-from vantry.llm import decontam, langid, line_dedup, secrets, sharding, token_files
+from vantry.llm import decontam, langid, line_dedup, queries, secrets, sharding, token_files
 
 SF = "/root/testdata/sf0.001"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,9 +25,9 @@ def test_token_files_against_the_library(spark, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     rng = random.Random(2)
-    texts = [None, "", " ", "a  b", "<|endoftext|>", "x" * 50_000] + ["".join(rng.choice("ab \n'sé漢1.") for _ in range(rng.randrange(80))) for _ in range(200)]
+    end = "<|endoftext|>"
+    texts = [None, "", " ", "a  b", end, f"x {end} y", f"x  {end}  y", f"{end}{end} ", f" {end}a\n{end}", f"a<|endof{end}", f"<|END|>{end[:-1]}", f"it{end}'s", "x" * 50_000] + ["".join(rng.choice("ab \n'sé漢1.") for _ in range(rng.randrange(80))) for _ in range(200)]
     keys = rng.sample(range(10_000), len(texts))
     docs = spark.createDataFrame(list(zip(keys, texts, strict=True)), "doc_id long, text string").repartition(3)
     path = str(tmp_path / "tokens")
@@ -38,10 +38,28 @@ def test_token_files_against_the_library(spark, tmp_path):
         want = np.array([*library.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         assert (got[key].start, got[key].n_tokens, bytes(got[key].ids)) == (at, len(want), want.tobytes())
         at += len(want)
+    odd = docs.limit(0).unionByName(spark.createDataFrame([(5, "b"), (5, "a"), (None, "n"), (None, None), (-7, "m")], docs.schema))
+    token_files.write(odd, path + "1", public_tokenizers.path("byte_bpe_50k.json"))
+    starts = sorted((r.start, r.key, r.n_tokens) for r in token_files.read(spark, path + "1").collect())
+    assert [(k, n) for _, k, n in starts] == [(None, 1), (None, 2), (-7, 2), (5, 2), (5, 2)] and [a for a, *_ in starts] == [0, 1, 3, 5, 7]
     token_files.write(docs.limit(0), path + "0", public_tokenizers.path("byte_bpe_50k.json"))
     assert token_files.read(spark, path + "0").count() == 0
 
 
+def test_query_of_token_files_against_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op4_simple8b_files(spark, SF).collect()}
+    at, want = 0, {}
+    for key in sorted(docs):
+        ids = np.array([*library.encode(docs[key], add_special_tokens=False).ids, 0], "<u4")
+        want[key] = (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert got == want
+
+
 def test_shards_are_exact_gapless_and_uniform(spark):
     rows = spark.range(0, 1003).selectExpr("id % 500 as doc_id", "cast(null as string) as shard", "'x' as size").repartition(5)
     out = sharding.assign(rows, 8).toPandas()

@@ -21,8 +21,10 @@ read back as null, too). Other columns are not carried. An empty table has no bl
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -163,19 +165,45 @@ def _flat(library, texts: list[str], at_once: int = 500) -> tuple[np.ndarray, np
     return np.concatenate([*found, np.zeros(0, np.uint32)]), np.array([len(x) for x in found], np.int64)
 
 
+class AddedTokens:
+    """Added tokens of a tokenizer's definition. The library looks for them in the raw text first, longest one first at each place, and
+    encodes what lies between for itself; so do we, as blanks beside one belong to no piece beyond it."""
+
+    def __init__(self, definition: str):
+        tokens = json.loads(definition).get("added_tokens") or []
+        if odd := [t["content"] for t in tokens if t.get("lstrip") or t.get("rstrip") or t.get("single_word")]:
+            raise ValueError(f"added tokens that take blanks or whole words are not supported: {odd}")
+        self.ids = {t["content"]: t["id"] for t in tokens if t["content"]}
+        self.pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")") if self.ids else None
+
+    def __call__(self, code: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text begins (one entry more than texts)."""
+        if not any(token in text for token in self.ids for text in texts):
+            return code(texts)
+        parts = [self.pattern.split(text) for text in texts]  # every second part is a token
+        ids, ends = code([part for text in parts for part in text[::2]])
+        tokens = [[self.ids[t] for t in text[1::2]] for text in parts]
+        last = np.cumsum([len(text[::2]) for text in parts])  # of the sections of each text
+        after = np.ones(len(ends) - 1, bool)
+        after[last - 1] = False  # a text's last section has no token after it
+        flat = np.array([t for text in tokens for t in text], ids.dtype)
+        more = np.concatenate([[0], np.cumsum([len(text) for text in tokens])])
+        return np.insert(ids, ends[1:][after], flat), ends[np.concatenate([[0], last])] + more
+
+
 def _coder(definition: str) -> CutCoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(definition)
-    library.encode_special_tokens = True
     return CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> None:
     """Encodes the texts with a byte-level tokenizer of the tokenizers library and writes the table.
 
-    `tokenizer` is the library's JSON file, read by the driver. Texts are exchanged once, by ranges of the key.
+    `tokenizer` is the library's JSON file, read by the driver. Texts are exchanged once, by ranges of the key. A text that holds an added
+    token's literal gets that token's id there, as the library gives it.
     """
     small_batches(docs.sparkSession)
     with open(tokenizer) as lines:
@@ -186,7 +214,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
     ordered = ordered.withColumn("shard", F.spark_partition_id())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _coder(shared.value)
+        code, added = _coder(shared.value), AddedTokens(shared.value)
         block, shard = 0, 0
         keys: list[np.ndarray] = []
         lens: list[np.ndarray] = []
@@ -210,7 +238,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, ke
         for batch in batches:
             for part in slices(batch, 1):
                 shard = part.column(2)[0].as_py()
-                found, ends = code(part.column(1).to_pylist())
+                found, ends = added(code, part.column(1).to_pylist())
                 if end_id is not None:
                     found = np.insert(found, ends[1:], end_id)
                     ends = ends + np.arange(len(ends))

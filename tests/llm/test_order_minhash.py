@@ -1,6 +1,6 @@
 import hashlib
-import re
 
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -23,8 +23,26 @@ def xx(*values):
     return seed
 
 
+ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]")
+
+
+def words_of(text):
+    """The rule step by step."""
+    out = []
+    for run in regex.split(r"[ \t\n\x0b\f\r]+|(" + ALONE.pattern + ")", text):
+        if not run or ALONE.fullmatch(run):
+            out += [run] if run else []
+            continue
+        while len(run) > 12:
+            cut = next((k for k in range(2, 13) if run[k] in "aeiouAEIOU01234"), 12)
+            out.append(run[:cut])
+            run = run[cut:]
+        out += [run] if run else []
+    return out
+
+
 def brute(text):
-    words = [xx(w) for w in re.findall(r"[^\s]{1,12}", text, re.ASCII)]
+    words = [xx(w) for w in words_of(text)]
     if not words:
         return []
     n = len(words) - omh.K + 1
@@ -93,3 +111,19 @@ def test_components(spark):
             parent[b] = a
         got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
         assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_texts_without_blanks_keep_their_likeness(spark):
+    import random
+
+    rng = random.Random(0)
+    scripts = {"han": [chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000)], "latin": [rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(3000)], "thai": [chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(3000)]}
+    rows = []
+    for name, chars in scripts.items():
+        text = "".join(chars)
+        rows.append((name, text, "x" + text if name == "latin" else chars[7] + text, text[:1500] + chars[3] + text[1500:], text[1500:] + text[:1500]))
+    frame = spark.createDataFrame(rows, "name string, text string, front string, middle string, moved string")
+    sign = lambda c: omh.signature(F.col(c))
+    got = frame.select("name", *(omh.likeness(sign("text"), sign(c)).alias(c) for c in ("front", "middle", "moved"))).collect()
+    assert all(r.front > 0.8 and r.middle > 0.8 and r.moved < 0.75 for r in got), got
+    assert all(words_of(t) == regex.findall(omh.WORD.replace("Is", ""), t) for _, *texts in rows for t in texts)

@@ -1,6 +1,8 @@
 """Order MinHash fingerprints of documents, with DataFrame functions only.
 
-A text's words (runs of non-blanks, cut after 12 characters) give k-mers of K words. Each k-mer
+A text's words give k-mers of K words: single characters of scripts that are written without blanks, and runs of other non-blanks. A run
+of over 12 characters is cut before letters and digits of a fixed set (after 12 characters where none comes), so that a character put in
+moves the cuts next to it alone. Each k-mer
 is told apart by its occurrence number, so repeats count. Their hashes fall into BUCKETS by the
 highest bits (one permutation for all sketches); in each bucket the two least are selected, put
 into the order of the text, and hashed as a pair. The pairs are the signature: two texts have a
@@ -28,6 +30,10 @@ BUCKETS = 32  # 5 bits
 PLACE = (1 << 24) - 1  # bits of a code that hold the place in the text
 
 
+SINGLE = "".join(rf"\p{{Is{name}}}" for name in ("Han", "Hiragana", "Katakana", "Hangul", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
+WORD = rf"[{SINGLE}]|[^\s{SINGLE}]{{1,12}}(?![^\s{SINGLE}])|[^\s{SINGLE}]{{2,12}}?(?=[aeiouAEIOU0-4])|[^\s{SINGLE}]{{1,12}}"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -43,7 +49,7 @@ def _hash_part(code: Column) -> Column:
 
 def signature(text: Column) -> Column:
     """Array of up to BUCKETS numbers below 2^32, one for each filled bucket, in the order of the buckets."""
-    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\s]{1,12}"), F.lit(0)), lambda word: F.xxhash64(word))
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0)), lambda word: F.xxhash64(word))
     return let(words, lambda w: F.when(F.size(w) == 0, F.array().cast("array<bigint>")).otherwise(let(_codes(w), lambda c: let(_numbered(c), _pairs))))
 
 

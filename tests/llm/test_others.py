@@ -304,3 +304,17 @@ def test_kernel_is_the_share_of_common_grams():
         x, y = ({t[i : i + n] for i in range(len(t) - n + 1)} for t in ("abcab", "bcabx"))
         want += len(x & y) / np.sqrt(len(x) * len(y)) / langid.ORDERS
     assert abs(float(a @ b) - want) < 1e-5
+
+
+def test_rows_without_or_with_shared_keys_are_judged_each(spark):
+    item = "A train leaves Paris at 9 and travels 120 km in 2 hours before it stops for lunch near Lyon"
+    items = spark.createDataFrame([(4, item), (5, None)], "item_id long, text string")
+    rows = [(None, f"So: {item}. Yes."), (None, "Nothing to see here, just some plain words that belong to nobody."), (7, item), (7, "clean words of a row that shares its key with a copy"), (8, None), (None, None), (7, item)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, judged string, share int")
+    for limit in (0, 1 << 20):
+        got = decontam.judged(docs, items, broadcast_bytes=limit).collect()
+        assert sorted((str(r.row.doc_id), str(r.row.text)[:3], r.contaminated, r.item_id, r.n_items) for r in got) == sorted(
+            (str(k), str(t)[:3], bool(t) and item in t, 4 if t and item in t else None, int(bool(t) and item in t)) for k, t in rows
+        )
+        assert {r.row.judged for r in got} == {"x"}
+    assert decontam.judged(docs.limit(0), items).count() == 0

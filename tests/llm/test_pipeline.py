@@ -58,6 +58,8 @@ def test_run_against_plain_code(spark, tmp_path):
         clean = "\n".join(line for line in text.split("\n") if (site, line) not in bad)
         assert got[k].decoded_sha256 == hashlib.sha256(clean.encode()).hexdigest() and got[k].n_tokens == len(got[k].ids)
     assert set(got) - kept == {None}
+    lost = docs.limit(0).unionByName(spark.createDataFrame([(None, f"Look: {item}", "s", "en", 1, "x"), (None, "Look: nothing", "s", "en", 1, "x")], docs.schema))
+    assert [r.text for r in corpus_pipeline.decontamination(spark, lost, str(tmp_path)).collect()] == ["Look: nothing"]
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0, name

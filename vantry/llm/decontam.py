@@ -18,7 +18,8 @@ and only document windows that it lets pass are sent on. They meet the benchmark
 those have at most `broadcast_bytes`, else in a shuffled join.
 
 Null and empty texts have no windows and are clean. Repeated rows get repeated results; equal
-items are told apart by their ids. Rows without a key count as one document; so do rows that share one.
+items are told apart by their ids. `contaminated` gives a row for each key: rows without one count as one document there, as do rows
+that share one. `judged` needs no key: it judges each row by its text.
 Other columns are not used, so their names cannot clash. Empty tables give no rows.
 """
 
@@ -256,3 +257,15 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     )
     best = F.max(F.struct("share", (-F.col("item")).alias("low")))
     return shares.groupBy("key").agg(F.count("*").alias("n_items"), best.alias("best")).select(F.col("key").alias(key), "n_items", (-F.col("best.low")).alias("item_id"), F.col("best.share").alias("share"))
+
+
+def judged(docs: DataFrame, items: DataFrame, text: str = "text", broadcast_bytes: int = BROADCAST_BYTES, **names: str) -> DataFrame:
+    """row (all columns of docs), contaminated, item_id, n_items, share (see `contaminated`): every row of docs, whatever its key, judged by its text.
+
+    Rows of one text have one verdict, so verdicts are joined by the text's SHA-256; null texts are clean."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.sha2(F.col(text).cast("binary"), 256).alias("judged"))
+    found = contaminated(rows.select("judged", F.col("row").getField(text).alias("text")), items, key="judged", broadcast_bytes=broadcast_bytes, **names)
+    leaks = written(found, "leaks")
+    return rows.join(hinted(leaks, 32, "judged", most=broadcast_bytes), "judged", "left").select(
+        "row", F.col("item_id").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "share"
+    )

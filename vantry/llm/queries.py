@@ -29,11 +29,8 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
-        "doc_id", F.col("item_id").isNotNull().alias("contaminated"), "item_id", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "share"
-    )
+    found = decontam.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "contaminated", "item_id", "n_items", "share")
 
 
 def held_out() -> Column:

@@ -40,10 +40,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, re-parameterised or not. Null texts and null keys stay."""
-    found = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    leaks = written(found.select("doc_id").where("doc_id is not null"), "leaks")
-    return docs.join(hinted(leaks, 8), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item, re-parameterised or not, with or without a doc_id. Null texts stay."""
+    found = decontam.judged(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where("not contaminated").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,23 +103,25 @@ def reuse(todo: DataFrame, cache: DataFrame, keys: list[str], work: Callable[[Da
     return known.unionByName(fresh.withColumn("cached", F.lit(False)))
 
 
-def run_stage(rows: DataFrame, work: Callable[[dict], dict | None]) -> DataFrame:
-    """case_id, camera, status, error_type, error_msg, extra: work(row) is called for each row in executor tasks;
+def run_stage(rows: DataFrame, work: Callable[[dict], dict | None], carried: tuple[str, ...] = ()) -> DataFrame:
+    """case_id, camera, status, error_type, error_msg, extra and the carried columns: work(row) is called for each row in executor tasks;
     it may return column updates and its own status, and an exception fails its row alone."""
-    columns = rows.columns
+    columns = [c for c in rows.columns if c not in carried]
+    names = ["case_id", "camera", "status", "error_type", "error_msg", "extra"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for row in frame.to_dict("records"):
+            for row in frame[columns].to_dict("records"):
                 try:
-                    extra = dict(work({c: row[c] for c in columns}) or {})
+                    extra = dict(work(row) or {})
                     out.append((row["case_id"], row["camera"], extra.pop("status", "done"), None, None, {k: str(v) for k, v in extra.items()}))
                 except Exception as error:  # noqa: BLE001  the batch goes on; the log has the error
                     out.append((row["case_id"], row["camera"], "failed", type(error).__name__, traceback.format_exception_only(error)[-1].strip(), {}))
-            yield pd.DataFrame(out, columns=["case_id", "camera", "status", "error_type", "error_msg", "extra"])
+            yield pd.DataFrame(out, columns=names).assign(**{c: frame[c].values for c in carried})
 
-    return rows.mapInPandas(run, "case_id string, camera string, status string, error_type string, error_msg string, extra map<string,string>")
+    kind = "case_id string, camera string, status string, error_type string, error_msg string, extra map<string,string>"
+    return rows.mapInPandas(run, ", ".join([kind, *(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carried)]))
 
 
 def merge_forks(ours: DataFrame, theirs: DataFrame, column: str) -> DataFrame:

@@ -104,8 +104,7 @@ def run(registry: Registry, name: str, videos: DataFrame, path: str, run_id: int
             ready = F.col(f"{stage.needs}_status") == "done"
             blocked = _plain(todo.where(~ready), F.lit("failed"), f"run the {stage.needs} stage first")
             todo = todo.where(ready)
-        tries = todo.select("case_id", "camera", F.col("_attempt").alias("attempt"))
-        done = manifest.run_stage(todo.drop("_attempt"), stage.work).join(tries, ["case_id", "camera"])
+        done = manifest.run_stage(todo, stage.work, ("_attempt",)).withColumnRenamed("_attempt", "attempt")
         rows = done.select("case_id", "camera", "status", "attempt", F.lit(0).alias("place"), "error_type", "error_msg", "extra", F.lit(name).alias("stage"))
         if stage.effects:
             given = F.array(F.struct(F.lit(name).alias("stage"), F.col("status"), F.lit(0).alias("place")), *(F.struct(F.lit(s).alias("stage"), F.lit(v).alias("status"), F.lit(k + 1).alias("place")) for k, (s, v) in enumerate(stage.effects)))

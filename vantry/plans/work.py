@@ -150,7 +150,7 @@ def stage_registry(spark, d):
         stages.Stage("pose", lambda row: None, per_camera=True),
     )
     videos, log = T.videos(spark, d).select("case_id", "camera", "duration_s", "pose_status"), files.new_path(spark, "status")
-    stages.run(registry, "audio", videos, log, 1, shares=2)
+    stages.run(registry, "audio", videos, log, 1)
     stages.run(registry, "asr", videos, log, 2)
     stages.retry(videos, "asr", log, 3)
     stages.run(registry, "asr", videos, log, 4)

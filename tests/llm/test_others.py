@@ -142,10 +142,23 @@ def test_decontamination_catches_new_parameters(spark):
         assert set(got) == {0, 1, 2, 7}
         assert got[0].item_id == 7 and got[0].n_items == 2 and got[0].share == 1.0
     assert decontam.contaminated(docs.limit(0), items).count() == 0
-    kinds = np.array([1, 0, 1], np.uint8)
-    assert decontam.consistent(kinds, np.array([5, 1, 5]), np.array([6, 1, 6]))
-    assert not decontam.consistent(kinds, np.array([5, 1, 5]), np.array([6, 1, 7]))
-    assert not decontam.consistent(kinds, np.array([5, 1, 4]), np.array([6, 1, 6]))
+    fits = lambda slots, a, b: slots.take(bytes([1, 0, 1]), np.array(a).tobytes(), np.array(b).tobytes())
+    slots = decontam.Slots()
+    assert fits(slots, [5, 1, 5], [6, 1, 6]) and not fits(slots, [5, 1, 7], [7, 1, 8]) and fits(slots, [7, 1, 8], [7, 1, 8])
+    assert not fits(decontam.Slots(), [5, 1, 5], [6, 1, 7]) and not fits(decontam.Slots(), [5, 1, 4], [6, 1, 6])
+
+
+def test_slots_hold_over_the_whole_item(spark):
+    item = "The farm by the river sold 40 baskets of ripe plums on the first market day and then it sold 40 more of them to a baker from town"
+    copy = lambda a, b: item.replace("40 b", f"{a} b").replace("40 m", f"{b} m")
+    texts = [copy(75, 75), copy(75, 99), copy(40, 99), copy(75, 75) + " and " + copy(99, 99), copy(75, 99) + " " + copy(31, 31), item.replace("river", "Po")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for limit in (0, 1 << 20):
+        got = {r.doc_id: r.share for r in decontam.contaminated(docs, items, broadcast_bytes=limit).collect()}
+        want = {k: plain_share(t, item) for k, t in enumerate(texts)}
+        assert got == {k: x for k, x in want.items() if x >= decontam.COVER}
+        assert got[0] == got[3] == got[4] == 1.0 and got[1] == got[2] == 11 / 20  # of 20 windows 9 hold the second value
 
 
 def plain_share(doc, item):
@@ -162,13 +175,9 @@ def plain_share(doc, item):
             opens = word[-1:] in ".!?:|"
         return out
 
-    def maps(a, b):
-        pairs = [((x[0], x[2]), (y[0], y[2])) for x, y in zip(a, b, strict=True) if x[0]]
-        return len({x for x, _ in pairs}) == len(set(pairs)) == len({y for _, y in pairs})
-
     words = item.split()
     size = min(10, len(words))
-    usable, hit = [set(), set(), set()], [set(), set(), set()]
+    usable, hit, met = [set(), set(), set()], [set(), set(), set()], []
     for view in range(3):
         ours, theirs = seen(item, view), seen(doc, view)
         for at in range(len(ours) - size + 1):
@@ -180,11 +189,25 @@ def plain_share(doc, item):
                 b = theirs[k : k + size]
                 ends = doc.split()[k + size - 1][-1] in ".!?:|" or k + size == len(theirs)
                 begins = k == 0 or doc.split()[k - 1][-1] in ".!?:|"
-                if [x[:2] for x in a] == [x[:2] for x in b] and maps(a, b) and (size >= 4 or (begins and ends)):
-                    hit[view].add(at)
-    if usable[0] or usable[1]:
-        return max(len(hit[0]) / len(usable[0]) if usable[0] else 0, len(hit[0] | hit[1]) / len(usable[0] | usable[1]))
-    return len(hit[2]) / len(usable[2])
+                if [x[:2] for x in a] == [x[:2] for x in b] and (size >= 4 or (begins and ends)):
+                    met.append((k - at, k, view, at, {((x[0], x[2]), (y[0], y[2])) for x, y in zip(a, b, strict=True) if x[0]}))
+    if not (usable[0] or usable[1]):
+        return len({m[3] for m in met}) / len(usable[2])
+    met = [m for m in met if m[2] < 2]
+
+    def kept(rows):
+        taken = set()
+        for row in rows:
+            both = taken | row[4]
+            if len({x for x, _ in both}) == len(both) == len({y for _, y in both}):
+                taken = both
+                yield row
+
+    copies = [list(kept(sorted((m for m in met if m[0] == d), key=lambda m: m[:3]))) for d in {m[0] for m in met}]
+    copies.sort(key=lambda rows: (-len({m[1] for m in rows}), rows[0][0]))
+    for m in kept([m for rows in copies for m in rows]):
+        hit[m[2]].add(m[3])
+    return max(len(hit[0]) / len(usable[0]) if usable[0] else 0, len(hit[0] | hit[1]) / len(usable[0] | usable[1]))
 
 
 def test_decontamination_against_the_plain_rule(spark):

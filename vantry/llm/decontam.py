@@ -6,7 +6,11 @@ units only, so that a copy in other letter case meets its item even if capitals
 whole item where it is shorter) of all benchmark items are joined by hash with the windows of all documents. A hit counts only if its slots are consistent:
 within the window each benchmark value stands for one document value of the same type and each
 document value for one benchmark value. So a question with other numbers or names is caught,
-while a window whose slots contradict each other is not.
+while a window whose slots contradict each other is not. The same holds over the whole item: a document's
+windows of an item are taken along each diagonal (place in the document less place in the item), and one that contradicts the slots of
+those taken before is dropped; then the diagonals are joined, the one that kept the most places first (of equals the least), by the same rule.
+So a copy with one value changed in two ways has only the windows of the first way, while of several copies in a document, each
+with its own values, the one that keeps most has all of these.
 
 A document is contaminated with an item if consistent windows cover at least COVER of the
 item's windows: those of the first view, or those of either view (a window counts once). Windows made of placeholders and fewer than PLAIN plain words are not used. An item that has no
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
@@ -128,14 +132,26 @@ def window_hashes(template: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def consistent(kinds: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
-    """Whether the slots of two windows can be mapped onto each other, one to one within each type."""
-    there: dict[tuple[int, int], int] = {}
-    back: dict[tuple[int, int], int] = {}
-    for kind, a, b in zip(kinds.tolist(), ours.tolist(), theirs.tolist(), strict=True):
-        if kind and (there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a):
-            return False
-    return True
+class Slots:
+    """A one-to-one map of values within each type, from the windows that were taken."""
+
+    def __init__(self):
+        self.there: dict[tuple[int, int], int] = {}
+        self.back: dict[tuple[int, int], int] = {}
+
+    def take(self, kinds: bytes, ours: bytes, theirs: bytes) -> bool:
+        """Whether a window's slots fit each other and the map; those that fit are added, of others nothing."""
+        there: dict[tuple[int, int], int] = {}
+        back: dict[tuple[int, int], int] = {}
+        if any(kinds):
+            for kind, a, b in zip(kinds, np.frombuffer(ours, np.uint64).tolist(), np.frombuffer(theirs, np.uint64).tolist(), strict=True):
+                if not kind:
+                    continue
+                if self.there.get((kind, a), b) != b or self.back.get((kind, b), a) != a or there.setdefault((kind, a), b) != b or back.setdefault((kind, b), a) != a:
+                    return False
+        self.there |= there
+        self.back |= back
+        return True
 
 
 def item_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -235,15 +251,32 @@ def hits(docs: DataFrame, windows: DataFrame, key: str = "doc_id", text: str = "
     side = windows.select("item", "at", "view", "of", "any_of", "size", "hash", "kinds", "values")
     both = found.join(hinted(side, 48, "kinds", "values", most=broadcast_bytes), ["hash", "size", "kinds"])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kinds, ours, theirs = (batch.column(k).to_pylist() for k in (7, 8, 9))
-            good = [a == b or consistent(np.frombuffer(k, np.uint8), np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for k, a, b in zip(kinds, ours, theirs, strict=True)]
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:7]], ["key", "item", "at", "view", "of", "any_of", "doc_at"])
+    # few rows from here on; they are checked behind exchanges, so that the workers that read the texts are done by then
+    rows = both.select("key", "item", "at", "view", "of", "any_of", "doc_at", (F.col("doc_at") - F.col("at")).alias("diagonal"), "kinds", "values", "doc_values")
+    diagonal = Window.partitionBy("key", "item", "diagonal")
+    rows = fitting(rows.repartition("key", "item", "diagonal").sortWithinPartitions("key", "item", "diagonal", "doc_at", "view"), 8, "key", "item", "diagonal")
+    rows = rows.repartition("key", "item").withColumn("place", F.dense_rank().over(diagonal.orderBy("doc_at"))).withColumn("places", F.max("place").over(diagonal)).drop("place")
+    rows = fitting(rows.sortWithinPartitions("key", "item", F.desc("places"), "diagonal", "doc_at", "view"), 8, "key", "item")
+    return rows.select("key", "item", "at", "view", "of", "any_of", "doc_at")
 
-    # few rows; checked behind an exchange, so that the workers that read the texts are done by then
-    few = both.select("key", "item", "at", "view", "of", "any_of", "doc_at", "kinds", "values", "doc_values").repartition("key", "doc_at")
-    return few.mapInArrow(check, f"key {kind}, item long, at int, view int, of int, any_of int, doc_at int")
+
+def fitting(rows: DataFrame, at: int, *group: str) -> DataFrame:
+    """Those rows, in their order, whose slots (kinds, values and doc_values, columns from `at` on) fit those of the rows kept before in their
+    group. Rows of a group stand together."""
+    names, places = rows.columns, [rows.columns.index(g) for g in group]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, slots = None, Slots()
+        for batch in batches:
+            good = []
+            columns = [batch.column(k).to_pylist() for k in (*places, at, at + 1, at + 2)]
+            for *mine, kinds, ours, theirs in zip(*columns, strict=True):
+                if now != mine:
+                    now, slots = mine, Slots()
+                good.append(slots.take(kinds, ours, theirs))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns], names)
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", cover: float = COVER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -204,7 +204,7 @@ def plain_share(doc, item):
                 yield row
 
     copies = [list(kept(sorted((m for m in met if m[0] == d), key=lambda m: m[:3]))) for d in {m[0] for m in met}]
-    copies.sort(key=lambda rows: (-len({m[1] for m in rows}), rows[0][0]))
+    copies = sorted(filter(None, copies), key=lambda rows: (-len({m[1] for m in rows}), rows[0][0]))
     for m in kept([m for rows in copies for m in rows]):
         hit[m[2]].add(m[3])
     return max(len(hit[0]) / len(usable[0]) if usable[0] else 0, len(hit[0] | hit[1]) / len(usable[0] | usable[1]))

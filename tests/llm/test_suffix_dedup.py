@@ -1,6 +1,8 @@
 import random
 from collections import Counter
 
+import numpy as np
+
 from vantry.llm import suffix_dedup as sd
 
 
@@ -46,12 +48,38 @@ def test_hot_grams_and_rows_without_key(spark, monkeypatch):
     for hot in (1, 5, 10**9):
         monkeypatch.setattr(sd, "HOT", hot)
         check(spark, docs, 40, 12)
+    monkeypatch.setattr(sd, "HOT", 20)
+    common = "a passage that is just too short here."
+    check(spark, [(k, f"{text(9)}{rng.choice((common, common[:25] + text(9)))}{text(2)}{rng.choice('xyz')}{common}{text(9)}") for k in range(90)], 40, 12)
     frame = spark.createDataFrame([(None, docs[0][1]), (0, docs[0][1]), (None, None)], "doc_id long, text string")
     got = sorted(((r.doc_id is None, r.n_bytes, r.n_removed) for r in sd.keep_unrepeated(frame).collect()))
     size = len(docs[0][1])
     assert got == [(False, size, size if size >= 200 else 0), (True, 0, 0), (True, size, size if size >= 200 else 0)]
 
 
+def test_a_passage_shorter_than_a_window_does_not_meet_in_one_range():
+    rng = random.Random(11)
+    other = lambda n: bytes(rng.choice(b"abcdefgh") for _ in range(n))
+    passage = other(190)
+    owned = []
+    for _ in range(2000):
+        data = other(150) + passage + other(150)
+        _, _, places, firsts, lasts = sd.anchors([data])
+        owned += [(data[p : z + 200], data[a:p]) for p, a, z in zip(places.tolist(), firsts.tolist(), lasts.tolist(), strict=True) if 150 <= p <= 150 + 190 - 64]
+    met = Counter(where for x in owned for *_, where in sd.hot_pieces(*x, 200, 64, None))
+    assert met.most_common(1)[0][1] > 1000  # as pieces go by the bytes that their windows share
+    filled = np.zeros(sd.PLACES >> 3, np.uint8)
+    for where in (w for w, n in met.items() if n > 100):
+        filled[where % sd.PLACES >> 3] |= 1 << (where & 7)
+    sent = Counter()
+    for right, left in owned:
+        begin = len(left)
+        for a, b, skipped, where in sd.hot_pieces(right, left, 200, 64, filled):
+            assert left[skipped:] == b and right.startswith(a) and skipped + len(b) == begin
+            sent[where] += 1
+    assert sent.most_common(1)[0][1] <= 100
+
+
 def test_windows_decided_by_common_prefixes_alone():
     rng = random.Random(10)
     for _ in range(60):

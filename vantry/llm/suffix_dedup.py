@@ -22,9 +22,10 @@ Strings never cross texts, and are judged on the input.
 
 Equal suffixes collapse in their task before they travel. A gram of more than HOT occurrences is
 split: each piece of its windows (PIECES of them, by k) is sent by the hash of the bytes that all
-windows of the piece hold, at least `length` less (length - gram) / PIECES of them. So a passage in a
-third of all texts meets in one range only where nearly whole windows are equal, and those
-collapse.
+windows of the piece hold, at least `length` less (length - gram) / PIECES of them. A passage as long as that but shorter than a window, with
+other bytes around it in each text, would still meet in one range; so the different forms of such pieces are counted too, and a
+piece of more than HOT forms is sent window by window, by the hash of the window. What then meets in a range is equal as a whole, and
+collapses in its tasks. Such pieces reach the tasks as a bitmap of PLACES bits: one set by chance splits a piece that need not be, and decides nothing.
 
 Null texts count as empty. Equal rows repeat each other's bytes and lose them. Rows without a key
 are treated like others. Other columns, whatever their names, are not carried. An empty table
@@ -52,6 +53,7 @@ PIECES = 8
 GROUP = 20_000  # entries compared at once
 ODD = np.uint64(0x9E3779B97F4A7C15)
 SEGMENT = 1 << 20
+PLACES = 1 << 24  # of hashes of hot pieces
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -218,26 +220,34 @@ RUNS_ARROW = pa.schema(
 )
 
 
-def pieces(right: bytes, left: bytes, length: int, gram: int, hot: bool) -> Iterator[tuple[bytes, bytes, int]]:
-    """(right, left, bytes skipped of the left, if hot with the context's hash in the last place) of the parts that an anchor's windows are sent in."""
-    if not hot:
-        yield right, left, 0
-        return
-    low, high, step = length - len(right), len(left), -(-(length - gram + 1) // PIECES)
+def pieces(right: bytes, left: bytes, length: int, gram: int, step: int) -> Iterator[tuple[bytes, bytes, int]]:
+    """(right, left, bytes skipped of the left) of the parts, of `step` windows at most, that an anchor's windows are sent in."""
+    low, high = length - len(right), len(left)
     for begin in range(low - low % step, high + 1, step):
         a, b = max(low, begin), min(high, begin + step - 1)
         yield right[: length - a], left[len(left) - b :], high - b
 
 
-def context(right: bytes, left: bytes, length: int, gram: int) -> int:
-    """Hash of the bytes around a hot anchor that all windows of its piece hold, by the piece's place."""
-    step = -(-(length - gram + 1) // PIECES)
+def context(right: bytes, left: bytes, length: int, gram: int, step: int) -> int:
+    """Hash of the bytes around a hot anchor that all windows of its piece hold, by the piece's place. Of a piece of one window, all of it."""
     begin = len(left) // step * step
     end = min(begin + step - 1, length - gram)
     return xxhash.xxh3_64_intdigest(left[len(left) - begin :] + right[: length - end], begin)
 
 
-def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int) -> Iterator[pa.RecordBatch]:
+def hot_pieces(right: bytes, left: bytes, length: int, gram: int, filled: np.ndarray | None) -> Iterator[tuple[bytes, bytes, int, int]]:
+    """(right, left, bytes skipped of the left, hash to be sent by) of a hot anchor's pieces; those whose place in `filled` is set go window by window."""
+    step = -(-(length - gram + 1) // PIECES)
+    for a, b, skipped in pieces(right, left, length, gram, step):
+        where = context(a, b, length, gram, step)
+        if filled is None or not filled[where % PLACES >> 3] >> (where & 7) & 1:
+            yield a, b, skipped, where
+            continue
+        for x, y, more in pieces(a, b, length, gram, 1):
+            yield x, y, skipped + more, context(x, y, length, gram, 1)
+
+
+def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts: int, filled: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """The front-coded run of each range that the task's anchors reach, and the owners of each entry (text and first window)."""
     owners: dict[tuple[bytes, bytes, int], list[tuple[int, int, int]]] = {}
     for batch in batches:
@@ -245,9 +255,8 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], length: int, gram: int, parts
             data = row["text"].encode()
             for anchor in row["anchors"]:
                 place, first = anchor["place"], anchor["first"]
-                hot = anchor["hot"]
-                for right, left, skipped in pieces(data[place : anchor["last"] + length], data[first:place], length, gram, hot):
-                    where = context(right, left, length, gram) if hot else anchor["hash"] >> 20
+                whole = data[place : anchor["last"] + length], data[first:place]
+                for right, left, skipped, where in hot_pieces(*whole, length, gram, filled) if anchor["hot"] else [(*whole, 0, anchor["hash"] >> 20)]:
                     owners.setdefault((right, left, where % parts), []).append((row["key"], row["mark"], first + skipped))
     ranges: dict[int, list[tuple[bytes, int, list]]] = {}
     for (right, left, part), who in owners.items():
@@ -347,6 +356,29 @@ def repeated_grams(docs: DataFrame, length: int, gram: int, parts: int) -> DataF
     return docs.select("text").mapInArrow(hashed, "hash long, n long").repartition(parts, "hash").mapInArrow(counted, "hash long, hot boolean")
 
 
+def crowded(texts: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Bits at the hashes of the pieces of hot grams that come in more than HOT different forms. texts: key, mark, text, anchors (hot ones alone)."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: set[tuple[int, int]] = set()
+            for row in batch.to_pylist():
+                data = row["text"].encode()
+                for x in row["anchors"]:
+                    for right, left, _, where in hot_pieces(data[x["place"] : x["last"] + length], data[x["first"] : x["place"]], length, gram, None):
+                        found.add((where, xxhash.xxh3_64_intdigest(right + left, len(left))))
+            pairs = np.array(list(found), np.uint64).reshape(-1, 2).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hash", "form"])
+
+    place = F.col("hash").bitwiseAND(PLACES - 1)
+    hot = texts.mapInArrow(hashed, "hash long, form long").distinct().groupBy("hash").count().where(F.col("count") > HOT)
+    rows = hot.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")).collect()  # PLACES bits at most
+    out = np.zeros((PLACES >> 15, 4096), np.uint8)
+    for r in rows:
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """key, mark, edges: begins and ends of the runs of bytes that go, for each text (key, mark, text) that loses any."""
 
@@ -361,8 +393,12 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     parts = int(max(12, size >> 24))  # a range for each 16 MB of text
     common = written(repeated_grams(docs, length, gram, parts), "grams")
     found = docs.select("key", "mark", "text").mapInArrow(listed, "key long, mark long, hash long, place int, first int, last int")
+    filled = None
+    if not (hot := common.where("hot")).isEmpty():
+        some = found.join(hinted(hot, 9), "hash").groupBy("key", "mark").agg(F.collect_list(F.struct("place", "first", "last")).alias("anchors"))
+        filled = docs.sparkSession.sparkContext.broadcast(crowded(docs.select("key", "mark", "text").join(some, ["key", "mark"]), length, gram))
     kept = found.join(hinted(common, 9), "hash").groupBy("key", "mark").agg(F.collect_list(F.struct("hash", "hot", "place", "first", "last")).alias("anchors"))
-    runs = docs.select("key", "mark", "text").join(kept, ["key", "mark"]).mapInArrow(lambda batches: sorted_runs(batches, length, gram, parts), RUNS)
+    runs = docs.select("key", "mark", "text").join(kept, ["key", "mark"]).mapInArrow(lambda batches: sorted_runs(batches, length, gram, parts, filled and filled.value), RUNS)
 
     def merge(table: pa.Table) -> pa.Table:
         rows = table.drop_columns(["keys", "marks", "firsts"]).to_pylist()

@@ -356,29 +356,42 @@ def repeated_grams(docs: DataFrame, length: int, gram: int, parts: int) -> DataF
     return docs.select("text").mapInArrow(hashed, "hash long, n long").repartition(parts, "hash").mapInArrow(counted, "hash long, hot boolean")
 
 
-def crowded(texts: DataFrame, length: int, gram: int) -> np.ndarray:
-    """Bits at the hashes of the pieces of hot grams that come in more than HOT different forms. texts: key, mark, text, anchors (hot ones alone)."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: set[tuple[int, int]] = set()
-            for row in batch.to_pylist():
-                data = row["text"].encode()
-                for x in row["anchors"]:
-                    for right, left, _, where in hot_pieces(data[x["place"] : x["last"] + length], data[x["first"] : x["place"]], length, gram, None):
-                        found.add((where, xxhash.xxh3_64_intdigest(right + left, len(left))))
-            pairs = np.array(list(found), np.uint64).reshape(-1, 2).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hash", "form"])
-
+def marked(hashes: DataFrame) -> np.ndarray:
+    """PLACES bits, set at the hashes."""
     place = F.col("hash").bitwiseAND(PLACES - 1)
-    hot = texts.mapInArrow(hashed, "hash long, form long").distinct().groupBy("hash").count().where(F.col("count") > HOT)
-    rows = hot.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")).collect()  # PLACES bits at most
+    rows = hashes.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")).collect()  # PLACES bits at most
     out = np.zeros((PLACES >> 15, 4096), np.uint8)
     for r in rows:
         out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
     return out.ravel()
 
 
+def crowded(docs: DataFrame, hot: DataFrame, length: int, gram: int) -> np.ndarray:
+    """Bits at the hashes of the pieces of hot grams (hash) that come in more than HOT different forms.
+
+    Texts are read again where they lie; anchors that a bitmap of the hot grams lets pass by chance are counted as well, which no hot one notices."""
+    shared = docs.sparkSession.sparkContext.broadcast(marked(hot))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filled = shared.value
+        for batch in batches:
+            for part in slices(batch, 0):
+                texts = [t.encode() for t in part.column(0).to_pylist()]
+                who, grams, *spots = anchors(texts, length, gram)
+                place = grams.astype(np.int64) & (PLACES - 1)
+                mine = np.flatnonzero(filled[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                found: set[tuple[int, int]] = set()
+                for k, at, first, last in zip(*(x[mine].tolist() for x in (who, *spots)), strict=True):
+                    data = texts[k]
+                    for right, left, _, where in hot_pieces(data[at : last + length], data[first:at], length, gram, None):
+                        found.add((where, xxhash.xxh3_64_intdigest(right + left, len(left))))
+                pairs = np.array(list(found), np.uint64).reshape(-1, 2).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["hash", "form"])
+
+    forms = docs.select("text").mapInArrow(hashed, "hash long, form long").distinct()
+    return marked(forms.groupBy("hash").count().where(F.col("count") > HOT))
+
+
 def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """key, mark, edges: begins and ends of the runs of bytes that go, for each text (key, mark, text) that loses any."""
 
@@ -395,8 +408,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     found = docs.select("key", "mark", "text").mapInArrow(listed, "key long, mark long, hash long, place int, first int, last int")
     filled = None
     if not (hot := common.where("hot")).isEmpty():
-        some = found.join(hinted(hot, 9), "hash").groupBy("key", "mark").agg(F.collect_list(F.struct("place", "first", "last")).alias("anchors"))
-        filled = docs.sparkSession.sparkContext.broadcast(crowded(docs.select("key", "mark", "text").join(some, ["key", "mark"]), length, gram))
+        filled = docs.sparkSession.sparkContext.broadcast(crowded(docs, hot, length, gram))
     kept = found.join(hinted(common, 9), "hash").groupBy("key", "mark").agg(F.collect_list(F.struct("hash", "hot", "place", "first", "last")).alias("anchors"))
     runs = docs.select("key", "mark", "text").join(kept, ["key", "mark"]).mapInArrow(lambda batches: sorted_runs(batches, length, gram, parts, filled and filled.value), RUNS)
 

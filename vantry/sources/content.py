@@ -1,4 +1,4 @@
-"""SHA-256 of files: small ones by one scan, large ones in chunks."""
+"""SHA-256 of files: small ones by one scan, large ones in chunks. Files stand by themselves or, where they are many, in bundles."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 LARGEST = 64 << 20  # bytes of a file that is read into a row
 CHUNK = 4 << 20
+PART = 16 << 10  # bytes of a row of a bundle, at most
 
 
 def chunked_sha256(path: str, chunk: int = CHUNK) -> str:
@@ -42,3 +43,37 @@ def fingerprints(spark: SparkSession, path: str, largest: int = LARGEST) -> Data
     large = files.where(F.col("length") > largest).select("path", "length")  # the filter on length reaches the scan and content is not read
     spread = large.repartition(F.xxhash64("path"))
     return small.unionByName(spread.mapInArrow(run, "path string, length long, sha256 string"))
+
+
+def write_bundle(files: DataFrame, path: str, most: int = PART) -> None:
+    """Files (path, content) as one table, a row for each `most` bytes: neither an entry of a folder for each file nor a row for a large one. Null content is no file."""
+    held = files.where("content is not null").select("path", F.col("content").cast("binary").alias("content"))
+    size = F.octet_length("content").cast("long")
+    counted = held.select("path", size.alias("length"), F.greatest(F.ceil(size / most), F.lit(1)).cast("int").alias("parts"), "content")
+    rows = counted.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    rows.select("path", "length", "parts", "part", F.expr(f"substring(content, part * {most} + 1, {most})").alias("content")).write.parquet(path)
+
+
+def bundle_fingerprints(spark: SparkSession, path: str) -> DataFrame:
+    """path, length, sha256 of the files of a bundle. A file of one row is hashed by a column expression; the rows of a longer one meet in one task
+    in their order and are hashed one after the other, so it is never held whole. Two longer files of one path stop the job."""
+    rows = spark.read.schema("path string, length long, parts int, part int, content binary").parquet(path)
+    small = rows.where("parts = 1").select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        running, due = hashlib.sha256(), 0
+        for batch in batches:
+            done = []
+            for k, (parts, part, held) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("parts", "part", "content")), strict=True)):
+                if part != due:
+                    raise ValueError(f"part {part} of {batch.column('path')[k]} where {due} is due")
+                running.update(held)
+                due += 1
+                if due == parts:
+                    done.append((k, running.hexdigest()))
+                    running, due = hashlib.sha256(), 0
+            ended = batch.take(pa.array([k for k, _ in done], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ended.column("path"), ended.column("length"), pa.array([h for _, h in done], pa.string())], names=["path", "length", "sha256"])
+
+    large = rows.where("parts > 1").repartition("path").sortWithinPartitions("path", "part")
+    return small.unionByName(large.mapInArrow(run, "path string, length long, sha256 string"))

@@ -1,5 +1,9 @@
+import hashlib
+
+import pytest
+
 from vantry.operators import quality
-from vantry.sources import files
+from vantry.sources import content, files
 
 
 def test_camera_rooms_last_row_wins(spark, tmp_path):
@@ -35,3 +39,35 @@ def test_consent_and_sweep(spark):
     runs = spark.createDataFrame([("w", "s", 1.0), ("w", "l", 3.0), ("f", "s", 2.0)], "engine string, model string, wer double")
     got = sorted((r.axis, r.engine or r.model, r.n_values) for r in quality.one_axis_sweep(runs, ["engine", "model"], "wer").collect())
     assert got == [("engine", "s", 2), ("model", "w", 2)]
+
+
+def test_cases_share_files(spark, tmp_path):
+    """Files grow with the bytes, not with the cases; nulls and blanks are keys of a transcript like others."""
+    lines = spark.range(300).selectExpr("cast(id as string) case_id", "0L idx", "concat('a\n', id) line").repartition(3)
+    files.write_lines(lines, str(tmp_path / "l"))
+    assert len(list((tmp_path / "l").rglob("part-*"))) <= 3
+    assert files.read_lines(spark, str(tmp_path / "l")).where("case_id = '7'").orderBy("idx").collect() == [("7", 0, "a"), ("7", 1, "7")]
+    schema = f"case_id string, camera string, engine string, model string, {files.TRANSCRIPT}"
+    one = lambda case, camera, word: (case, camera, "e", "m", [(word, 0.0, 1.0, None)], None)
+    files.write_transcripts(spark.createDataFrame([one("a", None, "x"), one("a", "", "y"), one(None, None, "z")], schema), str(tmp_path / "t"))
+    files.write_transcripts(spark.createDataFrame([one("a", None, "new")], schema), str(tmp_path / "t"))
+    got = {(r.case_id, r.camera, r.word) for r in files.read_transcript_words(spark, str(tmp_path / "t")).collect()}
+    assert got == {("a", None, "new"), ("a", "", "y"), (None, None, "z")}
+
+
+def test_first_recording_of_each_text(spark):
+    turn = lambda name, at: f"SPEAKER {name} 1 {at} 1.0 <NA> <NA> A <NA> <NA>"
+    lines = spark.createDataFrame([("x", 1, turn("x2", 3.0)), ("x", 0, turn("x1", 2.0)), ("y", 0, turn("y", 1.0))], "case_id string, idx long, line string")
+    assert sorted((r.case_id, r.start_s) for r in files.rttm_of_lines(lines, first_only=True, strict=True).collect()) == [("x1", 2.0), ("y", 1.0)]
+    none = spark.createDataFrame([("z", 0, ";; nothing")], lines.schema)
+    with pytest.raises(Exception, match="has no turns"):
+        files.rttm_of_lines(lines.union(none), strict=True).collect()
+
+
+def test_bundle_fingerprints(spark, tmp_path):
+    held = {"a": b"", "b": bytes(range(256)), "c": bytes(range(250)) * 40, "d": b"x" * 100, "e": b"y" * 101, "f": None}
+    spread = spark.createDataFrame([(p, None if h is None else bytearray(h)) for p, h in held.items()], "path string, content binary").repartition(3)
+    content.write_bundle(spread, str(tmp_path / "b"), most=100)
+    got = {r.path: (r.length, r.sha256) for r in content.bundle_fingerprints(spark, str(tmp_path / "b")).collect()}
+    assert got == {p: (len(h), hashlib.sha256(h).hexdigest()) for p, h in held.items() if h is not None}
+    assert len(list((tmp_path / "b").rglob("part-*"))) <= 3

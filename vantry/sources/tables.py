@@ -43,8 +43,12 @@ def videos(spark, d):
     )
 
 
-def words(spark, d):
-    w = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("case_id"), "turn", F.col("role").alias("speaker"), F.posexplode(F.split(F.trim("text"), r"\s+")).alias("pos", "word"))
+def words(spark, d, dealt: bool = False):
+    """case_id, turn, pos, word, start_s, end_s, speaker. With dealt, turns go to the tasks of their case before they are split: what then groups
+    by case moves no words, and a scan of few row groups does not hold all tasks up."""
+    c = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("case_id"), "turn", F.col("role").alias("speaker"), "text")
+    c = c.repartition("case_id") if dealt else c
+    w = c.select("case_id", "turn", "speaker", F.posexplode(F.split(F.trim("text"), r"\s+")).alias("pos", "word"))
     start = F.col("turn") * 100 + F.col("pos") * 0.25
     return w.select("case_id", "turn", "pos", "word", start.cast("double").alias("start_s"), (start + F.col("pos") % 3 * 0.1).cast("double").alias("end_s"), "speaker")
 

@@ -1,6 +1,7 @@
 import random
 from itertools import permutations
 
+import pandas as pd
 import pytest
 
 from vantry.operators import agreement
@@ -55,3 +56,10 @@ def test_tags_and_pairs(spark):
     assert sorted(str(r.word) for r in agreement.phi_tagged(words, names).collect()) == sorted(["[A]", "[A]", "Ana", "None", "[DOB]", "[ID]"])
     texts = spark.createDataFrame([("1", "x", "a b c"), ("1", "y", "A, c"), ("1", "z", None), ("2", "x", "q")], "case_id string, annotator string, text string")
     assert [tuple(r) for r in agreement.annotator_agreement(texts).collect()] == [("1", "x", "y", 0.3333)]
+
+
+def test_speakers_of_many_cases_are_paired_in_one_call():
+    """Cases go to Python in batches; each is paired by itself, with any numbers of speakers on either side."""
+    rows = [(["a", "a", "b"], ["x", "y", "x"], [1.0, 2.0, 5.0]), (["a"], ["x"], [3.0]), (["a", "b", "c"], ["x", "x", "x"], [1.0, 4.0, 2.0])]
+    got = agreement._shared(*(pd.Series([r[k] for r in rows]) for k in range(3)))
+    assert got.tolist() == [7.0, 3.0, 4.0]

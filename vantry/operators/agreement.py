@@ -42,9 +42,16 @@ def best_pairs(gain: list[list[float]]) -> float:
     return sum(gain[r][c] for c, r in enumerate(owner) if r >= 0)
 
 
-def _matched(group: pd.DataFrame) -> pd.DataFrame:
-    table = group.pivot_table(index="ref", columns="hyp", values="seconds", aggfunc="sum", fill_value=0.0)
-    return pd.DataFrame({"case_id": [group["case_id"].iloc[0]], "same": [best_pairs(table.values.tolist())]})
+def _shared(refs: pd.Series, hyps: pd.Series, seconds: pd.Series) -> pd.Series:
+    """Seconds that the best pairing of each row's speakers shares; pairs that never meet share none."""
+    out = []
+    for ref, hyp, held in zip(refs, hyps, seconds, strict=True):
+        row, column = ({name: k for k, name in enumerate(sorted(set(names)))} for names in (ref, hyp))
+        gain = [[0.0] * len(column) for _ in row]
+        for r, h, s in zip(ref, hyp, held, strict=True):
+            gain[row[r]][column[h]] += float(s)
+        out.append(best_pairs(gain))
+    return pd.Series(out, dtype="float64")
 
 
 def der(turns: DataFrame, gold: DataFrame) -> DataFrame:
@@ -75,7 +82,9 @@ def der(turns: DataFrame, gold: DataFrame) -> DataFrame:
     side = lambda name, s, e: runs.where(F.col("side") == name).select("case_id", F.col("speaker").alias(name), F.col("at").alias(s), F.col("until").alias(e))
     met = overlap_join(side("ref", "start_s", "end_s"), side("hyp", "r_start", "r_end"), ["case_id"], 60.0)
     seconds = met.groupBy("case_id", "ref", "hyp").agg(F.sum(F.least("end_s", "r_end") - F.greatest("start_s", "r_start")).alias("seconds"))
-    same = seconds.groupBy("case_id").applyInPandas(_matched, f"case_id {turns.schema['case_id'].dataType.simpleString()}, same double")  # a row for each pair of speakers
+    # a case has a pair or so for each of its speakers, so many cases go to Python together
+    pairs = seconds.groupBy("case_id").agg(F.collect_list(F.struct(F.col("ref").cast("string").alias("ref"), F.col("hyp").cast("string").alias("hyp"), "seconds")).alias("p"))
+    same = pairs.select("case_id", F.pandas_udf(_shared, "double")("p.ref", "p.hyp", "p.seconds").alias("same"))
     out = sums.join(same, "case_id", "left").withColumn("confusion_s", F.col("shared_s") - F.coalesce("same", F.lit(0.0)))
     rate = F.try_divide(F.col("miss_s") + F.col("false_alarm_s") + F.col("confusion_s"), F.col("total_s")).alias("der")
     return out.select("case_id", "total_s", "miss_s", "false_alarm_s", "confusion_s", rate)

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pandas as pd
+
 from vantry.functions import edits
 
 
@@ -63,3 +66,29 @@ def test_pairs_against_plain_counts(spark):
     steps = edits.aligned_words(frame).where("id = 62").orderBy("step").collect()
     assert [(r.ref_word, r.hyp_word) for r in steps] == [("a", "a"), ("b", "c")]
     assert edits.substitution_pairs(spark.createDataFrame([], "id long, ref string, hyp string")).count() == 0
+
+
+def test_lanes_against_one_after_the_other():
+    """Pairs go together in lanes, in bands where they are near: every number is the plain one's, however long, far or few they are."""
+    rng = random.Random(5)
+    pairs = []
+    for k in range(400):
+        a = [rng.randrange(rng.choice([1, 3, 9])) for _ in range(rng.choice([0, 1, 63, 64, 65, 128, 300, 900]))]
+        b = [rng.randrange(10) for _ in range(rng.choice([0, 2, 64, 500, 2000]))] if k % 3 == 0 else [x for x in a for x in ([x] if rng.random() > 0.05 else [x, 11] if rng.random() < 0.5 else [])]
+        pairs.append((a, b) if k % 2 else (b, a))
+    found = edits.distances([np.array(a, np.int64) for a, _ in pairs], [np.array(b, np.int64) for _, b in pairs])
+    assert found.tolist() == [edits.distance(a, b) for a, b in pairs]
+    edges = ("", "\ud83d", "aé\U0001d11e")
+    assert [len(x) for x in edits._points(list(edges))] == [0, 1, 3]
+
+
+def test_rates_take_pairs_together(spark, monkeypatch):
+    """A column of rates is found in lanes; pairs alone, one after the other, are for a few odd lengths."""
+    calls = []
+    monkeypatch.setattr(edits, "distance", lambda a, b: calls.append(1))
+    run = edits._counted(edits._points)
+    texts = [f"the patient {k} said no word {k % 7} of it" for k in range(300)]
+    got = run(pd.Series([*texts, None]), pd.Series([t[::-1] for t in texts] + ["x"]))
+    monkeypatch.undo()
+    assert not calls and got.isna().tolist() == [False] * 300 + [True]
+    assert got[:300].tolist() == [edits.distance(t, t[::-1]) for t in texts]

@@ -126,6 +126,17 @@ def test_most_frequent_words(spark):
     assert lm.most_frequent(words.limit(0), 5).count() == 0
 
 
+def test_every_document_trains_once(spark):
+    """Nothing is left out of training, however much there is; repeated rows and null keys train too."""
+    docs = spark.range(3000).selectExpr("if(id % 100 = 3, null, id % 2900) key", "concat(repeat('word ', 1000), id % 2900) text")
+    shares = lm.rounds(docs, "key")
+    whole = shares[0][0]
+    for share, _ in shares[1:]:
+        whole = whole.unionAll(share)
+    assert whole.exceptAll(docs).isEmpty() and docs.exceptAll(whole).isEmpty()
+    assert [size for _, size in shares] == [share.selectExpr("sum(octet_length(text)) n").first().n for share, _ in shares]
+
+
 def test_empty_table_and_no_training_rows(spark):
     kind = "doc_id long, text string"
     assert lm.scored(spark.createDataFrame([], kind), RANKS, public_tokenizers.PATTERN).collect() == []

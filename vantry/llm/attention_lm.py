@@ -1,8 +1,8 @@
 """A causal self-attention model over subword ids, trained in numpy inside Spark tasks, and texts scored by it.
 
 Words are counted over all training documents: those counts give the base score, the share of each subword id, the
-classes of the output layer and its first biases. Trainers, as many as the training documents' share asks for, each go over their own
-documents from the same parameters, and the mean of what they come to, weighted by tokens, is where the next round starts.
+classes of the output layer and its first biases. All training documents train, each in one round. Trainers, as many as a round's texts
+ask for, each go over their own documents from the same parameters, and the mean of what they come to, weighted by tokens, is where the next round starts.
 
 A text is cut into windows that overlap: each predicts its last STRIDE tokens and sees up to WINDOW tokens, so every token is scored
 once. All windows of a slice of texts go through attention together, under a mask of the future and of what lies before a text.
@@ -28,13 +28,11 @@ DIM, INNER = 32, 32
 WINDOW, STRIDE = 48, 32  # tokens that a window sees; tokens that it predicts
 VOCABULARY = 4096  # ids with vectors of their own
 CLASSES = 48
-SHARE = 120  # of the training text so much trains in a round (one part of SHARE),
-FLOOR_BYTES = 3 << 20  # and so much more of it
-ROUNDS = 3
+ROUNDS = 3  # every training document trains in one of them
 DECAY = 0.4  # of the rate from round to round
-TRAINER_BYTES = 1 << 20  # of text of a trainer, about
+TRAINER_BYTES = 4 << 20  # of text of a trainer, about
 LEAST_STEPS = 400  # of a trainer: a smaller share of texts is gone over again
-BATCH = 32  # windows of a training step
+BATCH, MOST_BATCH = 32, 256  # windows of a training step: as many as leave LEAST_STEPS steps
 RATE = 0.03
 HEAD = 100_000  # most frequent words, at most, whose counts go to all tasks; the others' counts are joined
 SLICE_BYTES = 1 << 20
@@ -321,15 +319,16 @@ def trained(p: dict, vocabulary: Vocabulary, seen: np.ndarray, target: np.ndarra
     p = {k: x.copy() for k, x in p.items()}
     rng = np.random.default_rng(seed)
     mean, square = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    total = max(LEAST_STEPS, -(-len(seen) // BATCH))
+    batch = min(MOST_BATCH, max(BATCH, len(seen) // LEAST_STEPS))
+    total = max(LEAST_STEPS, -(-len(seen) // batch))
     step = 0
     while step < total:
         order = rng.permutation(len(seen))
-        for a in range(0, len(order), BATCH):
+        for a in range(0, len(order), batch):
             if step == total:
                 break
             step += 1
-            g, _ = slopes(p, vocabulary, seen[order[a : a + BATCH]], target[order[a : a + BATCH]])
+            g, _ = slopes(p, vocabulary, seen[order[a : a + batch]], target[order[a : a + batch]])
             now = rate * (1 - 0.9 * step / total)
             for k, slope in g.items():
                 mean[k] += 0.1 * (slope - mean[k])
@@ -489,6 +488,13 @@ def most_frequent(words: DataFrame, most: int) -> DataFrame:
     return words.where(step >= least) if found and least < float("inf") else words.limit(0)
 
 
+def rounds(docs: DataFrame, key: str) -> list[tuple[DataFrame, int]]:
+    """Documents (key, text) dealt to rounds, each to one, with the bytes of text of each."""
+    turn = F.pmod(F.xxhash64(F.col(key).cast("string"), "text"), F.lit(ROUNDS))
+    sizes = {r.turn: r.size for r in docs.groupBy(turn.alias("turn")).agg(F.sum(F.octet_length("text")).alias("size")).collect()}  # a row a round
+    return [(docs.where(turn == k), sizes.get(k, 0)) for k in range(ROUNDS)]
+
+
 def learn(docs: DataFrame, words: DataFrame, key: str, rank_file: str, pattern: str) -> Model:
     """The model of training documents (key, text not null) and their word counts."""
     spark = docs.sparkSession
@@ -512,12 +518,7 @@ def learn(docs: DataFrame, words: DataFrame, key: str, rank_file: str, pattern:
     vocabulary = Vocabulary(counts)
     model = Model(rank_file, pattern, head, head_counts, n_words + n_docs, distinct + (n_docs > 0), vocabulary, first_parameters(vocabulary))
 
-    whole_size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    part = min(1.0, 1 / SHARE + FLOOR_BYTES / max(1, whole_size))
-    for turn in range(ROUNDS):
-        lot = F.pmod(F.xxhash64(F.col(key).cast("string"), "text", F.lit(turn)), F.lit(1 << 20))
-        share = docs.where(lot < math.ceil(part * (1 << 20)))
-        size = int(whole_size * part)
+    for turn, (share, size) in enumerate(rounds(docs, key)):
         if not size:
             continue
         shared = spark.sparkContext.broadcast((rank_file, pattern, vocabulary, model.parameters))

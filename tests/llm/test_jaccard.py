@@ -72,6 +72,27 @@ def test_test_tables_against_all_pairs(spark):
     check(spark, docs)
 
 
+def test_a_pair_below_the_bound_is_made_once_or_twice(spark):
+    """Copies that share hundreds of lists and do not link are open pairs a few times, not once for each list they share."""
+    rng = random.Random(15)
+    base = [f"p{k}" for k in range(600)]
+    docs = []
+    for k in range(12):
+        copy = list(base)
+        for j in range(8):  # 40 of 596 shingles are its own: two copies share about 76 %
+            copy[70 * j + rng.randrange(60)] = f"q{k}_{j}"
+        docs.append((k, " ".join(copy)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    sets = jj.prefixes(frame, jj.sketch(frame), "doc_id", "text", jj.WORDS, 80).cache()
+    listed = sets.selectExpr("key", "cast(n as int) n", f"posexplode(slice(first, 1, cast({jj.PREFIX.format(p=80, n='n')} as int))) as (pos, shingle)")
+    lists = listed.join(listed.groupBy("shingle").count().where("count > 1").select("shingle"), "shingle", "left_semi")
+    labels = spark.createDataFrame([], "node long, component long")
+    named = jj.named_lists(lists, labels, sets.select("key", *jj.folded(jj.FINE)), jj.FINE, 80).cache()
+    made = [(min(r.key, r.y), max(r.key, r.y)) for r in jj.open_pairs(named, 80).collect()]
+    assert named.count() > 12 * 20 and len(set(made)) > 12 and len(made) <= 2 * len(set(made))
+    assert {c for _, c in brute(docs).values()} == set(range(12))
+
+
 def test_boundary_grows_with_the_lists():
     assert jj.light_boundary({9: 10}, 1.0) < jj.light_boundary({9: 10, 10: 5}, 10_000.0)
 

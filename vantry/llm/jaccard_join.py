@@ -28,10 +28,10 @@ verified pairs are merged into components; then,
 in lists that still hold several components, members with a possible partner in another component
 are paired with those. So groups of near copies cost a pair or two a member, while no link between
 components is lost: every pair that could link and is not yet connected is verified on the full
-sets. Parities of hash buckets of a set differ in no more places than the sets do, which rules out
+sets. A pair shares up to all the lists of its sets and needs one: of lists with the same members only the first in the global order is read,
+and a pair that shares one of the last EARLIER lists that either set was in before is left to that list. Parities of hash buckets of a set differ in no more places than the sets do, which rules out
 nearly all pairs that do not link: those of a few buckets as the pairs are made, those of about
-twice as many buckets as the set has shingles before any set is sent. The lists that propose a pair, and what is left behind the last of
-them, bound what it can share.
+twice as many buckets as the set has shingles before any set is sent.
 
 Null texts and texts without words have empty sets and link with nothing. Repeated rows link by
 equality. Keys must be integers; rows that share a key are one document with several sets. A row
@@ -49,7 +49,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vantry.llm.chunks import slices
@@ -64,6 +64,7 @@ LEADERS = 2
 LONGEST_SIGN = 1 << 16  # parities of a set at most
 COARSE = 128  # parities that list entries carry while leaders are tried
 FINE = 512  # and when all open pairs are made
+EARLIER = 8  # lists that an entry remembers
 WORD_BYTES = 8 << 20  # words whose hashes a task keeps
 
 
@@ -298,10 +299,10 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     bound = light_boundary(small, shape["rows"] / max(1, shape["lists"]), percent)
     edges = written(light_links(reps.where(F.col("n") <= bound).select("key", "first"), bound, percent), "light")
 
-    def linked(pairs: DataFrame, whole: bool) -> None:
+    def linked(pairs: DataFrame) -> None:
         nonlocal edges, labels
         old = edges, labels
-        edges = written(edges.unionByName(verified(pairs, reps, docs, key, text, words, bound, percent, whole)), "links")
+        edges = written(edges.unionByName(verified(pairs, reps, docs, key, text, words, bound, percent)), "links")
         labels = components(edges)
         dropped(*old)
 
@@ -312,12 +313,12 @@ def linked_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
         lead = entries.groupBy("shingle").agg(F.min(F.struct(first.alias("first"), *partner(COARSE))).alias("l"))
         pairs = entries.join(lead, "shingle").select("*", "l.*").where(possible(COARSE, percent))
         # of a member's leaders the one it differs least from
-        best = F.min(F.struct(apart(COARSE).alias("d"), "y", "n", "pos", "yn", "ypos")).alias("b")
-        linked(pairs.groupBy("key").agg(best).select("key", "b.n", "b.pos", "b.y", "b.yn", "b.ypos"), whole=False)
+        best = F.min(F.struct(apart(COARSE).alias("d"), "y", "n", "yn")).alias("b")
+        linked(pairs.groupBy("key").agg(best).select("key", "b.n", "b.y", "b.yn"))
 
     # lists that still hold several components: all pairs within both bounds of members that have any
     entries = written(named_lists(lists, labels, reps.select("key", *folded(FINE)), FINE, percent), "named")
-    linked(open_pairs(entries, percent), whole=True)
+    linked(open_pairs(entries, percent))
     dropped(lists, entries, edges, chosen)
 
     # copies with a lower key than their representative cannot exist; the component is named by its least key
@@ -347,7 +348,7 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 #: A member of a list as another one's partner.
-PARTNER = {"y": "key", "yn": "n", "ypos": "pos", "ycomp": "comp", "ymost": "most"}
+PARTNER = {"y": "key", "yn": "n", "ycomp": "comp", "ymost": "most"}
 
 
 def partner(buckets: int) -> list[Column]:
@@ -368,40 +369,40 @@ def named_lists(lists: DataFrame, labels: DataFrame, odd: DataFrame, buckets: in
 
 
 def open_pairs(named: DataFrame, percent: int) -> DataFrame:
-    """key, n, pos, y, yn, ypos: pairs of a list that are possible links.
+    """key, n, y, yn: pairs of a list that are possible links.
 
+    The first list that two linked sets share holds them within both bounds, and is the first one with its members. So of lists with the
+    same members (told apart by number and two sums of key hashes) only the first is read, and pairs that share an earlier list are left to it.
     A member joins only if the smallest member of the other components is within its bound; for that the smallest of
     each component, and the two smallest of these, are enough. Members of a list's most frequent component
     are not paired with each other.
     """
-    parts = named.groupBy("shingle", "comp").agg(F.min("n").alias("n"), F.count("*").alias("m"))
+    hashes = [F.bit_xor(F.xxhash64("key", F.lit(k))).alias(f"hash{k}") for k in range(2)]
+    parts = named.groupBy("shingle", "comp").agg(F.min("n").alias("n"), F.count("*").alias("m"), *hashes, F.min(F.struct("key", "pos")).alias("top"))
     least = parts.groupBy("shingle").agg(
-        F.min(F.struct("n", "comp")).alias("least"), F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts")
+        F.min(F.struct("n", "comp")).alias("least"), F.max(F.struct("m", "comp"))["comp"].alias("main"), F.count("*").alias("parts"),
+        F.sum("m").alias("m"), *(F.bit_xor(f"hash{k}").alias(f"hash{k}") for k in range(2)), F.min("top")["pos"].alias("place"),
     ).where("parts > 1")
-    second = parts.join(least, "shingle").where(F.col("comp") != F.col("least.comp")).groupBy("shingle").agg(F.min("n").alias("second"), F.first("least").alias("least"), F.first("main").alias("main"))
-    able = named.join(second, "shingle").where(F.when(F.col("comp") == F.col("least.comp"), F.col("second")).otherwise(F.col("least.n")) <= F.col("most"))
-    able = able.select("shingle", "key", "n", "pos", "comp", "most", *ODD[: FINE // 64], "main")
-    other = able.select("shingle", *partner(FINE))
+    first = least.groupBy("m", "hash0", "hash1").agg(F.min_by(F.struct("shingle", "least", "main"), "place").alias("f")).select("f.*")
+    second = parts.join(first, "shingle").where(F.col("comp") != F.col("least.comp")).groupBy("shingle").agg(F.min("n").alias("second"), F.first("least").alias("least"), F.first("main").alias("main"))
+    before = Window.partitionBy("key").orderBy("pos").rowsBetween(-EARLIER, -1)
+    able = named.join(second, "shingle").withColumn("before", F.collect_list("shingle").over(before))
+    able = able.where(F.when(F.col("comp") == F.col("least.comp"), F.col("second")).otherwise(F.col("least.n")) <= F.col("most"))
+    able = able.select("shingle", "key", "n", "comp", "most", *ODD[: FINE // 64], "before", "main")
+    other = able.select("shingle", *partner(FINE), F.col("before").alias("ybefore"))
     once = (F.col("ycomp") == F.col("main")) | (F.col("key") < F.col("y"))
-    return able.where("comp <> main").join(other, "shingle").where(possible(FINE, percent) & once).select("key", "n", "pos", "y", "yn", "ypos")
+    return able.where("comp <> main").join(other, "shingle").where(possible(FINE, percent) & once & ~F.arrays_overlap("before", "ybefore")).select("key", "n", "y", "yn")
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int, whole: bool = True) -> DataFrame:
-    """a, b of the pairs (key, n, pos, y, yn, ypos; one row for each list that proposes them) that link.
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, key: str, text: str, words: int, bound: int, percent: int) -> DataFrame:
+    """a, b of the pairs (key, n, y, yn) that link.
 
-    Pairs of two light sets are left out. The lists that propose a pair are the first shingles it shares, as both bounds
-    shrink along a set; so it shares at most as many, and what either set has behind the last of them. That
-    holds where all such lists propose it (`whole`); leaders lead some of them only. Then the parities of all
-    buckets are compared, and sets are made again from the texts of the pairs that remain.
+    Pairs of two light sets are left out. The parities of all buckets are compared, and sets are made again from the texts of the
+    pairs that remain.
     """
-    one = pairs.where(F.greatest("n", "yn") > bound).select(
-        F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"), F.expr("n + yn").alias("total"), F.least(F.expr("n - pos"), F.expr("yn - ypos")).alias("left")
-    )
+    one = pairs.where(F.greatest("n", "yn") > bound).select(F.least("key", "y").alias("a"), F.greatest("key", "y").alias("b"), F.expr("n + yn").alias("total"))
     need = overlap_needed(F.col("total"), percent)
-    each = one.groupBy("a", "b", "total").agg(F.count("*").alias("lists"), F.min("left").alias("left"))
-    if whole:
-        each = each.where(F.col("lists") + F.col("left") - 1 >= need)
-    each = written(each.select("a", "b", "total"), "pairs")
+    each = written(one.distinct(), "pairs")
     near = written(near_pairs(each, reps, percent), "near")
     dropped(each)
     active = written(near.select(F.explode(F.array("a", "b")).alias(key)).distinct(), "active")

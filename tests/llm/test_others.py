@@ -148,6 +148,22 @@ def test_decontamination_catches_new_parameters(spark):
     assert not fits(decontam.Slots(), [5, 1, 5], [6, 1, 7]) and not fits(decontam.Slots(), [5, 1, 4], [6, 1, 6])
 
 
+def test_an_unseen_word_is_hashed_once(monkeypatch):
+    """Its template and its case-free form are the word itself or one of three placeholders, whose hashes are known."""
+    plain, hashed = decontam._hash, []
+    monkeypatch.setattr(decontam, "_hash", lambda word: hashed.append(word) or plain(word))
+    words = decontam.Words()
+    text = "Anna has 3 cows, 12kg 1ST x² % ... 5 KG of Hay. cows, Anna ١٢ ß"
+    views, value, *_ = decontam.templates([text], words)
+    bare = [w.strip(decontam.STRIP) for w in text.split()]
+    assert len(hashed) == len(words) == len(set(text.split()))
+    assert value.tolist() == [plain(w.casefold()) for w in bare]
+    for k, w in enumerate(bare):
+        low = w.casefold()
+        want = ("<number>", 1) if decontam.NUMBER.match(low) else ("<unit>", 2) if low in decontam.UNITS else (low, 0)
+        assert (views[1][0][k], views[1][1][k]) == (plain(want[0]), want[1])
+
+
 def test_slots_hold_over_the_whole_item(spark):
     item = "The farm by the river sold 40 baskets of ripe plums on the first market day and then it sold 40 more of them to a baker from town"
     copy = lambda a, b: item.replace("40 b", f"{a} b").replace("40 m", f"{b} m")

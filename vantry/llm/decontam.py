@@ -30,10 +30,12 @@ Other columns are not used, so their names cannot clash. Empty tables give no ro
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +59,7 @@ KINDS = ("word", "number", "unit", "name")
 EXACT = np.uint64(0x5851F42D4C957F2D)  # sets the hashes of the third view apart
 MOST_BITS = 27  # of places in the bitmap of hashes
 WORD_BYTES = 24 << 20  # words that a task keeps
+WORD_WEIGHT = 240  # of a kept word, besides its text
 SLICE_BYTES = 1 << 20  # of texts looked at together
 
 
@@ -64,42 +67,44 @@ class Words(dict):
     """(hash of the template word, kind, hash of the value, ends a sentence, case-free hash and kind) of words as they stand in a text; bounded."""
 
     def __missing__(self, word: str) -> int:
-        found = self[word] = len(self.rows)
-        self.weight += len(word) + 400
+        found = self[word] = len(self.rows) // 6
+        self.weight += len(word) + WORD_WEIGHT
         bare = word.strip(STRIP)
         low = bare.casefold()
-        if not bare:
-            kind, template = 0, ""
-        elif NUMBER.match(bare):
-            kind, template = 1, "<number>"
+        template = value = free = _hash(low)
+        kind = free_kind = 0
+        digits = not bare.isalpha()  # perhaps; letters alone are no number
+        if digits and NUMBER.match(bare):
+            kind, template = 1, NUMBER_HASH
         elif low in UNITS:
-            kind, template = 2, "<unit>"
-        elif bare[0].isupper() and (len(bare) == 1 or not bare.isupper()):
-            kind, template = 3, "<name>"  # a name unless it opens a sentence
-        else:
-            kind, template = 0, low
-        free, free_kind = ("<number>", 1) if NUMBER.match(low) else (template, kind) if kind == 2 else (low, 0)
-        self.rows.append((_hash(template), kind, _hash(low), int(word[-1:] in ".!?:|" or "\n" in word), _hash(free), free_kind))
+            kind = free_kind = 2
+            template = free = UNIT_HASH
+        elif bare and bare[0].isupper() and (len(bare) == 1 or not bare.isupper()):
+            kind, template = 3, NAME_HASH  # a name unless it opens a sentence
+        if digits and NUMBER.match(low):
+            free, free_kind = NUMBER_HASH, 1
+        self.rows.extend((template, kind, value, word[-1:] in ".!?:|" or "\n" in word, free, free_kind))
         return found
 
     def __init__(self):
         super().__init__()
-        self.rows: list[tuple[int, int, int, int, int, int]] = []
+        self.rows = array("Q")  # six a word
         self.weight = 0
 
 
 def _hash(word: str) -> int:
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
+NUMBER_HASH, UNIT_HASH, NAME_HASH = map(_hash, ("<number>", "<unit>", "<name>"))
+
+
 def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Template hash and kind of each word in either view, its value hash, where each text begins among the words,
     and whether a word opens or ends a sentence."""
     if words.weight > WORD_BYTES:
         words.clear()
-        words.rows.clear()
+        words.rows = array("Q")
         words.weight = 0
     codes: list[int] = []
     ends = [0]
@@ -108,8 +113,7 @@ def templates(texts: list[str], words: Words) -> tuple[list[tuple[np.ndarray, np
         codes.extend(map(get, text.split()))
         ends.append(len(codes))
     at = np.array(codes, np.int64)
-    table = np.array(words.rows, np.uint64).reshape(-1, 6)
-    rows = table[at]
+    rows = np.frombuffer(words.rows, np.uint64).reshape(-1, 6)[at]
     template, kind, value, stop = rows[:, 0], rows[:, 1].astype(np.uint8), rows[:, 2], rows[:, 3].astype(bool)
     starts = np.array(ends, np.int64)
     opens = np.concatenate([[True], stop[:-1]])[: len(at)]

@@ -63,3 +63,23 @@ def test_replay_order_where_a_merge_opens_a_lower_one():
     words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 12))) for _ in range(400)]
     ids, lens = bpe.MergeReplay(ranks).encode([w.encode() for w in words])
     assert [x.tolist() for x in np.split(ids, np.cumsum(lens))[:-1]] == [lib.encode_ordinary(w) for w in words]
+
+
+def test_pieces_equal_the_librarys_and_are_encoded_once():
+    """A word goes to the library once, whatever signs or line break stand after it; texts that are not plain words keep the library's ids."""
+    from tokenizers import Tokenizer
+
+    from vantry.llm import token_files
+
+    definition = open(public_tokenizers.path("byte_bpe_50k.json")).read()
+    signs = ["", ".", ",", "...", "!", "'", "\nThe", ".\nThe"]
+    code = token_files._coder(definition)
+    code([f"The word{k}{s} and" for k in ("", "n", "rä") for s in signs])
+    assert len(code.table.lens) <= 14
+    rng = random.Random(6)
+    alphabet = [*"abZ  \n\t\r'.,#_-1é×÷ſƀ漢\u0085\xa0 　—“\x00\x1c᠎ªµ😀", "'s", "'ll", " the", " The.", "\n\n", "don't"]
+    texts = [t or "" for t in ODD if t is None or "<|" not in t] + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)]
+    library = Tokenizer.from_str(definition)
+    for part in (texts[:2000], texts[2000:], [], [""]):
+        ids, ends = code(part)
+        assert [x.tolist() for x in np.split(ids, ends[1:-1])][: len(part)] == [e.ids for e in library.encode_batch(part, add_special_tokens=False)]

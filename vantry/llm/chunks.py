@@ -167,6 +167,100 @@ class CutCoder:
         return self.table.ids(np.array(codes, np.int64), ends)
 
 
+LETTER, SIGN = 1, 2
+KIND = np.zeros(256, np.uint8)
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, 0xC4, 0xC5]] = LETTER  # and the first byte of most letters up to U+017F
+KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = SIGN
+SOLID = np.ones(256, bool)  # first bytes of characters that are no white space for sure
+SOLID[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+def whole_pieces(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts one after the other; where each stretch of them begins (and the last ends); whether a stretch is one piece of the byte-level
+    pattern for sure; where each text begins among the stretches (one entry more than texts).
+
+    Stretches begin before a blank, and before and after a line break, that a character follows which is no white space. One of letters with ASCII
+    signs after them is cut between the two. Characters beyond U+017F are not judged: their stretches are left to the pattern.
+    """
+    data = b"".join(texts)
+    all_bytes = np.frombuffer(data, np.uint8)
+    n = len(all_bytes)
+    begins = np.cumsum([0] + [len(t) for t in texts])
+    solid = SOLID[all_bytes]
+    at = np.flatnonzero(all_bytes == 0xE2)  # dashes and quotation marks: no white space begins with E2 82 or a later pair, or is in E2 80 8B to A7
+    second, third = all_bytes[at + 1], all_bytes[at + 2]
+    solid[at[(second > 0x81) | ((second == 0x80) & (third > 0x8A) & (third < 0xA8))]] = True
+    solid[begins[begins < n]] = False  # what follows in another text does not follow
+    mark = np.zeros(n + 1, bool)
+    mark[: n - 1] = (all_bytes[:-1] == 0x20) & solid[1:]
+    breaks = np.flatnonzero((all_bytes[:-1] == 0x0A) & solid[1:])
+    mark[breaks] = mark[breaks + 1] = True
+    mark[begins] = True
+    kind = KIND[all_bytes]
+    lead = np.flatnonzero((all_bytes >= 0xC3) & (all_bytes <= 0xC5))
+    kind[lead + 1] = LETTER
+    odd = lead[(all_bytes[lead] == 0xC3) & ((all_bytes[lead + 1] == 0x97) | (all_bytes[lead + 1] == 0xB7))]  # the signs of multiplication and division
+    kind[odd] = kind[odd + 1] = 0
+    count = lambda x: np.concatenate([np.zeros(1, np.int32), np.cumsum(x, dtype=np.int32)])
+    edges = np.flatnonzero(mark)
+    if n == 0:
+        return data, np.zeros(1, np.int64), np.zeros(0, bool), np.zeros(len(texts) + 1, np.int64)
+    first = edges[:-1] + (all_bytes[edges[:-1]] == 0x20)
+    other = count(kind == 0)
+    rises = count(np.concatenate([[False], (kind[:-1] == SIGN) & (kind[1:] == LETTER)]))
+    whole = (first < edges[1:]) & (other[edges[1:]] == other[first])
+    whole &= rises[edges[1:]] == rises[np.minimum(first + 1, edges[1:])]
+    falls = np.flatnonzero((kind[:-1] == LETTER) & (kind[1:] == SIGN)) + 1
+    mark[falls[whole[np.searchsorted(edges, falls, side="right") - 1]]] = True
+    bounds = np.flatnonzero(mark)
+    return data, bounds, np.repeat(whole, np.diff(np.searchsorted(bounds, edges))), np.searchsorted(bounds, begins)
+
+
+class PieceCoder:
+    """ids of texts by the byte-level pattern, as of a CutCoder: each distinct stretch of `whole_pieces` is encoded once for as long as it stays in
+    the cache. `encode` makes the ids of single pieces and, after them, of other stretches."""
+
+    def __init__(self, encode: Callable[[list[bytes], list[bytes]], Ids], most_bytes: int = CACHE_BYTES):
+        self.pieces = 0  # among the queued entries, which come first
+        self.table, self.most_bytes = IdTable(lambda queue: encode(queue[: self.pieces], queue[self.pieces :])), most_bytes
+        self.numbers: dict[bytes, int] = {}
+
+    def clear(self) -> None:
+        self.table.clear()
+        self.numbers.clear()
+
+    def prune(self) -> None:
+        """A full cache keeps what was used more than once; where that fills over half of it, nothing."""
+        keep = [(key, number) for key, number in self.numbers.items() if self.table.uses[number] > 1]
+        if 2 * len(keep) > len(self.table.lens):
+            self.clear()
+            return
+        self.table.keep(np.array([number for _, number in keep], np.int64))
+        self.numbers = {key: k for k, (key, _) in enumerate(keep)}
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids one after the other, and where each text begins (one entry more than texts)."""
+        if self.table.weight > self.most_bytes:
+            self.prune()
+        data, bounds, whole, ends = whole_pieces([text.encode() for text in texts])
+        found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        codes, (_, cuts, held) = found.indices.to_numpy(), found.dictionary.buffers()
+        held = held.to_pybytes() if held else b""
+        cuts = np.frombuffer(cuts, np.int64, len(found.dictionary) + 1).tolist() if len(found.dictionary) else [0]
+        names = [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        single = np.zeros(len(names), bool)
+        single[codes] = whole
+        new: tuple[list[bytes], list[bytes]] = ([], [])
+        for name, one in zip(names, single.tolist(), strict=True):
+            if name not in self.numbers:
+                new[not one].append(name)
+        self.pieces, self.table.queue = len(new[0]), [*new[0], *new[1]]
+        self.numbers.update(zip(self.table.queue, range(len(self.table.lens), len(self.table.lens) + len(self.table.queue)), strict=True))
+        self.table.settle()
+        numbers = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+        return self.table.ids(numbers[codes], ends)
+
+
 def gathered(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """flat[starts[i] : starts[i] + lens[i]] for all i, one after the other."""
     ends = np.cumsum(lens)

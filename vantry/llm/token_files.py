@@ -21,17 +21,19 @@ read back as null, too). Other columns are not carried. An empty table has no bl
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import PLAIN, CutCoder, gathered, id_lists, slices
+from vantry.llm.chunks import PLAIN, CutCoder, PieceCoder, gathered, id_lists, slices
 from vantry.llm.scratch import small_batches
 
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -54,6 +56,22 @@ def width_classes(ids: np.ndarray) -> np.ndarray:
 SMALL = width_classes(np.arange(1 << 16, dtype=np.uint64))
 
 
+def chain(after: np.ndarray, doublings: int = 6) -> np.ndarray:
+    """The places 0, after[0], after[after[0]] and so on that lie within; steps of 2 ** doublings are walked, those between are looked up."""
+    n = len(after)
+    jumps = [np.append(after, n)]
+    for _ in range(doublings):
+        jumps.append(jumps[-1][jumps[-1]])
+    far, at, walked = jumps.pop().tolist(), 0, []
+    while at < n:
+        walked.append(at)
+        at = far[at]
+    found = np.array(walked)
+    for jump in reversed(jumps):
+        found = np.stack([found, jump[found]], 1).ravel()
+    return found[found < n]
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and escapes of a run of unsigned 64-bit ids; each word takes as many ids as fit."""
     ids = np.ascontiguousarray(ids, np.uint64)
@@ -77,13 +95,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         most = np.maximum(spans[size][:last], spans[size][count - size :][:last])
         fits = most <= classes[int(BITS[k])]
         choice[:last][fits] = k
-    step = np.append(COUNTS, [0, 1])[choice].tolist()
-    at, starts = 0, []
-    add = starts.append
-    while at < n:
-        add(at)
-        at += step[at]
-    starts = np.array(starts)
+    starts = chain(np.arange(n) + np.append(COUNTS, [0, 1])[choice])
     chosen = choice[starts]
     words = chosen.astype(np.uint64) << np.uint64(60)
     for k in np.unique(chosen):
@@ -191,12 +203,54 @@ class AddedTokens:
         return np.insert(ids, ends[1:][after], flat), ends[np.concatenate([[0], last])] + more
 
 
-def _coder(definition: str) -> CutCoder:
+SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+HIDDEN = [b for b in range(256) if b not in SHOWN]
+#: The character that byte-level tokenizers write for each byte; the zero byte, which no letter or sign holds, is the delimiter here.
+BYTE_CHARS = "\n" + "".join(chr(b if b in SHOWN else 0x100 + HIDDEN.index(b)) for b in range(1, 256))
+
+
+@lru_cache(1)
+def _libraries(definition: str):
+    """The library's tokenizer; if the definition splits by the plain byte-level pattern, one of the same model for whole pieces; bytes of each id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_str(definition)
-    return CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
+    parts = json.loads(definition)
+    split, model = parts.get("pre_tokenizer") or {}, parts["model"]
+    plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True) and parts.get("normalizer") is None
+    plain = plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    whole, sizes = None, np.zeros(0, np.int64)
+    if plain:
+        whole = Tokenizer.from_str(json.dumps(parts | {"added_tokens": [], "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": "\n"}, "post_processor": None}))
+        tokens = whole.get_vocab()
+        sizes = np.zeros(max(tokens.values()) + 1, np.int64)
+        sizes[list(tokens.values())] = [len(token) for token in tokens]
+    return Tokenizer.from_str(definition), whole, sizes
+
+
+def whole_ids(library, sizes: np.ndarray, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """ids of pieces of the pattern. They are written as byte-level characters, as the library's own splitter leaves them, and go to its model
+    in lines; each id stands for so many bytes (`sizes`), so the bytes say where a piece ends."""
+    lines = [codecs.charmap_decode(b"\0".join(pieces[at : at + JOINED]), "strict", BYTE_CHARS)[0] for at in range(0, len(pieces), JOINED)]
+    ids = _flat(library, lines)[0]
+    ends = np.cumsum(sizes[ids])
+    stops = np.cumsum([len(x) for x in pieces], dtype=np.int64)
+    last = np.searchsorted(ends, stops)
+    if len(pieces) and not (last[-1] == len(ids) - 1 and np.array_equal(ends[last], stops)):
+        raise ValueError("ids do not give the bytes of their pieces for this tokenizer")
+    return ids, np.diff(last, prepend=-1)
+
+
+def _coder(definition: str) -> CutCoder | PieceCoder:
+    library, whole, sizes = _libraries(definition)
+    if whole is None:
+        return CutCoder(lambda cuts: library_ids(library, cuts), CACHE_BYTES)
+
+    def encode(pieces: list[bytes], others: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        a, b = whole_ids(whole, sizes, pieces), library_ids(library, [x.decode() for x in others])
+        return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+
+    return PieceCoder(encode, CACHE_BYTES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0, key: str = "doc_id", text: str = "text") -> None:

@@ -141,3 +141,19 @@ def parts(links):
         both = group.get(a, {a}) | group.get(b, {b})
         group.update(dict.fromkeys(both, both))
     return {frozenset(g) for g in group.values()}
+
+
+def test_each_word_is_hashed_once_and_sets_are_those_of_plain_loops(monkeypatch):
+    calls = []
+    real = jj.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(jj.xxhash, "xxh3_64_intdigest", lambda w: calls.append(w) or real(w))
+    rng = random.Random(16)
+    words = ["Long" * 30, "long" * 30, "É", "é", "a\x1cb", "nb sp", *"abcdefgh"]
+    texts = ["", " \t\x0b", "one"] + ["".join(rng.choice(words) + rng.choice([" ", "\n", "\r \x0c"]) for _ in range(rng.randrange(60))) for _ in range(50)]
+    got = jj.shingle_sets([t.encode() for t in texts])
+    assert len(calls) == len(set(calls))
+    one = lambda ws, seed: [seed := int(jj.mix(np.array([seed ^ real(w)], np.uint64))[0]) for w in ws][-1]  # noqa: E731, F841
+    for text, found in zip(texts, got, strict=True):
+        ws = text.encode().lower().split()
+        want = {one(ws[k : k + 5], 0) for k in range(len(ws) - 4)} if len(ws) >= 5 else {one(ws, 0x5EED + len(ws))} if ws else set()
+        assert found.tolist() == sorted(want)

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import gathered
+from vantry.llm.chunks import gathered, split_words
 from vantry.llm.scratch import dropped, hinted, small_batches, written
 
 DIM, INNER = 32, 32
@@ -38,22 +38,6 @@ HEAD = 100_000  # most frequent words, at most, whose counts go to all tasks; th
 SLICE_BYTES = 1 << 20
 SUMMERS = 8
 
-SPACE = np.zeros(256, bool)
-SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Of texts with A-Z lower-cased: code of each word, the words, number of words of each text."""
-    data = b"\n".join(texts).lower()  # of bytes only A-Z
-    space = SPACE[np.frombuffer(data, np.uint8)]
-    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
-    starts, ends = edges[::2], edges[1::2]
-    bare = np.frombuffer(data, np.uint8)[~space]
-    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(bare)]).dictionary_encode()
-    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
-    return found.indices.to_numpy().astype(np.int64), found.dictionary, np.diff(np.searchsorted(starts, begins))
-
 
 def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 7 == 2, F.lit(False))

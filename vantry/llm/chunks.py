@@ -244,10 +244,7 @@ class PieceCoder:
             self.prune()
         data, bounds, whole, ends = whole_pieces([text.encode() for text in texts])
         found = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-        codes, (_, cuts, held) = found.indices.to_numpy(), found.dictionary.buffers()
-        held = held.to_pybytes() if held else b""
-        cuts = np.frombuffer(cuts, np.int64, len(found.dictionary) + 1).tolist() if len(found.dictionary) else [0]
-        names = [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        codes, names = found.indices.to_numpy(), bytes_of(found.dictionary)
         single = np.zeros(len(names), bool)
         single[codes] = whole
         new: tuple[list[bytes], list[bytes]] = ([], [])
@@ -261,6 +258,35 @@ class PieceCoder:
         return self.table.ids(numbers[codes], ends)
 
 
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Of texts with A-Z lower-cased, split at 09-0D and 20: code of each word, the words, number of words of each text."""
+    data = b"\n".join(texts).lower()  # of bytes only A-Z
+    space = SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    starts, ends = edges[::2], edges[1::2]
+    bare = np.frombuffer(data, np.uint8)[~space]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    found = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(bare)]).dictionary_encode()
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    return found.indices.to_numpy().astype(np.int64), found.dictionary, np.diff(np.searchsorted(starts, begins))
+
+
+def bytes_of(column: pa.Array) -> list[bytes]:
+    """The values of a string or binary column without nulls; several times as fast as to_pylist."""
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return []
+    _, cuts, held = column.buffers()
+    cuts = np.frombuffer(cuts, np.int64)[column.offset : column.offset + len(column) + 1]
+    held = memoryview(held)[cuts[0] : cuts[-1]].tobytes() if held else b""
+    cuts = (cuts - cuts[0]).tolist()
+    return [held[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
 def gathered(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """flat[starts[i] : starts[i] + lens[i]] for all i, one after the other."""
     ends = np.cumsum(lens)

@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantry.llm.chunks import slices
+from vantry.llm.chunks import bytes_of, slices, split_words
 from vantry.llm.components import components
 from vantry.llm.scratch import dropped, hinted, small_batches, written
 
@@ -65,38 +65,14 @@ LONGEST_SIGN = 1 << 16  # parities of a set at most
 COARSE = 128  # parities that list entries carry while leaders are tried
 FINE = 512  # and when all open pairs are made
 EARLIER = 8  # lists that an entry remembers
-WORD_BYTES = 8 << 20  # words whose hashes a task keeps
-
-
-class _WordHashes(dict):
-    """Hashes of words; bounded in bytes."""
-
-    weight = 0
-
-    def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh3_64_intdigest(word)
-        if len(word) < 64:
-            self.weight += len(word) + 150
-            self[word] = found
-        return found
-
-    def bound(self) -> None:
-        if self.weight > WORD_BYTES:
-            self.clear()
-            self.weight = 0
-
-
-def shingle_sets(texts: list[str], known: _WordHashes, words: int = WORDS) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
-    known.bound()
-    get = known.__getitem__
-    hashes: list[int] = []
-    ends = [0]
-    for text in texts:
-        # of bytes, lower() changes A-Z alone, and split() cuts at the blanks 09-0D and 20
-        hashes.extend(map(get, text.encode("utf-8", "surrogatepass").lower().split()))
-        ends.append(len(hashes))
-    flat = np.array(hashes, np.uint64)
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; each distinct word of the texts is hashed once."""
+    codes, names, n_words = split_words(texts)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, bytes_of(names)), np.uint64, len(names))
+    ends = [0, *np.cumsum(n_words).tolist()]
+    flat = hashes[codes]
     out = []
     n = max(0, len(flat) - words + 1)
     rolled = np.zeros(n, np.uint64)
@@ -104,7 +80,7 @@ def shingle_sets(texts: list[str], known: _WordHashes, words: int = WORDS) -> li
         rolled = mix(rolled ^ flat[j : n + j])
     for a, b in zip(ends, ends[1:], strict=False):
         if b - a >= words:
-            out.append(np.unique(rolled[a : b - words + 1]))
+            out.append(distinct(rolled[a : b - words + 1]))
         elif b > a:
             one = np.full(1, 0x5EED + b - a, np.uint64)
             for h in flat[a:b]:
@@ -115,6 +91,12 @@ def shingle_sets(texts: list[str], known: _WordHashes, words: int = WORDS) -> li
     return out
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values of a row that is not empty; sorting short rows is faster than np.unique."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
@@ -139,10 +121,10 @@ def sketch(docs: DataFrame, text: str = "text", words: int = WORDS) -> np.ndarra
     """CELLS counters of all shingles of all documents (each document counts a shingle once)."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = _WordHashes(), np.zeros(CELLS, np.int64)
+        total = np.zeros(CELLS, np.int64)
         for batch in batches:
             for part in slices(batch, 0):
-                sets = shingle_sets(part.column(0).to_pylist(), known, words)
+                sets = shingle_sets(bytes_of(part.column(0)), words)
                 total += np.bincount((np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(46)).astype(np.int64), minlength=CELLS)
         if total.any():
             rows = total.astype("<u4").reshape(64, -1)
@@ -216,10 +198,10 @@ def prefixes(docs: DataFrame, counts: np.ndarray, key: str, text: str, words: in
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts = _WordHashes(), shared.value
+        counts = shared.value
         for batch in batches:
             for part in slices(batch, 1):
-                sets = shingle_sets(part.column(1).to_pylist(), known, words)
+                sets = shingle_sets(bytes_of(part.column(1)), words)
                 first = []
                 for s in sets:
                     cell = counts[(s >> np.uint64(46)).astype(np.int64)]
@@ -336,10 +318,9 @@ def full_sets(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """key, shingles: whole sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
         for batch in batches:
             for part in slices(batch, 1):
-                sets = shingle_sets(part.column(1).to_pylist(), known, words)
+                sets = shingle_sets(bytes_of(part.column(1)), words)
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["key", "shingles"])

@@ -105,6 +105,57 @@ def test_slopes_against_differences():
         assert (losses[0] - losses[1]) / (2 * step) == pytest.approx(float(g[name][at]), rel=0.05, abs=1e-4), name
 
 
+def padded_windows(v, end):
+    """Windows of texts of 1 to 200 tokens, most of which begin with padding."""
+    rng = np.random.default_rng(6)
+    lens = np.concatenate([[1, 2, 31, 32, 33, 200], rng.integers(1, 60, 40)])
+    return lm.windows(v.place[rng.integers(0, 50_257, lens.sum())], lens, v.place[end], v.size)[:2]
+
+
+@pytest.mark.parametrize("far", [1.0, 40.0])
+def test_slopes_do_not_depend_on_how_windows_go_together(far):
+    """The mean slope of all windows is that of single ones; also where exponentials leave 32-bit numbers."""
+    m = small_model(4)
+    v, p = m.vocabulary, {k: x * np.float32(far if k in ("query", "classes") else 1) for k, x in m.parameters.items()}
+    seen, target = padded_windows(v, m.coder.end)
+    got, loss = lm.slopes(p, v, seen, target)
+    weight = (target >= 0).sum(1) / (target >= 0).sum()
+    alone = [lm.slopes(p, v, seen[k : k + 1], target[k : k + 1]) for k in range(len(seen))]
+    assert loss == pytest.approx(sum(w * one for w, (_, one) in zip(weight, alone, strict=True)), rel=1e-4)
+    for name in p:
+        want = sum(w * g[name].astype(np.float64) for w, (g, _) in zip(weight, alone, strict=True))
+        assert np.abs(got[name] - want).max() < 1e-3 * np.abs(want).max() + 1e-7, name
+
+
+def test_value_slope_leaves_padding_out():
+    """What stands for padding weighs nothing, so no slope reaches the values through it."""
+    m = small_model(5)
+    v, p = m.vocabulary, m.parameters
+    seen, target = padded_windows(v, m.coder.end)
+    g, _ = lm.slopes(p, v, seen, target)
+    move = np.random.default_rng(1).standard_normal((lm.DIM, lm.DIM)).astype(np.float32) * 1e-2
+    losses = [lm.slopes({**p, "value": p["value"] + sign * move}, v, seen, target)[1] for sign in (1, -1)]
+    assert losses[0] - losses[1] == pytest.approx(2 * float((g["value"] * move).sum()), rel=0.03)
+    assert not g["embed"][v.size].any()
+
+
+def test_steps_are_those_of_plain_adam():
+    rng = np.random.default_rng(2)
+    p = {"a": rng.standard_normal((300, 70)).astype(np.float32), "b": rng.standard_normal(5).astype(np.float32)}
+    want, mean, square = {k: x.astype(np.float64) for k, x in p.items()}, dict.fromkeys(p, 0.0), dict.fromkeys(p, 0.0)
+    steps = lm.Steps(p)
+    for step in range(1, 7):
+        g = {k: rng.standard_normal(x.shape).astype(np.float32) for k, x in p.items()}
+        g["a"][100 if step < 4 else 200 :] = 0  # never moved, or moved later
+        steps(g, 0.03)
+        for k in p:
+            mean[k], square[k] = mean[k] * 0.9 + 0.1 * g[k], square[k] * 0.99 + 0.01 * g[k].astype(np.float64) ** 2
+            want[k] -= 0.03 / (1 - 0.9**step) * mean[k] / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-6)
+    for k in p:
+        assert np.abs(steps.p[k] - want[k]).max() < 1e-5
+    assert (steps.p["a"][200:] == p["a"][200:]).all()
+
+
 def test_base_against_dictionaries(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 5)
     monkeypatch.setattr(lm, "LEAST_STEPS", 2)

@@ -36,6 +36,7 @@ BATCH, MOST_BATCH = 32, 256  # windows of a training step: as many as leave LEAS
 RATE = 0.03
 HEAD = 100_000  # most frequent words, at most, whose counts go to all tasks; the others' counts are joined
 SLICE_BYTES = 1 << 20
+BLOCK = 128  # rows of one product
 SUMMERS = 8
 
 
@@ -191,134 +192,207 @@ def tables(p: dict) -> tuple[np.ndarray, ...]:
     return (p["embed"] @ p["query"]) * np.float32(1 / math.sqrt(DIM)), p["embed"] @ p["key"], p["embed"] @ p["value"]
 
 
-def hidden(p: dict, seen: np.ndarray, pad: int, ready: tuple[np.ndarray, ...], keep: dict | None = None) -> np.ndarray:
-    """What the model makes of each position to predict: windows x STRIDE x DIM."""
-    mine = p["embed"][seen[:, WINDOW - STRIDE :]]
-    q, k, v = ready[0][seen[:, WINDOW - STRIDE :]], ready[1][seen], ready[2][seen]
-    a = q @ k.transpose(0, 2, 1)
-    a += np.where(FUTURE, np.float32(-1e9), p["near"][np.maximum(BACK, 0)])
-    starts = np.flatnonzero(seen[:, 0] == pad)
-    if len(starts):
-        a[starts] += np.where(seen[starts] == pad, np.float32(-1e9), np.float32(0))[:, None, :]
-    np.exp(below_highest(a), out=a)
-    total = a.sum(-1, keepdims=True)
-    if keep is None:
-        y = a @ v
-        y /= total
-    else:
-        a /= total
-        y = a @ v
-    y += mine
-    inner = (y.reshape(-1, DIM) @ p["inner"]).reshape(*y.shape[:2], INNER)
-    inner += p["inner_bias"]
-    np.maximum(inner, 0, out=inner)
-    out = (inner.reshape(-1, INNER) @ p["outer"]).reshape(y.shape)
-    out += y
-    if keep is not None:
-        keep.update(x=p["embed"][seen], mine=mine, q=q, k=k, v=v, a=a, y=y, inner=inner)
-    return out
-
-
-def log_probabilities(p: dict, vocabulary: Vocabulary, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural logarithms of the targets' probabilities from hidden rows; with grads, also the loss's slope at the rows."""
-    kind = vocabulary.kind[target]
-    z = h @ p["classes"]
-    z += p["class_bias"]
-    rows = np.arange(len(h))
-    out = below_highest(z)[rows, kind]
-    total = np.exp(z, out=z).sum(-1)
-    out -= np.log(total)
-    slope = None
+@np.errstate(over="ignore", invalid="ignore", divide="ignore")
+def log_probabilities(p: dict, vocabulary: Vocabulary, h: np.ndarray, target: np.ndarray, grads: dict | None = None, safe: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural logarithms of the targets' probabilities from hidden rows; with grads, also the mean loss's slope at the rows.
+
+    Rows are sorted by class, so those of a class lie together, and go through the classes' weights BLOCK at a time. Biases are a last
+    column of the weights. Exponentials are taken as they are, and all again with the highest of their row away if they leave 32-bit numbers."""
+    v, m, ones = vocabulary, len(h), np.ones(vocabulary.size, np.float32)
+    kinds = v.kind[target]
+    order = np.argsort(kinds, kind="stable")
+    kind, at = kinds[order].astype(np.int64), target[order]
+    n_kinds = len(v.starts)
+    own = np.zeros((-(-m // BLOCK) * BLOCK, DIM + 1), np.float32)
+    np.take(h, order, 0, out=own[:m, :DIM], mode="clip")
+    own[:m, DIM] = 1
+    blocks = own.reshape(-1, BLOCK, DIM + 1)
+    tokens = np.concatenate([p["tokens"], p["token_bias"][:, None]], 1)
+    z = blocks @ np.concatenate([p["classes"], p["class_bias"][None]])
+    if safe:
+        below_highest(z)
+    one = np.arange(m) * n_kinds + kind
+    chosen = z.reshape(-1)[one]
+    np.exp(z, out=z)
+    total = z.reshape(-1, n_kinds) @ ones[:n_kinds]
     if grads is not None:
-        z /= total[:, None]
-        z[rows, kind] -= 1
-        grads["classes"], grads["class_bias"] = h.T @ z, z.sum(0)
-        slope = z @ p["classes"].T
-        grads["tokens"], grads["token_bias"] = np.zeros_like(p["tokens"]), np.zeros_like(p["token_bias"])
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(len(vocabulary.starts) + 1))
-    for c in np.flatnonzero(np.diff(cuts)).tolist():
-        a, b = vocabulary.starts[c], vocabulary.stops[c]
-        if b - a == 1:
+        each = np.float32(1 / max(1, m))
+        z.reshape(-1, n_kinds)[...] *= (each / total)[:, None]
+        z.reshape(-1)[one] -= each
+        g = (blocks.transpose(0, 2, 1) @ z).sum(0)
+        grads["classes"], grads["class_bias"] = g[:DIM], g[DIM]
+        slope = (z @ np.ascontiguousarray(p["classes"].T)).reshape(-1, DIM)[:m]
+        more, rows = np.zeros_like(own), np.zeros_like(tokens)
+    cuts = np.searchsorted(kind, np.arange(n_kinds + 1))
+    sizes = v.stops - v.starts
+    places = (np.arange(m) - cuts[kind]) * sizes[kind] + at - v.starts[kind]  # among the logits of a class
+    held = np.empty(int((np.diff(cuts) * sizes).max(initial=0)), np.float32)
+    inside = np.ones(m, np.float32)
+    cuts = cuts.tolist()
+    for c, (a, b) in enumerate(zip(v.starts.tolist(), v.stops.tolist(), strict=True)):
+        lo, hi = cuts[c], cuts[c + 1]
+        if lo == hi or b - a == 1:
             continue
-        mine = order[cuts[c] : cuts[c + 1]]
-        own = h[mine]
-        z = own @ p["tokens"][a:b].T
-        z += p["token_bias"][a:b]
-        at = target[mine] - a
-        one = np.arange(len(mine))
-        chosen = below_highest(z)[one, at]
-        total = np.exp(z, out=z).sum(-1)
-        out[mine] += chosen - np.log(total)
+        mine, weights, one = own[lo:hi], tokens[a:b], places[lo:hi]
+        flat = held[: (hi - lo) * (b - a)]
+        z = flat.reshape(hi - lo, b - a)
+        np.matmul(mine, weights.T, out=z)
+        if safe:
+            below_highest(z)
+        chosen[lo:hi] += flat[one]
+        np.exp(z, out=z)
+        total_inside = np.matmul(z, ones[: b - a], out=inside[lo:hi])
         if grads is not None:
-            z /= total[:, None]
-            z[one, at] -= 1
-            grads["tokens"][a:b], grads["token_bias"][a:b] = z.T @ own, z.sum(0)
-            slope[mine] += z @ p["tokens"][a:b]
-    return out, slope
+            z *= (each / total_inside)[:, None]
+            flat[one] -= each
+            np.matmul(z.T, mine, out=rows[a:b])
+            np.matmul(z, weights, out=more[lo:hi])
+    if not safe and not all(1e-20 < x.min(initial=1) and x.max(initial=1) < 1e30 for x in (total, inside)):
+        return log_probabilities(p, vocabulary, h, target, grads, True)
+    found = np.empty(m, np.float32)
+    found[order] = chosen - np.log(total[:m]) - np.log(inside)
+    if grads is None:
+        return found, None
+    grads["tokens"], grads["token_bias"] = rows[:, :DIM], rows[:, DIM]
+    slope += more[:m, :DIM]
+    out = np.empty_like(slope)
+    out[order] = slope
+    return found, out
 
 
 def slopes(p: dict, vocabulary: Vocabulary, seen: np.ndarray, target: np.ndarray) -> tuple[dict, float]:
-    """Slopes of the mean loss at the parameters, and the loss."""
-    keep: dict = {}
-    h = hidden(p, seen, vocabulary.size, tables(p), keep)
-    real = target >= 0
+    """Slopes of the mean loss at the parameters, and the loss.
+
+    Queries, keys and values are made once for each place that occurs.
+    Weights of attention stay exponentials: their sums are the last column of the product with the values, which has a one for each
+    token and none for the padding, and division by them is done on the products. What a logit's slope loses by that sum
+    is a last column of the product with the values as well, so windows x STRIDE x WINDOW numbers are gone over few times."""
+    flat = lambda t: t.reshape(-1, t.shape[-1])
+    take = lambda t, at: np.take(t, at, 0, mode="clip")
+    n, before, pad = len(seen), WINDOW - STRIDE, vocabulary.size
+    ids = seen.ravel().astype(np.uint16)  # sorted by counting
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.diff(ids.astype(np.int32), prepend=-1) > 0
+    used, codes = ids[first], np.cumsum(first) - 1
+    code = np.empty((n, WINDOW), np.int64)
+    code.reshape(-1)[order] = codes
+    late = np.ascontiguousarray(code[:, before:])
+    scale = np.float32(1 / math.sqrt(DIM))
+    weights = np.concatenate([p["query"] * scale, p["key"], p["value"]], 1)
+    embed = p["embed"][used]
+    made = embed @ weights
+    value = np.concatenate([made[:, 2 * DIM :], np.ones((len(used), 1), np.float32)], 1)
+    value[used == pad] = 0
+    mine, q, k, v = take(embed, late), take(made[:, :DIM], late), take(made[:, DIM : 2 * DIM], code), take(value, code)
+    near = np.where(FUTURE, np.float32(0), np.exp(p["near"])[np.maximum(BACK, 0)])
+    e = q @ np.ascontiguousarray(k.transpose(0, 2, 1))  # such a product is several times as fast
+    if not (e.max(initial=0) < 60 and e.min(initial=0) > -60):
+        e -= np.where(FUTURE | (seen == pad)[:, None, :], np.float32(-np.inf), e).max(-1, keepdims=True)
+        np.minimum(e, 0, out=e)
+    np.exp(e, out=e)
+    e *= near
+    sums = e @ v
+    part = 1 / sums[..., DIM:]
+    mean = sums[..., :DIM] * part
+    y = mean + mine
+    inner = y @ p["inner"]
+    inner += p["inner_bias"]
+    np.maximum(inner, 0, out=inner)
+    h = inner @ p["outer"]
+    h += y
+
+    targets = target.ravel()
+    real = np.flatnonzero(targets >= 0)
     g: dict = {}
-    found, at_rows = log_probabilities(p, vocabulary, h[real], target[real], g)
-    n = max(1, len(found))
+    found, at_rows = log_probabilities(p, vocabulary, take(flat(h), real), targets[real], g)
     out = np.zeros_like(h)
-    out[real] = at_rows
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    inner, y = keep["inner"], keep["y"]
+    flat(out)[real] = at_rows
     g["outer"] = flat(inner).T @ flat(out)
-    d_inner = out @ p["outer"].T
+    d_inner = out @ np.ascontiguousarray(p["outer"].T)
     d_inner *= inner > 0
-    g["inner"], g["inner_bias"] = flat(y).T @ flat(d_inner), flat(d_inner).sum(0)
-    d_y = out + d_inner @ p["inner"].T
-    a = keep["a"]
-    d_v = a.transpose(0, 2, 1) @ d_y
-    d_a = d_y @ keep["v"].transpose(0, 2, 1)
-    d_a -= (d_a * a).sum(-1, keepdims=True)
-    d_a *= a
-    g["near"] = np.bincount(np.maximum(BACK, 0).ravel(), np.where(FUTURE, 0, d_a.sum(0)).ravel(), WINDOW).astype(np.float32)
-    d_q = (d_a @ keep["k"]) * np.float32(1 / math.sqrt(DIM))
-    d_k = d_a.transpose(0, 2, 1) @ keep["q"]
-    x, mine = keep["x"], keep["mine"]
-    g["query"], g["key"], g["value"] = flat(mine).T @ flat(d_q), flat(x).T @ flat(d_k), flat(x).T @ flat(d_v)
-    d_x = d_k @ p["key"].T + d_v @ p["value"].T
-    d_x[:, WINDOW - STRIDE :] += d_y + d_q @ p["query"].T
-    ids = seen.ravel()
-    order = np.argsort(ids, kind="stable")
-    heads = np.flatnonzero(np.diff(ids[order], prepend=-1))
+    g["inner"], g["inner_bias"] = flat(y).T @ flat(d_inner), np.ones(n * STRIDE, np.float32) @ flat(d_inner)
+    d_late, d_all = np.empty((n, STRIDE, 2 * DIM), np.float32), np.empty((n, WINDOW, 2 * DIM), np.float32)
+    d_mine = np.add(out, d_inner @ np.ascontiguousarray(p["inner"].T), out=d_late[..., DIM:])
+    d_y = np.empty((n, STRIDE, DIM + 1), np.float32)  # over the sum of weights; last, what the sum takes away
+    np.multiply(d_mine, part, out=d_y[..., :DIM])
+    d_y[..., DIM] = -np.einsum("wsd,wsd->ws", d_y[..., :DIM], mean)
+    np.matmul(e.transpose(0, 2, 1), d_y[..., :DIM], out=d_all[..., DIM:])
+    d_e = d_y @ np.ascontiguousarray(v.transpose(0, 2, 1))
+    d_e *= e
+    g["near"] = np.bincount(np.maximum(BACK, 0).ravel(), np.ones(n, np.float32) @ d_e.reshape(n, -1), WINDOW).astype(np.float32)
+    np.matmul(d_e, k, out=d_late[..., :DIM])
+    np.matmul(d_e.transpose(0, 2, 1), q, out=d_all[..., :DIM])
+
+    starts = np.flatnonzero(seen[:, 0] == pad)
+    d_all[starts] *= (seen[starts] != pad)[..., None]
+    late_x = d_late @ np.concatenate([p["query"].T * scale, np.eye(DIM, dtype=np.float32)])
+    d_x = d_all @ np.concatenate([p["key"].T, p["value"].T])
+    d_x[:, before:] += late_x
+    g["query"] = (mine.transpose(0, 2, 1) @ d_late[..., :DIM]).sum(0) * scale
+    g["key"], g["value"] = np.split((take(embed, code).transpose(0, 2, 1) @ d_all).sum(0), 2, 1)
     g["embed"] = np.zeros_like(p["embed"])
-    g["embed"][ids[order][heads]] = np.add.reduceat(flat(d_x)[order], heads)
-    g["embed"][vocabulary.size] = 0
-    for k in g:
-        g[k] = (g[k] / n).astype(np.float32)
-    return g, -float(found.sum()) / n
+    g["embed"][used] = np.add.reduceat(take(flat(d_x), order), np.flatnonzero(first))
+    g["embed"][pad] = 0
+    return g, -float(found.sum()) / max(1, len(real))
+
+
+class Steps:
+    """Adam over all parameters as one row of numbers, a part that stays in a core's cache at a time. `p` has views of it."""
+
+    def __init__(self, p: dict):
+        self.names = sorted(p)
+        self.row = np.concatenate([p[k].ravel() for k in self.names])
+        self.p, at = {}, 0
+        for k in self.names:
+            self.p[k] = self.row[at : at + p[k].size].reshape(p[k].shape)
+            at += p[k].size
+        self.slope, self.mean, self.square = (np.zeros_like(self.row) for _ in range(3))
+        self.buffer = np.empty((2, 1 << 13), np.float32)
+        self.moved = np.zeros(-(-len(self.row) // self.buffer.shape[1]), bool)
+        self.step = 0
+
+    def __call__(self, g: dict, rate: float) -> None:
+        self.step += 1
+        np.concatenate([g[k].ravel() for k in self.names], out=self.slope)
+        far, root = np.float32(-rate / (1 - 0.9**self.step)), np.float32(1 / math.sqrt(1 - 0.99**self.step))
+        for a in range(0, len(self.row), self.buffer.shape[1]):
+            row, slope, mean, square = (x[a : a + self.buffer.shape[1]] for x in (self.row, self.slope, self.mean, self.square))
+            at = a // self.buffer.shape[1]
+            if not (self.moved[at] or slope.any()):
+                continue  # no step has moved these
+            self.moved[at] = True
+            x, y = self.buffer[:, : len(row)]
+            np.multiply(slope, slope, out=x)
+            x -= square
+            x *= np.float32(0.01)
+            square += x
+            slope -= mean
+            slope *= np.float32(0.1)
+            mean += slope
+            np.sqrt(square, out=x)
+            x *= root
+            x += np.float32(1e-6)
+            np.divide(mean, x, out=y)
+            y *= far
+            row += y
 
 
 def trained(p: dict, vocabulary: Vocabulary, seen: np.ndarray, target: np.ndarray, rate: float, seed: int) -> dict:
     """Parameters after steps over all windows in a random order, again until there are LEAST_STEPS of them."""
-    p = {k: x.copy() for k, x in p.items()}
+    steps = Steps(p)
     rng = np.random.default_rng(seed)
-    mean, square = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
     batch = min(MOST_BATCH, max(BATCH, len(seen) // LEAST_STEPS))
     total = max(LEAST_STEPS, -(-len(seen) // batch))
-    step = 0
-    while step < total:
+    while steps.step < total:
         order = rng.permutation(len(seen))
         for a in range(0, len(order), batch):
-            if step == total:
+            if steps.step == total:
                 break
-            step += 1
-            g, _ = slopes(p, vocabulary, seen[order[a : a + batch]], target[order[a : a + batch]])
-            now = rate * (1 - 0.9 * step / total)
-            for k, slope in g.items():
-                mean[k] += 0.1 * (slope - mean[k])
-                square[k] += 0.01 * (slope * slope - square[k])
-                p[k] -= np.float32(now / (1 - 0.9**step)) * mean[k] / (np.sqrt(square[k] / np.float32(1 - 0.99**step)) + np.float32(1e-6))
-    return p
+            mine = order[a : a + batch]
+            g, _ = slopes(steps.p, vocabulary, seen[mine], target[mine])
+            steps(g, rate * (1 - 0.9 * (steps.step + 1) / total))
+    return steps.p
 
 
 def log_share(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, rows: int = 4096) -> np.ndarray:
@@ -378,10 +452,11 @@ class Scorer:
         np.take(self.p["embed"], mine, 0, out=out, mode="clip")
         mean = np.divide(y[:, :DIM], np.maximum(y[:, DIM:], 1e-30), out=self.outer[: len(mine)])
         out += mean
-        inner = np.matmul(out, self.p["inner"], out=self.inner[: len(mine)])
+        windows = lambda x: x.reshape(n, STRIDE, -1)  # noqa: E731  products a window at a time stay in a core's cache
+        inner = np.matmul(windows(out), self.p["inner"], out=windows(self.inner[: len(mine)]))
         inner += self.p["inner_bias"]
         np.maximum(inner, 0, out=inner)
-        out += np.matmul(inner, self.p["outer"], out=mean)
+        out += np.matmul(inner, self.p["outer"], out=windows(mean)).reshape(out.shape)
 
     def __call__(self, seen: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the tokens to predict among target (-1: none), and natural logarithms of their probabilities."""
@@ -502,21 +577,22 @@ def learn(docs: DataFrame, words: DataFrame, key: str, rank_file: str, pattern:
     vocabulary = Vocabulary(counts)
     model = Model(rank_file, pattern, head, head_counts, n_words + n_docs, distinct + (n_docs > 0), vocabulary, first_parameters(vocabulary))
 
+    same = spark.sparkContext.broadcast(model)  # its coder and vocabulary serve all rounds: a worker makes the coder once
     for turn, (share, size) in enumerate(rounds(docs, key)):
         if not size:
             continue
-        shared = spark.sparkContext.broadcast((rank_file, pattern, vocabulary, model.parameters))
+        shared = spark.sparkContext.broadcast(model.parameters)
         rate = RATE * DECAY**turn
 
         def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts = [t for batch in batches for t in batch.column(0).cast(pa.binary()).to_pylist()]  # noqa: B023
             if not texts:
                 return
-            file, pat, v, p = shared.value  # noqa: B023
-            coder = Coder(file, pat, [])
-            ids, lens, *_ = coder.texts(texts)
-            seen, target, _ = windows(v.place[ids], lens, v.place[coder.end], v.size)
-            p = trained(p, v, seen, target, rate, len(ids))  # noqa: B023
+            m = same.value
+            v = m.vocabulary
+            ids, lens, *_ = m.coder.texts(texts)
+            seen, target, _ = windows(v.place[ids], lens, v.place[m.coder.end], v.size)
+            p = trained(shared.value, v, seen, target, rate, len(ids))  # noqa: B023
             whole = np.frombuffer(packed(p), "<f4").astype(np.float64) * len(ids)
             yield pa.RecordBatch.from_arrays([pa.array([len(ids)], pa.int64()), pa.array([whole.astype("<f8").tobytes()], pa.binary())], names=["n", "sums"])
 
@@ -536,6 +612,7 @@ def learn(docs: DataFrame, words: DataFrame, key: str, rank_file: str, pattern:
         whole = sum(np.frombuffer(r.sums, "<f8") for r in sums) / sum(r.n for r in sums)
         model.parameters = unpacked(whole, model.parameters)
         shared.unpersist()
+    same.unpersist()
     return model
 
 
